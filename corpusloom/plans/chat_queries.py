@@ -60,7 +60,7 @@ def sql_bucket(cfg) -> str:
     return f"CASE {whens} END"
 
 
-def sql_greedy_calib(cand: str, cfg) -> str:
+def sql_greedy_calib(cand: str, cfg, tag: str = "") -> str:
     """Literal greedy scan as a recursive CTE over ``cand(ord, key, bucket)``."""
     names = [b.name for b in cfg.buckets]
     qs = {b.name: b.target for b in cfg.buckets}
@@ -70,14 +70,14 @@ def sql_greedy_calib(cand: str, cfg) -> str:
     cap = " OR ".join(f"(r.bucket = '{n}' AND g.c{j} < {qs[n]})" for j, n in enumerate(names))
     gcols = ", ".join(f"g.c{j}" for j in range(len(names)))
     return f"""
-cr AS MATERIALIZED (SELECT ord, key, bucket, row_number() OVER (ORDER BY ord) AS i FROM {cand}),
-g(i, seen, {cnt}, take, ord) AS (
+cr{tag} AS MATERIALIZED (SELECT ord, key, bucket, row_number() OVER (ORDER BY ord) AS i FROM {cand}),
+g{tag}(i, seen, {cnt}, take, ord) AS (
   SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), {init}, false, CAST(NULL AS VARCHAR)
   UNION ALL
   SELECT q.i, CASE WHEN q.c THEN list_append(q.seen, q.key) ELSE q.seen END, {upd}, q.c, q.ord
   FROM (SELECT g.seen, {gcols}, r.i, r.key, r.bucket, r.ord,
                (NOT list_contains(g.seen, r.key) AND ({cap})) AS c
-        FROM g JOIN cr r ON r.i = g.i + 1) q)"""
+        FROM g{tag} g JOIN cr{tag} r ON r.i = g.i + 1) q)"""
 
 
 # ---------------------------------------------------------------- queries

@@ -59,13 +59,79 @@ def chat_from_turns(conversations: DataFrame, max_messages: int = 12) -> DataFra
 def alpaca_from_documents(documents: DataFrame) -> DataFrame:
     """Instruction rows from documents: line 1 = instruction, line 2 = input on every
     third document with more than two lines, the remaining lines = output."""
-    ls = F.split(F.col("text"), "\n")
-    n = F.size(ls)
-    has_in = ((F.col("doc_id") % 3) == 0) & (n > 2)
-    start = F.when(has_in, F.lit(3)).otherwise(F.lit(2))
-    return documents.select(
+    d = documents.select("doc_id", F.split(F.col("text"), "\n").alias("ls"))
+    d = d.select("doc_id", "ls", (((F.col("doc_id") % 3) == 0) & (F.size("ls") > 2)).alias("has_in"))
+    start = F.when(F.col("has_in"), F.lit(3)).otherwise(F.lit(2))
+    return d.select(
         F.col("doc_id").alias("source_index"),
-        F.get(ls, 0).alias("instruction"),
-        F.when(has_in, F.get(ls, 1)).otherwise(F.lit("")).alias("input"),
-        F.array_join(F.slice(ls, start, F.greatest(n - start + 1, F.lit(0))), "\n").alias("output"),
+        F.get(F.col("ls"), 0).alias("instruction"),
+        F.when(F.col("has_in"), F.get(F.col("ls"), 1)).otherwise(F.lit("")).alias("input"),
+        F.array_join(F.slice("ls", start, F.greatest(F.size("ls") - start + 1, F.lit(0))), "\n").alias("output"),
     )
+
+
+def _words(c):
+    return F.filter(F.split(c, " "), lambda x: x != "")
+
+
+def hellaswag_from_documents(documents: DataFrame) -> DataFrame:
+    """activity = source; ctx_a, ctx_b = lines 1-2; endings = lines 3-6; label = doc_id % 5
+    (4 is out of range for four endings), '' or 'x' every 17th, null every 31st."""
+    d = documents.select("doc_id", "source", F.split(F.col("text"), "\n").alias("ls"))
+    k = F.col("doc_id")
+    label = (F.when(k % 31 == 0, F.lit(None).cast("string"))
+             .when(k % 17 == 0, F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("x")))
+             .otherwise((k % 5).cast("string")))
+    return d.select(k.alias("source_index"), F.col("source").alias("activity_label"),
+                    F.get(F.col("ls"), 0).alias("ctx_a"), F.get(F.col("ls"), 1).alias("ctx_b"),
+                    F.slice("ls", 3, 4).alias("endings"), label.alias("label"))
+
+
+def _arc_rows(key, text):
+    w = F.slice(_words(text), 1, 4)
+    n = F.size(w)
+    labels = (F.when(key % 9 == 0, F.array(*[F.lit(x) for x in "ABBD"]))
+              .when(key % 2 == 0, F.array(*[F.lit(x) for x in "ABCD"]))
+              .otherwise(F.array(*[F.lit(x) for x in "1234"])))
+    labels = F.when(key % 7 == 0, F.transform(labels, lambda x: F.concat(F.lit(" "), x))).otherwise(labels)
+    labels = F.slice(labels, 1, F.when(key % 13 == 0, F.greatest(n - 1, F.lit(0))).otherwise(n))
+    keys = F.array(*[F.lit(x) for x in ["B", "A", "D", "C", "2", "4", "10", "K", "C"]])
+    answer = F.when(key % 11 == 0, F.lit(None).cast("string")).otherwise(F.element_at(keys, (key % 9 + 1).cast("int")))
+    return (key.alias("source_index"), text.alias("question"),
+            F.struct(w.alias("text"), labels.alias("label")).alias("choices"), answer.alias("answerKey"))
+
+
+def arc_from_tables(benchmark: DataFrame, conversations: DataFrame) -> DataFrame:
+    """Questions from benchmark items and user turns; choices = the first four words;
+    labels A-D or 1-4 (a duplicate, padded or short label list now and then)."""
+    b = benchmark.select(*_arc_rows(F.col("item_id"), F.col("text")))
+    u = (conversations.where(F.col("role") == "user")
+         .select((F.lit(1_000_000_000) + F.col("conv_id") * 1000 + F.col("turn")).alias("k"), "text")
+         .select(*_arc_rows(F.col("k"), F.col("text"))))
+    return b.unionByName(u)
+
+
+def winogrande_from_conversations(conversations: DataFrame) -> DataFrame:
+    """sentence = a user turn; options = its first two words; answer cycles '1','2','','3',null."""
+    u = conversations.where(F.col("role") == "user").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("k"), "text")
+    ws = _words(F.col("text"))
+    answers = F.array(F.lit("1"), F.lit("2"), F.lit(""), F.lit("3"), F.lit(None).cast("string"))
+    return u.select(F.col("k").alias("source_index"), F.col("text").alias("sentence"),
+                    F.get(ws, 0).alias("option1"), F.get(ws, 1).alias("option2"),
+                    F.element_at(answers, (F.col("k") % 5 + 1).cast("int")).alias("answer"))
+
+
+def truthfulqa_from_documents(documents: DataFrame) -> DataFrame:
+    """question = line 1; choices = lines 2-6; one label 1 at doc_id % k, a second one
+    every 11th document, one label missing every 13th."""
+    d = documents.select("doc_id", F.split(F.col("text"), "\n").alias("ls"))
+    d = d.select("doc_id", F.get(F.col("ls"), 0).alias("q"), F.slice("ls", 2, 5).alias("ch"))
+    k = F.size("ch")
+    key = F.col("doc_id")
+    labels = F.when(k > 0, F.transform(F.sequence(F.lit(0), k - 1), lambda j: F.when(
+        (j == key % k) | ((key % 11 == 0) & (j == (key + 1) % k)), 1).otherwise(0))
+    ).otherwise(F.array().cast("array<int>"))
+    labels = F.when(key % 13 == 0, F.slice(labels, 1, F.greatest(k - 1, F.lit(0)))).otherwise(labels)
+    return d.select(key.alias("source_index"), F.col("q").alias("question"),
+                    F.struct(F.col("ch").alias("choices"), labels.cast("array<int>").alias("labels")).alias("mc1_targets"))
