@@ -135,3 +135,52 @@ def truthfulqa_from_documents(documents: DataFrame) -> DataFrame:
     labels = F.when(key % 13 == 0, F.slice(labels, 1, F.greatest(k - 1, F.lit(0)))).otherwise(labels)
     return d.select(key.alias("source_index"), F.col("q").alias("question"),
                     F.struct(F.col("ch").alias("choices"), labels.cast("array<int>").alias("labels")).alias("mc1_targets"))
+
+
+# Markers the teacher fixture splices into its texts, by key % 7.
+TEACHER_MARKERS = ["<|eot_id|>", "user\n", "### Response:", "<|start_header_id|>", "assistant\n", " ### ", "\n\n  \n"]
+
+
+def teacher_from_documents(prompts: DataFrame, documents: DataFrame) -> DataFrame:
+    """Generations ``(id, text)`` for prompt rows ``(id, source_index, turn_index)``:
+    document ``source_index * 10 + turn_index``'s first two lines with a marker
+    between them; null text every 19th key; no row when the document is absent."""
+    p = prompts.select("id", (F.col("source_index") * 10 + F.col("turn_index")).alias("k"))
+    d = documents.select(F.col("doc_id").alias("k"), F.split(F.col("text"), "\n").alias("ls"))
+    marks = F.array(*[F.lit(m) for m in TEACHER_MARKERS])
+    text = F.concat(F.get(F.col("ls"), 0), F.element_at(marks, (F.col("k") % 7 + 1).cast("int")), F.lit("\n"),
+                    F.coalesce(F.get(F.col("ls"), 1), F.lit("")))
+    return p.join(d, "k").select("id", F.when(F.col("k") % 19 == 0, F.lit(None).cast("string"))
+                                 .otherwise(text).alias("text"))
+
+
+# Model names of the prediction fixture and each letter's token ids.
+PRED_MODELS = ["base", "sft", "kd"]
+PRED_TASKS = ["hellaswag", "arc_challenge", "winogrande", "truthfulqa_mc"]
+LETTER_IDS = [[0, 10], [1, 11], [2], [], [4, 14]]
+
+
+def predictions_from_embeddings(embeddings: DataFrame, quantize: bool = False) -> DataFrame:
+    """Predictions ``(model, task, id, answer_idx, num_choices, text, logprobs)``:
+    three models = the vector rotated by 0/7/14; logprobs = its 20 largest
+    components (index -> value); no output every 23rd vector. ``quantize`` rounds
+    the values down to quarter steps first (the post-quantisation side)."""
+    e = embeddings
+    k = (F.lit(2) + F.col("vec_id") % 4).cast("int")
+    tasks = F.array(*[F.lit(t) for t in PRED_TASKS])
+    out = None
+    for r, name in enumerate(PRED_MODELS):
+        v = F.col("embedding")
+        rot = F.transform(v, lambda x, j: F.get(v, (j + 7 * r) % F.size(v)).cast("double"))
+        if quantize:
+            rot = F.transform(rot, lambda x: F.floor(x * 4) / 4)
+        top = F.slice(F.sort_array(F.transform(rot, lambda x, j: F.struct(x.alias("v"), j.alias("t"))), False), 1, 20)
+        lp = F.map_from_entries(F.transform(top, lambda s: F.struct(s["t"].alias("key"), s["v"].alias("value"))))
+        none = F.col("vec_id") % 23 == 0
+        part = e.select(
+            F.lit(name).alias("model"), F.element_at(tasks, (F.col("vec_id") % 4 + 1).cast("int")).alias("task"),
+            "vec_id", (F.col("label") % k).cast("int").alias("answer_idx"), k.alias("num_choices"),
+            F.when(none, F.lit(None).cast("string")).otherwise(F.char(F.lit(65) + (F.col("vec_id") + r) % 6)).alias("text"),
+            F.when(none, F.lit(None)).otherwise(lp).alias("logprobs"))
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("id", F.sha1(F.concat("task", F.lit("|||"), F.col("vec_id").cast("string"))))
