@@ -29,8 +29,9 @@ def pretokens(c) -> Column:
 
 
 def token_ids(c) -> Column:
-    """Stable stub ids: per pre-token ``length * 1_000_000 + code point of its first char``."""
-    return F.transform(pretokens(c), lambda t: (F.length(t) * F.lit(1_000_000) + F.ascii(t)).cast("int"))
+    """Stable stub ids per pre-token: ``(length % 1000) * 1e6 + (first code point % 1e6)``."""
+    return F.transform(pretokens(c), lambda t: ((F.length(t) % 1000) * F.lit(1_000_000)
+                                                 + F.ascii(t) % 1_000_000).cast("int"))
 
 
 def tokenizer_udf(make_encoder: Callable[[], Callable[[str], list[int]]]):
