@@ -57,3 +57,25 @@ def nm_sparsity(weights: DataFrame, tensor: str = "tensor", values: str = "value
             .agg(F.sum("ok").cast("long").alias("ok_groups"), F.sum("groups").cast("long").alias("groups"))
             .withColumn("ratio", F.when(F.col("groups") > 0, F.col("ok_groups") / F.col("groups"))
                         .otherwise(F.lit(0.0))))
+
+
+def target_tensors(audit: DataFrame, targets, ignore, tensor: str = "tensor") -> DataFrame:
+    """Tensors whose name ends with a target projection and not with an ignored one."""
+    t = F.col(tensor)
+    hit = F.lit(False)
+    for s in targets:
+        hit = hit | t.endswith(s)
+    for s in ignore:
+        hit = hit & ~t.endswith(s)
+    return audit.where(hit)
+
+
+def nm_sparsity_sample(audit: DataFrame, k: int, seed: int = 0, tensor: str = "tensor") -> DataFrame:
+    """Seeded random ``k`` tensors among those with a positive ratio, plus their mean
+    ratio (null when none qualifies)."""
+    from corpusloom.functions.ids import order_key
+    from corpusloom.operators.sample import take_first_n
+
+    c = audit.where(F.col("ratio") > 0).withColumn("ord", order_key(seed, "layers", tensor))
+    picked = take_first_n(c, k, "ord")
+    return picked.withColumn("sample_mean", picked.agg(F.avg("ratio")).scalar())

@@ -184,3 +184,20 @@ def predictions_from_embeddings(embeddings: DataFrame, quantize: bool = False) -
             F.when(none, F.lit(None)).otherwise(lp).alias("logprobs"))
         out = part if out is None else out.unionByName(part)
     return out.withColumn("id", F.sha1(F.concat("task", F.lit("|||"), F.col("vec_id").cast("string"))))
+
+
+# Projection names given to the ten embedding labels of the weights fixture.
+WEIGHT_NAMES = ["q_proj", "k_proj", "v_proj", "o_proj", "gate_proj", "up_proj", "down_proj",
+                "lm_head", "embed_tokens", "norm"]
+
+
+def weights_from_embeddings(embeddings: DataFrame, zero_below: float = 0.08) -> DataFrame:
+    """Weight rows ``(tensor, row_idx, values)``: components with |x| < 0.08 set to 0;
+    one tensor per label, named ``layers.<label>.<projection>``."""
+    names = F.array(*[F.lit(n) for n in WEIGHT_NAMES])
+    return embeddings.select(
+        F.concat(F.lit("layers."), F.col("label").cast("string"), F.lit("."),
+                 F.element_at(names, (F.col("label") % 10 + 1).cast("int"))).alias("tensor"),
+        F.col("vec_id").alias("row_idx"),
+        F.transform("embedding", lambda x: F.when(F.abs(x) < F.lit(zero_below), F.lit(0.0).cast("float"))
+                    .otherwise(x)).alias("values"))
