@@ -7,6 +7,7 @@ calibration = gate -> length bucket -> bucketed quota sample (shared seen set).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,33 @@ def bucket_of(cfg: SetConfig, total: str = "total_tokens") -> Column:
     return e
 
 
+NARROW = ("id", "source_index", "turn_index", "ord", "dup_key", "prompt_tokens", "target_tokens", "total_tokens",
+          "has_input", "num_messages")
+
+
+def narrow(records: DataFrame, persist: bool = True) -> DataFrame:
+    """The selection columns of a records table, persisted once.
+
+    Every selection (SFT first-N, each calibration round, the thresholds) reads
+    this table instead of re-tokenising the texts; the persisted relation is also
+    where length filters stop, so they never run inside the scan. Wide rows
+    come back by ``ord`` only for the selected rows (:func:`attach`).
+    """
+    n = records.select(*[c for c in NARROW if c in records.columns])
+    return n.persist(StorageLevel.MEMORY_AND_DISK) if persist else n
+
+
+def attach(selected: DataFrame, records: DataFrame, bound: int | None = None,
+           broadcast_limit: int = 1_000_000) -> DataFrame:
+    """Wide rows of the selected ``ord`` values. The selection is broadcast only
+    when its size is bounded by a quota known to be small; otherwise a shuffle
+    semi join is used."""
+    keys = selected.select("ord")
+    if bound is not None and bound <= broadcast_limit:
+        keys = F.broadcast(keys)
+    return records.join(keys, "ord", "left_semi")
+
+
 def sft_candidates(records: DataFrame, cfg: SetConfig) -> DataFrame:
     return records.where(gate(cfg.sft_gate))
 
@@ -49,7 +77,7 @@ def sft_sample(records: DataFrame, cfg: SetConfig, n: int | None = None) -> Data
 def calib_sample(records: DataFrame, cfg: SetConfig) -> DataFrame:
     """Bucketed quota sample with one dedup set across buckets."""
     quotas = {b.name: b.target for b in cfg.buckets}
-    return quota_sample(calib_candidates(records, cfg), "dup_key", "bucket", quotas)
+    return quota_sample(calib_candidates(records, cfg), "dup_key", "bucket", quotas, persist=False)
 
 
 def output_order(df: DataFrame, cfg: SetConfig, stage: str) -> DataFrame:

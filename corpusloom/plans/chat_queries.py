@@ -21,6 +21,10 @@ def v2_records(spark, sf_dir, cfg=V2):
     return chat_records(chat_from_turns(table(spark, sf_dir, "conversations"), cfg.max_messages), cfg)
 
 
+def v2_narrow(spark, sf_dir, cfg=V2):
+    return S.narrow(v2_records(spark, sf_dir, cfg))
+
+
 # ---------------------------------------------------------------- SQL (oracle side)
 def sql_chat_arrays(k: int) -> str:
     return f"""
@@ -128,7 +132,7 @@ def chat_records_q(spark, sf_dir):
 @query("sft_accept_v2", sql=f"""WITH {sql_chat_records()}
 SELECT id, source_index, turn_index, total_tokens, target_tokens FROM rec WHERE {sql_gate(V2.sft_gate)}""")
 def sft_accept_v2(spark, sf_dir):
-    return S.sft_candidates(v2_records(spark, sf_dir), V2).select(
+    return S.sft_candidates(v2_narrow(spark, sf_dir), V2).select(
         "id", "source_index", "turn_index", "total_tokens", "target_tokens")
 
 
@@ -137,7 +141,7 @@ c AS (SELECT * FROM rec WHERE {sql_gate(V2.sft_gate)}
       QUALIFY row_number() OVER (PARTITION BY dup_key ORDER BY ord) = 1)
 SELECT id, source_index, turn_index, dup_key, ord FROM c ORDER BY ord LIMIT {V2_TEST.n_sft}""")
 def sft_sample_v2(spark, sf_dir):
-    return S.sft_sample(v2_records(spark, sf_dir, V2_TEST), V2_TEST).select(
+    return S.sft_sample(v2_narrow(spark, sf_dir, V2_TEST), V2_TEST).select(
         "id", "source_index", "turn_index", "dup_key", "ord")
 
 
@@ -147,4 +151,4 @@ cand AS (SELECT ord, dup_key AS key, {sql_bucket(V2)} AS bucket, id FROM rec
 {sql_greedy_calib('cand', V2_TEST)}
 SELECT cand.id, cand.bucket, cand.ord FROM g JOIN cand ON g.ord = cand.ord WHERE g.take""")
 def calib_sample_v2(spark, sf_dir):
-    return S.calib_sample(v2_records(spark, sf_dir, V2_TEST), V2_TEST).select("id", "bucket", "ord")
+    return S.calib_sample(v2_narrow(spark, sf_dir, V2_TEST), V2_TEST).select("id", "bucket", "ord")

@@ -10,7 +10,7 @@ from corpusloom.operators.instruct import PROMPT_NO_INPUT, PROMPT_WITH_INPUT, in
 from corpusloom.operators.profile import bucket_counts, length_summary
 from corpusloom.plans import sqlkit as Q
 from corpusloom.plans.chat_queries import (V2_TEST, sql_bucket, sql_chat_records, sql_gate, sql_greedy_calib,
-                                           v2_records)
+                                           v2_narrow, v2_records)
 from corpusloom.plans.registry import query
 from corpusloom.sources.fixtures import alpaca_from_documents, table
 
@@ -22,6 +22,10 @@ def v1_records(spark, sf_dir, cfg=V1):
     return instruct_records(alpaca_from_documents(table(spark, sf_dir, "documents")), cfg)
 
 
+def v1_narrow(spark, sf_dir, cfg=V1):
+    return S.narrow(v1_records(spark, sf_dir, cfg))
+
+
 def sql_fill(template: str, **exprs) -> str:
     out, rest = [], template
     while "{" in rest:
@@ -97,7 +101,7 @@ def dedup_keys(spark, sf_dir):
 @query("sft_accept_v1", sql=f"""WITH {sql_alpaca_records()}
 SELECT id, source_index, total_tokens, target_tokens, has_input FROM arec WHERE {sql_gate(V1.sft_gate)}""")
 def sft_accept_v1(spark, sf_dir):
-    return S.sft_candidates(v1_records(spark, sf_dir), V1).select(
+    return S.sft_candidates(v1_narrow(spark, sf_dir), V1).select(
         "id", "source_index", "total_tokens", "target_tokens", "has_input")
 
 
@@ -108,9 +112,9 @@ UNION ALL
 SELECT 'v2', source_index, turn_index, {sql_bucket(V2)} FROM rec
  WHERE {sql_gate(V2.calib_gate)} AND {sql_bucket(V2)} IS NOT NULL""")
 def calib_buckets(spark, sf_dir):
-    a = S.calib_candidates(v1_records(spark, sf_dir), V1).select(
+    a = S.calib_candidates(v1_narrow(spark, sf_dir), V1).select(
         F.lit("v1").alias("version"), "source_index", F.lit(-1).alias("turn_index"), "bucket")
-    b = S.calib_candidates(v2_records(spark, sf_dir), V2).select(
+    b = S.calib_candidates(v2_narrow(spark, sf_dir), V2).select(
         F.lit("v2").alias("version"), "source_index", "turn_index", "bucket")
     return a.unionByName(b)
 
@@ -135,7 +139,7 @@ c AS (SELECT * FROM arec WHERE {sql_gate(V1.sft_gate)}
       QUALIFY row_number() OVER (PARTITION BY dup_key ORDER BY ord) = 1)
 SELECT id, source_index, dup_key, total_tokens, target_tokens FROM c ORDER BY ord LIMIT {V1_TEST.n_sft}""")
 def sft_sample_v1(spark, sf_dir):
-    return S.sft_sample(v1_records(spark, sf_dir, V1_TEST), V1_TEST).select(
+    return S.sft_sample(v1_narrow(spark, sf_dir, V1_TEST), V1_TEST).select(
         "id", "source_index", "dup_key", "total_tokens", "target_tokens")
 
 
@@ -149,7 +153,7 @@ SQL_CALIB_V2_CAND = f"""cand2 AS (SELECT ord, dup_key AS key, {sql_bucket(V2)} A
 {sql_greedy_calib('cand1', V1_TEST, '1')}
 SELECT cand1.id, cand1.bucket, cand1.ord FROM g1 JOIN cand1 ON g1.ord = cand1.ord WHERE g1.take""")
 def calib_sample_v1(spark, sf_dir):
-    return S.calib_sample(v1_records(spark, sf_dir, V1_TEST), V1_TEST).select("id", "bucket", "ord")
+    return S.calib_sample(v1_narrow(spark, sf_dir, V1_TEST), V1_TEST).select("id", "bucket", "ord")
 
 
 def _pct_sql(src: str, name: str) -> str:
@@ -175,8 +179,8 @@ c2 AS (SELECT cand2.* FROM g2 JOIN cand2 ON g2.ord = cand2.ord WHERE g2.take)
 {_pct_sql('s1', 'sft_v1')} UNION ALL {_pct_sql('s2', 'sft_v2')} UNION ALL
 {_pct_sql('c1', 'calib_v1')} UNION ALL {_pct_sql('c2', 'calib_v2')}""")
 def length_summary_q(spark, sf_dir):
-    r1 = v1_records(spark, sf_dir, V1_TEST)
-    r2 = v2_records(spark, sf_dir, V2_TEST)
+    r1 = v1_narrow(spark, sf_dir, V1_TEST)
+    r2 = v2_narrow(spark, sf_dir, V2_TEST)
     cols = ["total_tokens", "target_tokens"]
     sets = [
         r1.select(F.lit("records_v1").alias("set"), *cols),

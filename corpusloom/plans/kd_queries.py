@@ -20,7 +20,8 @@ KD_TEST = DistillConfig(n_kd=100)
 
 def sft_rows(spark, sf_dir):
     """The chat SFT set with the reference's own size (30,000; all rows at test scale)."""
-    return S.sft_sample(v2_records(spark, sf_dir), V2)
+    recs = v2_records(spark, sf_dir)
+    return S.attach(S.sft_sample(S.narrow(recs), V2), recs, bound=V2.n_sft)
 
 
 def prompts(spark, sf_dir):

@@ -96,7 +96,8 @@ def train_batches(spark, sf_dir):
 
 def calib_rows(spark, sf_dir):
     """The chat calibration set with the reference's quotas (300/500/200)."""
-    return S.calib_sample(v2_records(spark, sf_dir), V2)
+    recs = v2_records(spark, sf_dir)
+    return S.attach(S.calib_sample(S.narrow(recs), V2), recs, bound=V2.n_calib)
 
 
 SQL_CALIB = f"""{sql_chat_records()},
