@@ -3,6 +3,7 @@ record assembly and reject counts."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from corpusloom.functions import chat as C
 from corpusloom.functions.ids import order_key
 from corpusloom.functions.text import clean_lines, normalize, prefix, strip, words
 from corpusloom.functions.tokens import count_tokens
-from corpusloom.operators.sample import first_per_key, take_first_n
+from corpusloom.operators.sample import first_n_per_key, materialize_bounded
 
 KD = DistillConfig()
 
@@ -41,16 +42,19 @@ def kd_source(sft_rows: DataFrame, cfg: DistillConfig = KD, template=C.DEFAULT_T
 
 def kd_prompts(sft_rows: DataFrame, cfg: DistillConfig = KD, n: int | None = None) -> DataFrame:
     """First ``n`` distinct prompts in seeded order (the quota may stay unfilled)."""
-    return take_first_n(first_per_key(kd_source(sft_rows, cfg), "dup_key"), cfg.n_kd if n is None else n)
+    n = cfg.n_kd if n is None else n
+    # at most n rows: safe to keep for the generation, judge and record stages
+    return materialize_bounded(first_n_per_key(kd_source(sft_rows, cfg), n, "dup_key"))
 
 
 def clean_teacher_text(c, markers=KD.markers) -> Column:
     """Strip; cut at the first occurrence of each marker in turn (re-stripping);
     strip every line, drop empty ones."""
-    out = strip(c)
-    for m in markers:
-        out = strip(F.substring_index(out, m, 1))
-    return strip(clean_lines(out))
+    # one fold over the marker list: a single expression node however often the
+    # cleaned text is referenced downstream (a nested chain would be inlined)
+    cut = F.aggregate(F.array(*[F.lit(m) for m in markers]), strip(c),
+                      lambda acc, m: strip(F.call_function("substring_index", acc, m, F.lit(1))))
+    return strip(clean_lines(cut))
 
 
 def repetitive_from_counts(n_words, n_distinct, min_words: int = KD.repetition_min_words,
@@ -85,7 +89,10 @@ def judge(prompts: DataFrame, generations: DataFrame, cfg: DistillConfig = KD) -
     j = prompts.join(g, "id", "left")
     cleaned = F.when(F.col("_raw").isNotNull(), clean_teacher_text(F.col("_raw"), cfg.markers))
     j = j.withColumn("teacher_target", cleaned)
-    return j.withColumn("reason", reject_reason("teacher_target", cfg)).drop("_raw")
+    j = j.withColumn("reason", reject_reason("teacher_target", cfg)).drop("_raw")
+    # one row per selected prompt (quota-bounded): keep it, so that filters on
+    # the verdict are not pushed into the generations' source scan
+    return materialize_bounded(j)
 
 
 def kd_records(judged: DataFrame, cfg: DistillConfig = KD) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,20 +25,101 @@ def first_per_key(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+HEX_SPAN = 16 ** 8
+
+
+def materialize_bounded(df: DataFrame) -> DataFrame:
+    """Persist a result whose size is bounded by a quota and fill the cache now,
+    so every later stage (and every later threshold job) reads it instead of
+    re-running its lineage. Lost blocks are recomputed from lineage."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
+
+def order_cut(frac: float) -> str | None:
+    """String cut below which a fraction ``frac`` of sha1-hex order keys fall
+    (None = no cut). Used only to shrink work; results never depend on it."""
+    v = int(frac * HEX_SPAN)
+    return None if v >= HEX_SPAN else f"{v:08x}"
+
+
+def order_histogram(df: DataFrame, order: str = "ord", prefix_len: int = 4) -> list[tuple[str, int]]:
+    """Row counts per order-key prefix, sorted (at most 16**prefix_len rows for hex keys)."""
+    p = F.substring(F.col(order), 1, prefix_len)
+    return sorted((r["p"], r["c"]) for r in df.groupBy(p.alias("p")).agg(F.count("*").alias("c")).collect())
+
+
+def kth_order_value(df: DataFrame, k: int, order: str = "ord", prefix_len: int = 4, hist=None):
+    """Exact k-th smallest value of a unique string order column (None when the
+    table has fewer than ``k`` rows), without funnelling k rows per partition
+    into one task: a prefix histogram locates the block holding the k-th value,
+    and only that block goes through TakeOrdered."""
+    if k <= 0:
+        return ""
+    hist = order_histogram(df, order, prefix_len) if hist is None else hist
+    before = 0
+    for pref, c in hist:
+        if before + c >= k:
+            block = df.where(F.substring(F.col(order), 1, prefix_len) == F.lit(pref)).select(order)
+            return block.orderBy(F.col(order).asc()).limit(k - before).agg(F.max(order)).first()[0]
+        before += c
+    return None
+
+
 def nth_order_value(df: DataFrame, n: int, order: str = "ord") -> Column:
-    """Scalar subquery: the ``n``-th smallest ``order`` value (max of the first n)."""
+    """Lazy variant: scalar subquery for the ``n``-th smallest order value."""
     return df.select(order).orderBy(F.col(order).asc()).limit(n).agg(F.max(order)).scalar()
 
 
 def take_first_n(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
     """First ``n`` rows by ``order`` (unique). Keeps all rows when there are fewer.
 
-    The threshold is a TakeOrdered over the order column only; the wide rows
-    are then filtered by it, so no text moves through a single task.
+    The threshold comes from :func:`kth_order_value` over the order column
+    only; the wide rows are then filtered by it.
     """
     if n <= 0:
         return df.limit(0)
-    return df.where(F.col(order) <= nth_order_value(df, n, order))
+    t = kth_order_value(df.select(order), n, order)
+    return df if t is None else df.where(F.col(order) <= F.lit(t))
+
+
+def _semi(df: DataFrame, chosen: DataFrame, order: str, bound: int | None, broadcast_limit: int = 1_000_000):
+    keys = chosen.select(order)
+    if bound is not None and bound <= broadcast_limit:
+        keys = F.broadcast(keys)   # size bounded by the quota
+    return df.join(keys, order, "left_semi")
+
+
+def first_n_per_key(df: DataFrame, n: int, key: str, order: str = "ord", persist: bool = True) -> DataFrame:
+    """Scan in ``order``, take a row if its ``key`` is new, stop after ``n`` rows.
+
+    Equals ``take_first_n(first_per_key(df))`` but only dedups a prefix of the
+    order: with a uniform order key, the rows below a cut covering ~n rows are
+    enough once they hold ``n`` distinct keys (every key's first row below the
+    cut is its global first row, and all of them precede any row past the cut).
+    The cut grows until that holds, ending at the whole table; the dedup shuffle
+    therefore moves about ``n`` rows instead of the table.
+    """
+    if n <= 0:
+        return df.limit(0)
+    narrow = df.select(order, key)
+    if persist:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    total = narrow.count()
+    frac = min(1.0, (2.0 * n + 256) / max(total, 1))
+    while True:
+        cut = order_cut(frac)
+        sub = narrow if cut is None else narrow.where(F.col(order) < F.lit(cut))
+        firsts = first_per_key(sub, key, order).select(order).persist(StorageLevel.MEMORY_AND_DISK)
+        hist = order_histogram(firsts, order)
+        if cut is None or sum(c for _, c in hist) >= n:
+            break
+        firsts.unpersist()
+        frac = min(1.0, frac * 4)
+    t = kth_order_value(firsts, n, order, hist=hist)
+    chosen = firsts if t is None else firsts.where(F.col(order) <= F.lit(t))
+    return _semi(df, chosen, order, n)
 
 
 def take_first_n_per_group(df: DataFrame, group: str, n: int | None, order: str = "ord") -> DataFrame:
@@ -52,6 +134,27 @@ def take_first_n_per_group(df: DataFrame, group: str, n: int | None, order: str
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def _closing_rounds(live: DataFrame, key: str, bucket: str, quotas: dict[str, int], order: str):
+    """Closing rounds on ``live``: returns (filter keeping takeable rows, closed buckets)."""
+    cuts: dict[str, str] = {}
+    cond = F.lit(True)
+    for _ in range(len(quotas) + 1):
+        first = first_per_key(live.where(cond), key, order)
+        parts = None
+        for b in [b for b in quotas if b not in cuts]:
+            top = (first.where(F.col(bucket) == b).select(order).orderBy(F.col(order).asc())
+                   .limit(quotas[b]).agg(F.lit(b).alias("b"), F.count("*").alias("n"),
+                                         F.max(order).alias("cut")))
+            parts = top if parts is None else parts.unionByName(top)
+        full = [] if parts is None else [r for r in parts.collect() if r["n"] >= quotas[r["b"]]]
+        if not full:
+            break
+        win = min(full, key=lambda r: r["cut"])
+        cuts[win["b"]] = win["cut"]
+        cond = cond & ~((F.col(bucket) == win["b"]) & (F.col(order) > win["cut"]))
+    return cond, set(cuts)
+
+
 def quota_sample(df: DataFrame, key: str, bucket: str, quotas: dict[str, int],
                  order: str = "ord", persist: bool = True) -> DataFrame:
     """Greedy scan with per-bucket quotas and one shared ``seen`` set, done exactly.
@@ -65,30 +168,32 @@ def quota_sample(df: DataFrame, key: str, bucket: str, quotas: dict[str, int],
     rows of that bucket (they can neither be taken nor mark a key), dedup again.
     Each round closes one bucket, so there are at most ``len(quotas) + 1``
     rounds, each returning one small row per bucket to the driver.
+
+    Early exit: the greedy decisions on a prefix of the order are those of the
+    full scan, and once every bucket is full nothing later is taken. So the
+    rounds first run on an order prefix sized from the bucket counts, and the
+    prefix grows only if some bucket is still open at its end.
     """
-    active = [b for b, q in quotas.items() if q > 0]
-    live = df.select(order, key, bucket).where(F.col(bucket).isin(*active))
+    active = {b: q for b, q in quotas.items() if q > 0}
+    narrow = df.select(order, key, bucket).where(F.col(bucket).isin(*active))
     if persist:
-        live = live.persist()
-    cuts: dict[str, str] = {}
-    cond = F.col(bucket).isin(*active)
-    for _ in range(len(quotas) + 1):
-        cur = live.where(cond)
-        first = first_per_key(cur, key, order)
-        open_b = [b for b in active if b not in cuts]
-        parts = None
-        for b in open_b:
-            top = (first.where(F.col(bucket) == b).select(order).orderBy(F.col(order).asc())
-                   .limit(quotas[b]).agg(F.lit(b).alias("b"), F.count("*").alias("n"),
-                                         F.max(order).alias("cut")))
-            parts = top if parts is None else parts.unionByName(top)
-        full = [] if parts is None else [r for r in parts.collect() if r["n"] >= quotas[r["b"]]]
-        if not full:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = {r[bucket]: r["c"] for r in narrow.groupBy(bucket).agg(F.count("*").alias("c")).collect()}
+    if not active:
+        return df.limit(0)
+    if any(counts.get(b, 0) < q for b, q in active.items()):
+        frac = 1.0
+    else:
+        frac = min(1.0, max((2.0 * q + 64) / counts[b] for b, q in active.items()))
+    while True:
+        cut = order_cut(frac)
+        live = narrow if cut is None else narrow.where(F.col(order) < F.lit(cut))
+        cond, closed = _closing_rounds(live, key, bucket, active, order)
+        if cut is None or len(closed) == len(active):
             break
-        win = min(full, key=lambda r: r["cut"])
-        cuts[win["b"]] = win["cut"]
-        cond = cond & ~((F.col(bucket) == win["b"]) & (F.col(order) > win["cut"]))
-    return first_per_key(df.where(cond), key, order)
+        frac = min(1.0, frac * 4)
+    chosen = first_per_key(live.where(cond), key, order).select(order)
+    return _semi(df, chosen, order, sum(active.values()))
 
 
 def split_train_eval(df: DataFrame, ratio: float, order: str = "ord") -> DataFrame:
@@ -99,8 +204,10 @@ def split_train_eval(df: DataFrame, ratio: float, order: str = "ord") -> DataFra
     k = math.ceil(ratio * n)
     if k <= 0:
         return df.withColumn("split", F.lit("train"))
-    cut = nth_order_value(df, k, order)
-    return df.withColumn("split", F.when(F.col(order) <= cut, F.lit("eval")).otherwise(F.lit("train")))
+    cut = kth_order_value(df.select(order), k, order)
+    if cut is None:
+        return df.withColumn("split", F.lit("eval"))
+    return df.withColumn("split", F.when(F.col(order) <= F.lit(cut), F.lit("eval")).otherwise(F.lit("train")))
 
 
 def global_index(df: DataFrame, order: str = "ord", partitions: int | None = None,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import LengthGate, SetConfig
 from corpusloom.functions.ids import order_key
-from corpusloom.operators.sample import first_per_key, quota_sample, take_first_n
+from corpusloom.operators.sample import first_n_per_key, materialize_bounded, quota_sample
 
 
 def gate(g: LengthGate, total: str = "total_tokens", target: str = "target_tokens") -> Column:
@@ -51,10 +51,11 @@ def attach(selected: DataFrame, records: DataFrame, bound: int | None = None,
            broadcast_limit: int = 1_000_000) -> DataFrame:
     """Wide rows of the selected ``ord`` values. The selection is broadcast only
     when its size is bounded by a quota known to be small; otherwise a shuffle
-    semi join is used."""
+    semi join is used. A quota-bounded result is persisted: it feeds several
+    downstream stages and never exceeds ``bound`` rows."""
     keys = selected.select("ord")
     if bound is not None and bound <= broadcast_limit:
-        keys = F.broadcast(keys)
+        return materialize_bounded(records.join(F.broadcast(keys), "ord", "left_semi"))
     return records.join(keys, "ord", "left_semi")
 
 
@@ -71,7 +72,7 @@ def calib_candidates(records: DataFrame, cfg: SetConfig) -> DataFrame:
 def sft_sample(records: DataFrame, cfg: SetConfig, n: int | None = None) -> DataFrame:
     """Filtered dedup sample: gate -> first per dedup key -> first ``n`` by scan order."""
     n = cfg.n_sft if n is None else n
-    return take_first_n(first_per_key(sft_candidates(records, cfg), "dup_key"), n)
+    return first_n_per_key(sft_candidates(records, cfg), n, "dup_key")
 
 
 def calib_sample(records: DataFrame, cfg: SetConfig) -> DataFrame:
