@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +41,6 @@ def tokenizer_udf(make_encoder: Callable[[], Callable[[str], list[int]]]):
     ``make_encoder`` is called once per Python worker (cached), so a heavy
     tokenizer is loaded once and reused across batches.
     """
-    import pandas as pd
-
     cache: dict = {}
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))

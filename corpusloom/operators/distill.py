@@ -44,7 +44,10 @@ def kd_prompts(sft_rows: DataFrame, cfg: DistillConfig = KD, n: int | None = Non
     """First ``n`` distinct prompts in seeded order (the quota may stay unfilled)."""
     n = cfg.n_kd if n is None else n
     # at most n rows: safe to keep for the generation, judge and record stages
-    return materialize_bounded(first_n_per_key(kd_source(sft_rows, cfg), n, "dup_key"))
+    out = materialize_bounded(first_n_per_key(kd_source(sft_rows, cfg), n, "dup_key"))
+    if out.isEmpty():
+        raise RuntimeError("No valid KD prompts collected.")
+    return out
 
 
 def clean_teacher_text(c, markers=KD.markers) -> Column:

@@ -232,3 +232,8 @@ def global_index(df: DataFrame, order: str = "ord", partitions: int | None = Non
     return (numbered.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local"))
             .drop("_pid", "_local", "_off"))
+
+
+def check_disjoint(a: DataFrame, b: DataFrame, key: str = "id") -> int:
+    """Hold-out property: number of ``b`` keys also in ``a`` (a semi join count; 0 expected)."""
+    return b.select(key).join(a.select(key), key, "left_semi").count()

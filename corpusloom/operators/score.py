@@ -62,6 +62,12 @@ def metrics(preds: DataFrame, overall: str | None = EVAL.overall_name) -> DataFr
         "unknown", (F.col("unknown") / F.greatest(F.col("n"), F.lit(1))).alias("unknown_rate"))
 
 
+def order_metrics(m: DataFrame, order=EVAL.dataset_order) -> DataFrame:
+    """Display order: datasets in the fixed order (others last), then model."""
+    pos = F.array_position(F.array(*[F.lit(d) for d in order]), F.col("dataset"))
+    return m.orderBy(F.when(pos > 0, pos).otherwise(F.lit(len(order) + 1)), "dataset", "model")
+
+
 def model_name(path) -> Column:
     """Basename of a model path (trailing '/' removed)."""
     p = F.col(path) if isinstance(path, str) else path

@@ -12,6 +12,7 @@ from corpusloom.sources.fixtures import LETTER_IDS, PRED_MODELS, PRED_TASKS, pre
 
 def preds(spark, sf_dir, quantize=False):
     p = predictions_from_embeddings(table(spark, sf_dir, "embeddings"), quantize)
+    p = p.withColumn("model", SC.model_name("model_path")).drop("model_path")
     return p.withColumn("pred_idx", SC.predict(p, LETTER_IDS))
 
 
@@ -23,7 +24,8 @@ def sql_preds(quantize: bool, tag: str) -> str:
         "CAST(v[(j + 7 * {r}) % len(v) + 1] AS DOUBLE)"
     parts = []
     for r, name in enumerate(PRED_MODELS):
-        parts.append(f"""SELECT '{name}' AS model, {tasks}[vec_id % 4 + 1] AS task, vec_id,
+        parts.append(f"""SELECT regexp_extract(regexp_replace('/models/{name}-merged/{name}/', '/+$', ''), '[^/]*$')
+            AS model, {tasks}[vec_id % 4 + 1] AS task, vec_id,
             CAST(label % (2 + vec_id % 4) AS INTEGER) AS answer_idx, CAST(2 + vec_id % 4 AS INTEGER) AS k,
             CASE WHEN vec_id % 23 = 0 THEN NULL ELSE chr(CAST(65 + (vec_id + {r}) % 6 AS INTEGER)) END AS text,
             CASE WHEN vec_id % 23 = 0 THEN NULL ELSE list_slice(list_sort(list_transform(
@@ -73,7 +75,7 @@ def eval_metrics(spark, sf_dir):
 
 @query("eval_metrics_overall", sql=f"WITH {sql_preds(False, '')}, {sql_metrics('', True)}\nSELECT * FROM mm")
 def eval_metrics_overall(spark, sf_dir):
-    return SC.metrics(preds(spark, sf_dir))
+    return SC.order_metrics(SC.metrics(preds(spark, sf_dir)))
 
 
 ORDER = "[" + ", ".join(f"'{d}'" for d in SC.EVAL.dataset_order) + "]"

@@ -175,8 +175,8 @@ LETTER_IDS = [[0, 10], [1, 11], [2], [], [4, 14]]
 
 
 def predictions_from_embeddings(embeddings: DataFrame, quantize: bool = False) -> DataFrame:
-    """Predictions ``(model, task, id, answer_idx, num_choices, text, logprobs)``:
-    three models = the vector rotated by 0/7/14; logprobs = its 20 largest
+    """Predictions ``(model_path, task, id, answer_idx, num_choices, text, logprobs)``:
+    three models (given by checkpoint paths) = the vector rotated by 0/7/14; logprobs = its 20 largest
     components (index -> value); no output every 23rd vector. ``quantize`` rounds
     the values down to quarter steps first (the post-quantisation side)."""
     e = embeddings
@@ -192,7 +192,7 @@ def predictions_from_embeddings(embeddings: DataFrame, quantize: bool = False) -
         lp = F.map_from_entries(F.transform(top, lambda s: F.struct(s["t"].alias("key"), s["v"].alias("value"))))
         none = F.col("vec_id") % 23 == 0
         part = e.select(
-            F.lit(name).alias("model"), F.element_at(tasks, (F.col("vec_id") % 4 + 1).cast("int")).alias("task"),
+            F.lit(f"/models/{name}-merged/{name}/").alias("model_path"), F.element_at(tasks, (F.col("vec_id") % 4 + 1).cast("int")).alias("task"),
             "vec_id", (F.col("label") % k).cast("int").alias("answer_idx"), k.alias("num_choices"),
             F.when(none, F.lit(None).cast("string")).otherwise(F.char(F.lit(65) + (F.col("vec_id") + r) % 6)).alias("text"),
             F.when(none, F.lit(None)).otherwise(lp).alias("logprobs"))
