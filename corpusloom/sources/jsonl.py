@@ -60,3 +60,28 @@ def record_run(spark: SparkSession, runs_path: str, stage: str, params: dict, co
     df = spark.createDataFrame(row, "stage string, params string, counts string, ts string")
     df.write.mode("append").parquet(runs_path)
     return spark.read.parquet(runs_path)
+
+
+def read_chat_jsonl_untrusted(spark: SparkSession, path) -> DataFrame:
+    """Chat JSONL whose field types are not guaranteed: ``(source_index, id, messages)``.
+
+    Each line is parsed into a VARIANT so JSON types can be tested the way a
+    dynamic reader would: a non-list ``messages`` gives null (the row expands
+    to nothing), elements that are not objects, have an unknown role or a
+    non-string ``content`` are dropped. Blank lines are skipped. The source key
+    is a hash of the line (stable, no row positions).
+    """
+    raw = spark.read.text(path).where(F.trim(F.col("value")) != "")
+    v = F.try_parse_json(F.col("value"))
+    arr = F.try_variant_get(v, "$.messages", "array<variant>")
+
+    def keep(x):
+        c = F.try_variant_get(x, "$.content", "variant")
+        role = F.try_variant_get(x, "$.role", "string")
+        return (F.schema_of_variant(c) == "STRING") & role.isin("system", "user", "assistant")
+
+    msgs = F.transform(F.filter(arr, keep), lambda x: F.struct(
+        F.try_variant_get(x, "$.role", "string").alias("role"),
+        F.try_variant_get(x, "$.content", "string").alias("content")))
+    return raw.select(F.xxhash64("value").alias("source_index"),
+                      F.try_variant_get(v, "$.id", "string").alias("id"), msgs.alias("messages"))

@@ -31,3 +31,32 @@ def test_read_split_and_progress(spark, tmp_path):
     obs_df, obs = with_progress(tr, "scan", even=F.col("x") % 2 == 0)
     assert obs_df.count() == 20
     assert obs.get["rows"] == 20 and obs.get["even"] == 10
+
+
+def test_untrusted_chat_jsonl_matches_dynamic_checks(spark, tmp_path):
+    import json
+
+    from corpusloom.functions.chat import normalize_messages
+    from corpusloom.sources.jsonl import read_chat_jsonl_untrusted
+    from tests import models
+
+    recs = [
+        {"messages": [{"role": "user", "content": " hi "}, {"role": "assistant", "content": 5},
+                      {"role": "assistant", "content": "yo"}, "junk", None, {"role": "user", "content": None},
+                      {"role": "tool", "content": "x"}, {"role": "assistant", "content": {"a": 1}},
+                      {"role": "assistant", "content": "ok"}], "id": "r0"},
+        {"messages": "not a list", "id": "r1"},
+        {"other": 1, "id": "r2"},
+        {"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "id": "r3"},
+    ]
+    p = tmp_path / "chat.jsonl"
+    p.write_text("\n".join(json.dumps(r) for r in recs) + "\n\n")
+    df = read_chat_jsonl_untrusted(spark, str(p))
+    got = {r["id"]: r["m"] for r in df.select("id", normalize_messages("messages").alias("m")).collect()}
+    for r in recs:
+        msgs = r.get("messages")
+        if not isinstance(msgs, list):
+            assert got[r["id"]] is None
+        else:
+            want = [(m["role"], m["content"]) for m in models.normalize_messages(msgs)]
+            assert [(m["role"], m["content"]) for m in got[r["id"]]] == want
