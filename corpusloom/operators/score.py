@@ -11,6 +11,20 @@ EVAL = EvalConfig()
 NEG = -1e30
 
 
+def letter_token_ids(encode, k: int) -> list[list[int]]:
+    """Per letter ``A..``: sorted ids of ``"A"`` and ``" A"`` that encode to a single
+    token (possibly none). Computed once on the driver; ``k`` is at most 26."""
+    out = []
+    for i in range(k):
+        ids = set()
+        for s in (chr(65 + i), " " + chr(65 + i)):
+            enc = list(encode(s))
+            if len(enc) == 1:
+                ids.add(enc[0])
+        out.append(sorted(ids))
+    return out
+
+
 def choose_letter(logprobs, letter_ids: list[list[int]], k) -> Column:
     """0-based index of the best letter among the first ``k``: highest logprob over
     each letter's candidate token ids, ties to the earliest letter; NaN, -inf and

@@ -60,3 +60,10 @@ def test_untrusted_chat_jsonl_matches_dynamic_checks(spark, tmp_path):
         else:
             want = [(m["role"], m["content"]) for m in models.normalize_messages(msgs)]
             assert [(m["role"], m["content"]) for m in got[r["id"]]] == want
+
+
+def test_letter_token_ids():
+    from corpusloom.operators.score import letter_token_ids
+    vocab = {"A": 5, " A": 9, "B": 6, "C": 7}
+    enc = lambda s: [vocab[s]] if s in vocab else [1, 2]
+    assert letter_token_ids(enc, 4) == [[5, 9], [6], [7], []]
