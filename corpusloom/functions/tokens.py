@@ -41,6 +41,13 @@ def tokenizer_udf(make_encoder: Callable[[], Callable[[str], list[int]]]):
     ``make_encoder`` is called once per Python worker (cached), so a heavy
     tokenizer is loaded once and reused across batches.
     """
+    from pyspark.sql import SparkSession
+
+    from corpusloom.session import ship_package
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     cache: dict = {}
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from corpusloom.session import ship_package
+
 _CACHE: dict = {}
 
 
@@ -27,6 +29,8 @@ def generate(df: DataFrame, make: Callable, model_key: str, prompt_col: str = "p
     """``(id, text)`` per prompt; ``text`` null when the model returns nothing."""
     import pandas as pd
 
+    ship_package(df.sparkSession)
+
     def run(batches):
         fn = _model(model_key, make)
         for pdf in batches:
@@ -43,6 +47,8 @@ def score(df: DataFrame, make: Callable, model_key: str, prompt_col: str = "prom
     """``(id, text, logprobs map<int,double>)``: one next token and its top logprobs."""
     import pandas as pd
 
+    ship_package(df.sparkSession)
+
     def run(batches):
         fn = _model(model_key, make)
         for pdf in batches:

@@ -56,3 +56,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusloom`` importable in Python workers (``addPyFile`` of a zip),
+    once per session. Needed only by the Arrow-batch plug-ins; executors that
+    already have the package installed are unaffected."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_corpusloom_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = checkpoint_dir(spark)
+    local = base[5:] if base.startswith("file:") else (base if base.startswith("/") else None)
+    if local is None:   # non-local shared storage: Spark distributes a driver-side copy
+        local = tempfile.mkdtemp(prefix="corpusloom-pkg-")
+    os.makedirs(local, exist_ok=True)
+    path = os.path.join(local, f"corpusloom-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    sc._corpusloom_shipped = True
