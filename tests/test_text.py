@@ -45,3 +45,25 @@ def test_token_counts_and_ids_agree(spark):
     # Hello | , | world | !! | 123 | 45 | é | ok
     assert r[0]["n"] == 8 and r[0]["m"] == 8
     assert r[1]["n"] == 0 and r[2]["n"] == 0
+
+
+def test_edge_rows(spark):
+    cases = {
+        "seven": "a b c d e f g",                      # < 8 words: never repetitive
+        "ratio_at": " ".join(["w1", "w2", "w3", "w4", "w5", "w6", "w7"] + ["w1"] * 13),  # 7/20 = 0.35
+        "below": " ".join(["w1", "w2", "w3", "w4", "w5", "w6"] + ["w1"] * 14),          # 6/20 = 0.30
+        "marker0": "<|eot_id|>tail",
+        "nbsp": "\xa0\x85 x 　",
+    }
+    df = spark.createDataFrame(list(cases.items()), "k string, t string")
+    got = {r["k"]: r for r in df.select("k", is_repetitive(F.col("t")).alias("r"),
+                                       clean_teacher_text(F.col("t")).alias("c"), TX.strip("t").alias("s")).collect()}
+    assert got["seven"]["r"] is False and got["ratio_at"]["r"] is False and got["below"]["r"] is True
+    assert got["marker0"]["c"] == "" and got["nbsp"]["s"] == "x"
+
+
+def test_row_cap_larger_than_set(spark):
+    from corpusloom.sources.jsonl import read_jsonl_first
+    df = spark.createDataFrame([(i,) for i in range(5)], "k int")
+    assert read_jsonl_first(df, 100, "k").count() == 5
+    assert read_jsonl_first(df, 0, "k").count() == 1   # the cap is checked after a row is taken
