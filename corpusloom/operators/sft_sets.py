@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import LengthGate, SetConfig
+from corpusloom.session import checkpoint_dir
 from corpusloom.functions.ids import order_key
 from corpusloom.operators.sample import first_n_per_key, materialize_bounded, quota_sample
 
@@ -36,15 +37,20 @@ NARROW = ("id", "source_index", "turn_index", "ord", "dup_key", "prompt_tokens",
 
 
 def narrow(records: DataFrame, persist: bool = True) -> DataFrame:
-    """The selection columns of a records table, persisted once.
+    """The selection columns of a records table, checkpointed once.
 
     Every selection (SFT first-N, each calibration round, the thresholds) reads
-    this table instead of re-tokenising the texts; the persisted relation is also
-    where length filters stop, so they never run inside the scan. Wide rows
-    come back by ``ord`` only for the selected rows (:func:`attach`).
+    this table instead of re-tokenising the texts. It is written to the shared
+    checkpoint folder, which cuts the lineage: losing an executor never sends a
+    later round back through the turn windows and tokenisation. The checkpoint
+    is also where length filters stop, so they never run inside the scan. Wide
+    rows come back by ``ord`` only for the selected rows (:func:`attach`).
     """
     n = records.select(*[c for c in NARROW if c in records.columns])
-    return n.persist(StorageLevel.MEMORY_AND_DISK) if persist else n
+    if not persist:
+        return n
+    checkpoint_dir(records.sparkSession)
+    return n.checkpoint(eager=True)
 
 
 def attach(selected: DataFrame, records: DataFrame, bound: int | None = None,
