@@ -35,3 +35,8 @@ def test_no_single_partition_window_in_selection(spark):
     for q in ("sft_sample_v2", "mc_subsample", "kd_prompts"):
         p = plan(QUERIES[q](spark, SF))
         assert "SinglePartition" not in p, q
+
+
+def test_chat_assembly_limits_before_shuffle(spark):
+    p = plan(QUERIES["chat_records"](spark, SF))
+    assert p.count("WindowGroupLimit") >= 4 and "Partial" in p
