@@ -7,7 +7,6 @@ calibration = gate -> length bucket -> bucketed quota sample (shared seen set).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

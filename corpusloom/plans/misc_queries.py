@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from corpusloom.config import SparsityConfig
 from corpusloom.functions import chat as C
 from corpusloom.operators import infer as I
-from corpusloom.operators import mc as M
 from corpusloom.operators import profile as P
 from corpusloom.operators import score as SC
 from corpusloom.operators.chat_records import with_meta

@@ -1,7 +1,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from corpusloom.operators import profile as P
 from corpusloom.operators import score as SC
