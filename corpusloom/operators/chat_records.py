@@ -39,12 +39,19 @@ def chat_records(chats: DataFrame, cfg: SetConfig = V2, template: C.ChatTemplate
     ex = ex.where((F.size("messages") > 0) & (F.size("prompt_messages") > 0) & (F.col("target_text") != ""))
     last_user = C.last_content("prompt_messages", "user")
     last_msg = C.last_content("prompt_messages")
+    ex = ex.withColumn("prompt_tokens", count(C.render("prompt_messages", True, template)))
+    if count is count_tokens and template.header_close[-1:].isspace() and template.generation_role == "assistant":
+        # render(messages) = render(prompt, with generation header) + target + eot, and
+        # the header ends in whitespace, which no pre-token spans: only the tail is recounted
+        total = F.col("prompt_tokens") + count(F.concat("target_text", F.lit(template.eot)))
+    else:
+        total = count(C.render("messages", False, template))
     return ex.select(
         sha1_join("source_index", "turn_index", prefix(last_user, 300), prefix("target_text", 300)).alias("id"),
         "source_index", "turn_index", "messages", "prompt_messages", "target_text",
-        count(C.render("prompt_messages", True, template)).alias("prompt_tokens"),
+        "prompt_tokens",
         count("target_text").alias("target_tokens"),
-        count(C.render("messages", False, template)).alias("total_tokens"),
+        total.cast("int").alias("total_tokens"),
         F.size("messages").alias("num_messages"),
         F.sha1(F.concat(prefix(last_msg, 500), F.lit("|||"), prefix("target_text", 500))).alias("dup_key"),
         with_sub_order(order_key(cfg.seed, "scan", "source_index"), "turn_index").alias("ord"),

@@ -54,15 +54,20 @@ def instruct_records(rows: DataFrame, cfg: SetConfig = V1, count=count_tokens) -
     user = F.when(F.col("input_text") != "",
                   F.concat("instruction", F.lit("\n\nInput:\n"), "input_text")).otherwise(F.col("instruction"))
     x = n.select("*", p.alias("prompt_text"), user.alias("_user"))
+    x = x.withColumn("prompt_tokens", count("prompt_text")).withColumn("target_tokens", count("target_text"))
+    if count is count_tokens:
+        # the prompt ends in a newline and pre-tokens never span whitespace, so the
+        # concatenation's count is exactly the sum (saves a pass over the text)
+        total = F.col("prompt_tokens") + F.col("target_tokens")
+    else:
+        total = count(F.concat("prompt_text", "target_text"))
     return x.select(
         sha1_join("source_index", prefix("instruction", 300), prefix("input_text", 300),
                   prefix("target_text", 300)).alias("id"),
         "source_index",
         F.array(message(F.lit("user"), F.col("_user")), message(F.lit("assistant"), F.col("target_text"))).alias("messages"),
         "prompt_text", "target_text",
-        count("prompt_text").alias("prompt_tokens"),
-        count("target_text").alias("target_tokens"),
-        count(F.concat("prompt_text", "target_text")).alias("total_tokens"),
+        "prompt_tokens", "target_tokens", total.cast("int").alias("total_tokens"),
         (F.col("input_text") != "").alias("has_input"),
         F.sha1(F.concat(prefix("prompt_text", 500), F.lit("|||"), prefix("target_text", 500))).alias("dup_key"),
         order_key(cfg.seed, "scan", "source_index").alias("ord"),

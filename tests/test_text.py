@@ -67,3 +67,11 @@ def test_row_cap_larger_than_set(spark):
     df = spark.createDataFrame([(i,) for i in range(5)], "k int")
     assert read_jsonl_first(df, 100, "k").count() == 5
     assert read_jsonl_first(df, 0, "k").count() == 1   # the cap is checked after a row is taken
+
+
+def test_pretoken_counts_split_at_whitespace(spark):
+    rng = random.Random(12)
+    pairs = [(rand_text(rng, 30) + rng.choice([" ", "\n", "\t", "\xa0"]), rand_text(rng, 30)) for _ in range(300)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    bad = df.where(count_tokens(F.concat("a", "b")) != count_tokens("a") + count_tokens("b")).count()
+    assert bad == 0
