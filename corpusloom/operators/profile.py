@@ -78,4 +78,8 @@ def nm_sparsity_sample(audit: DataFrame, k: int, seed: int = 0, tensor: str = "t
 
     c = audit.where(F.col("ratio") > 0).withColumn("ord", order_key(seed, "layers", tensor))
     picked = take_first_n(c, k, "ord")
-    return picked.withColumn("sample_mean", picked.agg(F.avg("ratio")).scalar())
+    # at most k values: fold them in sorted order so the mean does not depend on
+    # the order partial sums arrive in (bit-identical across runs and engines)
+    mean = picked.agg(F.aggregate(F.array_sort(F.collect_list("ratio")), F.lit(0.0), lambda a, x: a + x)
+                      / F.count("*"))
+    return picked.withColumn("sample_mean", mean.scalar())

@@ -52,7 +52,8 @@ IGNORES = " AND ".join(f"NOT suffix(tensor, '{t}')" for t in SP.ignore)
 @query("nm_sparsity_sampled", sql=f"""WITH {SQL_NM},
 cand AS (SELECT tensor, ratio, {Q.okey(SP.seed, 'layers', 'tensor')} AS ord FROM audit
          WHERE ({TARGETS}) AND {IGNORES} AND ratio > 0 ORDER BY ord LIMIT {SP.sample_tensors})
-SELECT tensor, ratio, (SELECT avg(ratio) FROM cand) AS sample_mean FROM cand""")
+SELECT tensor, ratio, (SELECT list_reduce(list_sort(list(ratio)), lambda a, x: a + x) / count(*) FROM cand)
+       AS sample_mean FROM cand""")
 def nm_sparsity_sampled(spark, sf_dir):
     t = P.target_tensors(audit(spark, sf_dir), SP.targets, SP.ignore)
     return P.nm_sparsity_sample(t, SP.sample_tensors, SP.seed).select("tensor", "ratio", "sample_mean")
