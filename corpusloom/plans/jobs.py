@@ -20,10 +20,13 @@ from corpusloom.operators.instruct import instruct_records
 from corpusloom.operators.instruct import with_meta as instruct_meta
 from corpusloom.operators.profile import length_summary
 from corpusloom.sources import jsonl as J
+from corpusloom.sources.tables import with_progress
 
 
 def _write_sets(records: DataFrame, cfg: SetConfig, out_dir: str, meta, num_files: int | None):
-    nar = S.narrow(records)
+    observed, progress = with_progress(records, "scan", sft_gate=S.gate(cfg.sft_gate),
+                                       calib_gate=S.gate(cfg.calib_gate) & S.bucket_of(cfg).isNotNull())
+    nar = S.narrow(observed)   # the checkpoint job fills the counters
     sft = S.attach(S.sft_sample(nar, cfg), records, bound=cfg.n_sft)
     cal = S.attach(S.calib_sample(nar, cfg), records, bound=cfg.n_calib)
     n_sft = S.check_quota(sft, cfg.n_sft, "SFT")
@@ -33,7 +36,8 @@ def _write_sets(records: DataFrame, cfg: SetConfig, out_dir: str, meta, num_file
     both = (sft.select(F.lit("sft").alias("set"), "total_tokens", "target_tokens")
             .unionByName(cal.select(F.lit("calib").alias("set"), "total_tokens", "target_tokens")))
     buckets = S.calib_candidates(cal, cfg).groupBy("bucket").count()
-    return {"sft": n_sft, "calib": n_cal}, length_summary(both, "set", ["total_tokens", "target_tokens"]), buckets
+    counts = {"sft": n_sft, "calib": n_cal, **{f"scanned_{k}": v for k, v in progress.get.items()}}
+    return counts, length_summary(both, "set", ["total_tokens", "target_tokens"]), buckets
 
 
 def build_chat_sets(chats: DataFrame, out_dir: str, cfg: SetConfig = V2, num_files: int | None = None):
