@@ -141,3 +141,13 @@ def token_lengths(spark, sf_dir):
         F.lit("conversations").alias("source"), (F.col("conv_id") * 1000 + F.col("turn")).alias("key"),
         count_tokens("text").alias("n_tokens"))
     return d.unionByName(p).unionByName(c)
+
+
+@query("stream_distinct_keys", sql=f"""WITH {sql_alpaca_records()}
+SELECT DISTINCT dup_key FROM arec""")
+def stream_distinct_keys(spark, sf_dir):
+    from corpusloom.streaming.records import stream_distinct_records
+    sink = scratch_path(spark, "stream-distinct-sink")
+    ckpt = scratch_path(spark, "stream-distinct-checkpoint")
+    stream_distinct_records(spark, sf_dir, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select("dup_key")

@@ -30,3 +30,18 @@ def run_to_completion(spark: SparkSession, src_dir: str, sink: str, checkpoint:
     q = stream_instruct_records(spark, src_dir, sink, checkpoint, available_now=True, **kw)
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+def stream_distinct_records(spark: SparkSession, src_dir: str, sink: str, checkpoint: str,
+                            file_glob: str = "documents.parquet", available_now: bool = True):
+    """Streaming counterpart of first-occurrence dedup: instruction records whose
+    dedup key has not been seen in any earlier micro-batch. The seen keys are
+    operator state (40-byte hashes), kept in the checkpoint folder so a restart
+    neither re-emits nor loses keys."""
+    docs = spark.readStream.schema(DOCUMENTS_SCHEMA).option("pathGlobFilter", file_glob).parquet(src_dir)
+    recs = (instruct_records(alpaca_from_documents(docs))
+            .select("id", "source_index", "dup_key", "total_tokens", "target_tokens")
+            .dropDuplicates(["dup_key"]))
+    w = recs.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start(sink)
