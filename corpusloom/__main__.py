@@ -58,8 +58,9 @@ def main(argv=None):
         man.show(truncate=False)
         return
     print(counts)
-    summary.show(truncate=False)
-    buckets.show(truncate=False)
+    for row in summary:
+        print(row)
+    print(buckets)
 
 
 if __name__ == "__main__":

@@ -28,11 +28,27 @@ def first_per_key(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
 HEX_SPAN = 16 ** 8
 
 
+_CACHED: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist an intermediate created by this library (released by :func:`release`)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(df)
+    return df
+
+
+def release() -> None:
+    """Unpersist every intermediate this library persisted (user caches untouched)."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
+
+
 def materialize_bounded(df: DataFrame) -> DataFrame:
     """Persist a result whose size is bounded by a quota and fill the cache now,
     so every later stage (and every later threshold job) reads it instead of
     re-running its lineage. Lost blocks are recomputed from lineage."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = keep(df)
     df.count()
     return df
 
@@ -105,13 +121,13 @@ def first_n_per_key(df: DataFrame, n: int, key: str, order: str = "ord", persist
         return df.limit(0)
     narrow = df.select(order, key)
     if persist:
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+        narrow = keep(narrow)
     total = narrow.count()
     frac = min(1.0, (2.0 * n + 256) / max(total, 1))
     while True:
         cut = order_cut(frac)
         sub = narrow if cut is None else narrow.where(F.col(order) < F.lit(cut))
-        firsts = first_per_key(sub, key, order).select(order).persist(StorageLevel.MEMORY_AND_DISK)
+        firsts = keep(first_per_key(sub, key, order).select(order))
         hist = order_histogram(firsts, order)
         if cut is None or sum(c for _, c in hist) >= n:
             break
@@ -177,7 +193,7 @@ def quota_sample(df: DataFrame, key: str, bucket: str, quotas: dict[str, int],
     active = {b: q for b, q in quotas.items() if q > 0}
     narrow = df.select(order, key, bucket).where(F.col(bucket).isin(*active))
     if persist:
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+        narrow = keep(narrow)
     counts = {r[bucket]: r["c"] for r in narrow.groupBy(bucket).agg(F.count("*").alias("c")).collect()}
     if not active:
         return df.limit(0)

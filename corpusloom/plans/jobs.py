@@ -19,6 +19,7 @@ from corpusloom.operators.chat_records import with_meta as chat_meta
 from corpusloom.operators.instruct import instruct_records
 from corpusloom.operators.instruct import with_meta as instruct_meta
 from corpusloom.operators.profile import length_summary
+from corpusloom.operators.sample import release
 from corpusloom.sources import jsonl as J
 from corpusloom.sources.tables import with_progress
 
@@ -37,12 +38,16 @@ def _write_sets(records: DataFrame, cfg: SetConfig, out_dir: str, meta, num_file
             .unionByName(cal.select(F.lit("calib").alias("set"), "total_tokens", "target_tokens")))
     buckets = S.calib_candidates(cal, cfg).groupBy("bucket").count()
     counts = {"sft": n_sft, "calib": n_cal, **{f"scanned_{k}": v for k, v in progress.get.items()}}
-    return counts, length_summary(both, "set", ["total_tokens", "target_tokens"]), buckets
+    # both reports are aggregates of a few rows (sets x metrics, buckets)
+    summary = [r.asDict() for r in length_summary(both, "set", ["total_tokens", "target_tokens"]).collect()]
+    bucket_rows = {r["bucket"]: r["count"] for r in buckets.collect()}
+    release()
+    return counts, summary, bucket_rows
 
 
 def build_chat_sets(chats: DataFrame, out_dir: str, cfg: SetConfig = V2, num_files: int | None = None):
     """``(source_index, messages)`` -> ``sft_<N>`` and ``calib_<N>`` JSONL; returns
-    (counts, length summary, bucket counts). Raises when a quota is not met."""
+    (counts, length-summary rows, bucket counts). Raises when a quota is not met."""
     return _write_sets(chat_records(chats, cfg), cfg, out_dir, chat_meta, num_files)
 
 

@@ -27,7 +27,7 @@ def test_build_chat_sets_writes_and_guards(spark, tmp_path):
     assert counts["scanned_rows"] >= counts["scanned_sft_gate"] >= 10 and counts["scanned_calib_gate"] >= 8
     rows = _lines(tmp_path / "sft_10")
     assert len(rows) == 10 and all("meta" in r and r["messages"][-1]["role"] == "assistant" for r in rows)
-    assert {r["group"] for r in summary.collect()} == {"sft", "calib"}
-    assert {r["bucket"]: r["count"] for r in buckets.collect()} == {"short": 3, "mid": 4, "long": 1}
+    assert {r["group"] for r in summary} == {"sft", "calib"}
+    assert buckets == {"short": 3, "mid": 4, "long": 1}
     with pytest.raises(RuntimeError, match="Not enough SFT"):
         jobs.build_chat_sets(chats, str(tmp_path / "x"), V2)
