@@ -80,6 +80,6 @@ def nm_sparsity_sample(audit: DataFrame, k: int, seed: int = 0, tensor: str = "t
     picked = take_first_n(c, k, "ord")
     # at most k values: fold them in sorted order so the mean does not depend on
     # the order partial sums arrive in (bit-identical across runs and engines)
-    mean = picked.agg(F.aggregate(F.array_sort(F.collect_list("ratio")), F.lit(0.0), lambda a, x: a + x)
-                      / F.count("*"))
+    total = F.aggregate(F.array_sort(F.collect_list("ratio")), F.lit(0.0), lambda a, x: a + x)
+    mean = picked.agg(F.when(F.count("*") > 0, total / F.count("*")))   # null: nothing qualified
     return picked.withColumn("sample_mean", mean.scalar())

@@ -56,3 +56,9 @@ def test_nm_sparsity_against_python(spark):
             ok += sum(1 for x in v[j:j + 4] if x != 0) == 2
     assert r["groups"] == groups and r["ok_groups"] == ok
     assert math.isclose(r["ratio"], ok / groups if groups else 0.0)
+
+
+def test_sparsity_sample_with_nothing_qualifying(spark):
+    df = spark.createDataFrame([("layers.0.q_proj", 0, [0.0] * 8)], "tensor string, row_idx long, values array<float>")
+    out = P.nm_sparsity_sample(P.nm_sparsity(df), 8)
+    assert out.count() == 0
