@@ -35,7 +35,8 @@ def choose_letter(logprobs, letter_ids: list[list[int]], k) -> Column:
     """
     lp = F.col(logprobs) if isinstance(logprobs, str) else logprobs
     table = F.array(*[F.array(*[F.lit(t) for t in ids]).cast("array<int>") for ids in letter_ids])
-    cands = F.slice(table, 1, k)
+    k = F.lit(k) if isinstance(k, int) else k
+    cands = F.slice(table, 1, F.greatest(k, F.lit(0)))
 
     def per_letter(a, i):
         ok = F.filter(a, lambda t: (F.try_element_at(lp, t) > F.lit(NEG)) & ~F.isnan(F.try_element_at(lp, t)))
