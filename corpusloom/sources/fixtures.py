@@ -73,7 +73,8 @@ def chat_from_turns(conversations: DataFrame, max_messages: int = 12) -> DataFra
 def alpaca_from_documents(documents: DataFrame) -> DataFrame:
     """Instruction rows from documents: line 1 = instruction, line 2 = input on every
     third document with more than two lines, the remaining lines = output."""
-    d = documents.select("doc_id", F.split(F.col("text"), "\n").alias("ls"))
+    # at most 3 pieces: lines 1, 2 and the untouched remainder (no full split of long texts)
+    d = documents.select("doc_id", F.split(F.col("text"), "\n", 3).alias("ls"))
     d = d.select("doc_id", "ls", (((F.col("doc_id") % 3) == 0) & (F.size("ls") > 2)).alias("has_in"))
     start = F.when(F.col("has_in"), F.lit(3)).otherwise(F.lit(2))
     return d.select(
@@ -91,14 +92,14 @@ def _words(c):
 def hellaswag_from_documents(documents: DataFrame) -> DataFrame:
     """activity = source; ctx_a, ctx_b = lines 1-2; endings = lines 3-6; label = doc_id % 5
     (4 is out of range for four endings), '' or 'x' every 17th, null every 31st."""
-    d = documents.select("doc_id", "source", F.split(F.col("text"), "\n").alias("ls"))
+    d = documents.select("doc_id", "source", F.split(F.col("text"), "\n", 7).alias("ls"))  # lines 1-6 + rest
     k = F.col("doc_id")
     label = (F.when(k % 31 == 0, F.lit(None).cast("string"))
              .when(k % 17 == 0, F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("x")))
              .otherwise((k % 5).cast("string")))
     return d.select(k.alias("source_index"), F.col("source").alias("activity_label"),
                     F.get(F.col("ls"), 0).alias("ctx_a"), F.get(F.col("ls"), 1).alias("ctx_b"),
-                    F.slice("ls", 3, 4).alias("endings"), label.alias("label"))
+                    F.slice(F.slice("ls", 1, 6), 3, 4).alias("endings"), label.alias("label"))
 
 
 def _arc_rows(key, text):
@@ -139,8 +140,8 @@ def winogrande_from_conversations(conversations: DataFrame) -> DataFrame:
 def truthfulqa_from_documents(documents: DataFrame) -> DataFrame:
     """question = line 1; choices = lines 2-6; one label 1 at doc_id % k, a second one
     every 11th document, one label missing every 13th."""
-    d = documents.select("doc_id", F.split(F.col("text"), "\n").alias("ls"))
-    d = d.select("doc_id", F.get(F.col("ls"), 0).alias("q"), F.slice("ls", 2, 5).alias("ch"))
+    d = documents.select("doc_id", F.split(F.col("text"), "\n", 7).alias("ls"))  # lines 1-6 + rest
+    d = d.select("doc_id", F.get(F.col("ls"), 0).alias("q"), F.slice(F.slice("ls", 1, 6), 2, 5).alias("ch"))
     k = F.size("ch")
     key = F.col("doc_id")
     labels = F.when(k > 0, F.transform(F.sequence(F.lit(0), k - 1), lambda j: F.when(
@@ -160,7 +161,7 @@ def teacher_from_documents(prompts: DataFrame, documents: DataFrame) -> DataFram
     document ``source_index * 10 + turn_index``'s first two lines with a marker
     between them; null text every 19th key; no row when the document is absent."""
     p = prompts.select("id", (F.col("source_index") * 10 + F.col("turn_index")).alias("k"))
-    d = documents.select(F.col("doc_id").alias("k"), F.split(F.col("text"), "\n").alias("ls"))
+    d = documents.select(F.col("doc_id").alias("k"), F.split(F.col("text"), "\n", 3).alias("ls"))
     marks = F.array(*[F.lit(m) for m in TEACHER_MARKERS])
     text = F.concat(F.get(F.col("ls"), 0), F.element_at(marks, (F.col("k") % 7 + 1).cast("int")), F.lit("\n"),
                     F.coalesce(F.get(F.col("ls"), 1), F.lit("")))
