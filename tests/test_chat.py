@@ -51,3 +51,23 @@ def test_render_and_last_content(spark):
     body = "".join(f"{t.header_open}{ro}{t.header_close}{c}{t.eot}" for ro, c in m)
     assert r["r"] == t.bos + body + t.generation_prompt
     assert r["lu"] == "u2" and r["none"] == ""
+
+
+def test_additive_prompt_counts_equal_direct_counts(spark):
+    from corpusloom.config import V2
+    from corpusloom.functions.tokens import count_tokens
+    from corpusloom.operators.chat_records import chat_records
+    rng = random.Random(21)
+    alphabet = list("ab1 2<>|.!é9") + ["<|eot_id|>", "12", "x y", "\n"]
+    chats = []
+    for i in range(300):
+        msgs = []
+        for _ in range(rng.randint(1, 14)):
+            content = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 8)))
+            msgs.append((rng.choice(["system", "user", "assistant"]), content))
+        chats.append((i, msgs))
+    df = spark.createDataFrame(chats, "source_index long, messages array<struct<role:string,content:string>>")
+    r = chat_records(df, V2)
+    bad = r.where((F.col("prompt_tokens") != count_tokens(C.render("prompt_messages", True)))
+                  | (F.col("total_tokens") != count_tokens(C.render("messages", False)))).count()
+    assert r.count() > 0 and bad == 0
