@@ -46,3 +46,40 @@ def test_instruction_records_against_python(spark):
             continue
         g = got[i]
         assert {k: g[k] for k in want} == want, (ins, inp, out)
+
+
+def test_chat_records_against_python(spark):
+    from corpusloom.config import V2
+    from corpusloom.functions.chat import DEFAULT_TEMPLATE as T
+    from corpusloom.operators.chat_records import chat_records
+    from tests import models
+
+    def render(msgs, gen):
+        body = "".join(f"{T.header_open}{m['role']}{T.header_close}{m['content']}{T.eot}" for m in msgs)
+        return T.bos + body + (T.generation_prompt if gen else "")
+
+    rng = random.Random(29)
+    pieces = ["hi", " there.", "42", "!!", "é" * 320, "<|", "x y\n", ""]
+    chats = []
+    for i in range(200):
+        msgs = [{"role": rng.choice(["system", "user", "assistant", "tool"]),
+                 "content": "".join(rng.choice(pieces) for _ in range(rng.randint(0, 3)))}
+                for _ in range(rng.randint(0, 15))]
+        chats.append((i, msgs))
+    df = spark.createDataFrame([(i, [(m["role"], m["content"]) for m in c]) for i, c in chats],
+                               "source_index long, messages array<struct<role:string,content:string>>")
+    got = {(r["source_index"], r["turn_index"]): r.asDict() for r in chat_records(df, V2).collect()}
+    n = 0
+    for i, c in chats:
+        for t, (prompt, target, full) in enumerate(models.expand(c, V2.max_messages)):
+            last_user = next((m["content"] for m in reversed(prompt) if m["role"] == "user"), "")
+            want = {
+                "id": sha1(f"{i}|||{t}|||{last_user[:300]}|||{target[:300]}"),
+                "prompt_tokens": ntok(render(prompt, True)), "target_tokens": ntok(target),
+                "total_tokens": ntok(render(full, False)), "num_messages": len(full),
+                "dup_key": sha1(prompt[-1]["content"][:500] + "|||" + target[:500]),
+            }
+            g = got.pop((i, t))
+            assert {k: g[k] for k in want} == want, (c, t)
+            n += 1
+    assert not got and n > 50
