@@ -67,3 +67,24 @@ def test_letter_token_ids():
     vocab = {"A": 5, " A": 9, "B": 6, "C": 7}
     enc = lambda s: [vocab[s]] if s in vocab else [1, 2]
     assert letter_token_ids(enc, 4) == [[5, 9], [6], [7], []]
+
+
+def test_left_truncation_and_assistant_labels(spark):
+    import random
+
+    from corpusloom.operators.trainprep import assistant_labels, truncate_left
+    rng = random.Random(31)
+    L = 8
+    rows = []
+    for i in range(300):
+        full = [rng.randint(1, 99) for _ in range(rng.randint(0, 20))]
+        prompt_len = rng.randint(0, len(full) + 2)
+        rows.append((i, full, prompt_len, len(full)))
+    df = spark.createDataFrame(rows, "i int, ids array<int>, prompt_len_raw int, full_len_raw int")
+    out = df.select("i", truncate_left("ids", L).alias("t"))
+    out = out.join(df, "i").select("i", "t", assistant_labels("t", "prompt_len_raw", "full_len_raw", L).alias("lab"))
+    got = {r["i"]: (list(r["t"]), list(r["lab"])) for r in out.collect()}
+    for i, full, p, n in rows:
+        ids = full[-L:] if len(full) > L else full
+        kept = min(max(p - max(n - L, 0), 0), len(ids))
+        assert got[i] == (ids, [-100] * kept + ids[kept:]), (full, p)
