@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpointed candidate tables are deleted once no DataFrame references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
