@@ -3,6 +3,9 @@
   python -m corpusloom chat-sets  --turns conversations.parquet --out DIR [--n-sft N --calib S,M,L]
   python -m corpusloom instruction-sets --rows rows.parquet --out DIR [...]
   python -m corpusloom eval-corpus --sf-dir DIR --out DIR [--style chat|completion --n-per-task N]
+  python -m corpusloom train-prep --records DIR/sft_N --out DIR
+  python -m corpusloom calib-prep --records DIR/calib_N --out DIR
+  python -m corpusloom kd-set --sft DIR/sft_N --generations gen.parquet --out DIR
 
 Inputs are parquet; the session comes from the environment (spark-submit
 settings apply). Counts and summaries are printed; tables are written.
@@ -12,6 +15,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from corpusloom.config import V1, V2
 from corpusloom.plans import jobs
 from corpusloom.session import build_session
@@ -36,6 +41,14 @@ def main(argv=None):
         p.add_argument("--n-sft", type=int)
         p.add_argument("--calib", help="comma-separated bucket quotas, e.g. 300,500,200")
         p.add_argument("--files", type=int)
+    for name in ("train-prep", "calib-prep"):
+        p = sub.add_parser(name)
+        p.add_argument("--records", required=True, help="JSONL written by chat-sets (sft_* or calib_*)")
+        p.add_argument("--out", required=True)
+    p = sub.add_parser("kd-set")
+    p.add_argument("--sft", required=True, help="SFT JSONL written by chat-sets")
+    p.add_argument("--generations", required=True, help="parquet with columns id, text")
+    p.add_argument("--out", required=True)
     p = sub.add_parser("eval-corpus")
     p.add_argument("--sf-dir", required=True)
     p.add_argument("--out", required=True)
@@ -52,6 +65,18 @@ def main(argv=None):
     elif args.cmd == "instruction-sets":
         cfg = _cfg(V1, args)
         counts, summary, buckets = jobs.build_instruction_sets(spark.read.parquet(args.rows), args.out, cfg, args.files)
+    elif args.cmd in ("train-prep", "calib-prep", "kd-set"):
+        from corpusloom.sources.jsonl import CHAT_RECORD_SCHEMA, read_jsonl
+        src = args.sft if args.cmd == "kd-set" else args.records
+        rows = read_jsonl(spark, src, CHAT_RECORD_SCHEMA).select(
+            "*", F.col("meta")["source_index"].alias("source_index"), F.col("meta")["turn_index"].alias("turn_index"))
+        if args.cmd == "train-prep":
+            print(jobs.prepare_training(rows, args.out))
+        elif args.cmd == "calib-prep":
+            print(jobs.prepare_calibration(rows, args.out))
+        else:
+            jobs.build_kd_set(rows, spark.read.parquet(args.generations), args.out).show()
+        return
     else:
         from corpusloom.plans.mc_queries import raw_tables
         man = jobs.build_eval_corpus(spark, raw_tables(spark, args.sf_dir), args.out, args.style, args.n_per_task)

@@ -85,3 +85,30 @@ def evaluate(predictions: DataFrame, letter_ids: list[list[int]], models: list[s
     p = predictions.withColumn("pred_idx", SC.predict(predictions, letter_ids))
     m = SC.metrics(p, cfg.overall_name)
     return SC.order_metrics(m, cfg.dataset_order), SC.accuracy_pivot(m, models, cfg.dataset_order)
+
+
+def prepare_training(sft_rows: DataFrame, out_dir: str, cfg=None, num_files: int | None = None) -> dict:
+    """SFT records -> tokenized ``train`` / ``eval`` tables (input_ids, labels) with the
+    keep gate and seeded hold-out; returns row counts."""
+    from corpusloom.config import TrainConfig
+    from corpusloom.operators import trainprep as TP
+    cfg = cfg or TrainConfig()
+    tok = TP.tokenize_train(TP.train_eval_split(TP.keep_trainable(TP.train_rows(sft_rows, cfg), cfg), cfg), cfg)
+    out = tok.select("id", "split", "input_ids", "labels", "prompt_len_raw", "full_len_raw", "sup_after_trunc")
+    (out.repartition(num_files) if num_files else out).write.mode("overwrite").partitionBy("split").parquet(out_dir)
+    counts = {r["split"]: r["n"] for r in out.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    release()
+    return counts
+
+
+def prepare_calibration(calib_rows: DataFrame, out_dir: str, cfg=None) -> dict:
+    """Calibration records -> rendered, shuffled, first-n, right-truncated token rows."""
+    from corpusloom.config import CalibConfig
+    from corpusloom.operators import trainprep as TP
+    from corpusloom.operators.profile import length_summary as ls
+    cfg = cfg or CalibConfig()
+    tok = TP.calib_tokens(TP.calib_select(TP.calib_text(calib_rows), cfg), cfg)
+    tok.select("id", "input_ids", "attention_mask").write.mode("overwrite").parquet(out_dir)
+    summary = ls(tok.select(F.lit("calib").alias("g"), F.size("input_ids").alias("n_ids")), "g", ["n_ids"]).collect()
+    release()
+    return summary[0].asDict() if summary else {}

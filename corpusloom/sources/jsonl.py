@@ -85,3 +85,10 @@ def read_chat_jsonl_untrusted(spark: SparkSession, path) -> DataFrame:
         F.try_variant_get(x, "$.content", "string").alias("content")))
     return raw.select(F.xxhash64("value").alias("source_index"),
                       F.try_variant_get(v, "$.id", "string").alias("id"), msgs.alias("messages"))
+
+
+# The written chat (v2) record layout.
+CHAT_RECORD_SCHEMA = ("id string, messages array<struct<role:string,content:string>>, "
+                      "prompt_messages array<struct<role:string,content:string>>, target_text string, "
+                      "meta struct<source_index:bigint,turn_index:int,prompt_tokens:int,target_tokens:int,"
+                      "total_tokens:int,num_messages:int>")
