@@ -31,3 +31,20 @@ def test_build_chat_sets_writes_and_guards(spark, tmp_path):
     assert buckets == {"short": 3, "mid": 4, "long": 1}
     with pytest.raises(RuntimeError, match="Not enough SFT"):
         jobs.build_chat_sets(chats, str(tmp_path / "x"), V2)
+
+
+def test_training_and_calibration_prep_from_written_sets(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from corpusloom.sources.jsonl import CHAT_RECORD_SCHEMA, read_jsonl
+    chats = chat_from_turns(table(spark, SF, "conversations"))
+    cfg = V2.with_quotas(12, {"short": 3, "mid": 4, "long": 1})
+    jobs.build_chat_sets(chats, str(tmp_path / "sets"), cfg)
+    sft = read_jsonl(spark, str(tmp_path / "sets" / "sft_12"), CHAT_RECORD_SCHEMA)
+    counts = jobs.prepare_training(sft, str(tmp_path / "train"))
+    assert counts.get("eval", 0) == 1 and sum(counts.values()) <= 12
+    tr = spark.read.parquet(str(tmp_path / "train"))
+    assert tr.where(F.size("input_ids") != F.size("labels")).count() == 0
+    cal = read_jsonl(spark, str(tmp_path / "sets" / "calib_8"), CHAT_RECORD_SCHEMA)
+    summ = jobs.prepare_calibration(cal, str(tmp_path / "calib"))
+    assert summ["n"] == 8 and summ["max"] <= 1024
