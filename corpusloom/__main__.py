@@ -6,6 +6,7 @@
   python -m corpusloom train-prep --records DIR/sft_N --out DIR
   python -m corpusloom calib-prep --records DIR/calib_N --out DIR
   python -m corpusloom kd-set --sft DIR/sft_N --generations gen.parquet --out DIR
+  python -m corpusloom evaluate --predictions preds.parquet --letter-ids '[[32],[33]]' --out DIR
 
 Inputs are parquet; the session comes from the environment (spark-submit
 settings apply). Counts and summaries are printed; tables are written.
@@ -49,6 +50,11 @@ def main(argv=None):
     p.add_argument("--sft", required=True, help="SFT JSONL written by chat-sets")
     p.add_argument("--generations", required=True, help="parquet with columns id, text")
     p.add_argument("--out", required=True)
+    p = sub.add_parser("evaluate")
+    p.add_argument("--predictions", required=True,
+                   help="parquet: model or model_path, task, answer_idx, num_choices, text, logprobs")
+    p.add_argument("--letter-ids", required=True, help='JSON list of id lists per letter, e.g. [[32],[33]]')
+    p.add_argument("--out", required=True)
     p = sub.add_parser("eval-corpus")
     p.add_argument("--sf-dir", required=True)
     p.add_argument("--out", required=True)
@@ -65,6 +71,19 @@ def main(argv=None):
     elif args.cmd == "instruction-sets":
         cfg = _cfg(V1, args)
         counts, summary, buckets = jobs.build_instruction_sets(spark.read.parquet(args.rows), args.out, cfg, args.files)
+    elif args.cmd == "evaluate":
+        import json
+
+        from corpusloom.operators.score import model_name
+        preds = spark.read.parquet(args.predictions)
+        if "model" not in preds.columns:
+            preds = preds.withColumn("model", model_name("model_path"))
+        models = sorted(r[0] for r in preds.select("model").distinct().collect())   # a handful of names
+        metrics, pivot = jobs.evaluate(preds, json.loads(args.letter_ids), models)
+        metrics.write.mode("overwrite").parquet(f"{args.out}/metrics")
+        pivot.write.mode("overwrite").parquet(f"{args.out}/pivot")
+        pivot.show(truncate=False)
+        return
     elif args.cmd in ("train-prep", "calib-prep", "kd-set"):
         from corpusloom.sources.jsonl import CHAT_RECORD_SCHEMA, read_jsonl
         src = args.sft if args.cmd == "kd-set" else args.records

@@ -48,3 +48,15 @@ def test_training_and_calibration_prep_from_written_sets(spark, tmp_path):
     cal = read_jsonl(spark, str(tmp_path / "sets" / "calib_8"), CHAT_RECORD_SCHEMA)
     summ = jobs.prepare_calibration(cal, str(tmp_path / "calib"))
     assert summ["n"] == 8 and summ["max"] <= 1024
+
+
+def test_evaluate_job(spark):
+    from corpusloom.operators import score as SC
+    from corpusloom.sources.fixtures import LETTER_IDS, PRED_MODELS, predictions_from_embeddings
+    p = predictions_from_embeddings(table(spark, SF, "embeddings"))
+    p = p.withColumn("model", SC.model_name("model_path"))
+    metrics, pivot = jobs.evaluate(p, LETTER_IDS, PRED_MODELS)
+    m = metrics.collect()
+    assert {r["dataset"] for r in m} >= {"overall_micro"} and len({r["model"] for r in m}) == 3
+    pv = pivot.collect()
+    assert [r["dataset"] for r in pv][-1] == "overall_micro" and set(PRED_MODELS) <= set(pivot.columns)
