@@ -42,6 +42,7 @@ def main(argv=None):
         p.add_argument("--n-sft", type=int)
         p.add_argument("--calib", help="comma-separated bucket quotas, e.g. 300,500,200")
         p.add_argument("--files", type=int)
+        p.add_argument("--format", default="parquet", help="input format (parquet, json, ...)")
     for name in ("train-prep", "calib-prep"):
         p = sub.add_parser(name)
         p.add_argument("--records", required=True, help="JSONL written by chat-sets (sft_* or calib_*)")
@@ -66,11 +67,16 @@ def main(argv=None):
     if args.cmd == "chat-sets":
         from corpusloom.sources.fixtures import chat_from_turns
         cfg = _cfg(V2, args)
-        chats = chat_from_turns(spark.read.parquet(args.turns), cfg.max_messages)
+        chats = chat_from_turns(spark.read.format(args.format).load(args.turns), cfg.max_messages)
         counts, summary, buckets = jobs.build_chat_sets(chats, args.out, cfg, args.files)
     elif args.cmd == "instruction-sets":
         cfg = _cfg(V1, args)
-        counts, summary, buckets = jobs.build_instruction_sets(spark.read.parquet(args.rows), args.out, cfg, args.files)
+        rows = spark.read.format(args.format).schema("instruction string, input string, output string") \
+            .load(args.rows) if args.format == "json" else spark.read.format(args.format).load(args.rows)
+        if "source_index" not in rows.columns:
+            # no positions in a distributed table: a stable key from the row's own fields
+            rows = rows.withColumn("source_index", F.xxhash64("instruction", "input", "output"))
+        counts, summary, buckets = jobs.build_instruction_sets(rows, args.out, cfg, args.files)
     elif args.cmd == "evaluate":
         import json
 

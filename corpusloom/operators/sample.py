@@ -96,10 +96,12 @@ def take_first_n(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
 
 
 def _semi(df: DataFrame, chosen: DataFrame, order: str, bound: int | None, broadcast_limit: int = 1_000_000):
+    """Rows of ``df`` whose order value was chosen, one row per value (rows with
+    equal source keys are one record; a repeated key must not repeat a pick)."""
     keys = chosen.select(order)
     if bound is not None and bound <= broadcast_limit:
         keys = F.broadcast(keys)   # size bounded by the quota
-    return df.join(keys, order, "left_semi")
+    return df.join(keys, order, "left_semi").dropDuplicates([order])
 
 
 def first_n_per_key(df: DataFrame, n: int, key: str, order: str = "ord", persist: bool = True) -> DataFrame:

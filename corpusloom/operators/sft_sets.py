@@ -58,10 +58,10 @@ def attach(selected: DataFrame, records: DataFrame, bound: int | None = None,
     when its size is bounded by a quota known to be small; otherwise a shuffle
     semi join is used. A quota-bounded result is persisted: it feeds several
     downstream stages and never exceeds ``bound`` rows."""
-    keys = selected.select("ord")
+    keys = selected.select("ord").distinct()
     if bound is not None and bound <= broadcast_limit:
-        return materialize_bounded(records.join(F.broadcast(keys), "ord", "left_semi"))
-    return records.join(keys, "ord", "left_semi")
+        return materialize_bounded(records.join(F.broadcast(keys), "ord", "left_semi").dropDuplicates(["ord"]))
+    return records.join(keys, "ord", "left_semi").dropDuplicates(["ord"])
 
 
 def sft_candidates(records: DataFrame, cfg: SetConfig) -> DataFrame:

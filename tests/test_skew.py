@@ -44,3 +44,12 @@ def test_hot_bucket(spark):
     df = spark.createDataFrame(rows, "ord string, key string, bucket string")
     got = {r["ord"] for r in quota_sample(df, "key", "bucket", quotas).collect()}
     assert got == models.greedy_quota(rows, quotas)
+
+
+def test_repeated_source_keys_pick_one_row(spark):
+    rows = [(f"{i:04d}", f"k{i}") for i in range(50)] * 3      # every record present three times
+    df = spark.createDataFrame(rows, "ord string, key string")
+    out = first_n_per_key(df, 10, "key")
+    assert sorted(r["ord"] for r in out.collect()) == [f"{i:04d}" for i in range(10)]
+    q = quota_sample(df.withColumn("bucket", F.lit("mid")), "key", "bucket", {"mid": 7})
+    assert q.count() == 7
