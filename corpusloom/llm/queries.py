@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, mixing, quality, resharding
+from corpusloom.llm import decontam, mixing, quality, resharding, tokencount
 from corpusloom.llm.common import read_table
 
 MIX_SHARES = {"src0": 4}
@@ -15,6 +15,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.flagged_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.with_token_counts(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs, shares=MIX_SHARES)
@@ -30,6 +37,7 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op5_quality_rules": quality.quality_report,
+    "op6_token_counts": op6_token_counts,
     "op8_source_mixing": op8_source_mixing,
     "op9_resharding": op9_resharding,
 }
