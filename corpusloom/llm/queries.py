@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, mixing, quality, resharding, tokencount
+from corpusloom.llm import decontam, html_blocks, mixing, quality, resharding, tokencount
 from corpusloom.llm.common import read_table
 
 MIX_SHARES = {"src0": 4}
@@ -22,6 +22,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract_pages(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs, shares=MIX_SHARES)
@@ -38,6 +42,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op5_quality_rules": quality.quality_report,
     "op6_token_counts": op6_token_counts,
+    "op7_main_text": op7_main_text,
     "op8_source_mixing": op8_source_mixing,
     "op9_resharding": op9_resharding,
 }
