@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, html_blocks, mixing, quality, resharding, tokencount
+from corpusloom.llm import decontam, html_blocks, mixing, quality, resharding, substrings, tokencount
 from corpusloom.llm.common import read_table
 
 MIX_SHARES = {"src0": 4}
@@ -15,6 +15,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.flagged_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,6 +44,7 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_substring_dedup": op2_substring_dedup,
     "op5_quality_rules": quality.quality_report,
     "op6_token_counts": op6_token_counts,
     "op7_main_text": op7_main_text,
