@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, html_blocks, jaccard, mixing, quality, resharding, substrings, tokencount
+from corpusloom.llm import decontam, html_blocks, jaccard, mixing, ngram_lm, quality, resharding, substrings, tokencount
 from corpusloom.llm.common import read_table
 
 MIX_SHARES = {"src0": 4}
@@ -19,6 +19,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_documents(read_table(spark, sf_dir, "documents"), order=2)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.component_report(read_table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
@@ -49,6 +53,7 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_quality_rules": quality.quality_report,
     "op6_token_counts": op6_token_counts,
