@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, html_blocks, jaccard, mixing, ngram_lm, quality, resharding, substrings, tokencount
+from corpusloom.llm import decontam, html_blocks, jaccard, mixing, ngram_lm, quality, resharding, substrings, tokencount, toolcalls
 from corpusloom.llm.common import read_table
 
 MIX_SHARES = {"src0": 4}
+#: A user turn of a plain chat as a call; its text must say something.
+REPLY_TOOL = {"reply": {"type": "object", "required": ["text"], "additionalProperties": False,
+                        "properties": {"text": {"type": "string", "minLength": 1}}}}
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +53,11 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op10_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = toolcalls.link(read_table(spark, sf_dir, "conversations"), REPLY_TOOL, turn_tool="reply")
+    return linked.withColumn("conv_id", F.col("conv_id").cast("long"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -60,5 +68,6 @@ QUERIES = {
     "op7_main_text": op7_main_text,
     "op8_source_mixing": op8_source_mixing,
     "op9_resharding": op9_resharding,
+    "op10_tool_call_linking": op10_tool_call_linking,
 }
 ORACLES: dict[str, str] = {}
