@@ -70,8 +70,9 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
                  item_text: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD,
                  max_inline: int = MAX_INLINE) -> DataFrame:
     """One row per (document row, item) at or over the threshold: the columns of
-    ``docs`` but the text, plus ``item_id, n_shingles, n_found, containment``."""
-    keep = [c for c in docs.columns if c != text]
+    ``docs`` but the text, plus ``item_id, n_shingles, n_found, containment`` (input
+    columns of these names are replaced)."""
+    keep = [c for c in docs.columns if c not in (text, "item_id", "n_shingles", "n_found", "containment")]
     spec = item_shingles(items, item_id, item_text, size, threshold)
     head = spec.agg(F.sum(F.size("_dc_minima")).alias("n"), F.collect_set("_dc_len").alias("lens")).first()
     lens = sorted(head["lens"])                               # at most ``size`` different lengths

@@ -48,7 +48,7 @@ sponsored promo sidebar side menu navbar navigation breadcrumb breadcrumbs cooki
 newsletter subscribe signup login search share social related recommended comment comments reply replies disqus
 copyright legal toolbar pagination widget contentinfo complementary hidden""".split())
 
-PATH_DIM, WORD_DIM, SHAPE_DIM, HIDDEN = 64, 32, 6, 24
+PATH_DIM, WORD_DIM, SHAPE_DIM, HIDDEN = 256, 32, 6, 24
 TRAIN_PAGES = 160
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
@@ -228,9 +228,16 @@ def container_labels(blocks: list[tuple[tuple[str, ...], str]]) -> list[int]:
 def augmented(blocks, labels, rng: random.Random):
     """A variant of a labelled page: containers renamed, furniture added around and inside the main text."""
     pool = sorted(FURNITURE - {"head", "title"})
-    main_path = rng.choice([("html", "body", "article"), ("html", "body", "main"), ("html", "body", "div", "content"),
-                            ("html", "body", "main", "article"), ("html", "body", "div", "post", "body"),
-                            ("html", "body", "div", "main", "article", "entry", "content")])
+
+    def wrappers(most):
+        """Elements that say nothing, with made-up class words."""
+        return tuple(w for _ in range(rng.randrange(most + 1)) for w in (
+            rng.choice(["div", "div", "section", "span"]), rng.choice(["page", "wrap", "container", "row", "col", "outer", "inner", "layout",
+                                                                       "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9)))])))
+
+    page = ("html", "body", *wrappers(2))
+    main_path = (*page, *rng.choice([("article",), ("article",), ("main",), ("div", "content"), ("main", "article"), ("div", "post", "body"),
+                                     ("div", "content", "article"), ("div", "main", "article", "entry", "content")]), *wrappers(1))
     texts = [t for _, t in blocks]
     words = " ".join(texts).split(" ")
 
@@ -245,7 +252,7 @@ def augmented(blocks, labels, rng: random.Random):
         if not FURNITURE.intersection(mark):
             mark = (*mark, rng.choice(pool))
         leaf = rng.choice([(), ("p",), ("ul", "li"), ("ul", "li", "a"), ("h2",), ("h3",), ("label",)])
-        base = inside or ("html", "body")
+        base = inside or (page if rng.random() < 0.7 else ("html", "body"))
         return [((*base, *mark, *leaf), some_text()) for _ in range(rng.choice([1, 1, 2, 4]))]
 
     out, lab = [], []
@@ -262,7 +269,7 @@ def augmented(blocks, labels, rng: random.Random):
             leaf = leaf if leaf in BLOCK_TAGS and leaf not in ("article", "main") else "p"
             extra = (("section",) if rng.random() < 0.1 else ()) + (("ul",) if leaf == "li" else ())
             add([((*main_path, *extra, leaf), text if rng.random() < 0.9 else some_text())], 1)
-            if rng.random() < 0.08:
+            if rng.random() < 0.2:
                 add(furniture(main_path), 0)
         else:
             add([(path, text)], 0)
@@ -271,7 +278,7 @@ def augmented(blocks, labels, rng: random.Random):
     return out, lab
 
 
-def train(samples: list[str], epochs: int = 14, copies: int = 2, seed: int = 11, rate: float = 0.02) -> dict:
+def train(samples: list[str], epochs: int = 14, copies: int = 4, seed: int = 11, rate: float = 0.02) -> dict:
     """Fit the labeller on labelled pages and their variants (Adam, fixed seed)."""
     rng, gen = random.Random(seed), np.random.default_rng(seed)
     data = []

@@ -10,7 +10,7 @@ slots, so only one frame of M slots is scheduled (a fold over M elements inside
 one expression) and all blocks derive their slot from it.
 
 A source that runs out leaves its later slots empty; no row is dropped or used
-twice. Order by ``slot, pos_in_block`` to read the mixture.
+twice. Order by ``mix_slot, mix_pos`` to read the mixture.
 
 Defined cases: a null source is a source of its own with the default share; null
 or repeated ids are ordered by their hash and stay; an empty table gives no rows.
@@ -73,8 +73,9 @@ def _numbered(df: DataFrame, row_id: str, source: str, seed: str) -> DataFrame:
 
 
 def mix(df: DataFrame, row_id: str = "doc_id", source: str = "source", shares: dict[str, int] | None = None,
-        default_share: int = 1, block_rows: int = 32, seed: str = "mix") -> DataFrame:
-    """``df`` plus ``mix_block, mix_pos, mix_release, mix_deadline, mix_slot``."""
+        default_share: int = 1, block_rows: int = 32, seed: str = "mix", prefix: str = "mix_") -> DataFrame:
+    """``df`` plus ``block, pos, release, deadline, slot``, each with ``prefix``
+    (input columns of these names are replaced)."""
     spark = df.sparkSession
     found = df.select(F.coalesce(F.col(source), F.lit("\x00")).alias("source")).distinct()
     given = spark.createDataFrame([(str(k), int(v)) for k, v in (shares or {}).items()] or [("", default_share)],
@@ -90,9 +91,8 @@ def mix(df: DataFrame, row_id: str = "doc_id", source: str = "source", shares: d
     d = d.join(F.broadcast(frame), ["_mx_source", "_mx_nth"])    # M rows: the sum of the shares
     base = F.floor(F.col("_mx_block") / F.col("_mx_a")) * F.col("_mx_total")
     n, a, m = F.col("_mx_nth"), F.col("_mx_a"), F.col("_mx_total")
-    return d.select(*[F.col(f"`{c}`") for c in df.columns],
-                    F.col("_mx_block").cast("long").alias("mix_block"),
-                    (F.col("_mx_seq") % block_rows).cast("int").alias("mix_pos"),
-                    (base + F.floor(n * m / a)).cast("long").alias("mix_release"),
-                    (base + F.ceil((n + 1) * m / a)).cast("long").alias("mix_deadline"),
-                    (base + F.col("_mx_at")).cast("long").alias("mix_slot"))
+    added = {"block": F.col("_mx_block").cast("long"), "pos": (F.col("_mx_seq") % block_rows).cast("int"),
+             "release": (base + F.floor(n * m / a)).cast("long"), "deadline": (base + F.ceil((n + 1) * m / a)).cast("long"),
+             "slot": (base + F.col("_mx_at")).cast("long")}
+    return d.select(*[F.col(f"`{c}`") for c in df.columns if c not in {prefix + k for k in added}],
+                    *[v.alias(prefix + k) for k, v in added.items()])

@@ -263,8 +263,8 @@ def score_documents(docs: DataFrame, order: int = 2, doc_id: str = "doc_id", tex
     replies = spark.read.parquet(f"{path}/replies")
     v, n, n_kept = replies.where("k = 1").agg(F.sum("v_new"), F.sum("n_all"), F.sum("n_kept")).first()
     kept_docs = src.select("kept").where("kept").count() if order > 1 else 0
-    starts = trained if order > 1 else 0                            # the start mark is counted once per document
-    v, n, n_kept = (v or 0) - (1 if starts else 0), (n or 0) - starts, (n_kept or 0) - kept_docs
+    # the start marks, order - 1 per document, are contexts only
+    v, n, n_kept = (v or 0) - (1 if trained and order > 1 else 0), (n or 0) - (order - 1) * trained, (n_kept or 0) - (order - 1) * kept_docs
     cells = (packed.where("gone").groupBy("block").cogroup(replies.where(F.col("block") >= blocks).groupBy("block"))
              .applyInArrow(_histogram(order, n_kept), "b int, q array<int>, n long")
              .groupBy("b", "q").agg(F.sum("n").alias("n")).collect())       # at most the cells of the grid

@@ -125,9 +125,9 @@ def plan_units(units: DataFrame, old_shards: int, new_shards: int, cost=None) ->
 
 def place(df: DataFrame, text: str = "text", row_id: str = "doc_id", new_shards: int = 16, old_shards: int = 12,
           old_shard: Column | None = None, buckets: int = 1024, cuts: int = 16, cost=None) -> DataFrame:
-    """``df`` with ``size``, ``text_crc32``, ``old_shard``, ``shard`` and ``slot``.
+    """``df`` with ``_rs_bytes, _rs_crc, _rs_old, _rs_shard, _rs_slot``.
 
-    ``slot`` numbers the rows of a new shard from 0 without gaps. Two narrow
+    The slot numbers the rows of a new shard from 0 without gaps. Two narrow
     shuffles on the unit key; the text itself is read but not moved unless the
     caller keeps it in ``df``.
     """
@@ -138,8 +138,8 @@ def place(df: DataFrame, text: str = "text", row_id: str = "doc_id", new_shards:
     plan = plan_units(units, old_shards, new_shards, cost)
     crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     within = Window.partitionBy(*UNIT).orderBy(F.col(row_id), F.col("_rs_size"), F.col("_rs_crc"))
-    own = [c for c in df.columns]
-    return (rows.withColumn("_rs_crc", crc).drop(*([text] if text not in own else []))
+    own = df.columns
+    return (rows.withColumn("_rs_crc", crc)
             .join(plan.withColumnsRenamed({"shard": "_rs_shard"}), UNIT)
             .withColumn("_rs_slot", F.col("_rs_first") + F.row_number().over(within) - 1)
             .select(*[F.col(f"`{c}`") for c in own], F.col("_rs_size").alias("_rs_bytes"), "_rs_crc", "_rs_old",
@@ -163,13 +163,14 @@ def rewrite_affected(spark: SparkSession, df: DataFrame, path: str, **kw) -> lis
     """Write the rows of every shard whose contents change under ``path/shard=N``.
 
     A shard is left alone when no row enters or leaves it. Returns the shards
-    written (a list of at most ``new_shards`` numbers).
+    written (a list of at most ``new_shards`` numbers). An input column named
+    ``shard`` is replaced by the new shard.
     """
     placed = place(df, **kw)
     moved = placed.where(F.col("_rs_old") != F.col("_rs_shard"))
     touched = {x for r in moved.select("_rs_old", "_rs_shard").distinct().collect() for x in r}
     written = sorted(t for t in touched if t < kw.get("new_shards", 16))
     (placed.where(F.col("_rs_shard").isin(written or [-1]))
-     .select(*df.columns, F.col("_rs_shard").alias("shard"))
+     .select(*[F.col(f"`{c}`") for c in df.columns if c != "shard"], F.col("_rs_shard").alias("shard"))
      .write.mode("append").partitionBy("shard").parquet(path))
     return written
