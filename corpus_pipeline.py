@@ -34,8 +34,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, range-partitioned and sorted into the mixture's order: read in
     file order, every prefix holds the sources at their target weights."""
-    mixed = mixing.mix(docs, shares=MIX_SHARES)
-    return mixed.orderBy("mix_slot", "mix_pos").select(*docs.columns)
+    mixed = mixing.mix(docs, shares=MIX_SHARES, prefix="_mixed_")
+    return mixed.orderBy("_mixed_slot", "_mixed_pos").select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
