@@ -199,46 +199,93 @@ def _keep_sets(size: int):
     return run
 
 
-def _propose(percent: int, every: bool):
+def _room(n, m, apart, percent):
+    """Differing elements that sets of sizes n, m may still have beyond the sketch bits seen."""
+    return n + m - 2 * -(-percent * (n + m) // (100 + percent)) - apart
+
+
+def _block_pairs(n, cls, comp, side, sketch, percent, every):
     """Pairs of one list block: the closest earlier set of each, or all between components."""
-    def run(table: pa.Table) -> pa.Table:
-        n = table["n"].to_numpy().astype(np.int64)
-        cls, comp = table["cls"].to_numpy(), table["comp"].to_numpy()
-        side = table["side"].to_numpy()
-        order = np.lexsort((cls, n))
-        n, cls, comp, side = n[order], cls[order], comp[order], side[order]
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(n), -1)[order]
-        two = bool((side != side[0]).any())                      # two blocks: only pairs across them
-        xs, ys = [], []
-        lowest = np.searchsorted(n, -(-percent * n // 100))
-        for i in range(1, len(n)):
-            lo = lowest[i]
-            if lo == i:
-                continue
-            ok = cls[lo:i] != cls[i]
-            if two:
-                ok &= side[lo:i] != side[i]
-            if every:
-                ok &= comp[lo:i] != comp[i]
-                if not ok.any():
-                    continue
-            at = lo + np.flatnonzero(ok)
-            apart = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-            least = -(-percent * (n[at] + n[i]) // (100 + percent))
-            room = n[at] + n[i] - 2 * least - apart
-            at, apart = at[room >= 0], apart[room >= 0]
-            if not len(at):
+    order = np.lexsort((cls, n))
+    n, cls, comp, side, sketch = n[order], cls[order], comp[order], side[order], sketch[order]
+    two = bool((side != side[0]).any())                          # two blocks: only pairs across them
+    lowest = np.searchsorted(n, -(-percent * n // 100))
+    xs, ys = [], []
+    for i in range(1, len(n)):
+        lo = lowest[i]
+        if lo == i:
+            continue
+        ok = cls[lo:i] != cls[i]
+        if two:
+            ok &= side[lo:i] != side[i]
+        if every:
+            ok &= comp[lo:i] != comp[i]
+            if not ok.any():
                 continue
-            if not every:
-                at = at[[np.argmin(apart)]]
+        at = lo + np.flatnonzero(ok)
+        apart = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+        fits = _room(n[at], n[i], apart, percent) >= 0
+        at, apart = at[fits], apart[fits]
+        if len(at):
+            at = at if every else at[[np.argmin(apart)]]
             xs.append(np.full(len(at), cls[i]))
             ys.append(cls[at])
-        x = np.concatenate(xs) if xs else np.zeros(0, np.int64)
-        y = np.concatenate(ys) if ys else np.zeros(0, np.int64)
-        return pa.table({"x": np.maximum(x, y).astype(np.int64), "y": np.minimum(x, y).astype(np.int64)})
+    return xs, ys
+
+
+def _propose(percent: int, every: bool):
+    """Candidate pairs of the list blocks of a partition sorted by block.
+
+    Blocks of two sets, by far the most, are tested all at once; longer ones one by
+    one. A block that runs over the end of a batch waits for the next batch.
+    """
+    def pairs(t: pa.Table) -> pa.RecordBatch:
+        cls, comp, side = (t[c].to_numpy() for c in ("cls", "comp", "side"))
+        n = t["n"].to_numpy().astype(np.int64)
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(n), SKETCH_BITS // 64)
+        first = np.flatnonzero(_new_block(t))
+        sizes = np.diff(np.append(first, len(n)))
+        a = first[sizes == 2]
+        b = a + 1
+        apart = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+        ok = (cls[a] != cls[b]) & (np.minimum(n[a], n[b]) >= -(-percent * np.maximum(n[a], n[b]) // 100)) & (_room(n[a], n[b], apart, percent) >= 0)
+        if every:
+            ok &= comp[a] != comp[b]
+        xs, ys = [cls[a[ok]]], [cls[b[ok]]]
+        for lo, size in zip(first[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            own = slice(lo, lo + size)
+            if every and (comp[own] == comp[lo]).all():
+                continue
+            more = _block_pairs(n[own], cls[own], comp[own], side[own], sketch[own], percent, every)
+            xs += more[0]
+            ys += more[1]
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        return pa.record_batch({"x": np.maximum(x, y), "y": np.minimum(x, y)})
+
+    def run(batches):
+        rest = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = pa.concat_tables([rest, t]) if rest is not None else t
+            last = int(np.flatnonzero(_new_block(t))[-1]) if t.num_rows else 0
+            if last:
+                yield pairs(t.slice(0, last).combine_chunks())
+            rest = t.slice(last)
+        if rest is not None and rest.num_rows:
+            yield pairs(rest.combine_chunks())
     return run
 
 
+def _new_block(t: pa.Table) -> np.ndarray:
+    """True at the first row of each block (e, i, j)."""
+    out = np.zeros(t.num_rows, bool)
+    out[:1] = True
+    for c in ("e", "i", "j"):
+        v = t[c].to_numpy()
+        out[1:] |= v[1:] != v[:-1]
+    return out
+
+
 def _verify(percent: int):
     def run(batches):
         for b in batches:
@@ -254,7 +301,8 @@ def _verify(percent: int):
 
 
 def _links(blocks: DataFrame, sets: DataFrame, percent: int, every: bool) -> DataFrame:
-    pairs = blocks.groupBy("e", "i", "j").applyInArrow(_propose(percent, every), "x long, y long").distinct()
+    pairs = (blocks.select("e", "i", "j", "cls", "n", "comp", "side", "sketch").repartition("e", "i", "j").sortWithinPartitions("e", "i", "j")
+             .mapInArrow(_propose(percent, every), "x long, y long").distinct())
     own = sets.select(F.col("cls").alias("x"), F.col("s").alias("sx"))
     other = sets.select(F.col("cls").alias("y"), F.col("s").alias("sy"))
     return pairs.join(own, "x").join(other, "y").select("x", "y", "sx", "sy").mapInArrow(_verify(percent), "x long, y long")
