@@ -32,6 +32,9 @@ class SetConfig:
     calib_gate: LengthGate
     buckets: tuple[Bucket, ...]
     max_messages: int = 12
+    # characters of each text that enter record ids and dedup keys (None: the whole text)
+    id_chars: int | None = None
+    key_chars: int | None = None
 
     def __post_init__(self):
         total = sum(b.target for b in self.buckets)
@@ -41,9 +44,14 @@ class SetConfig:
     def with_quotas(self, n_sft: int, bucket_targets: dict[str, int]) -> "SetConfig":
         bs = tuple(Bucket(b.name, b.min_total, b.max_total, bucket_targets[b.name]) for b in self.buckets)
         return SetConfig(self.seed, n_sft, sum(bucket_targets.values()), self.sft_gate,
-                         self.calib_gate, bs, self.max_messages)
+                         self.calib_gate, bs, self.max_messages, self.id_chars, self.key_chars)
 
 
+# Prefix lengths for ids and keys, for sets that must match prefix-keyed ones
+# (`replace(V2, **PREFIX_KEYS)`); records that differ only later then count as one.
+PREFIX_KEYS = {"id_chars": 300, "key_chars": 500}
+PREFIX_KD_KEYS = {"prompt_key_chars": 500, "gold_key_chars": 300}
+
 # Selection constants of the instruction (v1) generation.
 V1 = SetConfig(
     seed=0, n_sft=30_000, n_calib=1_000,
@@ -74,6 +82,8 @@ class DistillConfig:
     repetition_min_words: int = 8
     repetition_ratio: float = 0.35
     teacher_model: str = "teacher"
+    prompt_key_chars: int | None = None
+    gold_key_chars: int | None = None
     markers: tuple[str, ...] = (
         "<|start_header_id|>", "<|eot_id|>", "assistant\n", "user\n", "system\n",
         "### Instruction:", "### Response:",
@@ -94,12 +104,16 @@ class TrainConfig:
 
 @dataclass(frozen=True)
 class CalibConfig:
-    # Pruning calibration constants (quantisation uses 512 / 2048).
+    # Pruning calibration constants.
     seed: int = 0
     num_samples: int = 1_000
     max_seq_len: int = 1024
 
 
+# Quantisation calibration constants.
+QUANT_CALIB = CalibConfig(num_samples=512, max_seq_len=2048)
+
+
 @dataclass(frozen=True)
 class EvalConfig:
     # Evaluation constants.

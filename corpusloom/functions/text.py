@@ -37,9 +37,9 @@ def normalize(c) -> Column:
     return strip(F.coalesce(col_(c), F.lit("")))
 
 
-def prefix(c, n: int) -> Column:
-    """First ``n`` code points (Python ``s[:n]``)."""
-    return F.substring(col_(c), 1, n)
+def prefix(c, n: int | None) -> Column:
+    """First ``n`` code points (Python ``s[:n]``); the whole text when ``n`` is None."""
+    return col_(c) if n is None else F.substring(col_(c), 1, n)
 
 
 def words(c) -> Column:

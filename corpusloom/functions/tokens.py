@@ -7,7 +7,9 @@ tokenizer can be plugged in through :func:`tokenizer_udf` (Arrow batches).
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column
@@ -35,6 +37,31 @@ def token_ids(c) -> Column:
                                                  + F.ascii(t) % 1_000_000).cast("int"))
 
 
+@dataclass(frozen=True)
+class Tokens:
+    """How a job counts tokens and turns a text into ids (functions of a column)."""
+
+    count: Callable = count_tokens
+    ids: Callable = token_ids
+
+
+DEFAULT_TOKENS = Tokens()
+
+
+def plugged_tokens(make_encoder: Callable[[], Callable[[str], list[int]]]) -> Tokens:
+    """Counts and ids of a user tokenizer: both are sizes and values of one Arrow call."""
+    encode = tokenizer_udf(make_encoder)
+    return Tokens(lambda c: F.coalesce(F.size(encode(col_(c))), F.lit(0)).cast("int"), lambda c: encode(col_(c)))
+
+
+def load_tokens(spec: str | None) -> Tokens:
+    """``module:factory`` -> :func:`plugged_tokens`; None -> the default counter."""
+    if not spec:
+        return DEFAULT_TOKENS
+    module, _, name = spec.partition(":")
+    return plugged_tokens(getattr(importlib.import_module(module), name))
+
+
 def tokenizer_udf(make_encoder: Callable[[], Callable[[str], list[int]]]):
     """Wrap a user tokenizer as an Arrow-batched ``pandas_udf`` returning ``array<int>``.
 

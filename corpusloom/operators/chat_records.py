@@ -80,14 +80,16 @@ def chat_records(chats: DataFrame, cfg: SetConfig = V2, template: C.ChatTemplate
     else:
         total = count(C.render("messages", False, template))
     return ex.select(
-        sha1_join("source_index", "turn_index", prefix(last_user, 300), prefix("target_text", 300)).alias("id"),
+        sha1_join("source_index", "turn_index", prefix(last_user, cfg.id_chars), prefix("target_text", cfg.id_chars)).alias("id"),
         "source_index", "turn_index", "messages", "prompt_messages", "target_text",
         "prompt_tokens",
         count("target_text").alias("target_tokens"),
         total.cast("int").alias("total_tokens"),
         F.size("messages").alias("num_messages"),
-        F.sha1(F.concat(prefix(last_msg, 500), F.lit("|||"), prefix("target_text", 500))).alias("dup_key"),
-        with_sub_order(order_key(cfg.seed, "scan", "source_index"), "turn_index").alias("ord"),
+        F.sha1(F.concat(prefix(last_msg, cfg.key_chars), F.lit("|||"), prefix("target_text", cfg.key_chars))).alias("dup_key"),
+        # the messages themselves break ties of a repeated source key
+        F.concat(with_sub_order(order_key(cfg.seed, "scan", "source_index"), "turn_index"), F.lit(":"),
+                 C.messages_sha("messages")).alias("ord"),
     )
 
 

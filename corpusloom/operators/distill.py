@@ -11,7 +11,7 @@ from corpusloom.functions import chat as C
 from corpusloom.functions.ids import order_key
 from corpusloom.functions.text import clean_lines, normalize, prefix, strip, words
 from corpusloom.functions.tokens import count_tokens
-from corpusloom.operators.sample import first_n_per_key, materialize_bounded
+from corpusloom.operators.sample import first_n_per_key
 
 KD = DistillConfig()
 
@@ -21,8 +21,9 @@ def kd_source(sft_rows: DataFrame, cfg: DistillConfig = KD, template=C.DEFAULT_T
     """Rows of an SFT table that can become distillation prompts, with their keys.
 
     Prompt present, rendered prompt within the token limit, gold target non-blank;
-    dedup key = last user message and gold target prefixes (hashed before the
-    shuffle: same equality, 40 bytes per row).
+    dedup key = last user message and gold target (hashed before the shuffle: same
+    equality, 40 bytes per row). The order value ends in the prompt's own hash, so
+    different prompts that share an id are both kept.
     """
     rows = sft_rows.where(F.col("prompt_messages").isNotNull() & (F.size("prompt_messages") > 0))
     rendered = C.render("prompt_messages", True, template)
@@ -33,17 +34,16 @@ def kd_source(sft_rows: DataFrame, cfg: DistillConfig = KD, template=C.DEFAULT_T
     x = rows.select(
         key.alias("id"), *extra, "prompt_messages", "messages", gold.alias("gold_target"),
         count(rendered).alias("prompt_tokens"),
-        F.sha1(strip(F.concat(prefix(last_user, 500), F.lit("|||"), prefix(gold, 300)))).alias("dup_key"),
-        order_key(cfg.seed, "kd", key).alias("ord"),
+        F.sha1(strip(F.concat(prefix(last_user, cfg.prompt_key_chars), F.lit("|||"), prefix(gold, cfg.gold_key_chars)))).alias("dup_key"),
+        F.concat(order_key(cfg.seed, "kd", key), F.lit(":"), F.sha1(F.concat(C.messages_sha("prompt_messages"), gold))).alias("ord"),
     )
     return x.where((F.col("prompt_tokens") <= cfg.max_prompt_tokens) & (F.col("gold_target") != ""))
 
 
-def kd_prompts(sft_rows: DataFrame, cfg: DistillConfig = KD, n: int | None = None) -> DataFrame:
+def kd_prompts(sft_rows: DataFrame, cfg: DistillConfig = KD, n: int | None = None, count=count_tokens) -> DataFrame:
     """First ``n`` distinct prompts in seeded order (the quota may stay unfilled)."""
     n = cfg.n_kd if n is None else n
-    # at most n rows: safe to keep for the generation, judge and record stages
-    out = materialize_bounded(first_n_per_key(kd_source(sft_rows, cfg), n, "dup_key"))
+    out = first_n_per_key(kd_source(sft_rows, cfg, count=count), n, "dup_key")
     if out.isEmpty():
         raise RuntimeError("No valid KD prompts collected.")
     return out
@@ -85,19 +85,20 @@ def reject_reason(text, cfg: DistillConfig = KD, count=count_tokens) -> Column:
             .otherwise(F.lit("ok")))
 
 
-def judge(prompts: DataFrame, generations: DataFrame, cfg: DistillConfig = KD) -> DataFrame:
-    """Left join prompts to generations (``id, text``): missing output = rejected."""
-    g = generations.select("id", F.col("text").alias("_raw"))
+def judge(prompts: DataFrame, generations: DataFrame, cfg: DistillConfig = KD, count=count_tokens) -> DataFrame:
+    """Left join prompts to generations (``id, text``): missing output = rejected.
+
+    An id that was generated more than once counts once, with its least text, so
+    prompts never multiply.
+    """
+    g = generations.groupBy("id").agg(F.min("text").alias("_raw"))
     j = prompts.join(g, "id", "left")
     cleaned = F.when(F.col("_raw").isNotNull(), clean_teacher_text(F.col("_raw"), cfg.markers))
     j = j.withColumn("teacher_target", cleaned)
-    j = j.withColumn("reason", reject_reason("teacher_target", cfg)).drop("_raw")
-    # one row per selected prompt (quota-bounded): keep it, so that filters on
-    # the verdict are not pushed into the generations' source scan
-    return materialize_bounded(j)
+    return j.withColumn("reason", reject_reason("teacher_target", cfg, count)).drop("_raw")
 
 
-def kd_records(judged: DataFrame, cfg: DistillConfig = KD) -> DataFrame:
+def kd_records(judged: DataFrame, cfg: DistillConfig = KD, count=count_tokens) -> DataFrame:
     """Accepted rows as written records: the teacher answer appended to the prompt."""
     ok = judged.where(F.col("reason") == "ok")
     return ok.select(
@@ -105,7 +106,7 @@ def kd_records(judged: DataFrame, cfg: DistillConfig = KD) -> DataFrame:
         F.concat("prompt_messages", F.array(C.message(F.lit("assistant"), F.col("teacher_target")))).alias("messages"),
         "gold_target", "teacher_target",
         F.struct(F.lit(cfg.teacher_model).alias("teacher_model"), "prompt_tokens",
-                 count_tokens("teacher_target").alias("teacher_target_tokens")).alias("meta"))
+                 count(F.col("teacher_target")).alias("teacher_target_tokens")).alias("meta"))
 
 
 def kd_rejects(judged: DataFrame) -> DataFrame:

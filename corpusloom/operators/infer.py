@@ -60,22 +60,3 @@ def score(df: DataFrame, make: Callable, model_key: str, prompt_col: str = "prom
                                     "logprobs": [None if o is None else o[1] for o in outs]})
 
     return df.select(id_col, prompt_col).mapInPandas(run, "id string, text string, logprobs map<int,double>")
-
-
-def tail_generator():
-    """Stand-in model for tests: answers with the last 120 characters of the prompt."""
-    return lambda prompts: [p[-120:] for p in prompts]
-
-
-def letter_scorer():
-    """Stand-in scorer for tests: logprobs over ids 0..31 from the prompt's last characters."""
-    def fn(prompts):
-        out = []
-        for p in prompts:
-            tail = p[-40:]
-            lp = {}
-            for i, ch in enumerate(tail):
-                lp[ord(ch) % 32] = -float(len(tail) - i) / 10.0
-            out.append((tail[-1:] if tail else "", lp))
-        return out
-    return fn

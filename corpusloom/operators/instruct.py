@@ -62,15 +62,17 @@ def instruct_records(rows: DataFrame, cfg: SetConfig = V1, count=count_tokens) -
     else:
         total = count(F.concat("prompt_text", "target_text"))
     return x.select(
-        sha1_join("source_index", prefix("instruction", 300), prefix("input_text", 300),
-                  prefix("target_text", 300)).alias("id"),
+        sha1_join("source_index", prefix("instruction", cfg.id_chars), prefix("input_text", cfg.id_chars),
+                  prefix("target_text", cfg.id_chars)).alias("id"),
         "source_index",
         F.array(message(F.lit("user"), F.col("_user")), message(F.lit("assistant"), F.col("target_text"))).alias("messages"),
         "prompt_text", "target_text",
         "prompt_tokens", "target_tokens", total.cast("int").alias("total_tokens"),
         (F.col("input_text") != "").alias("has_input"),
-        F.sha1(F.concat(prefix("prompt_text", 500), F.lit("|||"), prefix("target_text", 500))).alias("dup_key"),
-        order_key(cfg.seed, "scan", "source_index").alias("ord"),
+        F.sha1(F.concat(prefix("prompt_text", cfg.key_chars), F.lit("|||"), prefix("target_text", cfg.key_chars))).alias("dup_key"),
+        # the record's own text breaks ties of a repeated source key
+        F.concat(order_key(cfg.seed, "scan", "source_index"), F.lit(":"),
+                 F.sha1(F.concat("prompt_text", F.lit("|||"), "target_text"))).alias("ord"),
     )
 
 

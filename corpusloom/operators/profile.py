@@ -17,10 +17,9 @@ def length_summary(df: DataFrame, group: str, metrics: list[str], ps=DEFAULT_PS)
     running sum over that histogram, whose size is the number of distinct
     lengths, not the number of rows.
     """
-    long = None
-    for m in metrics:
-        part = df.select(F.col(group).alias("group"), F.lit(m).alias("metric"), F.col(m).cast("int").alias("v"))
-        long = part if long is None else long.unionByName(part)
+    # one pass over the input, whatever the number of metrics
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("int").alias("v")) for m in metrics])
+    long = df.select(F.col(group).alias("group"), F.explode(cells).alias("x")).select("group", "x.metric", "x.v")
     hist = long.groupBy("group", "metric", "v").agg(F.count("*").alias("c"))
     w = Window.partitionBy("group", "metric")
     h = (hist.withColumn("cum", F.sum("c").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,62 +24,63 @@ def first_per_key(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-HEX_SPAN = 16 ** 8
+#: A block of order values small enough to be read as it is.
+SMALL_BLOCK = 4096
 
 
-_CACHED: list[DataFrame] = []
+def kth_per_group(df: DataFrame, ks: dict, group: str | None = None, order: str = "ord") -> dict:
+    """Exact k-th smallest order value of every group with at least k rows.
 
-
-def keep(df: DataFrame) -> DataFrame:
-    """Persist an intermediate created by this library (released by :func:`release`)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _CACHED.append(df)
-    return df
-
-
-def release() -> None:
-    """Unpersist every intermediate this library persisted (user caches untouched)."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
-
-
-def materialize_bounded(df: DataFrame) -> DataFrame:
-    """Persist a result whose size is bounded by a quota and fill the cache now,
-    so every later stage (and every later threshold job) reads it instead of
-    re-running its lineage. Lost blocks are recomputed from lineage."""
-    df = keep(df)
-    df.count()
-    return df
-
-
-def order_cut(frac: float) -> str | None:
-    """String cut below which a fraction ``frac`` of sha1-hex order keys fall
-    (None = no cut). Used only to shrink work; results never depend on it."""
-    v = int(frac * HEX_SPAN)
-    return None if v >= HEX_SPAN else f"{v:08x}"
-
-
-def order_histogram(df: DataFrame, order: str = "ord", prefix_len: int = 4) -> list[tuple[str, int]]:
-    """Row counts per order-key prefix, sorted (at most 16**prefix_len rows for hex keys)."""
-    p = F.substring(F.col(order), 1, prefix_len)
-    return sorted((r["p"], r["c"]) for r in df.groupBy(p.alias("p")).agg(F.count("*").alias("c")).collect())
-
-
-def kth_order_value(df: DataFrame, k: int, order: str = "ord", prefix_len: int = 4, hist=None):
-    """Exact k-th smallest value of a unique string order column (None when the
-    table has fewer than ``k`` rows), without funnelling k rows per partition
-    into one task: a prefix histogram locates the block holding the k-th value,
-    and only that block goes through TakeOrdered."""
-    if k <= 0:
-        return ""
-    hist = order_histogram(df, order, prefix_len) if hist is None else hist
-    before = 0
-    for pref, c in hist:
-        if before + c >= k:
-            block = df.where(F.substring(F.col(order), 1, prefix_len) == F.lit(pref)).select(order)
-            return block.orderBy(F.col(order).asc()).limit(k - before).agg(F.max(order)).first()[0]
-        before += c
-    return None
+    ``ks`` maps a group value to its k (one group, named None, without ``group``).
+    Counts by order prefix, four more characters each time, narrow every group to a
+    block of at most ``SMALL_BLOCK`` values, which is read and sorted. All groups
+    share the jobs; the driver reads prefix counts, never more than 65,536 a group.
+    """
+    g = F.col(group) if group else F.lit(None).cast("string")
+    at, left, found = dict.fromkeys(ks, ""), {v: k for v, k in ks.items() if k > 0}, {}
+    size: dict = {}
+    while left:
+        here = F.lit(False)
+        for v in left:
+            here = here | (g.eqNullSafe(F.lit(v)) & F.col(order).startswith(at[v]))
+        rows = df.where(here).select(g.alias("g"), F.col(order).alias("o"))
+        small = [v for v in left if size.get(v, SMALL_BLOCK + 1) <= SMALL_BLOCK]
+        if len(small) == len(left):
+            blocks: dict = {}
+            for r in rows.collect():
+                blocks.setdefault(r["g"], []).append(r["o"])
+            return found | {v: sorted(blocks[v])[k - 1] for v, k in left.items()}
+        depth = {v: len(at[v]) + (0 if v in small else 4) for v in left}
+        hist: dict = {}
+        for r in rows.groupBy("g", F.substring("o", F.lit(1), _depth_of(depth)).alias("p")).agg(F.count("*").alias("c")).collect():
+            hist.setdefault(r["g"], []).append((r["p"], r["c"]))
+        for v in list(left):
+            if v in small:
+                continue
+            for p, c in sorted(hist.get(v, [])):
+                if c >= left[v]:
+                    if p == at[v]:                   # equal values to the end: this is the value
+                        found[v] = p
+                        left.pop(v)
+                    at[v], size[v] = p, c
+                    break
+                left[v] -= c
+            else:
+                left.pop(v)                          # fewer rows than k
+    return found
+
+
+def _depth_of(depth: dict):
+    """Prefix length by group, for the column ``g``."""
+    out = F.lit(4)
+    for v, n in depth.items():
+        out = F.when(F.col("g").eqNullSafe(F.lit(v)), n).otherwise(out)
+    return out
+
+
+def kth_order_value(df: DataFrame, k: int, order: str = "ord"):
+    """Exact k-th smallest order value (None when there are fewer rows, '' for k <= 0)."""
+    return "" if k <= 0 else kth_per_group(df, {None: k}, None, order).get(None)
 
 
 def take_first_n(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
@@ -95,81 +95,55 @@ def take_first_n(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
     return df if t is None else df.where(F.col(order) <= F.lit(t))
 
 
-def _semi(df: DataFrame, chosen: DataFrame, order: str, bound: int | None, broadcast_limit: int = 1_000_000):
-    """Rows of ``df`` whose order value was chosen, one row per value (rows with
-    equal source keys are one record; a repeated key must not repeat a pick)."""
-    keys = chosen.select(order)
-    if bound is not None and bound <= broadcast_limit:
-        keys = F.broadcast(keys)   # size bounded by the quota
-    return df.join(keys, order, "left_semi").dropDuplicates([order])
-
+def _semi(df: DataFrame, chosen: DataFrame, order: str) -> DataFrame:
+    """Rows of ``df`` whose order value was chosen; adaptive execution picks the join
+    from measured sizes. The order value ends in a hash of the record, so rows that
+    share one are the same record, which is returned once."""
+    return df.join(chosen.select(order), order, "left_semi").dropDuplicates([order])
 
-def first_n_per_key(df: DataFrame, n: int, key: str, order: str = "ord", persist: bool = True) -> DataFrame:
-    """Scan in ``order``, take a row if its ``key`` is new, stop after ``n`` rows.
 
-    Equals ``take_first_n(first_per_key(df))`` but only dedups a prefix of the
-    order: with a uniform order key, the rows below a cut covering ~n rows are
-    enough once they hold ``n`` distinct keys (every key's first row below the
-    cut is its global first row, and all of them precede any row past the cut).
-    The cut grows until that holds, ending at the whole table; the dedup shuffle
-    therefore moves about ``n`` rows instead of the table.
-    """
+def first_n_per_key(df: DataFrame, n: int, key: str, order: str = "ord") -> DataFrame:
+    """Scan in ``order``, take a row if its ``key`` is new, stop after ``n`` rows: the
+    first row of every key, cut at the ``n``-th order value of those."""
     if n <= 0:
         return df.limit(0)
-    narrow = df.select(order, key)
-    if persist:
-        narrow = keep(narrow)
-    total = narrow.count()
-    frac = min(1.0, (2.0 * n + 256) / max(total, 1))
-    while True:
-        cut = order_cut(frac)
-        sub = narrow if cut is None else narrow.where(F.col(order) < F.lit(cut))
-        firsts = keep(first_per_key(sub, key, order).select(order))
-        hist = order_histogram(firsts, order)
-        if cut is None or sum(c for _, c in hist) >= n:
-            break
-        firsts.unpersist()
-        frac = min(1.0, frac * 4)
-    t = kth_order_value(firsts, n, order, hist=hist)
-    chosen = firsts if t is None else firsts.where(F.col(order) <= F.lit(t))
-    return _semi(df, chosen, order, n)
+    firsts = first_per_key(df.select(order, key), key, order).select(order)
+    return _semi(df, take_first_n(firsts, n, order), order)
 
 
 def take_first_n_per_group(df: DataFrame, group: str, n: int | None, order: str = "ord") -> DataFrame:
     """First ``n`` rows of every group by ``order``; all rows when ``n`` is None.
 
-    ``row_number() <= n`` gets a partial ``WindowGroupLimit``: at most n rows
-    per group leave each map task.
+    ``group`` has few values (tasks). Their thresholds come from narrow counts; the
+    wide rows are filtered, never shuffled.
     """
     if n is None:
         return df
-    w = Window.partitionBy(group).orderBy(F.col(order).asc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    narrow = df.select(group, order)
+    names = [r[0] for r in narrow.select(group).distinct().collect()]
+    last = kth_per_group(narrow, dict.fromkeys(names, n), group, order)
+    keep = F.lit(True)
+    for v, cut in last.items():
+        keep = keep & (~F.col(group).eqNullSafe(F.lit(v)) | (F.col(order) <= F.lit(cut)))
+    return df.where(keep) if n > 0 else df.limit(0)
 
 
 def _closing_rounds(live: DataFrame, key: str, bucket: str, quotas: dict[str, int], order: str):
-    """Closing rounds on ``live``: returns (filter keeping takeable rows, closed buckets)."""
+    """Condition on ``live`` that keeps the rows a greedy scan may still take."""
     cuts: dict[str, str] = {}
     cond = F.lit(True)
-    for _ in range(len(quotas) + 1):
+    for _ in range(len(quotas)):
         first = first_per_key(live.where(cond), key, order)
-        parts = None
-        for b in [b for b in quotas if b not in cuts]:
-            top = (first.where(F.col(bucket) == b).select(order).orderBy(F.col(order).asc())
-                   .limit(quotas[b]).agg(F.lit(b).alias("b"), F.count("*").alias("n"),
-                                         F.max(order).alias("cut")))
-            parts = top if parts is None else parts.unionByName(top)
-        full = [] if parts is None else [r for r in parts.collect() if r["n"] >= quotas[r["b"]]]
+        full = kth_per_group(first.select(bucket, order), {b: q for b, q in quotas.items() if b not in cuts}, bucket, order)
         if not full:
             break
-        win = min(full, key=lambda r: r["cut"])
-        cuts[win["b"]] = win["cut"]
-        cond = cond & ~((F.col(bucket) == win["b"]) & (F.col(order) > win["cut"]))
-    return cond, set(cuts)
+        win = min(full, key=full.get)
+        cuts[win] = full[win]
+        cond = cond & ~((F.col(bucket) == win) & (F.col(order) > full[win]))
+    return cond
 
 
-def quota_sample(df: DataFrame, key: str, bucket: str, quotas: dict[str, int],
-                 order: str = "ord", persist: bool = True) -> DataFrame:
+def quota_sample(df: DataFrame, key: str, bucket: str, quotas: dict[str, int], order: str = "ord") -> DataFrame:
     """Greedy scan with per-bucket quotas and one shared ``seen`` set, done exactly.
 
     Greedy rule: walk rows by ``order``; take a row when its bucket is not full
@@ -181,32 +155,13 @@ def quota_sample(df: DataFrame, key: str, bucket: str, quotas: dict[str, int],
     rows of that bucket (they can neither be taken nor mark a key), dedup again.
     Each round closes one bucket, so there are at most ``len(quotas) + 1``
     rounds, each returning one small row per bucket to the driver.
-
-    Early exit: the greedy decisions on a prefix of the order are those of the
-    full scan, and once every bucket is full nothing later is taken. So the
-    rounds first run on an order prefix sized from the bucket counts, and the
-    prefix grows only if some bucket is still open at its end.
     """
     active = {b: q for b, q in quotas.items() if q > 0}
-    narrow = df.select(order, key, bucket).where(F.col(bucket).isin(*active))
-    if persist:
-        narrow = keep(narrow)
-    counts = {r[bucket]: r["c"] for r in narrow.groupBy(bucket).agg(F.count("*").alias("c")).collect()}
     if not active:
         return df.limit(0)
-    if any(counts.get(b, 0) < q for b, q in active.items()):
-        frac = 1.0
-    else:
-        frac = min(1.0, max((2.0 * q + 64) / counts[b] for b, q in active.items()))
-    while True:
-        cut = order_cut(frac)
-        live = narrow if cut is None else narrow.where(F.col(order) < F.lit(cut))
-        cond, closed = _closing_rounds(live, key, bucket, active, order)
-        if cut is None or len(closed) == len(active):
-            break
-        frac = min(1.0, frac * 4)
-    chosen = first_per_key(live.where(cond), key, order).select(order)
-    return _semi(df, chosen, order, sum(active.values()))
+    live = df.select(order, key, bucket).where(F.col(bucket).isin(*active))
+    cond = _closing_rounds(live, key, bucket, active, order)
+    return _semi(df, first_per_key(live.where(cond), key, order), order)
 
 
 def split_train_eval(df: DataFrame, ratio: float, order: str = "ord") -> DataFrame:

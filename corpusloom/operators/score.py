@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import EvalConfig
+from corpusloom.functions.text import normalize
 
 EVAL = EvalConfig()
 NEG = -1e30
 
 
 def letter_token_ids(encode, k: int) -> list[list[int]]:
-    """Per letter ``A..``: sorted ids of ``"A"`` and ``" A"`` that encode to a single
-    token (possibly none). Computed once on the driver; ``k`` is at most 26."""
-    out = []
-    for i in range(k):
-        ids = set()
-        for s in (chr(65 + i), " " + chr(65 + i)):
-            enc = list(encode(s))
-            if len(enc) == 1:
-                ids.add(enc[0])
-        out.append(sorted(ids))
-    return out
+    """Which single tokens stand for each of the first ``k`` letters, with and without
+    a space before it; a letter may have none. ``encode`` gives the ids of a string."""
+    forms = [(i, lead + string.ascii_uppercase[i]) for i in range(k) for lead in ("", " ")]
+    single = [(i, ids[0]) for i, form in forms if len(ids := list(encode(form))) == 1]
+    return [sorted({t for j, t in single if j == i}) for i in range(k)]
 
 
 def choose_letter(logprobs, letter_ids: list[list[int]], k) -> Column:
@@ -36,7 +33,8 @@ def choose_letter(logprobs, letter_ids: list[list[int]], k) -> Column:
     lp = F.col(logprobs) if isinstance(logprobs, str) else logprobs
     table = F.array(*[F.array(*[F.lit(t) for t in ids]).cast("array<int>") for ids in letter_ids])
     k = F.lit(k) if isinstance(k, int) else k
-    cands = F.slice(table, 1, F.greatest(k, F.lit(0)))
+    short = F.raise_error(F.concat(F.lit(f"the letter table has {len(letter_ids)} letters, a question has "), k.cast("string")))
+    cands = F.when(k > len(letter_ids), short.cast("array<array<int>>")).otherwise(F.slice(table, 1, F.greatest(k, F.lit(0))))
 
     def per_letter(a, i):
         ok = F.filter(a, lambda t: (F.try_element_at(lp, t) > F.lit(NEG)) & ~F.isnan(F.try_element_at(lp, t)))
@@ -51,7 +49,7 @@ def predict(df: DataFrame, letter_ids: list[list[int]], logprobs: str = "logprob
     """Predicted index or null (unknown): no output -> unknown; logprob letter; else
     the first character of the generated text if it is one of the ``k`` letters."""
     lp_pick = choose_letter(logprobs, letter_ids, F.col(k))
-    first = F.upper(F.substring(F.btrim(F.coalesce(F.col(text), F.lit(""))), 1, 1))
+    first = F.upper(F.substring(normalize(text), 1, 1))
     fallback = F.when((F.length(first) == 1) & (F.ascii(first) >= 65) & (F.ascii(first) < 65 + F.col(k)),
                       F.ascii(first) - 65)
     no_output = F.col(logprobs).isNull() & F.col(text).isNull()
@@ -91,11 +89,10 @@ def model_name(path) -> Column:
 
 def accuracy_pivot(m: DataFrame, models: list[str], order=EVAL.dataset_order) -> DataFrame:
     """Datasets (fixed order, others dropped) x models -> acc; duplicates raise."""
-    dup = m.groupBy("model", "dataset").count().where(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError("duplicate (model, dataset) rows in metrics")
     order_arr = F.array(*[F.lit(d) for d in order])
-    pv = m.where(F.col("dataset").isin(*order)).groupBy("dataset").pivot("model", models).agg(F.first("acc"))
+    one = m.where(F.col("dataset").isin(*order)).groupBy("dataset", "model").agg(F.first("acc").alias("acc"), F.count("*").alias("k"))
+    checked = F.when(F.col("k") > 1, F.raise_error(F.lit("duplicate (model, dataset) rows in metrics")).cast("double")).otherwise(F.col("acc"))
+    pv = one.select("dataset", "model", checked.alias("acc")).groupBy("dataset").pivot("model", models).agg(F.first("acc"))
     return pv.withColumn("pos", F.array_position(order_arr, F.col("dataset")).cast("int")).orderBy("pos")
 
 

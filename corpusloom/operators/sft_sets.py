@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import LengthGate, SetConfig
-from corpusloom.session import checkpoint_dir
+from corpusloom.session import scratch_path
 from corpusloom.functions.ids import order_key
-from corpusloom.operators.sample import first_n_per_key, materialize_bounded, quota_sample
+from corpusloom.operators.sample import first_n_per_key, quota_sample
 
 
 def gate(g: LengthGate, total: str = "total_tokens", target: str = "target_tokens") -> Column:
@@ -35,33 +35,29 @@ NARROW = ("id", "source_index", "turn_index", "ord", "dup_key", "prompt_tokens",
           "has_input", "num_messages")
 
 
-def narrow(records: DataFrame, persist: bool = True) -> DataFrame:
-    """The selection columns of a records table, checkpointed once.
+def narrow(records: DataFrame) -> DataFrame:
+    """The selection columns of a records table, written once as Parquet below the
+    shared checkpoint folder.
 
-    Every selection (SFT first-N, each calibration round, the thresholds) reads
-    this table instead of re-tokenising the texts. It is written to the shared
-    checkpoint folder, which cuts the lineage: losing an executor never sends a
-    later round back through the turn windows and tokenisation. The checkpoint
-    is also where length filters stop, so they never run inside the scan. Wide
-    rows come back by ``ord`` only for the selected rows (:func:`attach`).
+    Every selection (SFT first-N, each calibration round, the thresholds) reads the
+    columns it needs of this table instead of re-tokenising the texts, and losing
+    an executor never sends a later round back to the source. Wide rows come back
+    by ``ord`` only for the selected rows (:func:`attach`).
     """
-    n = records.select(*[c for c in NARROW if c in records.columns])
-    if not persist:
-        return n
-    checkpoint_dir(records.sparkSession)
-    return n.checkpoint(eager=True)
+    return kept(records.select(*[c for c in NARROW if c in records.columns]), "narrow")
 
 
-def attach(selected: DataFrame, records: DataFrame, bound: int | None = None,
-           broadcast_limit: int = 1_000_000) -> DataFrame:
-    """Wide rows of the selected ``ord`` values. The selection is broadcast only
-    when its size is bounded by a quota known to be small; otherwise a shuffle
-    semi join is used. A quota-bounded result is persisted: it feeds several
-    downstream stages and never exceeds ``bound`` rows."""
-    keys = selected.select("ord").distinct()
-    if bound is not None and bound <= broadcast_limit:
-        return materialize_bounded(records.join(F.broadcast(keys), "ord", "left_semi").dropDuplicates(["ord"]))
-    return records.join(keys, "ord", "left_semi").dropDuplicates(["ord"])
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def attach(selected: DataFrame, records: DataFrame) -> DataFrame:
+    """Wide rows of the selected ``ord`` values."""
+    return records.join(selected.select("ord").distinct(), "ord", "left_semi").dropDuplicates(["ord"])
 
 
 def sft_candidates(records: DataFrame, cfg: SetConfig) -> DataFrame:
@@ -83,7 +79,7 @@ def sft_sample(records: DataFrame, cfg: SetConfig, n: int | None = None) -> Data
 def calib_sample(records: DataFrame, cfg: SetConfig) -> DataFrame:
     """Bucketed quota sample with one dedup set across buckets."""
     quotas = {b.name: b.target for b in cfg.buckets}
-    return quota_sample(calib_candidates(records, cfg), "dup_key", "bucket", quotas, persist=False)
+    return quota_sample(calib_candidates(records, cfg), "dup_key", "bucket", quotas)
 
 
 def output_order(df: DataFrame, cfg: SetConfig, stage: str) -> DataFrame:

@@ -3,7 +3,7 @@ train/eval split, left/right truncation, assistant-only labels, padded batches."
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import CalibConfig, TrainConfig
@@ -74,9 +74,11 @@ def tokenize_train(tr: DataFrame, cfg: TrainConfig = TRAIN, ids_fn=token_ids) ->
 def pad_batches(tok: DataFrame, batch_size: int, cfg: TrainConfig = TRAIN, order: str = "ord") -> DataFrame:
     """Consecutive batches in ``order``; each row padded to its batch's longest row.
     Padded labels are -100 by attention mask (a real pad-equal token keeps its label)."""
-    x = global_index(tok, order).withColumn("batch_id", F.floor(F.col("idx") / batch_size))
-    w = Window.partitionBy("batch_id")
-    x = x.withColumn("_len", F.size("input_ids")).withColumn("_max", F.max("_len").over(w))
+    # only (order, length) is numbered and grouped; the arrays are joined to their batch once
+    spots = (global_index(tok.select(order, F.size("input_ids").alias("_len")), order)
+             .select(order, "_len", F.floor(F.col("idx") / batch_size).alias("batch_id"), "idx"))
+    longest = spots.groupBy("batch_id").agg(F.max("_len").alias("_max"))
+    x = tok.join(spots.join(longest, "batch_id"), order)
     pad = F.greatest(F.col("_max") - F.col("_len"), F.lit(0))
     return (x.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.col("_len")), F.array_repeat(F.lit(0), pad)))
             .withColumn("input_ids", F.concat("input_ids", F.array_repeat(F.lit(cfg.pad_id), pad)))

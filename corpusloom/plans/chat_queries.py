@@ -15,6 +15,7 @@ from corpusloom.sources.fixtures import chat_from_turns, normalized_turns, table
 # Test quotas: sized so every quota fills at sf0.001 .. sf0.1 (library defaults are V2's).
 V2_TEST = V2.with_quotas(25, {"short": 10, "mid": 15, "long": 2})
 TRUNC_K = 4
+NO_LIMIT = 1_000_000_000
 
 
 def v2_records(spark, sf_dir, cfg=V2):
@@ -44,13 +45,12 @@ ex0 AS (SELECT * FROM pos WHERE m[i + 1].role = 'assistant'
 ex AS (SELECT source_index, CAST(row_number() OVER (PARTITION BY source_index ORDER BY i) - 1 AS INTEGER) AS turn_index,
         list_slice(m, 1, i) AS pm, m[i + 1].content AS target, list_slice(m, 1, i + 1) AS mm FROM ex0),
 rec AS (SELECT sha1(CAST(source_index AS VARCHAR) || '|||' || CAST(turn_index AS VARCHAR) || '|||' ||
-          substring(coalesce(list_filter(pm, lambda x: x.role = 'user')[-1].content, ''), 1, 300) || '|||' ||
-          substring(target, 1, 300)) AS id,
+          coalesce(list_filter(pm, lambda x: x.role = 'user')[-1].content, '') || '|||' || target) AS id,
         source_index, turn_index, pm, target, mm,
         {Q.ntok(Q.render('pm', True))} AS prompt_tokens, {Q.ntok('target')} AS target_tokens,
         {Q.ntok(Q.render('mm', False))} AS total_tokens, CAST(len(mm) AS INTEGER) AS num_messages,
-        sha1(substring(pm[-1].content, 1, 500) || '|||' || substring(target, 1, 500)) AS dup_key,
-        {Q.sub_ord(Q.okey(cfg.seed, 'scan', 'source_index'), 'turn_index')} AS ord
+        sha1(pm[-1].content || '|||' || target) AS dup_key,
+        {Q.sub_ord(Q.okey(cfg.seed, 'scan', 'source_index'), 'turn_index')} || ':' || {Q.msha('mm')} AS ord
         FROM ex)"""
 
 
@@ -92,6 +92,19 @@ def chat_normalized(spark, sf_dir):
     return normalized_turns(table(spark, sf_dir, "conversations"))
 
 
+@query("chat_normalized_arrays", sql=f"""WITH {sql_chat_arrays(NO_LIMIT)}
+SELECT source_index, CAST(len(m0) AS INTEGER) AS num_messages, {Q.roles('m0')} AS roles, {Q.msha('m0')} AS messages_sha
+FROM cm""")
+def chat_normalized_arrays(spark, sf_dir):
+    """``normalize_messages`` on whole raw conversations (one array per conversation)."""
+    raw = (table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("source_index"))
+           .agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("r")))
+    m = C.normalize_messages(F.transform("r", lambda x: C.message(x["role"], x["content"])))
+    return (raw.select("source_index", m.alias("m")).where(F.size("m") > 0)
+            .select("source_index", F.size("m").alias("num_messages"), C.roles_joined("m").alias("roles"),
+                    C.messages_sha("m").alias("messages_sha")))
+
+
 @query("chat_truncated", sql=f"""WITH {sql_chat_arrays(TRUNC_K)}
 SELECT source_index, CAST(len(m) AS INTEGER) AS num_messages, {Q.roles('m')} AS roles, {Q.msha('m')} AS messages_sha
 FROM ct""")
@@ -132,7 +145,7 @@ def chat_records_q(spark, sf_dir):
 @query("sft_accept_v2", sql=f"""WITH {sql_chat_records()}
 SELECT id, source_index, turn_index, total_tokens, target_tokens FROM rec WHERE {sql_gate(V2.sft_gate)}""")
 def sft_accept_v2(spark, sf_dir):
-    return S.sft_candidates(v2_narrow(spark, sf_dir), V2).select(
+    return S.sft_candidates(v2_records(spark, sf_dir), V2).select(
         "id", "source_index", "turn_index", "total_tokens", "target_tokens")
 
 

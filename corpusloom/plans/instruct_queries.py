@@ -48,15 +48,15 @@ a1 AS (SELECT source_index, {Q.norm('instruction')} AS instruction, {Q.norm('inp
         {Q.norm('output')} AS target_text FROM a0),
 a2 AS (SELECT *, CASE WHEN input_text <> '' THEN {with_in} ELSE {no_in} END AS prompt_text
        FROM a1 WHERE instruction <> '' AND target_text <> ''),
-arec AS (SELECT sha1(CAST(source_index AS VARCHAR) || '|||' || substring(instruction, 1, 300) || '|||' ||
-          substring(input_text, 1, 300) || '|||' || substring(target_text, 1, 300)) AS id,
+arec AS (SELECT sha1(CAST(source_index AS VARCHAR) || '|||' || instruction || '|||' || input_text || '|||' ||
+          target_text) AS id,
         source_index, prompt_text, target_text,
         CASE WHEN input_text <> '' THEN instruction || chr(10) || chr(10) || 'Input:' || chr(10) || input_text
              ELSE instruction END AS user_content,
         {Q.ntok('prompt_text')} AS prompt_tokens, {Q.ntok('target_text')} AS target_tokens,
         {Q.ntok('prompt_text || target_text')} AS total_tokens, input_text <> '' AS has_input,
-        sha1(substring(prompt_text, 1, 500) || '|||' || substring(target_text, 1, 500)) AS dup_key,
-        {Q.okey(cfg.seed, 'scan', 'source_index')} AS ord FROM a2)"""
+        sha1(prompt_text || '|||' || target_text) AS dup_key,
+        {Q.okey(cfg.seed, 'scan', 'source_index')} || ':' || sha1(prompt_text || '|||' || target_text) AS ord FROM a2)"""
 
 
 SQL_BOTH = f"WITH RECURSIVE {sql_alpaca_records()}, {sql_chat_records()}"
@@ -101,7 +101,7 @@ def dedup_keys(spark, sf_dir):
 @query("sft_accept_v1", sql=f"""WITH {sql_alpaca_records()}
 SELECT id, source_index, total_tokens, target_tokens, has_input FROM arec WHERE {sql_gate(V1.sft_gate)}""")
 def sft_accept_v1(spark, sf_dir):
-    return S.sft_candidates(v1_narrow(spark, sf_dir), V1).select(
+    return S.sft_candidates(v1_records(spark, sf_dir), V1).select(
         "id", "source_index", "total_tokens", "target_tokens", "has_input")
 
 
@@ -112,9 +112,9 @@ UNION ALL
 SELECT 'v2', source_index, turn_index, {sql_bucket(V2)} FROM rec
  WHERE {sql_gate(V2.calib_gate)} AND {sql_bucket(V2)} IS NOT NULL""")
 def calib_buckets(spark, sf_dir):
-    a = S.calib_candidates(v1_narrow(spark, sf_dir), V1).select(
+    a = S.calib_candidates(v1_records(spark, sf_dir), V1).select(
         F.lit("v1").alias("version"), "source_index", F.lit(-1).alias("turn_index"), "bucket")
-    b = S.calib_candidates(v2_narrow(spark, sf_dir), V2).select(
+    b = S.calib_candidates(v2_records(spark, sf_dir), V2).select(
         F.lit("v2").alias("version"), "source_index", "turn_index", "bucket")
     return a.unionByName(b)
 
@@ -182,13 +182,15 @@ def length_summary_q(spark, sf_dir):
     r1 = v1_narrow(spark, sf_dir, V1_TEST)
     r2 = v2_narrow(spark, sf_dir, V2_TEST)
     cols = ["total_tokens", "target_tokens"]
+    picked = [S.kept(x, "picked") for x in (S.sft_sample(r1, V1_TEST), S.sft_sample(r2, V2_TEST),
+                                            S.calib_sample(r1, V1_TEST), S.calib_sample(r2, V2_TEST))]
     sets = [
         r1.select(F.lit("records_v1").alias("set"), *cols),
         r2.select(F.lit("records_v2").alias("set"), *cols),
-        S.sft_sample(r1, V1_TEST).select(F.lit("sft_v1").alias("set"), *cols),
-        S.sft_sample(r2, V2_TEST).select(F.lit("sft_v2").alias("set"), *cols),
-        S.calib_sample(r1, V1_TEST).select(F.lit("calib_v1").alias("set"), *cols),
-        S.calib_sample(r2, V2_TEST).select(F.lit("calib_v2").alias("set"), *cols),
+        picked[0].select(F.lit("sft_v1").alias("set"), *cols),
+        picked[1].select(F.lit("sft_v2").alias("set"), *cols),
+        picked[2].select(F.lit("calib_v1").alias("set"), *cols),
+        picked[3].select(F.lit("calib_v2").alias("set"), *cols),
     ]
     allsets = sets[0]
     for s in sets[1:]:

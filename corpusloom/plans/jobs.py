@@ -19,7 +19,7 @@ from corpusloom.operators.chat_records import with_meta as chat_meta
 from corpusloom.operators.instruct import instruct_records
 from corpusloom.operators.instruct import with_meta as instruct_meta
 from corpusloom.operators.profile import length_summary
-from corpusloom.operators.sample import release
+from corpusloom.functions.tokens import DEFAULT_TOKENS, count_tokens
 from corpusloom.sources import jsonl as J
 from corpusloom.sources.tables import with_progress
 
@@ -27,9 +27,9 @@ from corpusloom.sources.tables import with_progress
 def _write_sets(records: DataFrame, cfg: SetConfig, out_dir: str, meta, num_files: int | None):
     observed, progress = with_progress(records, "scan", sft_gate=S.gate(cfg.sft_gate),
                                        calib_gate=S.gate(cfg.calib_gate) & S.bucket_of(cfg).isNotNull())
-    nar = S.narrow(observed)   # the checkpoint job fills the counters
-    sft = S.attach(S.sft_sample(nar, cfg), records, bound=cfg.n_sft)
-    cal = S.attach(S.calib_sample(nar, cfg), records, bound=cfg.n_calib)
+    nar = S.narrow(observed)   # writing the narrow table fills the counters
+    sft = S.kept(S.attach(S.sft_sample(nar, cfg), records), "sft")
+    cal = S.kept(S.attach(S.calib_sample(nar, cfg), records), "calib")
     n_sft = S.check_quota(sft, cfg.n_sft, "SFT")
     n_cal = S.check_quota(cal, cfg.n_calib, "calib")
     J.write_jsonl(meta(S.output_order(sft, cfg, "sft_out")), f"{out_dir}/sft_{cfg.n_sft}", num_files)
@@ -41,19 +41,19 @@ def _write_sets(records: DataFrame, cfg: SetConfig, out_dir: str, meta, num_file
     # both reports are aggregates of a few rows (sets x metrics, buckets)
     summary = [r.asDict() for r in length_summary(both, "set", ["total_tokens", "target_tokens"]).collect()]
     bucket_rows = {r["bucket"]: r["count"] for r in buckets.collect()}
-    release()
     return counts, summary, bucket_rows
 
 
-def build_chat_sets(chats: DataFrame, out_dir: str, cfg: SetConfig = V2, num_files: int | None = None):
+def build_chat_sets(chats: DataFrame, out_dir: str, cfg: SetConfig = V2, num_files: int | None = None, count=count_tokens):
     """``(source_index, messages)`` -> ``sft_<N>`` and ``calib_<N>`` JSONL; returns
     (counts, length-summary rows, bucket counts). Raises when a quota is not met."""
-    return _write_sets(chat_records(chats, cfg), cfg, out_dir, chat_meta, num_files)
+    return _write_sets(chat_records(chats, cfg, count=count), cfg, out_dir, chat_meta, num_files)
 
 
-def build_instruction_sets(rows: DataFrame, out_dir: str, cfg: SetConfig = V1, num_files: int | None = None):
+def build_instruction_sets(rows: DataFrame, out_dir: str, cfg: SetConfig = V1, num_files: int | None = None,
+                           count=count_tokens):
     """``(source_index, instruction, input, output)`` -> SFT and calibration JSONL."""
-    return _write_sets(instruct_records(rows, cfg), cfg, out_dir, instruct_meta, num_files)
+    return _write_sets(instruct_records(rows, cfg, count=count), cfg, out_dir, instruct_meta, num_files)
 
 
 def build_eval_corpus(spark: SparkSession, raws: dict[str, DataFrame], out_dir: str, style: str = "chat",
@@ -64,11 +64,11 @@ def build_eval_corpus(spark: SparkSession, raws: dict[str, DataFrame], out_dir:
 
 
 def build_kd_set(sft_rows: DataFrame, generations: DataFrame, out_path: str, cfg: DistillConfig = D.KD,
-                 num_files: int | None = None):
+                 num_files: int | None = None, count=count_tokens):
     """SFT rows + teacher generations ``(id, text)`` -> KD JSONL; returns reject counts."""
-    prompts = D.kd_prompts(sft_rows, cfg)
-    judged = D.judge(prompts, generations, cfg)
-    J.write_jsonl(D.kd_records(judged, cfg), out_path, num_files)
+    prompts = D.kd_prompts(sft_rows, cfg, count=count)
+    judged = S.kept(D.judge(prompts, generations, cfg, count), "judged")     # read by both outputs
+    J.write_jsonl(D.kd_records(judged, cfg, count), out_path, num_files)
     return D.kd_rejects(judged)
 
 
@@ -87,28 +87,29 @@ def evaluate(predictions: DataFrame, letter_ids: list[list[int]], models: list[s
     return SC.order_metrics(m, cfg.dataset_order), SC.accuracy_pivot(m, models, cfg.dataset_order)
 
 
-def prepare_training(sft_rows: DataFrame, out_dir: str, cfg=None, num_files: int | None = None) -> dict:
+def prepare_training(sft_rows: DataFrame, out_dir: str, cfg=None, num_files: int | None = None, tokens=DEFAULT_TOKENS) -> dict:
     """SFT records -> tokenized ``train`` / ``eval`` tables (input_ids, labels) with the
-    keep gate and seeded hold-out; returns row counts."""
+    keep gate and seeded hold-out; returns row counts. Texts are rendered, measured
+    and kept once; the threshold reads only the order column of that table."""
     from corpusloom.config import TrainConfig
     from corpusloom.operators import trainprep as TP
     cfg = cfg or TrainConfig()
-    tok = TP.tokenize_train(TP.train_eval_split(TP.keep_trainable(TP.train_rows(sft_rows, cfg), cfg), cfg), cfg)
+    rows = S.kept(TP.keep_trainable(TP.train_rows(sft_rows, cfg, count=tokens.count), cfg), "train")
+    tok = TP.tokenize_train(TP.train_eval_split(rows, cfg), cfg, tokens.ids)
     out = tok.select("id", "split", "input_ids", "labels", "prompt_len_raw", "full_len_raw", "sup_after_trunc")
     (out.repartition(num_files) if num_files else out).write.mode("overwrite").partitionBy("split").parquet(out_dir)
-    counts = {r["split"]: r["n"] for r in out.groupBy("split").agg(F.count("*").alias("n")).collect()}
-    release()
-    return counts
+    written = sft_rows.sparkSession.read.parquet(out_dir)
+    return {r["split"]: r["n"] for r in written.groupBy("split").agg(F.count("*").alias("n")).collect()}
 
 
-def prepare_calibration(calib_rows: DataFrame, out_dir: str, cfg=None) -> dict:
+def prepare_calibration(calib_rows: DataFrame, out_dir: str, cfg=None, tokens=DEFAULT_TOKENS) -> dict:
     """Calibration records -> rendered, shuffled, first-n, right-truncated token rows."""
     from corpusloom.config import CalibConfig
     from corpusloom.operators import trainprep as TP
     from corpusloom.operators.profile import length_summary as ls
     cfg = cfg or CalibConfig()
-    tok = TP.calib_tokens(TP.calib_select(TP.calib_text(calib_rows), cfg), cfg)
+    tok = TP.calib_tokens(TP.calib_select(TP.calib_text(calib_rows), cfg), cfg, tokens.ids)
     tok.select("id", "input_ids", "attention_mask").write.mode("overwrite").parquet(out_dir)
+    tok = calib_rows.sparkSession.read.parquet(out_dir)
     summary = ls(tok.select(F.lit("calib").alias("g"), F.size("input_ids").alias("n_ids")), "g", ["n_ids"]).collect()
-    release()
     return summary[0].asDict() if summary else {}

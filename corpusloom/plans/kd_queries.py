@@ -14,24 +14,19 @@ from corpusloom.plans.chat_queries import sql_chat_records, sql_gate, v2_records
 from corpusloom.plans.registry import query
 from corpusloom.sources.fixtures import TEACHER_MARKERS, table, teacher_from_documents
 
-# Test quota of distillation prompts (the reference uses 15,000 on 30,000 SFT rows).
+# A quota small enough to cut the prompts at every test scale (the default is 15,000).
 KD_TEST = DistillConfig(n_kd=100)
 
 
-def sft_rows(spark, sf_dir):
-    """The chat SFT set with the reference's own size (30,000; all rows at test scale)."""
-    recs = v2_records(spark, sf_dir)
-    return S.attach(S.sft_sample(S.narrow(recs), V2), recs, bound=V2.n_sft)
-
-
 def prompts(spark, sf_dir):
-    return D.kd_prompts(sft_rows(spark, sf_dir), KD_TEST)
+    """The quota-cut prompts of the gated records."""
+    return D.kd_prompts(S.sft_candidates(v2_records(spark, sf_dir), V2), KD_TEST)
 
 
 def judged(spark, sf_dir):
-    p = prompts(spark, sf_dir)
-    gen = teacher_from_documents(p, table(spark, sf_dir, "documents"))
-    return D.judge(p, gen, KD_TEST)
+    """Every record that can become a prompt, joined to its generation and judged."""
+    p = D.kd_source(v2_records(spark, sf_dir), KD_TEST)
+    return D.judge(p, teacher_from_documents(p, table(spark, sf_dir, "documents")), KD_TEST)
 
 
 MARKS = "[" + ", ".join(Q.lit(m) for m in TEACHER_MARKERS) + "]"
@@ -59,20 +54,19 @@ def sql_reason(t: str) -> str:
 
 
 SQL_KD = f"""{sql_chat_records()},
-sft AS (SELECT * FROM rec WHERE {sql_gate(V2.sft_gate)}
-        QUALIFY row_number() OVER (PARTITION BY dup_key ORDER BY ord) = 1 ORDER BY ord LIMIT {V2.n_sft}),
-ks AS (SELECT id, source_index, turn_index, pm, mm, {Q.norm('target')} AS gold,
-         {Q.ntok(Q.render('pm', True))} AS prompt_tokens,
-         sha1({Q.strip("substring(" + Q.norm("coalesce(list_filter(pm, lambda x: x.role = 'user')[-1].content, '')") + ", 1, 500) || '|||' || substring(" + Q.norm('target') + ", 1, 300)")}) AS kd_key,
-         {Q.okey(KD_TEST.seed, 'kd', 'id')} AS kord
-       FROM sft WHERE len(pm) > 0),
-kp AS (SELECT * FROM ks WHERE prompt_tokens <= {KD_TEST.max_prompt_tokens} AND gold <> ''
+ks0 AS (SELECT id, source_index, turn_index, pm, mm, {Q.norm('target')} AS gold,
+         {Q.ntok(Q.render('pm', True))} AS prompt_tokens, {sql_gate(V2.sft_gate)} AS gated,
+         sha1({Q.strip(Q.norm("coalesce(list_filter(pm, lambda x: x.role = 'user')[-1].content, '')") + " || '|||' || " + Q.norm('target'))}) AS kd_key,
+         {Q.okey(KD_TEST.seed, 'kd', 'id')} || ':' || sha1({Q.msha('pm')} || {Q.norm('target')}) AS kord
+       FROM rec WHERE len(pm) > 0),
+ks AS (SELECT * FROM ks0 WHERE prompt_tokens <= {KD_TEST.max_prompt_tokens} AND gold <> ''),
+kp AS (SELECT * FROM ks WHERE gated
        QUALIFY row_number() OVER (PARTITION BY kd_key ORDER BY kord) = 1 ORDER BY kord LIMIT {KD_TEST.n_kd}),
 gen AS (SELECT p.id, CASE WHEN p.k % 19 = 0 THEN NULL
-          ELSE d.ls[1] || {MARKS}[p.k % 7 + 1] || chr(10) || coalesce(d.ls[2], '') END AS text
-        FROM (SELECT id, source_index * 10 + turn_index AS k FROM kp) p
+          ELSE d.ls[1] || {MARKS}[p.k % 7 + 1] || chr(10) || coalesce(array_to_string(d.ls[2:], chr(10)), '') END AS text
+        FROM (SELECT id, source_index + turn_index AS k FROM ks) p
         JOIN (SELECT doc_id AS k, string_split(text, chr(10)) AS ls FROM documents) d ON p.k = d.k),
-kj0 AS (SELECT kp.*, gen.text AS raw FROM kp LEFT JOIN gen ON kp.id = gen.id),
+kj0 AS (SELECT ks.*, gen.text AS raw FROM ks LEFT JOIN gen ON ks.id = gen.id),
 {sql_clean('kj0')},
 kj AS (SELECT *, {sql_reason('tt')} AS reason FROM cl)"""
 

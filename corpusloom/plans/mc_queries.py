@@ -39,7 +39,7 @@ DIG = ", ".join(f"'{x}'" for x in M.ARC_FALLBACK_DIGITS)
 
 SQL_MC = f"""
 hsr AS (SELECT doc_id AS source_index, source AS activity_label, ls[1] AS ctx_a, ls[2] AS ctx_b,
-          list_slice(ls, 3, 6) AS endings,
+          ls[3:] AS endings,
           CASE WHEN doc_id % 31 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN (CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'x' END)
                ELSE CAST(doc_id % 5 AS VARCHAR) END AS label
         FROM (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents)),
@@ -82,7 +82,7 @@ wg0 AS (SELECT source_index, {Q.norm('sentence')} AS s, {Q.norm('ws[1]')} AS o1,
 wgv AS (SELECT source_index, s AS question, [o1, o2] AS choices, CAST(ans AS INTEGER) - 1 AS answer_idx,
           CAST(NULL AS VARCHAR) AS raw_label, CAST(NULL AS VARCHAR) AS raw_answer_key
         FROM wg0 WHERE s <> '' AND o1 <> '' AND o2 <> '' AND ans IN ('1', '2')),
-tqr AS (SELECT doc_id, ls[1] AS q, list_slice(ls, 2, 6) AS ch FROM
+tqr AS (SELECT doc_id, ls[1] AS q, ls[2:] AS ch FROM
           (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
 tq0 AS (SELECT doc_id, q, ch, CAST(list_transform(range(len(ch)), lambda j: CASE WHEN j = doc_id % len(ch)
           OR (doc_id % 11 = 0 AND j = (doc_id + 1) % len(ch)) THEN 1 ELSE 0 END) AS INTEGER[]) AS l0 FROM tqr),

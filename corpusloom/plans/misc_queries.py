@@ -1,4 +1,4 @@
-"""Catalogue: N:M sparsity audit, batch inference plug-ins, sinks, streaming."""
+"""Catalogue: N:M sparsity audit, sinks, streaming, token lengths."""
 
 from __future__ import annotations
 
@@ -6,14 +6,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import SparsityConfig
 from corpusloom.functions import chat as C
-from corpusloom.operators import infer as I
 from corpusloom.operators import profile as P
-from corpusloom.operators import score as SC
 from corpusloom.operators.chat_records import with_meta
 from corpusloom.plans import sqlkit as Q
 from corpusloom.plans.chat_queries import sql_chat_records, v2_records
 from corpusloom.plans.instruct_queries import sql_alpaca_records
-from corpusloom.plans.kd_queries import SQL_KD, prompts
 from corpusloom.plans.mc_queries import SQL_MC, corpus
 from corpusloom.plans.registry import query
 from corpusloom.session import scratch_path
@@ -59,36 +56,13 @@ def nm_sparsity_sampled(spark, sf_dir):
     return P.nm_sparsity_sample(t, SP.sample_tensors, SP.seed).select("tensor", "ratio", "sample_mean")
 
 
-@query("batch_generate", sql=f"""WITH {SQL_KD}
-SELECT id, right({Q.render('pm', True)}, 120) AS text FROM kp""")
-def batch_generate(spark, sf_dir):
-    p = prompts(spark, sf_dir).withColumn("prompt_text", C.render("prompt_messages", True))
-    return I.generate(p, I.tail_generator, "tail-stub", batch_size=64)
-
-
-@query("batch_score")
-def batch_score(spark, sf_dir):
-    c = corpus(spark, sf_dir).withColumn("prompt_text", C.render("messages", True))
-    out = I.score(c, I.letter_scorer, "letter-stub", batch_size=64)
-    scored = c.select("id", "task", "answer_idx", "num_choices").join(out, "id")
-    from corpusloom.sources.fixtures import LETTER_IDS
-    pred = scored.withColumn("pred_idx", SC.predict(scored, LETTER_IDS)).withColumn("model", F.lit("stub"))
-    return SC.metrics(pred)
-
-
-RECORD_SCHEMA = ("id string, messages array<struct<role:string,content:string>>, "
-                 "prompt_messages array<struct<role:string,content:string>>, target_text string, "
-                 "meta struct<source_index:bigint,turn_index:int,prompt_tokens:int,target_tokens:int,"
-                 "total_tokens:int,num_messages:int>")
-
-
 @query("jsonl_roundtrip", sql=f"""WITH {sql_chat_records()}
 SELECT id, source_index, turn_index, total_tokens, CAST(len(mm) AS INTEGER) AS num_messages, {Q.msha('mm')} AS messages_sha
 FROM rec""")
 def jsonl_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "jsonl-roundtrip")
     J.write_jsonl(with_meta(v2_records(spark, sf_dir)), path)
-    back = J.read_jsonl(spark, path, RECORD_SCHEMA)
+    back = J.read_jsonl(spark, path, J.CHAT_RECORD_SCHEMA)
     return back.select("id", F.col("meta")["source_index"].alias("source_index"),
                        F.col("meta")["turn_index"].alias("turn_index"), F.col("meta")["total_tokens"].alias("total_tokens"),
                        F.size("messages").alias("num_messages"), C.messages_sha("messages").alias("messages_sha"))
@@ -110,35 +84,27 @@ def manifest(spark, sf_dir):
                                                          F.sum("answer_idx").cast("long").alias("answer_sum"))
 
 
-@query("runs")
-def runs(spark, sf_dir):
-    recs = v2_records(spark, sf_dir)
-    n = recs.agg(F.count("*").alias("n")).first()["n"]
-    path = scratch_path(spark, "runs")
-    return J.record_run(spark, path, "chat_records", {"sf_dir": sf_dir, "max_messages": 12}, {"records": n})
-
-
 @query("stream_alpaca_records", sql=f"""WITH {sql_alpaca_records()}
 SELECT id, source_index, prompt_tokens, target_tokens, total_tokens, has_input FROM arec""")
 def stream_alpaca_records(spark, sf_dir):
     sink = scratch_path(spark, "stream-sink")
     ckpt = scratch_path(spark, "stream-checkpoint")
-    out = run_to_completion(spark, sf_dir, sink, ckpt)
+    out = run_to_completion(spark, sf_dir, sink, ckpt, file_glob="documents.parquet")
     return out.select("id", "source_index", "prompt_tokens", "target_tokens", "total_tokens", "has_input")
 
 
 @query("token_lengths", sql=f"""
-SELECT 'documents' AS source, doc_id AS key, {Q.ntok('text')} AS n_tokens FROM documents
-UNION ALL SELECT 'pages', page_id, {Q.ntok('html')} FROM pages
-UNION ALL SELECT 'conversations', conv_id * 1000 + turn, {Q.ntok('text')} FROM conversations""")
+SELECT 'documents' AS source, CAST(doc_id AS VARCHAR) AS key, {Q.ntok('text')} AS n_tokens FROM documents
+UNION ALL SELECT 'pages', CAST(page_id AS VARCHAR), {Q.ntok('html')} FROM pages
+UNION ALL SELECT 'conversations', conv_id || ':' || turn, {Q.ntok('text')} FROM conversations""")
 def token_lengths(spark, sf_dir):
     from corpusloom.functions.tokens import count_tokens
-    d = table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("key"),
+    d = table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").cast("string").alias("key"),
                                                  count_tokens("text").alias("n_tokens"))
-    p = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source"), F.col("page_id").alias("key"),
+    p = table(spark, sf_dir, "pages").select(F.lit("pages").alias("source"), F.col("page_id").cast("string").alias("key"),
                                              count_tokens("html").alias("n_tokens"))
     c = table(spark, sf_dir, "conversations").select(
-        F.lit("conversations").alias("source"), (F.col("conv_id") * 1000 + F.col("turn")).alias("key"),
+        F.lit("conversations").alias("source"), F.concat_ws(":", "conv_id", "turn").alias("key"),
         count_tokens("text").alias("n_tokens"))
     return d.unionByName(p).unionByName(c)
 
@@ -149,5 +115,5 @@ def stream_distinct_keys(spark, sf_dir):
     from corpusloom.streaming.records import stream_distinct_records
     sink = scratch_path(spark, "stream-distinct-sink")
     ckpt = scratch_path(spark, "stream-distinct-checkpoint")
-    stream_distinct_records(spark, sf_dir, sink, ckpt).awaitTermination()
+    stream_distinct_records(spark, sf_dir, sink, ckpt, file_glob="documents.parquet").awaitTermination()
     return spark.read.parquet(sink).select("dup_key")

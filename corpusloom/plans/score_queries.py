@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from corpusloom.operators import score as SC
 from corpusloom.plans import sqlkit as Q
 from corpusloom.plans.registry import query
-from corpusloom.sources.fixtures import LETTER_IDS, PRED_MODELS, PRED_TASKS, predictions_from_embeddings, table
+from corpusloom.sources.fixtures import LETTER_IDS, PRED_LEADS, PRED_MODELS, PRED_TASKS, predictions_from_embeddings, table
+
+
+DATASETS = "[" + ", ".join(f"'{d}'" for d in SC.EVAL.dataset_order) + "]"
 
 
 def preds(spark, sf_dir, quantize=False):
@@ -20,6 +23,7 @@ def sql_preds(quantize: bool, tag: str) -> str:
     lids = "[" + ", ".join("[" + ", ".join(str(t) for t in ids) + "]" + ("::INTEGER[]" if not ids else "")
                            for ids in LETTER_IDS) + "]"
     tasks = "[" + ", ".join(f"'{t}'" for t in PRED_TASKS) + "]"
+    leads = "[" + ", ".join(Q.lit(x) for x in PRED_LEADS) + "]"
     q = "floor(CAST(v[(j + 7 * {r}) % len(v) + 1] AS DOUBLE) * 4) / 4" if quantize else \
         "CAST(v[(j + 7 * {r}) % len(v) + 1] AS DOUBLE)"
     parts = []
@@ -27,8 +31,8 @@ def sql_preds(quantize: bool, tag: str) -> str:
         parts.append(f"""SELECT regexp_extract(regexp_replace('/models/{name}-merged/{name}/', '/+$', ''), '[^/]*$')
             AS model, {tasks}[vec_id % 4 + 1] AS task, vec_id,
             CAST(label % (2 + vec_id % 4) AS INTEGER) AS answer_idx, CAST(2 + vec_id % 4 AS INTEGER) AS k,
-            CASE WHEN vec_id % 23 = 0 THEN NULL ELSE chr(CAST(65 + (vec_id + {r}) % 6 AS INTEGER)) END AS text,
-            CASE WHEN vec_id % 23 = 0 THEN NULL ELSE list_slice(list_sort(list_transform(
+            CASE WHEN vec_id % 23 = 0 THEN NULL ELSE {leads}[vec_id % {len(PRED_LEADS)} + 1] || chr(CAST(65 + (vec_id + {r}) % 6 AS INTEGER)) END AS text,
+            CASE WHEN vec_id % 23 = 0 OR vec_id % 7 = 3 THEN NULL ELSE list_slice(list_sort(list_transform(
               list_transform(range(len(v)), lambda j: {q.format(r=r)}), lambda x, i: {{'v': x, 't': i - 1}}), 'DESC'), 1, 20)
             END AS top
           FROM (SELECT vec_id, embedding AS v, label FROM embeddings)""")
@@ -78,13 +82,19 @@ def eval_metrics_overall(spark, sf_dir):
     return SC.order_metrics(SC.metrics(preds(spark, sf_dir)))
 
 
-ORDER = "[" + ", ".join(f"'{d}'" for d in SC.EVAL.dataset_order) + "]"
+@query("eval_metrics_order", sql=f"""WITH {sql_preds(False, '')}, {sql_metrics('', True)}
+SELECT model, dataset, row_number() OVER (ORDER BY coalesce(list_position({DATASETS}, dataset), {len(SC.EVAL.dataset_order) + 1}), dataset, model) AS place
+FROM mm""")
+def eval_metrics_order(spark, sf_dir):
+    """The display order as a column: place of each of the few metric rows."""
+    ordered = SC.order_metrics(SC.metrics(preds(spark, sf_dir))).select("model", "dataset").coalesce(1)
+    return ordered.withColumn("place", F.monotonically_increasing_id() + 1)
 
 
 @query("accuracy_pivot", sql=f"""WITH {sql_preds(False, '')}, {sql_metrics('', True)}
 SELECT dataset, {", ".join(f"max(acc) FILTER (WHERE model = '{m}') AS {m}" for m in PRED_MODELS)},
-       CAST(list_position({ORDER}, dataset) AS INTEGER) AS pos
-FROM mm WHERE list_contains({ORDER}, dataset) GROUP BY dataset""")
+       CAST(list_position({DATASETS}, dataset) AS INTEGER) AS pos
+FROM mm WHERE list_contains({DATASETS}, dataset) GROUP BY dataset""")
 def accuracy_pivot(spark, sf_dir):
     return SC.accuracy_pivot(SC.metrics(preds(spark, sf_dir)), PRED_MODELS)
 

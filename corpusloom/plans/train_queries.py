@@ -4,24 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.config import V2, CalibConfig, TrainConfig
+from corpusloom.config import CalibConfig, TrainConfig
 from corpusloom.functions.tokens import PRETOKEN
-from corpusloom.operators import sft_sets as S
 from corpusloom.operators import trainprep as TP
 from corpusloom.plans import sqlkit as Q
-from corpusloom.plans.chat_queries import sql_bucket, sql_chat_records, sql_gate, sql_greedy_calib, v2_records
-from corpusloom.plans.kd_queries import sft_rows
+from corpusloom.plans.chat_queries import sql_chat_records, v2_records
 from corpusloom.plans.registry import query
 
 TRAIN = TrainConfig()
 # Test batch size (the reference trains with batch 1, where padding is a no-op).
 BATCH_TEST = 4
-# Test calibration size (the reference takes 1,000 / 512 of its 1,000-row set).
+# Calibration texts to select: few enough to cut the texts at every test scale (the default is 1,000).
 CALIB_TEST = CalibConfig(num_samples=100)
 
 
 def train_table(spark, sf_dir):
-    return TP.train_rows(sft_rows(spark, sf_dir), TRAIN)
+    return TP.train_rows(v2_records(spark, sf_dir), TRAIN)
 
 
 def kept(spark, sf_dir):
@@ -35,9 +33,7 @@ def sql_ids(t: str) -> str:
 
 L = TRAIN.max_seq_len
 SQL_TRAIN = f"""{sql_chat_records()},
-sft AS (SELECT * FROM rec WHERE {sql_gate(V2.sft_gate)}
-        QUALIFY row_number() OVER (PARTITION BY dup_key ORDER BY ord) = 1 ORDER BY ord LIMIT {V2.n_sft}),
-tr AS (SELECT id, {Q.render('pm', True)} AS prompt_text, {Q.render('mm', False)} AS full_text FROM sft),
+tr AS (SELECT id, {Q.render('pm', True)} AS prompt_text, {Q.render('mm', False)} AS full_text FROM rec),
 tr2 AS (SELECT *, {Q.ntok('prompt_text')} AS prompt_len_raw, {Q.ntok('full_text')} AS full_len_raw FROM tr),
 tr3 AS (SELECT *, CAST(greatest(full_len_raw - prompt_len_raw, 0) AS INTEGER) AS target_len_raw,
           CAST(least(greatest(full_len_raw - prompt_len_raw, 0), {L}) AS INTEGER) AS sup_after_trunc FROM tr2),
@@ -69,6 +65,16 @@ def train_eval_split(spark, sf_dir):
     return TP.train_eval_split(kept(spark, sf_dir), TRAIN).select("id", "split")
 
 
+@query("train_eval_overlap", sql=f"""WITH {SQL_TRAIN}
+SELECT count(*) AS n_eval, CAST(sum(CASE WHEN id IN (SELECT id FROM sp2 WHERE split = 'train') THEN 1 ELSE 0 END) AS BIGINT) AS n_shared
+FROM sp2 WHERE split = 'eval'""")
+def train_eval_overlap(spark, sf_dir):
+    """Hold-out rows whose id is also a training id."""
+    s = TP.train_eval_split(kept(spark, sf_dir), TRAIN).select("id", "split")
+    ev, tr = s.where("split = 'eval'"), s.where("split = 'train'").select("id").distinct().withColumn("hit", F.lit(1))
+    return ev.join(tr, "id", "left").agg(F.count("*").alias("n_eval"), F.sum(F.coalesce("hit", F.lit(0))).cast("long").alias("n_shared"))
+
+
 @query("train_labels", sql=f"""WITH {SQL_TRAIN}
 SELECT id, CAST(len(ids) AS INTEGER) AS n_ids, CAST(len(list_filter(labels, lambda x: x = -100)) AS INTEGER) AS n_masked,
        sha1(array_to_string(labels, ',')) AS labels_sha FROM tk""")
@@ -86,7 +92,7 @@ SELECT batch_id, count(*) AS n_rows, CAST(max(mx) AS INTEGER) AS max_len, CAST(s
        CAST(sum(len(list_filter(labels, lambda x: x <> -100))) AS BIGINT) AS n_label_tokens
 FROM tbm GROUP BY batch_id""")
 def train_batches(spark, sf_dir):
-    t = TP.tokenize_train(TP.train_eval_split(kept(spark, sf_dir), TRAIN), TRAIN).where(F.col("split") == "train")
+    t = TP.tokenize_train(TP.train_eval_split(kept(spark, sf_dir), TRAIN).where(F.col("split") == "train"), TRAIN)
     b = TP.pad_batches(t.select("ord", "input_ids", "labels"), BATCH_TEST, TRAIN)
     return b.groupBy("batch_id").agg(
         F.count("*").alias("n_rows"), F.max(F.size("input_ids")).alias("max_len"),
@@ -94,37 +100,27 @@ def train_batches(spark, sf_dir):
         F.sum(F.size(F.filter("labels", lambda x: x != TP.IGNORE))).cast("long").alias("n_label_tokens"))
 
 
-def calib_rows(spark, sf_dir):
-    """The chat calibration set with the reference's quotas (300/500/200)."""
-    recs = v2_records(spark, sf_dir)
-    return S.attach(S.calib_sample(S.narrow(recs), V2), recs, bound=V2.n_calib)
-
-
 SQL_CALIB = f"""{sql_chat_records()},
-cand AS (SELECT ord, dup_key AS key, {sql_bucket(V2)} AS bucket, id, mm FROM rec
-         WHERE {sql_gate(V2.calib_gate)} AND {sql_bucket(V2)} IS NOT NULL),
-{sql_greedy_calib('cand', V2)},
-cs AS (SELECT cand.* FROM g JOIN cand ON g.ord = cand.ord WHERE g.take),
-ct0 AS (SELECT id, CASE WHEN mm IS NOT NULL AND len(mm) > 0 THEN {Q.render('mm', False)} ELSE '' END AS text FROM cs),
+ct0 AS (SELECT id, CASE WHEN mm IS NOT NULL AND len(mm) > 0 THEN {Q.render('mm', False)} ELSE '' END AS text FROM rec),
 ctx AS (SELECT * FROM ct0 WHERE {Q.strip('text')} <> ''),
 csel AS (SELECT *, {Q.okey(CALIB_TEST.seed, 'calib_shuffle', 'id')} AS ord FROM ctx
          ORDER BY ord LIMIT {CALIB_TEST.num_samples}),
-ctok AS (SELECT *, list_slice({sql_ids('text')}, 1, {CALIB_TEST.max_seq_len}) AS ids FROM csel)"""
+ctok AS (SELECT *, list_slice({sql_ids('text')}, 1, {CALIB_TEST.max_seq_len}) AS ids FROM ctx)"""
 
 
-@query("calib_text", sql=f"WITH RECURSIVE {SQL_CALIB}\nSELECT id, sha1(text) AS text_sha FROM ctx")
+@query("calib_text", sql=f"WITH {SQL_CALIB}\nSELECT id, sha1(text) AS text_sha FROM ctx")
 def calib_text_q(spark, sf_dir):
-    return TP.calib_text(calib_rows(spark, sf_dir)).select("id", F.sha1("text").alias("text_sha"))
+    return TP.calib_text(v2_records(spark, sf_dir)).select("id", F.sha1("text").alias("text_sha"))
 
 
-@query("calib_select", sql=f"WITH RECURSIVE {SQL_CALIB}\nSELECT id, ord FROM csel")
+@query("calib_select", sql=f"WITH {SQL_CALIB}\nSELECT id, ord FROM csel")
 def calib_select_q(spark, sf_dir):
-    return TP.calib_select(TP.calib_text(calib_rows(spark, sf_dir)), CALIB_TEST).select("id", "ord")
+    return TP.calib_select(TP.calib_text(v2_records(spark, sf_dir)), CALIB_TEST).select("id", "ord")
 
 
-@query("calib_tokens", sql=f"""WITH RECURSIVE {SQL_CALIB}
+@query("calib_tokens", sql=f"""WITH {SQL_CALIB}
 SELECT id, CAST(len(ids) AS INTEGER) AS n_ids, sha1(array_to_string(ids, ',')) AS ids_sha FROM ctok""")
 def calib_tokens_q(spark, sf_dir):
-    t = TP.calib_tokens(TP.calib_select(TP.calib_text(calib_rows(spark, sf_dir)), CALIB_TEST), CALIB_TEST)
+    t = TP.calib_tokens(TP.calib_text(v2_records(spark, sf_dir)), CALIB_TEST)
     return t.select("id", F.size("input_ids").alias("n_ids"),
                     F.sha1(F.array_join(F.col("input_ids").cast("array<string>"), ",")).alias("ids_sha"))

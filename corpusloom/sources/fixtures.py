@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.config import DistillConfig
 from corpusloom.functions.chat import ROLES
 from corpusloom.functions.text import strip
 
@@ -16,22 +17,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    Row work here (tokenising, rendering, array functions) is CPU-bound; a large
-    table already arrives in thousands of splits and is left alone (no extra
-    shuffle), while a small file with a single row group would otherwise run
-    on one core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def normalized_turns(conversations: DataFrame) -> DataFrame:
@@ -49,25 +36,28 @@ def normalized_turns(conversations: DataFrame) -> DataFrame:
 def chat_from_turns(conversations: DataFrame, max_messages: int = 12) -> DataFrame:
     """``(source_index, messages)`` per conversation, normalised and pre-trimmed.
 
-    Truncation to ``max_messages`` only ever needs the first message and the
-    last ``max_messages``, so each conversation is cut to those before it is
-    grouped: both cuts are ``row_number() <= k`` windows, which Spark plans as
-    a partial ``WindowGroupLimit`` before the shuffle. A conversation holding a
-    huge share of the turns is therefore reduced map-side and the collected
-    array never exceeds ``max_messages + 1`` elements.
+    Truncation to ``max_messages`` only ever needs the first message and the last
+    ``max_messages``, so each conversation is cut to its first and its last
+    ``max_messages + 1`` before it is grouped: both cuts are ``row_number() <= k``
+    windows, which Spark plans as a partial ``WindowGroupLimit`` before the shuffle,
+    and an array never exceeds that size. Turns of one number are ordered by their
+    text; repeated turns all count.
     """
-    t = normalized_turns(conversations)
+    t = normalized_turns(conversations).withColumn("m", F.struct("turn", "role", "content"))
     by_conv = Window.partitionBy("source_index")
-    first = (t.withColumn("_r", F.row_number().over(by_conv.orderBy(F.col("turn").asc())))
-              .where(F.col("_r") <= 1).drop("_r"))
-    last = (t.withColumn("_r", F.row_number().over(by_conv.orderBy(F.col("turn").desc())))
-             .where(F.col("_r") <= max_messages).drop("_r"))
-    kept = first.unionByName(last)
-    return (kept.groupBy("source_index")
-            .agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("turn", "role", "content")))).alias("_m"))
-            .select("source_index",
-                    F.transform("_m", lambda x: F.struct(x["role"].alias("role"),
-                                                         x["content"].alias("content"))).alias("messages")))
+
+    def cut(order, k, name):
+        return (t.withColumn("_r", F.row_number().over(by_conv.orderBy(order))).where(F.col("_r") <= k)
+                .select("source_index", F.lit(name).alias("side"), "m"))
+
+    both = cut(F.col("m").asc(), 1, "first").unionByName(cut(F.col("m").desc(), max_messages + 1, "last"))
+    side = lambda name: F.when(F.col("side") == name, F.col("m"))
+    arrays = both.groupBy("source_index").agg(F.min(side("first")).alias("first"),
+                                              F.array_sort(F.collect_list(side("last"))).alias("last"))
+    whole = F.when(F.size("last") <= max_messages, F.col("last")).otherwise(
+        F.concat(F.array("first"), F.slice("last", 2, max_messages)))
+    return arrays.select("source_index", F.transform(whole, lambda x: F.struct(
+        x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
 
 
 def alpaca_from_documents(documents: DataFrame) -> DataFrame:
@@ -90,16 +80,16 @@ def _words(c):
 
 
 def hellaswag_from_documents(documents: DataFrame) -> DataFrame:
-    """activity = source; ctx_a, ctx_b = lines 1-2; endings = lines 3-6; label = doc_id % 5
+    """activity = source; ctx_a, ctx_b = lines 1-2; endings = all further lines; label = doc_id % 5
     (4 is out of range for four endings), '' or 'x' every 17th, null every 31st."""
-    d = documents.select("doc_id", "source", F.split(F.col("text"), "\n", 7).alias("ls"))  # lines 1-6 + rest
+    d = documents.select("doc_id", "source", F.split(F.col("text"), "\n").alias("ls"))
     k = F.col("doc_id")
     label = (F.when(k % 31 == 0, F.lit(None).cast("string"))
              .when(k % 17 == 0, F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("x")))
              .otherwise((k % 5).cast("string")))
     return d.select(k.alias("source_index"), F.col("source").alias("activity_label"),
                     F.get(F.col("ls"), 0).alias("ctx_a"), F.get(F.col("ls"), 1).alias("ctx_b"),
-                    F.slice(F.slice("ls", 1, 6), 3, 4).alias("endings"), label.alias("label"))
+                    F.slice("ls", 3, F.greatest(F.size("ls") - 2, F.lit(0))).alias("endings"), label.alias("label"))
 
 
 def _arc_rows(key, text):
@@ -138,10 +128,10 @@ def winogrande_from_conversations(conversations: DataFrame) -> DataFrame:
 
 
 def truthfulqa_from_documents(documents: DataFrame) -> DataFrame:
-    """question = line 1; choices = lines 2-6; one label 1 at doc_id % k, a second one
+    """question = line 1; choices = all further lines; one label 1 at doc_id % k, a second one
     every 11th document, one label missing every 13th."""
-    d = documents.select("doc_id", F.split(F.col("text"), "\n", 7).alias("ls"))  # lines 1-6 + rest
-    d = d.select("doc_id", F.get(F.col("ls"), 0).alias("q"), F.slice(F.slice("ls", 1, 6), 2, 5).alias("ch"))
+    d = documents.select("doc_id", F.split(F.col("text"), "\n").alias("ls"))
+    d = d.select("doc_id", F.get(F.col("ls"), 0).alias("q"), F.slice("ls", 2, F.greatest(F.size("ls") - 1, F.lit(0))).alias("ch"))
     k = F.size("ch")
     key = F.col("doc_id")
     labels = F.when(k > 0, F.transform(F.sequence(F.lit(0), k - 1), lambda j: F.when(
@@ -152,16 +142,16 @@ def truthfulqa_from_documents(documents: DataFrame) -> DataFrame:
                     F.struct(F.col("ch").alias("choices"), labels.cast("array<int>").alias("labels")).alias("mc1_targets"))
 
 
-# Markers the teacher fixture splices into its texts, by key % 7.
-TEACHER_MARKERS = ["<|eot_id|>", "user\n", "### Response:", "<|start_header_id|>", "assistant\n", " ### ", "\n\n  \n"]
+# What the teacher fixture splices into its texts, by key % 7: configured markers and two near misses.
+TEACHER_MARKERS = [DistillConfig().markers[k] for k in (1, 3, 6, 0, 2)] + [" ### ", "\n\n  \n"]
 
 
 def teacher_from_documents(prompts: DataFrame, documents: DataFrame) -> DataFrame:
     """Generations ``(id, text)`` for prompt rows ``(id, source_index, turn_index)``:
-    document ``source_index * 10 + turn_index``'s first two lines with a marker
-    between them; null text every 19th key; no row when the document is absent."""
-    p = prompts.select("id", (F.col("source_index") * 10 + F.col("turn_index")).alias("k"))
-    d = documents.select(F.col("doc_id").alias("k"), F.split(F.col("text"), "\n", 3).alias("ls"))
+    document ``source_index + turn_index`` with a marker after its first line; null
+    text every 19th key; no row when the document is absent."""
+    p = prompts.select("id", (F.col("source_index") + F.col("turn_index")).alias("k"))
+    d = documents.select(F.col("doc_id").alias("k"), F.split(F.col("text"), "\n", 2).alias("ls"))
     marks = F.array(*[F.lit(m) for m in TEACHER_MARKERS])
     text = F.concat(F.get(F.col("ls"), 0), F.element_at(marks, (F.col("k") % 7 + 1).cast("int")), F.lit("\n"),
                     F.coalesce(F.get(F.col("ls"), 1), F.lit("")))
@@ -173,31 +163,31 @@ def teacher_from_documents(prompts: DataFrame, documents: DataFrame) -> DataFram
 PRED_MODELS = ["base", "sft", "kd"]
 PRED_TASKS = ["hellaswag", "arc_challenge", "winogrande", "truthfulqa_mc"]
 LETTER_IDS = [[0, 10], [1, 11], [2], [], [4, 14]]
+PRED_LEADS = ["", "\n", "\t ", "\u00a0", " \x85"]
 
 
 def predictions_from_embeddings(embeddings: DataFrame, quantize: bool = False) -> DataFrame:
     """Predictions ``(model_path, task, id, answer_idx, num_choices, text, logprobs)``:
     three models (given by checkpoint paths) = the vector rotated by 0/7/14; logprobs = its 20 largest
-    components (index -> value); no output every 23rd vector. ``quantize`` rounds
+    components (index -> value), absent every 7th vector, where the text must
+    decide; no output every 23rd vector. ``quantize`` rounds
     the values down to quarter steps first (the post-quantisation side)."""
-    e = embeddings
     k = (F.lit(2) + F.col("vec_id") % 4).cast("int")
     tasks = F.array(*[F.lit(t) for t in PRED_TASKS])
-    out = None
-    for r, name in enumerate(PRED_MODELS):
-        v = F.col("embedding")
-        rot = F.transform(v, lambda x, j: F.get(v, (j + 7 * r) % F.size(v)).cast("double"))
-        if quantize:
-            rot = F.transform(rot, lambda x: F.floor(x * 4) / 4)
-        top = F.slice(F.sort_array(F.transform(rot, lambda x, j: F.struct(x.alias("v"), j.alias("t"))), False), 1, 20)
-        lp = F.map_from_entries(F.transform(top, lambda s: F.struct(s["t"].alias("key"), s["v"].alias("value"))))
-        none = F.col("vec_id") % 23 == 0
-        part = e.select(
-            F.lit(f"/models/{name}-merged/{name}/").alias("model_path"), F.element_at(tasks, (F.col("vec_id") % 4 + 1).cast("int")).alias("task"),
-            "vec_id", (F.col("label") % k).cast("int").alias("answer_idx"), k.alias("num_choices"),
-            F.when(none, F.lit(None).cast("string")).otherwise(F.char(F.lit(65) + (F.col("vec_id") + r) % 6)).alias("text"),
-            F.when(none, F.lit(None)).otherwise(lp).alias("logprobs"))
-        out = part if out is None else out.unionByName(part)
+    names = F.array(*[F.lit(f"/models/{n}-merged/{n}/") for n in PRED_MODELS])
+    none = F.col("vec_id") % 23 == 0
+    lead = F.element_at(F.array(*[F.lit(x) for x in PRED_LEADS]), (F.col("vec_id") % len(PRED_LEADS) + 1).cast("int"))
+    e = embeddings.select("vec_id", "embedding", "label", F.explode(F.sequence(F.lit(0), F.lit(len(PRED_MODELS) - 1))).alias("r"))
+    v, shift = F.col("embedding"), F.col("r") * 7
+    value = lambda j: F.get(v, (j + shift) % F.size(v)).cast("double")
+    rot = F.transform(v, lambda x, j: F.struct((F.floor(value(j) * 4) / 4 if quantize else value(j)).alias("v"), j.alias("t")))
+    top = F.slice(F.sort_array(rot, False), 1, 20)
+    lp = F.map_from_entries(F.transform(top, lambda s: F.struct(s["t"].alias("key"), s["v"].alias("value"))))
+    out = e.select(
+        F.get(names, F.col("r")).alias("model_path"), F.element_at(tasks, (F.col("vec_id") % 4 + 1).cast("int")).alias("task"),
+        "vec_id", (F.col("label") % k).cast("int").alias("answer_idx"), k.alias("num_choices"),
+        F.when(none, F.lit(None).cast("string")).otherwise(F.concat(lead, F.char(F.lit(65) + (F.col("vec_id") + F.col("r")) % 6))).alias("text"),
+        F.when(none | (F.col("vec_id") % 7 == 3), F.lit(None)).otherwise(lp).alias("logprobs"))
     return out.withColumn("id", F.sha1(F.concat("task", F.lit("|||"), F.col("vec_id").cast("string"))))
 
 

@@ -19,9 +19,10 @@ def write_jsonl(df: DataFrame, path: str, num_files: int | None = None, partitio
     w.json(path)
 
 
-def read_jsonl(spark: SparkSession, path, schema: str | T.StructType) -> DataFrame:
-    """Explicit schema, permissive parsing (never inferred)."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+def read_jsonl(spark: SparkSession, path, schema: str | T.StructType, mode: str = "FAILFAST") -> DataFrame:
+    """Explicit schema (never inferred). A malformed line stops the read unless
+    another mode is asked for: it must not turn into a row of nulls unseen."""
+    return spark.read.schema(schema).option("mode", mode).json(path)
 
 
 def read_jsonl_first(df: DataFrame, n_max: int | None, key: str) -> DataFrame:
@@ -46,6 +47,8 @@ def read_task_files(spark: SparkSession, manifest: DataFrame, schema: str) -> Da
     """Read every manifest entry; the task comes from the folder name. Only the
     manifest (one row per task) is brought to the driver."""
     entries = [(r["name"], r["path"]) for r in manifest.select("name", "path").collect()]
+    if not entries:
+        return spark.createDataFrame([], schema).withColumn("task", F.lit("").cast("string"))
     out = None
     for name, path in entries:
         part = read_jsonl(spark, path, schema).withColumn("task", F.lit(name))

@@ -17,6 +17,16 @@ def read_split(spark: SparkSession, path: str, split: str | None = None, fmt: st
     return df if split is None else df.where(F.col(split_col) == split)
 
 
+def with_key(df: DataFrame, name: str, column: str | None) -> DataFrame:
+    """``df`` with a stable key ``name``: as it is when present, else ``column``, else a
+    hash of the whole row (a distributed table has no row positions). Rows with
+    equal keys stay apart by their texts wherever records are ordered."""
+    if name in df.columns and not column:
+        return df
+    key = F.col(column) if column else F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return df.withColumn(name, key.cast("long"))
+
+
 def with_progress(df: DataFrame, name: str, **conds) -> tuple[DataFrame, Observation]:
     """Attach row counters (total and one per named boolean condition) that are
     filled as a side effect of the next action; no per-row logging, no extra job."""

@@ -11,7 +11,7 @@ DOCUMENTS_SCHEMA = "doc_id bigint, text string, lang string, source string, n_ch
 
 
 def stream_instruct_records(spark: SparkSession, src_dir: str, sink: str, checkpoint: str,
-                            file_glob: str = "documents.parquet", available_now: bool = True,
+                            file_glob: str = "*.parquet", available_now: bool = True,
                             max_files_per_trigger: int | None = None):
     """Read new document files as a stream, build instruction records (row-local),
     append them to a parquet sink. The checkpoint folder (shared storage) makes the
@@ -33,7 +33,7 @@ def run_to_completion(spark: SparkSession, src_dir: str, sink: str, checkpoint:
 
 
 def stream_distinct_records(spark: SparkSession, src_dir: str, sink: str, checkpoint: str,
-                            file_glob: str = "documents.parquet", available_now: bool = True):
+                            file_glob: str = "*.parquet", available_now: bool = True):
     """Streaming counterpart of first-occurrence dedup: instruction records whose
     dedup key has not been seen in any earlier micro-batch. The seen keys are
     operator state (40-byte hashes), kept in the checkpoint folder so a restart

@@ -4,35 +4,50 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import chat as C
 from corpusloom.operators.chat_records import chat_examples
-from tests import models
+from tests.checks import chat
 
-ROLES = ["system", "user", "assistant", "tool", None]
-CONTENTS = ["hi", "  hey  ", "", "   ", "\xa0x\x85", "answer", None]
+DDL = "source_index long, messages array<struct<role:string,content:string>>"
 
 
-def rand_chat(rng):
-    return [{"role": rng.choice(ROLES), "content": rng.choice(CONTENTS)} for _ in range(rng.randint(0, 16))]
+def examples(spark, chats, k):
+    df = spark.createDataFrame(list(enumerate(chats)), DDL)
+    out = {}
+    for r in chat_examples(df, k).orderBy("source_index", "turn_index").collect():
+        out.setdefault(r["source_index"], []).append(
+            ([m["content"] for m in r["prompt_messages"]], r["target_text"], [m["content"] for m in r["messages"]], r["turn_index"]))
+    return out
 
 
-def test_normalize_truncate_expand_against_python(spark):
+def test_examples_of_written_chats(spark):
+    chats = [chat("ua"), chat("sua"), chat("a"), chat("auaa"), chat("sa"), chat("uuata"), [], chat("u"),
+             [("user", "  q \x85"), ("assistant", "\xa0"), ("assistant", None), (None, "x"), ("assistant", " r ")]]
+    got = examples(spark, chats, 12)
+    assert got[0] == [(["u0"], "a1", ["u0", "a1"], 0)]
+    assert got[1] == [(["s0", "u1"], "a2", ["s0", "u1", "a2"], 0)]
+    assert 2 not in got and 4 not in got and 6 not in got and 7 not in got        # nothing asked before
+    assert got[3] == [(["a0", "u1"], "a2", ["a0", "u1", "a2"], 0), (["a0", "u1", "a2"], "a3", ["a0", "u1", "a2", "a3"], 1)]
+    assert got[5] == [(["u0", "u1"], "a2", ["u0", "u1", "a2"], 0), (["u0", "u1", "a2"], "a4", ["u0", "u1", "a2", "a4"], 1)]   # tools go
+    assert got[8] == [(["q"], "r", ["q", "r"], 0)]                                 # blank texts and unknown roles go
+
+
+def test_examples_are_prefixes_of_the_kept_window(spark):
     rng = random.Random(3)
-    chats = [rand_chat(rng) for _ in range(400)]
-    chats += [[{"role": "system", "content": "s"}] + [{"role": r, "content": f"m{i}"}
-              for i, r in enumerate(["user", "assistant"] * 8)],
-              [{"role": "assistant", "content": "a0"}, {"role": "user", "content": "u"},
-               {"role": "assistant", "content": "a1"}, {"role": "assistant", "content": "a2"}]]
-    rows = [(i, [(m["role"], m["content"]) for m in c]) for i, c in enumerate(chats)]
-    df = spark.createDataFrame(rows, "source_index long, messages array<struct<role:string,content:string>>")
+    chats = [chat("".join(rng.choice("suatu") for _ in range(rng.randrange(17)))) for _ in range(200)]
     for k in (12, 4, 2):
-        got = {}
-        for r in chat_examples(df, k).collect():
-            got.setdefault(r["source_index"], []).append(
-                (r["turn_index"], [(m["role"], m["content"]) for m in r["prompt_messages"]], r["target_text"],
-                 [(m["role"], m["content"]) for m in r["messages"]]))
+        got = examples(spark, chats, k)
         for i, c in enumerate(chats):
-            want = [(t, [(m["role"], m["content"]) for m in p], tgt, [(m["role"], m["content"]) for m in full])
-                    for t, (p, tgt, full) in enumerate(models.expand(c, k))]
-            assert sorted(got.get(i, [])) == want, (k, c)
+            known = [m for m in c if m[0] != "tool"]
+            system = len(known) > k and known[0][0] == "system"
+            for prompt, target, full, turn in got.get(i, []):
+                assert full == [*prompt, target] and len(full) <= k and any(x[0] == "u" for x in prompt) and target[0] == "a"
+                tail = full[1:] if system and full[0] == known[0][1] else full
+                at = [m[1] for m in known].index(tail[0])
+                assert [m[1] for m in known[at:at + len(tail)]] == tail            # consecutive turns
+                assert at == (max(1, len(known) - k + 1) if system else max(0, len(known) - k))
+            assert [x[3] for x in got.get(i, [])] == list(range(len(got.get(i, []))))
+            window = known[-(k - 1):] if system else known[-k:]
+            asked = next((j for j, m in enumerate(window) if m[0] == "user"), len(window))
+            assert len(got.get(i, [])) == sum(m[0] == "assistant" for m in window[asked:])
 
 
 def test_truncate_keeps_system(spark):

@@ -25,10 +25,10 @@ def py_record(i, ins, inp, out):
     prompt = (PROMPT_WITH_INPUT.format(instruction=ins, input=inp) if inp
               else PROMPT_NO_INPUT.format(instruction=ins))
     return {
-        "id": sha1(f"{i}|||{ins[:300]}|||{inp[:300]}|||{out[:300]}"),
+        "id": sha1(f"{i}|||{ins}|||{inp}|||{out}"),
         "prompt_text": prompt, "prompt_tokens": ntok(prompt), "target_tokens": ntok(out),
         "total_tokens": ntok(prompt + out), "has_input": bool(inp),
-        "dup_key": sha1(prompt[:500] + "|||" + out[:500]),
+        "dup_key": sha1(prompt + "|||" + out),
     }
 
 
@@ -48,38 +48,44 @@ def test_instruction_records_against_python(spark):
         assert {k: g[k] for k in want} == want, (ins, inp, out)
 
 
-def test_chat_records_against_python(spark):
+def test_chat_record_fields(spark):
     from corpusloom.config import V2
     from corpusloom.functions.chat import DEFAULT_TEMPLATE as T
     from corpusloom.operators.chat_records import chat_records
-    from tests import models
 
     def render(msgs, gen):
-        body = "".join(f"{T.header_open}{m['role']}{T.header_close}{m['content']}{T.eot}" for m in msgs)
-        return T.bos + body + (T.generation_prompt if gen else "")
-
-    rng = random.Random(29)
-    pieces = ["hi", " there.", "42", "!!", "é" * 320, "<|", "x y\n", ""]
-    chats = []
-    for i in range(200):
-        msgs = [{"role": rng.choice(["system", "user", "assistant", "tool"]),
-                 "content": "".join(rng.choice(pieces) for _ in range(rng.randint(0, 3)))}
-                for _ in range(rng.randint(0, 15))]
-        chats.append((i, msgs))
-    df = spark.createDataFrame([(i, [(m["role"], m["content"]) for m in c]) for i, c in chats],
-                               "source_index long, messages array<struct<role:string,content:string>>")
-    got = {(r["source_index"], r["turn_index"]): r.asDict() for r in chat_records(df, V2).collect()}
-    n = 0
-    for i, c in chats:
-        for t, (prompt, target, full) in enumerate(models.expand(c, V2.max_messages)):
-            last_user = next((m["content"] for m in reversed(prompt) if m["role"] == "user"), "")
-            want = {
-                "id": sha1(f"{i}|||{t}|||{last_user[:300]}|||{target[:300]}"),
-                "prompt_tokens": ntok(render(prompt, True)), "target_tokens": ntok(target),
-                "total_tokens": ntok(render(full, False)), "num_messages": len(full),
-                "dup_key": sha1(prompt[-1]["content"][:500] + "|||" + target[:500]),
-            }
-            g = got.pop((i, t))
-            assert {k: g[k] for k in want} == want, (c, t)
-            n += 1
-    assert not got and n > 50
+        return T.bos + "".join(f"{T.header_open}{r}{T.header_close}{c}{T.eot}" for r, c in msgs) + (T.generation_prompt if gen else "")
+
+    long = "é" * 620
+    m = [("system", "be !! kind"), ("user", long + " 42"), ("assistant", "x y\nz"), ("user", "<| more"), ("assistant", long + "1")]
+    rows = {r["turn_index"]: r for r in chat_records(spark.createDataFrame(
+        [(8, m)], "source_index long, messages array<struct<role:string,content:string>>"), V2).collect()}
+    assert sorted(rows) == [0, 1]
+    for turn, end in ((0, 2), (1, 4)):
+        r, target, asked = rows[turn], m[end][1], m[end - 1][1]
+        assert r["id"] == sha1(f"8|||{turn}|||{asked}|||{target}") and r["dup_key"] == sha1(asked + "|||" + target)
+        assert r["num_messages"] == end + 1 and r["target_tokens"] == ntok(target)
+        assert r["prompt_tokens"] == ntok(render(m[:end], True)) and r["total_tokens"] == ntok(render(m[:end + 1], False))
+
+
+def test_keys_hold_the_whole_text_unless_lengths_are_given(spark):
+    from dataclasses import replace
+
+    from corpusloom.config import PREFIX_KD_KEYS, PREFIX_KEYS, V1, V2, DistillConfig
+    from corpusloom.operators.chat_records import chat_records
+    from corpusloom.operators.distill import kd_source
+    same = "w " * 400
+    rows = [(k, same, "", same + str(k)) for k in range(5)]
+    df = spark.createDataFrame(rows, "source_index long, instruction string, input string, output string")
+    assert instruct_records(df).select("dup_key").distinct().count() == 5
+    assert instruct_records(df, replace(V1, **PREFIX_KEYS)).select("dup_key").distinct().count() == 1
+    chats = spark.createDataFrame([(7, [("user", same + str(k)), ("assistant", same + str(k))]) for k in range(5)],
+                                  "source_index long, messages array<struct<role:string,content:string>>")
+    recs = chat_records(chats, V2)
+    assert recs.select("dup_key").distinct().count() == recs.select("id").distinct().count() == recs.select("ord").distinct().count() == 5
+    short = replace(V2, **PREFIX_KEYS)
+    assert chat_records(chats, short).select("dup_key").distinct().count() == 1
+    one_id = recs.drop("id").selectExpr("*", "'same' AS id")
+    kd = kd_source(one_id)
+    assert kd.select("dup_key").distinct().count() == kd.select("ord").distinct().count() == 5
+    assert kd_source(one_id, replace(DistillConfig(), **PREFIX_KD_KEYS)).select("dup_key").distinct().count() == 1

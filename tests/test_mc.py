@@ -1,48 +1,56 @@
-import random
+import pytest
 
 from corpusloom.operators import mc as M
-from tests import models
 
-WORDS = ["", " ", "a", " b ", "c\xa0", None]
 
-
-def _w(rng):
-    return rng.choice(WORDS)
-
-
-def _collect(df):
+def built(df):
     return {r["source_index"]: (r["question"], list(r["choices"]), r["answer_idx"]) for r in df.collect()}
 
 
-def test_builders_against_python(spark):
-    rng = random.Random(17)
-    hs, arc, wg, tq = [], [], [], []
-    for i in range(400):
-        ends = None if rng.random() < 0.1 else [rng.choice(["x", " y ", ""]) for _ in range(rng.randint(0, 5))]
-        hs.append((i, _w(rng), _w(rng), _w(rng), ends, rng.choice([None, "", "x", "0", "1", "3", "4", "-1", " 2"])))
-        n = rng.randint(0, 5)
-        labels = [rng.choice(["A", "B", " C", "1", "2", "B"]) for _ in range(n + rng.choice([0, 0, 0, 1, -1]))]
-        arc.append((i, _w(rng) or "q", [rng.choice(["t1", " t2 "]) for _ in range(n)], labels,
-                    rng.choice([None, "", "A", "B", "C", "D", "1", "2", "4", "10", "K", " b"])))
-        wg.append((i, _w(rng), _w(rng), _w(rng), rng.choice(["1", "2", "", None, "3", " 1"])))
-        k = rng.randint(0, 4)
-        tq.append((i, _w(rng) or "q", [rng.choice(["c", " d "]) for _ in range(k)],
-                   [rng.choice([0, 1]) for _ in range(k + rng.choice([0, 0, -1]))]))
-    got = _collect(M.hellaswag(spark.createDataFrame(
-        hs, "source_index long, ctx_a string, ctx_b string, activity_label string, endings array<string>, label string")))
-    want = {i: models.mc_hellaswag(a, b, act, e, lab) for i, a, b, act, e, lab in hs}
-    assert got == {i: v for i, v in want.items() if v is not None}
-    got = _collect(M.arc(spark.createDataFrame(
-        [(i, q, (t, lab), key) for i, q, t, lab, key in arc],
-        "source_index long, question string, choices struct<text:array<string>,label:array<string>>, answerKey string")))
-    want = {i: models.mc_arc(q, t, lab, key) for i, q, t, lab, key in arc}
-    assert got == {i: v for i, v in want.items() if v is not None}
-    got = _collect(M.winogrande(spark.createDataFrame(
-        wg, "source_index long, sentence string, option1 string, option2 string, answer string")))
-    want = {i: models.mc_winogrande(s, a, b, ans) for i, s, a, b, ans in wg}
-    assert got == {i: v for i, v in want.items() if v is not None}
-    got = _collect(M.truthfulqa(spark.createDataFrame(
-        [(i, q, (c, lab)) for i, q, c, lab in tq],
-        "source_index long, question string, mc1_targets struct<choices:array<string>,labels:array<int>>")))
-    want = {i: models.mc_truthfulqa(q, c, lab) for i, q, c, lab in tq}
-    assert got == {i: v for i, v in want.items() if v is not None}
+def test_hellaswag_rows(spark):
+    ends = ["w", " x ", "", "z"]
+    rows = [(0, " a ", "b\xa0", "Act", ends, "1"), (1, None, "b", None, ends, " 2"), (2, "a", "", "", ends, "0"),
+            (3, "", " ", None, ends, "0"), (4, "a", "b", "c", ends, "4"), (5, "a", "b", "c", ends, "-1"), (6, "a", "b", "c", ends, "x"),
+            (7, "a", "b", "c", ends, ""), (8, "a", "b", "c", ends, None), (9, "a", "b", "c", [], "0"), (10, "a", "b", "c", None, "0")]
+    got = built(M.hellaswag(spark.createDataFrame(
+        rows, "source_index long, ctx_a string, ctx_b string, activity_label string, endings array<string>, label string")))
+    choices = ["w", "x", "", "z"]
+    assert got == {0: ("Activity: Act\na\nb", choices, 1), 1: ("b", choices, 2), 2: ("a", choices, 0)}
+
+
+def test_arc_rows(spark):
+    t, abcd = ["p", " q ", "r", "s"], ["A", "B", "C", "D"]
+    rows = [(0, "q?", t, abcd, "C"), (1, "q?", t, ["1", "2", "3", "4"], "2"), (2, "q?", t, ["1", "2", "3", "4"], "D"), (3, "q?", t, abcd, "4"),
+            (4, "q?", t, [" A", "B", "B", "D"], "B"), (5, "q?", t, abcd, " b"), (6, "q?", t, abcd, "10"), (7, "q?", t, abcd, "K"),
+            (8, "q?", t, abcd[:3], "A"), (9, " ", t, abcd, "A"), (10, "q?", [], [], "A"), (11, "q?", t, abcd, ""), (12, "q?", t, abcd, None),
+            (13, "q?", t, ["None", "B", "C", "D"], None)]
+    df = spark.createDataFrame([(i, q, (x, lab), key) for i, q, x, lab, key in rows],
+                               "source_index long, question string, choices struct<text:array<string>,label:array<string>>, answerKey string")
+    choices = ["p", "q", "r", "s"]
+    want = {0: 2, 1: 1, 2: 3, 3: 3, 4: 2, 13: 0}                # a repeated label names its last choice
+    assert built(M.arc(df)) == {i: ("q?", choices, k) for i, k in want.items()}
+
+
+def test_winogrande_rows(spark):
+    rows = [(0, " s _ ", "x ", "y", "1"), (1, "s", "x", "y", " 2"), (2, "s", "x", "y", "3"), (3, "s", "x", "y", ""), (4, "s", "x", "y", None),
+            (5, "", "x", "y", "1"), (6, "s", "\xa0", "y", "1"), (7, "s", "x", None, "1")]
+    got = built(M.winogrande(spark.createDataFrame(rows, "source_index long, sentence string, option1 string, option2 string, answer string")))
+    assert got == {0: ("s _", ["x", "y"], 0), 1: ("s", ["x", "y"], 1)}
+
+
+def test_truthfulqa_rows(spark):
+    c = ["a", " b ", "c"]
+    rows = [(0, " q ", c, [0, 1, 0]), (1, "q", c, [1, 0, 0]), (2, "q", c, [1, 1, 0]), (3, "q", c, [0, 0, 0]), (4, "q", c, [0, 1]),
+            (5, "", c, [1, 0, 0]), (6, "q", [], []), (7, None, c, [1, 0, 0])]
+    df = spark.createDataFrame([(i, q, (x, lab)) for i, q, x, lab in rows],
+                               "source_index long, question string, mc1_targets struct<choices:array<string>,labels:array<int>>")
+    assert built(M.truthfulqa(df)) == {0: ("q", ["a", "b", "c"], 1), 1: ("q", ["a", "b", "c"], 0)}
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 50])
+def test_subsample_filters_by_threshold(spark, n):
+    from corpusloom.operators.sample import take_first_n_per_group
+    rows = [(t, f"{k * 7919 % 997:04d}") for t, m in (("a", 30), ("b", 2), (None, 9)) for k in range(m)]
+    got = take_first_n_per_group(spark.createDataFrame(rows, "task string, ord string"), "task", n).collect()
+    want = [(t, o) for t in ("a", "b", None) for o in sorted(o for x, o in rows if x == t)[:n]]
+    assert sorted(map(str, ((r[0], r[1]) for r in got))) == sorted(map(str, want))

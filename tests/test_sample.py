@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.sample import (first_per_key, global_index, quota_sample, split_train_eval,
                                          take_first_n, take_first_n_per_group)
-from tests import models
+from tests.checks import assert_greedy
 
 
 def test_quota_sample_equals_greedy_scan(spark):
     rng = random.Random(11)
     cases = []
-    for c in range(40):
+    for c in range(12):
         n = rng.randint(0, 60)
         keys = rng.randint(1, 25)
         rows = [(f"{rng.random():.12f}", f"k{rng.randint(0, keys)}", rng.choice(["short", "mid", "long"]))
@@ -22,8 +22,8 @@ def test_quota_sample_equals_greedy_scan(spark):
         df = spark.createDataFrame(rows or [("0", "k", "none")], "ord string, key string, bucket string")
         if not rows:
             df = df.limit(0)
-        got = {r["ord"] for r in quota_sample(df, "key", "bucket", quotas, persist=False).collect()}
-        assert got == models.greedy_quota(rows, quotas), (rows, quotas)
+        got = {r["ord"] for r in quota_sample(df, "key", "bucket", quotas).collect()}
+        assert_greedy(rows, quotas, got)
 
 
 def test_first_per_key_and_take_first_n(spark):
@@ -52,3 +52,17 @@ def test_global_index_is_dense_and_ordered(spark):
     got = sorted((r["idx"], r["ord"]) for r in global_index(df, "ord", partitions=5).collect())
     assert [i for i, _ in got] == list(range(300))
     assert [o for _, o in got] == sorted(ords)
+
+
+def test_kth_value_through_small_and_equal_blocks(spark, monkeypatch):
+    from corpusloom.operators import sample
+    monkeypatch.setattr(sample, "SMALL_BLOCK", 3)
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), f"{rng.choice(['0000', '00001', 'ffff'])}{rng.randrange(40):02d}") for _ in range(300)] + [("c", "same")] * 20
+    df = spark.createDataFrame(rows, "g string, ord string")
+    values = {g: sorted(o for x, o in rows if x == g) for g in "abc"}
+    for k in (1, 2, 17, 20, 150, 400):
+        got = sample.kth_per_group(df, {g: k for g in "abcd"}, "g")
+        assert got == {g: v[k - 1] for g, v in values.items() if len(v) >= k}
+    everything = sorted(o for _, o in rows)
+    assert sample.kth_order_value(df, 5) == everything[4] and sample.kth_order_value(df, 1000) is None

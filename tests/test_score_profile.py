@@ -1,26 +1,42 @@
 import math
 import random
 
+import pytest
 
 from corpusloom.operators import profile as P
 from corpusloom.operators import score as SC
-from tests import models
+from tests.checks import assert_rank
 
 LIDS = [[0, 10], [1, 11], [2], [], [4, 14]]
 
 
-def test_predict_against_python(spark):
-    rng = random.Random(1)
-    vals = [-0.5, -1.0, -2.0, float("nan"), float("-inf"), -1e30, -1.0]
-    rows = []
-    for i in range(500):
-        lp = None if rng.random() < 0.1 else {t: rng.choice(vals) for t in rng.sample(range(16), rng.randint(0, 6))}
-        text = None if (lp is None and rng.random() < 0.7) else rng.choice(["a", " b", "Z", "", "c x", None])
-        rows.append((i, lp, text, rng.randint(2, 5)))
+NAN, LOW = float("nan"), float("-inf")
+# (logprobs, text, number of choices, letter or None)
+PREDICTIONS = [
+    ({0: -1.0, 1: -0.5}, None, 2, 1), ({10: -0.1, 1: -0.5}, None, 2, 0), ({0: -1.0, 1: -1.0}, None, 2, 0), ({2: -0.1, 1: -3.0}, None, 2, 1),
+    ({2: -0.1, 1: -3.0}, None, 3, 2), ({14: -9.0}, "A", 5, 4), ({0: NAN, 11: -4.0}, None, 2, 1), ({0: LOW, 1: -1e30}, "b", 2, 1),
+    ({0: -1e30}, None, 2, None), ({7: -0.1}, "a)", 4, 0), ({}, " c x", 4, 2), ({}, "E", 4, None), ({}, "", 4, None), ({}, None, 4, None),
+    (None, "D.", 4, 3), (None, None, 4, None), (None, "\nA", 4, 0), (None, "\xa0\t b", 4, 1), (None, "\x85C", 4, 2), (None, "9", 4, None)]
+
+
+def test_predicted_letters(spark):
+    rows = [(i, *p[:3]) for i, p in enumerate(PREDICTIONS)]
     df = spark.createDataFrame(rows, "i int, logprobs map<int,double>, text string, num_choices int")
     got = {r["i"]: r["p"] for r in df.select("i", SC.predict(df, LIDS).alias("p")).collect()}
-    for i, lp, text, k in rows:
-        assert got[i] == models.choose_letter(lp, LIDS, k, text), (lp, text, k)
+    for i, p in enumerate(PREDICTIONS):
+        assert got[i] == p[3], p
+
+
+def test_short_letter_table_is_refused(spark):
+    df = spark.createDataFrame([({6: -0.1}, None, 7)], "logprobs map<int,double>, text string, num_choices int")
+    with pytest.raises(Exception, match="the letter table has 5 letters"):
+        df.select(SC.predict(df, LIDS)).collect()
+
+
+def test_duplicate_metrics_are_refused(spark):
+    m = spark.createDataFrame([("m", "hellaswag", 0.5), ("m", "hellaswag", 0.6)], "model string, dataset string, acc double")
+    with pytest.raises(Exception, match="duplicate"):
+        SC.accuracy_pivot(m, ["m"]).collect()
 
 
 def test_metrics_overall_row(spark):
@@ -40,7 +56,8 @@ def test_length_summary_floor_rank(spark):
     for g, vs in groups.items():
         r = out[g]
         assert r["n"] == len(vs) and r["max"] == max(vs)
-        assert (r["p50"], r["p90"], r["p95"]) == (models.pct(vs, 0.5), models.pct(vs, 0.9), models.pct(vs, 0.95))
+        for p in (50, 90, 95):
+            assert_rank(vs, r[f"p{p}"], p / 100)
 
 
 def test_nm_sparsity_against_python(spark):

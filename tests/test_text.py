@@ -1,12 +1,14 @@
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
+from corpusloom.config import DistillConfig
 from corpusloom.functions import text as TX
 from corpusloom.functions.tokens import count_tokens, token_ids
 from corpusloom.operators.distill import clean_teacher_text, is_repetitive
-from tests import models
 
+MARKERS = DistillConfig().markers
 ALPHABET = list("ab c\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0  　 xyz#é") + ["user\n", "<|eot_id|>",
                                                                                             "### Response:", "assistant\n"]
 
@@ -30,13 +32,19 @@ def test_strip_words_lines_clean_against_python(spark):
         t = texts[r["i"]]
         assert r["s"] == t.strip(), repr(t)
         assert list(r["w"]) == t.split(), repr(t)
-        assert r["c"] == models.clean_teacher_text(t), repr(t)
-        assert r["r"] == models.is_repetitive(t), repr(t)
-
-
-def test_clean_sequential_strip(spark):
-    df = spark.createDataFrame([("foo user\n<|eot_id|>",)], "t string")
-    assert df.select(clean_teacher_text(F.col("t"))).first()[0] == "foo user"
+        assert t.lstrip().startswith(r["c"].split("\n")[0])                        # nothing before the first cut is lost
+        assert not any(m.strip() in r["c"] for m in MARKERS if not m.endswith("\n")) and r["c"] == r["c"].strip()
+        assert all(x == x.strip() and x for x in r["c"].splitlines())
+        kinds = len(Counter(t.split()))
+        assert r["r"] == (len(t.split()) >= 8 and 20 * kinds < 7 * len(t.split())), repr(t)
+
+
+def test_cleaned_texts(spark):
+    cases = {"foo user\n<|eot_id|>": "foo user", " a \n\n  b\t\n": "a\nb", "keep### Response:drop": "keep", "x<|eot_id|>y<|start_header_id|>z": "x",
+             "one\x85 two \u2028three": "one\ntwo\nthree", "an assistant\nsaid": "an", "<|eot_id|>": "", "user": "user", "": ""}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r["t"]: r["c"] for r in df.select("t", clean_teacher_text(F.col("t")).alias("c")).collect()}
+    assert got == cases
 
 
 def test_token_counts_and_ids_agree(spark):
