@@ -228,3 +228,18 @@ def test_every_operator_is_registered():
     names = set(E.queries())
     assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
     assert set(E.oracle_sql()) <= names
+
+
+@pytest.mark.parametrize("name", ["op1_decontamination", "op2_substring_dedup", "op4_ngram_jaccard_join", "op8_source_mixing", "op10_tool_call_linking"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+    E = importlib.import_module("__spark_entry__")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = E.queries()[name](spark, SF)
+    cols = sorted(df.columns)
+    want = con.execute(E.oracle_sql()[name])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == cols
+    assert sorted(str([r[c] for c in cols]) for r in df.collect()) == sorted(str([dict(zip(names, r))[c] for c in cols]) for r in want.fetchall())
