@@ -34,6 +34,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -100,9 +101,9 @@ def shingle_sets(words_hashed: list[np.ndarray], size: int) -> list[np.ndarray]:
 
 
 def _class_of(s: np.ndarray) -> int:
-    """64-bit name of a set; 0 for the empty set."""
-    return int(run_hashes(np.array([len(s), *map(int, (s * np.uint64(0x9E3779B97F4A7C15) ^ (s >> np.uint64(31))).sum(keepdims=True)),
-                                    *map(int, np.bitwise_xor.reduce(s, keepdims=True))], np.uint64), 3, 5).view(np.int64)[0]) if len(s) else 0
+    """64-bit name of a set (signed); 0 for the empty set."""
+    h = xxhash.xxh64_intdigest(s.tobytes()) if len(s) else 0
+    return h - (1 << 64) if h >= 1 << 63 else h
 
 
 def _sets(batches, size):
@@ -111,11 +112,18 @@ def _sets(batches, size):
         yield ids, shingle_sets([hash_words(t.split(), known) for t in texts], size)
 
 
+def _sketch(s: np.ndarray) -> bytes:
+    """Parity of the number of elements in each of ``SKETCH_BITS`` hash cells."""
+    bits = np.bincount((s >> np.uint64(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
 def _names(size: int):
     def run(batches):
         for ids, sets in _sets(batches, size):
             yield pa.record_batch({"d": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
-                                   "cls": pa.array([_class_of(s) for s in sets], pa.int64())})
+                                   "cls": pa.array([_class_of(s) for s in sets], pa.int64()),
+                                   "sketch": pa.array([_sketch(s) for s in sets], pa.binary())})
     return run
 
 
@@ -127,75 +135,73 @@ def _elements(size: int):
     return run
 
 
-def _entries(size: int, percent: int, boundary: int, frequent):
-    """List entries ``(e, cls, n)`` of the sets that may have a partner over the boundary."""
-    def run(batches):
-        common, weight = frequent.value
-        for _, sets in _sets(batches, size):
-            es, cs, ns = [], [], []
-            for s in sets:
-                n = len(s)
-                if not n or 100 * n // percent <= boundary:
-                    continue
-                k = listed(n, percent)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                    rank = np.where(common[at] == s, weight[at], 0)
-                    s_own = s[np.lexsort((s, rank))[:k]]
-                else:
-                    s_own = s[:k]
-                es.append(s_own)
-                cs.append(np.full(len(s_own), _class_of(s), np.int64))
-                ns.append(np.full(len(s_own), n, np.int32))
-            if es:
-                yield pa.record_batch({"e": np.concatenate(es).view(np.int64), "cls": np.concatenate(cs), "n": np.concatenate(ns)})
-    return run
+def _first_elements(s: np.ndarray, k: int, common: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The first ``k`` elements of a sorted set in the global order: those not known to
+    be frequent by hash, then the frequent ones by their count."""
+    if not len(common):
+        return s[:k]
+    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+    often = common[at] == s
+    rare = s[~often]
+    if len(rare) >= k:
+        return rare[:k]
+    rest = s[often]
+    return np.concatenate([rare, rest[np.lexsort((rest, weight[at[often]]))[:k - len(rare)]]])
+
 
+LISTS = "lo int, hi int, e long, cls long, n int"
 
-def _subsets(size: int, percent: int, boundary: int):
-    """Subset rows ``(lo, hi, h, cls, n)`` of the light sets."""
+
+def _lists(size: int, percent: int, boundary: int, frequent):
+    """Rows ``(lo, hi, e, cls, n)``: the subsets of light sets (sizes lo <= hi of the
+    pair they serve, e the subset's hash) and the list entries of heavy ones (lo 0)."""
     def run(batches):
+        common, weight = frequent.value
         for _, sets in _sets(batches, size):
-            rows = []
+            lo, hi, e, cls, n = [], [], [], [], []
+            heavy, lens, names = [], [], []
             for s in sets:
-                n = len(s)
-                if not 0 < n <= boundary:
+                m = len(s)
+                if not m:
                     continue
                 name = _class_of(s)
-                mixed = [int(x) for x in s]
-                for m in partner_sizes(n, percent):
-                    if m > boundary:
-                        continue
-                    for pick in combinations(mixed, overlap(n, m, percent)):
-                        rows.append((min(n, m), max(n, m), hash(pick), name, n))
-                if len(rows) > 100_000:
-                    yield _rows(rows)
-                    rows = []
-            if rows:
-                yield _rows(rows)
-
-    def _rows(rows):
-        lo, hi, h, c, n = zip(*rows)
-        return pa.record_batch({"lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32()), "h": pa.array(h, pa.int64()),
-                                "cls": pa.array(c, pa.int64()), "n": pa.array(n, pa.int32())})
+                if m <= boundary:
+                    own = s.tolist()
+                    for other in partner_sizes(m, percent):
+                        if other <= boundary:
+                            subsets = [hash(x) for x in combinations(own, overlap(m, other, percent))]
+                            e += subsets
+                            lo += [min(m, other)] * len(subsets)
+                            hi += [max(m, other)] * len(subsets)
+                            cls += [name] * len(subsets)
+                            n += [m] * len(subsets)
+                if 100 * m // percent > boundary:
+                    own = _first_elements(s, listed(m, percent), common, weight)
+                    heavy.append(own)
+                    lens.append(len(own))
+                    names.append((name, m))
+            if e:
+                yield pa.record_batch({"lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32()), "e": pa.array(e, pa.int64()),
+                                       "cls": pa.array(cls, pa.int64()), "n": pa.array(n, pa.int32())})
+            if heavy:
+                flat = np.concatenate(heavy).view(np.int64)
+                zero = np.zeros(len(flat), np.int32)
+                yield pa.record_batch({"lo": zero, "hi": zero, "e": flat, "cls": np.repeat(np.array([x for x, _ in names], np.int64), lens),
+                                       "n": np.repeat(np.array([x for _, x in names], np.int32), lens)})
     return run
 
 
 def _keep_sets(size: int):
-    """``(cls, n, set, sketch)`` from compressed texts."""
+    """``(cls, s)`` from compressed texts."""
     def run(batches):
         open_, known = zstandard.ZstdDecompressor(), WordHashes()
         for batch in batches:
-            texts = [open_.decompress(z.as_py()) if len(z.as_py()) else b"" for z in batch.column("z")]
-            sets = shingle_sets([hash_words(t.split(), known) for t in texts], size)
-            sketches = []
-            for s in sets:
-                bits = np.bincount((s >> np.uint64(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
-                sketches.append(np.packbits(bits.astype(np.uint8)).tobytes())
-            yield pa.record_batch({"cls": pa.array([_class_of(s) for s in sets], pa.int64()),
-                                   "n": pa.array([len(s) for s in sets], pa.int32()),
-                                   "s": pa.array([s.tobytes() for s in sets], pa.binary()),
-                                   "sketch": pa.array(sketches, pa.binary())})
+            packed = batch.column("z")
+            for at in range(0, len(packed), 256):
+                texts = [open_.decompress(z.as_buffer()) if len(z.as_buffer()) else b"" for z in packed[at:at + 256]]
+                sets = shingle_sets([hash_words(t.split(), known) for t in texts], size)
+                yield pa.record_batch({"cls": pa.array([_class_of(s) for s in sets], pa.int64()),
+                                       "s": pa.array([s.tobytes() for s in sets], pa.binary())})
     return run
 
 
@@ -205,12 +211,13 @@ def _room(n, m, apart, percent):
 
 
 def _block_pairs(n, cls, comp, side, sketch, percent, every):
-    """Pairs of one list block: the closest earlier set of each, or all between components."""
+    """Pairs of one list block: all between components, or the closest earlier set of
+    each and, as pairs (x, x), the sets that have any possible partner."""
     order = np.lexsort((cls, n))
     n, cls, comp, side, sketch = n[order], cls[order], comp[order], side[order], sketch[order]
     two = bool((side != side[0]).any())                          # two blocks: only pairs across them
     lowest = np.searchsorted(n, -(-percent * n // 100))
-    xs, ys = [], []
+    xs, ys, touched = [], [], np.zeros(len(n), bool)
     for i in range(1, len(n)):
         lo = lowest[i]
         if lo == i:
@@ -227,9 +234,13 @@ def _block_pairs(n, cls, comp, side, sketch, percent, every):
         fits = _room(n[at], n[i], apart, percent) >= 0
         at, apart = at[fits], apart[fits]
         if len(at):
+            touched[at] = touched[i] = True
             at = at if every else at[[np.argmin(apart)]]
             xs.append(np.full(len(at), cls[i]))
             ys.append(cls[at])
+    if not every:
+        xs.append(cls[touched])
+        ys.append(cls[touched])
     return xs, ys
 
 
@@ -251,7 +262,7 @@ def _propose(percent: int, every: bool):
         ok = (cls[a] != cls[b]) & (np.minimum(n[a], n[b]) >= -(-percent * np.maximum(n[a], n[b]) // 100)) & (_room(n[a], n[b], apart, percent) >= 0)
         if every:
             ok &= comp[a] != comp[b]
-        xs, ys = [cls[a[ok]]], [cls[b[ok]]]
+        xs, ys = [cls[a[ok]]], [cls[b[ok]]]                        # the closest is the only one, and both are in the pair
         for lo, size in zip(first[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
             own = slice(lo, lo + size)
             if every and (comp[own] == comp[lo]).all():
@@ -289,10 +300,9 @@ def _new_block(t: pa.Table) -> np.ndarray:
 def _verify(percent: int):
     def run(batches):
         for b in batches:
-            xs, ys = b.column("sx").to_pylist(), b.column("sy").to_pylist()
             keep = []
-            for p, q in zip(xs, ys):
-                a, c = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            for p, q in zip(b.column("sx"), b.column("sy")):
+                a, c = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(c, a), len(c) - 1)
                 both = int((c[at] == a).sum())
                 keep.append(100 * both >= percent * (len(a) + len(c) - both))
@@ -300,12 +310,17 @@ def _verify(percent: int):
     return run
 
 
-def _links(blocks: DataFrame, sets: DataFrame, percent: int, every: bool) -> DataFrame:
-    pairs = (blocks.select("e", "i", "j", "cls", "n", "comp", "side", "sketch").repartition("e", "i", "j").sortWithinPartitions("e", "i", "j")
-             .mapInArrow(_propose(percent, every), "x long, y long").distinct())
+def _candidates(blocks: DataFrame, sketches: DataFrame, percent: int, every: bool) -> DataFrame:
+    return (blocks.join(sketches, "cls").select("e", "i", "j", "cls", "n", "comp", "side", "sketch")
+            .repartition("e", "i", "j").sortWithinPartitions("e", "i", "j")
+            .mapInArrow(_propose(percent, every), "x long, y long").distinct())
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = sets.select(F.col("cls").alias("x"), F.col("s").alias("sx"))
     other = sets.select(F.col("cls").alias("y"), F.col("s").alias("sy"))
-    return pairs.join(own, "x").join(other, "y").select("x", "y", "sx", "sy").mapInArrow(_verify(percent), "x long, y long")
+    return (pairs.where("x <> y").join(own, "x").join(other, "y").select("x", "y", "sx", "sy")
+            .mapInArrow(_verify(percent), "x long, y long"))
 
 
 def membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text",
@@ -316,61 +331,79 @@ def membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: str
     path = scratch_path(spark, "jaccard")
     src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("d"),
                       ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("t"))
-    src.mapInArrow(_names(shingle), "d long, n long, cls long").write.parquet(f"{path}/names")
+    src.mapInArrow(_names(shingle), "d long, n long, cls long, sketch binary").write.parquet(f"{path}/names")
     names = spark.read.parquet(f"{path}/names")
     classes = names.where("n > 0").groupBy("cls", "n").agg(F.min("d").alias("rep"))
     if boundary is None:
         sizes = classes.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()     # at most 2 * MAX_LIGHT rows
         boundary = choose_boundary({r["n"]: r["count"] for r in sizes}, percent)
-    # the order of elements: frequent ones of a bounded sample last
-    sample = src.join(F.broadcast(names.where("n > 0").select("d").distinct().orderBy(F.xxhash64("d"), "d").limit(SAMPLE_DOCS)), "d", "left_semi")
-    top = (sample.mapInArrow(_elements(shingle), "e long").groupBy("e").count().where("count > 2")
-           .orderBy(F.col("count").desc(), "e").limit(SAMPLE_ELEMENTS).collect())
+    # the order of elements: frequent ones of a bounded sample last (about SAMPLE_DOCS documents by hash)
+    share = max(1, round(1_000_000 * min(1.0, SAMPLE_DOCS / max(1, names.count()))))
+    sample = src.where(F.pmod(F.xxhash64("d"), F.lit(1_000_000)) < share)
+    sample.mapInArrow(_elements(shingle), "e long").groupBy("e").count().where("count > 2").write.parquet(f"{path}/frequent")
+    seen = spark.read.parquet(f"{path}/frequent")
+    least, held = 3, 0
+    for r in sorted(seen.groupBy("count").agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):   # at most SAMPLE_DOCS counts
+        held += r["k"]
+        if held > SAMPLE_ELEMENTS:
+            least = r["count"] + 1
+            break
+    top = seen.where(F.col("count") >= least).collect()                                                 # at most SAMPLE_ELEMENTS
     common = np.array([r["e"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(common)
     frequent = spark.sparkContext.broadcast((common[order], np.array([r["count"] for r in top], np.int64)[order]))
 
+    # one pass writes the subsets of light sets and the list entries of heavy ones
+    src.mapInArrow(_lists(shingle, percent, boundary, frequent), LISTS).write.parquet(f"{path}/lists")
+    lists = spark.read.parquet(f"{path}/lists")
+
     # light: equal subsets are links to the least set of the smaller size
-    subsets = src.mapInArrow(_subsets(shingle, percent, boundary), "lo int, hi int, h long, cls long, n int").distinct()
-    key = ["lo", "hi", "h"]
+    key = ["lo", "hi", "e"]
+    subsets = lists.where("lo > 0").distinct()
     centre = (subsets.groupBy(*key).agg(F.min(F.when(F.col("n") == F.col("lo"), F.col("cls"))).alias("y"), F.count(F.lit(1)).alias("k"))
               .where("k > 1 and y is not null"))
     light = subsets.join(centre, key).where("cls <> y").select(F.col("cls").alias("x"), "y").distinct()
 
     # heavy: lists met by two classes of like size
-    entries = src.mapInArrow(_entries(shingle, percent, boundary, frequent), "e long, cls long, n int")
+    entries = lists.where("lo = 0").select("e", "cls", "n")
     met = entries.groupBy("e").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("e")
-    met = entries.join(met, "e", "left_semi").distinct()
+    met.write.parquet(f"{path}/shared")
+    met = entries.join(spark.read.parquet(f"{path}/shared"), "e", "left_semi").distinct()
     near = Window.partitionBy("e").orderBy("n", "cls")
     met = (met.withColumns({"before": F.lag("n").over(near), "after": F.lead("n").over(near)})
            .where((100 * F.col("before") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("after")))
            .select("e", "cls", "n"))
     met.write.parquet(f"{path}/met")
     met = spark.read.parquet(f"{path}/met")
-    wanted = met.select("cls").distinct().join(classes, "cls").select(F.col("rep").alias("d")).distinct()
-    (src.mapInArrow(_pack, "d long, z binary").join(wanted, "d", "left_semi").mapInArrow(_keep_sets(shingle), "cls long, n int, s binary, sketch binary")
-     .dropDuplicates(["cls"]).write.parquet(f"{path}/sets"))
-    sets = spark.read.parquet(f"{path}/sets")
     cuts = (met.groupBy("e").agg(F.count(F.lit(1)).alias("g"))
             .select("e", F.ceil(F.col("g") / BLOCK).cast("int").alias("nb")))
     part = F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int")
     spots = (met.join(cuts, "e").withColumn("side", part)
              .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
              .select("e", "cls", "n", "side", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j")))
-    sketched = spots.join(sets.select("cls", "sketch"), "cls")
     rep = classes.select("cls", "rep")
+    sketches = (names.join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("sketch").alias("sketch")))
+    _candidates(spots.withColumn("comp", F.col("cls")), sketches, percent, every=False).write.parquet(f"{path}/pairs")
+    pairs = spark.read.parquet(f"{path}/pairs")
+    # exact sets of the classes that have any possible partner
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct().join(rep, "cls").select(F.col("rep").alias("d")).distinct()
+    wanted.write.parquet(f"{path}/wanted")
+    (src.mapInArrow(_pack, "d long, z binary").join(spark.read.parquet(f"{path}/wanted"), "d", "left_semi")
+     .mapInArrow(_keep_sets(shingle), "cls long, s binary").dropDuplicates(["cls"]).write.parquet(f"{path}/sets"))
+    sets = spark.read.parquet(f"{path}/sets")
 
     def by_rep(links):
         return (links.join(rep.withColumnsRenamed({"cls": "x", "rep": "u"}), "x")
                 .join(rep.withColumnsRenamed({"cls": "y", "rep": "v"}), "y").select("u", "v"))
 
-    first = _links(sketched.withColumn("comp", F.col("cls")), sets, percent, every=False)
-    light.unionByName(first).write.parquet(f"{path}/links")
-    known = by_rep(spark.read.parquet(f"{path}/links"))
-    roots = components(known)
+    light.unionByName(_verified(pairs, sets, percent)).write.parquet(f"{path}/links")
+    roots = components(by_rep(spark.read.parquet(f"{path}/links")))
     comp = rep.join(roots, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("comp"))
-    rest = _links(sketched.join(comp, "cls"), sets, percent, every=True)
-    by_rep(rest).write.parquet(f"{path}/rest")
+    # second scan: only list blocks that still hold several components
+    placed = spots.join(comp, "cls")
+    open_ = (placed.groupBy("e", "i", "j").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("e", "i", "j"))
+    rest = _candidates(placed.join(open_, ["e", "i", "j"], "left_semi"), sketches, percent, every=True)
+    by_rep(_verified(rest, sets, percent)).write.parquet(f"{path}/rest")
     final = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(spark.read.parquet(f"{path}/rest")))
     root_of = rep.join(final, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("component"))
     return (names.join(root_of, "cls", "left")
