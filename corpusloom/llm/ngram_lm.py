@@ -35,7 +35,7 @@ from corpusloom.llm.common import ascii_lower
 from corpusloom.llm.substrings import WordHashes, hash_words, run_hashes
 from corpusloom.session import scratch_path
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 10 << 20
 MAX_BUCKET = 20
 STEPS = 4                     # histogram cells per octave of an estimate
 FLOOR = -60 * STEPS           # cell of an estimate of zero
@@ -82,13 +82,14 @@ class Grams:
         h = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         lens = np.array([len(p) for p in parts], np.int64).reshape(-1, 3).sum(axis=1)
         self.first = np.concatenate([[0], np.cumsum(lens)[:-1]]) if len(lens) else np.zeros(0, np.int64)
-        self.doc = np.repeat(np.arange(len(texts)), lens)
-        self.pos = np.arange(len(h)) - self.first[self.doc] if len(h) else np.zeros(0, np.int64)
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), lens)
+        self.pos = (np.arange(len(h)) - self.first[self.doc]).astype(np.int32) if len(h) else np.zeros(0, np.int32)
         self.keys, self.at, self.index = {}, {}, {}
         for k in range(1, order + 1):
             ends = np.flatnonzero(self.pos >= k - 1)
-            self.at[k] = ends
-            self.keys[k], self.index[k] = np.unique(run_hashes(h, k, 20 + k)[ends - k + 1], return_inverse=True)
+            self.at[k] = ends.astype(np.int32)
+            self.keys[k], index = np.unique(run_hashes(h, k, 20 + k)[ends - k + 1], return_inverse=True)
+            self.index[k] = index.astype(np.int32)
 
     def counts(self, k: int, weight: np.ndarray) -> np.ndarray:
         """Occurrences of each distinct gram in documents of weight 1."""
