@@ -348,9 +348,12 @@ def extract(model: dict, pages: list[str | None], rows: int = 64) -> list[str]:
 
 def training_pages(pages: DataFrame, html: str = "html", page_id: str = "page_id", limit: int = TRAIN_PAGES) -> list[str]:
     """The bounded training sample: ``limit`` pages with the smallest id hashes."""
-    rows = (pages.where(F.col(html).isNotNull()).select(F.xxhash64(F.col(page_id)).alias("h"), F.col(page_id), F.col(html))
-            .orderBy("h", page_id, html).limit(limit).collect())
-    return [r[2] for r in rows]
+    h = F.xxhash64(F.col(page_id))
+    there = pages.where(F.col(html).isNotNull())
+    last = there.select(h.alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]     # hashes only
+    if last is None:
+        return []
+    return [r[2] for r in there.where(h <= last).select(h.alias("h"), page_id, html).orderBy("h", page_id, html).limit(limit).collect()]
 
 
 def main_text(html: Column, model: dict) -> Column:
