@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from corpusloom.session import scratch_path
 
 LENGTH, SEED = 20, 5
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+KEEP_WORDS = 150_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S1, _S2 = np.uint64(32), np.uint64(29)
 NULL_ID = -(1 << 63)
@@ -50,7 +51,7 @@ class WordHashes(dict):
     """64-bit hash of a word; a bounded cache."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= KEEP_WORDS:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -126,8 +127,16 @@ def _find_reaches(length: int, seed: int):
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             starts, counts, anchor, reach = reaches(h, doc, length, seed)
             owner = doc[starts]
-            yield pa.record_batch({"d": np.array(ids, np.int64)[owner], "a": anchor.view(np.int64), "s": reach.view(np.int64),
-                                   "p": (starts - first[owner]).astype(np.int32), "c": counts.astype(np.int32)})
+            p = (starts - first[owner]).astype(np.int32)
+            # a reach met again in its own document: one row, with the later positions packed
+            order = np.argsort(reach ^ (owner.astype(np.uint64) * _M2), kind="stable")
+            same = (reach[order][1:] == reach[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+            lead = np.flatnonzero(np.concatenate([[True], ~same])) if len(order) else order
+            sizes_ = np.diff(np.append(lead, len(order)))
+            keep = order[lead]
+            more = [p[order[k + 1:k + n]].tobytes() if n > 1 else None for k, n in zip(lead.tolist(), sizes_.tolist())]
+            yield pa.record_batch({"d": np.array(ids, np.int64)[owner[keep]], "a": anchor[keep].view(np.int64), "s": reach[keep].view(np.int64),
+                                   "p": p[keep], "c": counts[keep].astype(np.int32), "more": pa.array(more, pa.binary())})
     return run
 
 
@@ -165,8 +174,9 @@ def _first_pass(length: int):
                 raw, d = z.as_py(), d.as_py()
                 words = open_.decompress(raw).split() if raw else []
                 found = found.as_py() or []
-                gone = [(f["p"], f["p"] + f["c"] + length - 1) for f in found if not f["first"]]
-                ends = [f for f in found if f["first"]]
+                gone = [(p, p + f["c"] + length - 1) for f in found
+                        for p in ([] if f["first"] else [f["p"]]) + np.frombuffer(f["more"] or b"", np.int32).tolist()]
+                ends = [f for f in found if f["first"] and f["end"]]
                 starts, stops = [g[0] for g in gone], [g[1] for g in gone]
                 fine = []
                 if ends:
@@ -203,23 +213,32 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Per document ``(doc_id, n_words, n_removed, kept_sha256)``."""
     spark = docs.sparkSession
     src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("d"), F.col(text).cast("string").alias("t"))
-    seeds = src.mapInArrow(_find_reaches(length, seed), "d long, a long, s long, p int, c int")
-    twice = seeds.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
     path = scratch_path(spark, "repeats")
-    seeds.join(twice, "a", "left_semi").write.parquet(f"{path}/seeds")
-    met = spark.read.parquet(f"{path}/seeds")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """Written below the shared folder: cuts lineage, and gives the joins below
+        plain inputs, so that adaptive execution may split a hot anchor."""
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
+
+    seeds = src.mapInArrow(_find_reaches(length, seed), "d long, a long, s long, p int, c int, more binary")
+    met_times = F.sum(1 + F.coalesce(F.octet_length("more"), F.lit(0)) / 4)
+    twice = kept(seeds.groupBy("a").agg(met_times.alias("n")).where("n > 1").select("a"), "twice")
+    met = kept(seeds.join(twice, "a", "left_semi"), "seeds")
     firsts = met.groupBy("a", "s").agg(F.min(F.struct("d", "p")).alias("f"), F.count(F.lit(1)).alias("n"))
-    ends = firsts.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    firsts = firsts.join(ends, "a", "left").where((F.col("n") > 1) | F.col("m").isNotNull())
+    firsts = kept(firsts, "firsts")
+    ends = kept(firsts.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "ends")
+    firsts = firsts.join(ends, "a", "left").select("a", "s", "f", "n", F.col("m").isNotNull().alias("end"))
+    firsts = kept(firsts, "marked")
     here = (F.col("d") == F.col("f.d")) & (F.col("p") == F.col("f.p"))
-    found = (met.join(firsts, ["a", "s"]).where(~here | F.col("m").isNotNull())
-             .select("d", F.struct("p", "c", "a", here.alias("first")).alias("x"))
+    found = (met.join(firsts, ["a", "s"]).where(~here | F.col("end") | F.col("more").isNotNull())
+             .select("d", F.struct("p", "c", "a", here.alias("first"), "end", "more").alias("x"))
              .groupBy("d").agg(F.collect_list("x").alias("found")))      # bounded by the document's length
     packed = src.mapInArrow(_pack, "d long, z binary")
     (packed.join(found, "d", "left").mapInArrow(_first_pass(length), FIRST_PASS).write.parquet(f"{path}/first"))
     state = spark.read.parquet(f"{path}/first")
     fine = state.where(F.col("kept_sha256").isNull()).select("d", F.explode("fine").alias("x")).select("d", "x.*")
-    lead = fine.groupBy("a", "w").agg(F.min(F.struct("d", "p")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    lead = kept(fine.groupBy("a", "w").agg(F.min(F.struct("d", "p")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1"), "lead")
     more = (fine.join(lead, ["a", "w"]).where((F.col("d") != F.col("f.d")) | (F.col("p") != F.col("f.p")))
             .groupBy("d").agg(F.collect_list("p").alias("more")))
     rest = (state.where(F.col("kept_sha256").isNull()).select("d", "z", "starts", "ends").join(more, "d", "left")
