@@ -8,6 +8,7 @@ written as Parquet and read again as the next stage's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm import decontam, jaccard, mixing, quality, resharding
 from corpusloom.llm.common import read_table
@@ -34,13 +35,20 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, range-partitioned and sorted into the mixture's order: read in
     file order, every prefix holds the sources at their target weights."""
-    mixed = mixing.mix(docs, shares=MIX_SHARES, prefix="_mixed_")
+    body = F.coalesce(F.col("text"), F.lit(""))
+    ties = (F.octet_length(body), F.crc32(body.cast("binary")))
+    mixed = mixing.mix(docs, shares=MIX_SHARES, prefix="_mixed_", ties=ties)
     return mixed.orderBy("_mixed_slot", "_mixed_pos").select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document, with its text's size and CRC."""
-    return resharding.assignments(docs, new_shards=16, old_shards=12)
+    """Shard and slot of every document, with its text's size and CRC. The slots of a
+    shard follow the mixture's order: every run of slots from 0 holds the sources at
+    their target weights. The stages pass on the columns of ``documents`` alone and a
+    read table has no order, so the position is derived again, from the same rows."""
+    def mixed(rows: DataFrame) -> DataFrame:
+        return mixing.mix(rows, shares=MIX_SHARES, prefix="_mixed_", ties=("_rs_size", "_rs_crc"))
+    return resharding.ordered_assignments(docs, mixed, ["_mixed_slot", "_mixed_pos"], keep=["source"], new_shards=16, old_shards=12)
 
 
 STAGES = [("quality_rules", quality_rules), ("ngram_jaccard_join", near_duplicates),

@@ -53,7 +53,7 @@ def frame_schedule(shares: DataFrame) -> DataFrame:
                        F.col("c.nth").alias("nth"), F.col("c.slot_in_frame").alias("slot_in_frame"))
 
 
-def _numbered(df: DataFrame, row_id: str, source: str, seed: str) -> DataFrame:
+def _numbered(df: DataFrame, row_id: str, source: str, seed: str, ties: tuple = ()) -> DataFrame:
     """Adds ``_mx_seq``: the row's number in its source by seeded hash, from 0.
 
     Numbers come from 4,096 hash ranges per source, each ranked on its own and
@@ -68,14 +68,16 @@ def _numbered(df: DataFrame, row_id: str, source: str, seed: str) -> DataFrame:
     offsets = (d.groupBy(*group).agg(F.count(F.lit(1)).alias("_mx_n"))
                .withColumn("_mx_before", F.sum("_mx_n").over(before) - F.col("_mx_n")).drop("_mx_n"))
     ranked = d.withColumn("_mx_rank", F.row_number().over(
-        Window.partitionBy(*group).orderBy("_mx_key", F.col(row_id))))
+        Window.partitionBy(*group).orderBy("_mx_key", F.col(row_id), *ties)))
     return ranked.join(offsets, group).withColumn("_mx_seq", F.col("_mx_before") + F.col("_mx_rank") - 1)
 
 
 def mix(df: DataFrame, row_id: str = "doc_id", source: str = "source", shares: dict[str, int] | None = None,
-        default_share: int = 1, block_rows: int = 32, seed: str = "mix", prefix: str = "mix_") -> DataFrame:
+        default_share: int = 1, block_rows: int = 32, seed: str = "mix", prefix: str = "mix_",
+        ties: tuple = ()) -> DataFrame:
     """``df`` plus ``block, pos, release, deadline, slot``, each with ``prefix``
-    (input columns of these names are replaced)."""
+    (input columns of these names are replaced). ``ties`` are columns that order
+    rows of one id."""
     spark = df.sparkSession
     found = df.select(F.coalesce(F.col(source), F.lit("\x00")).alias("source")).distinct()
     given = spark.createDataFrame([(str(k), int(v)) for k, v in (shares or {}).items()] or [("", default_share)],
@@ -84,7 +86,7 @@ def mix(df: DataFrame, row_id: str = "doc_id", source: str = "source", shares: d
         "source", F.coalesce("given", F.lit(default_share)).cast("int").alias("share"))
     frame = frame_schedule(share).withColumnsRenamed({"source": "_mx_source", "nth": "_mx_nth", "share": "_mx_share",
                                                       "total": "_mx_total", "slot_in_frame": "_mx_at"})
-    d = _numbered(df, row_id, source, seed)
+    d = _numbered(df, row_id, source, seed, ties)
     d = d.withColumn("_mx_block", F.floor(F.col("_mx_seq") / block_rows))
     per = share.withColumnsRenamed({"source": "_mx_source", "share": "_mx_a"})
     d = d.join(F.broadcast(per), "_mx_source").withColumn("_mx_nth", (F.col("_mx_block") % F.col("_mx_a")).cast("int"))

@@ -24,7 +24,10 @@ from collections import deque
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import scratch_path
+
 UNIT = ["_rs_old", "_rs_bucket", "_rs_cut"]
+RANGES = 4096                 # parts of the order in which a shard's slots are numbered
 
 
 def min_cost_flow(sizes: list[int], capacities: list[int], cost=None) -> dict[tuple[int, int], int]:
@@ -77,6 +80,7 @@ def min_cost_flow(sizes: list[int], capacities: list[int], cost=None) -> dict[tu
 def _with_units(df: DataFrame, text: str, row_id: str, old_shard: Column, buckets: int, cuts: int) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     return (df.withColumn("_rs_size", (F.octet_length(body) + 1).cast("long"))
+              .withColumn("_rs_crc", F.crc32(body.cast("binary")))
               .withColumn("_rs_old", old_shard.cast("int"))
               .withColumn("_rs_bucket", F.pmod(F.shiftright(F.xxhash64(body), 20), F.lit(buckets)).cast("int"))
               .withColumn("_rs_cut", F.pmod(F.xxhash64(F.col(row_id)), F.lit(cuts)).cast("int")))
@@ -132,20 +136,54 @@ def place(df: DataFrame, text: str = "text", row_id: str = "doc_id", new_shards:
     caller keeps it in ``df``.
     """
     old = old_shard if old_shard is not None else text_hash_shard(text, old_shards)
-    rows = _with_units(df, text, row_id, old, buckets, cuts)
-    units = (rows.groupBy(*UNIT).agg(F.sum("_rs_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-             .checkpoint())                                      # bounded table, read several times
-    plan = plan_units(units, old_shards, new_shards, cost)
-    crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    rows = _located(_with_units(df, text, row_id, old, buckets, cuts), new_shards, old_shards, cost)
     within = Window.partitionBy(*UNIT).orderBy(F.col(row_id), F.col("_rs_size"), F.col("_rs_crc"))
     own = df.columns
-    return (rows.withColumn("_rs_crc", crc)
-            .join(plan.withColumnsRenamed({"shard": "_rs_shard"}), UNIT)
-            .withColumn("_rs_slot", F.col("_rs_first") + F.row_number().over(within) - 1)
+    return (rows.withColumn("_rs_slot", F.col("_rs_first") + F.row_number().over(within) - 1)
             .select(*[F.col(f"`{c}`") for c in own], F.col("_rs_size").alias("_rs_bytes"), "_rs_crc", "_rs_old",
                     "_rs_shard", "_rs_slot"))
 
 
+def _located(rows: DataFrame, new_shards: int, old_shards: int, cost) -> DataFrame:
+    """Rows of ``_with_units`` with ``_rs_shard`` and the first slot of their unit."""
+    units = (rows.groupBy(*UNIT).agg(F.sum("_rs_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+             .checkpoint())                                      # bounded table, read several times
+    plan = plan_units(units, old_shards, new_shards, cost)
+    return rows.join(plan.withColumnsRenamed({"shard": "_rs_shard"}), UNIT)
+
+
+def _slots_in_order(rows: DataFrame, order: list[str], row_id: str) -> DataFrame:
+    """Adds ``_rs_slot``: the row's number in its shard by ``order``, whose first column
+    is a number from 0. Each of ``RANGES`` parts of that number is ranked on its own
+    and shifted by the sizes of the parts before it."""
+    top = rows.agg(F.max(order[0])).first()[0] or 0
+    parts = rows.withColumn("_rs_range", F.floor(F.col(order[0]) * RANGES / (top + 1)))
+    group = ["_rs_shard", "_rs_range"]
+    before = Window.partitionBy("_rs_shard").orderBy("_rs_range")
+    offsets = (parts.groupBy(*group).agg(F.count(F.lit(1)).alias("_rs_n"))
+               .withColumn("_rs_before", F.sum("_rs_n").over(before) - F.col("_rs_n")).drop("_rs_n"))
+    within = Window.partitionBy(*group).orderBy(*order, F.col(row_id), "_rs_size", "_rs_crc")
+    return (parts.withColumn("_rs_rank", F.row_number().over(within)).join(offsets, group)
+            .withColumn("_rs_slot", F.col("_rs_before") + F.col("_rs_rank") - 1))
+
+
+def ordered_assignments(df: DataFrame, arrange, order: list[str], keep: list[str], text: str = "text", row_id: str = "doc_id",
+                        new_shards: int = 16, old_shards: int = 12, buckets: int = 1024, cuts: int = 16, cost=None) -> DataFrame:
+    """``assignments`` whose slots follow, inside every shard, the columns ``order``.
+
+    ``arrange`` adds them to narrow rows (``row_id``, the columns ``keep``, ``_rs_size``
+    and ``_rs_crc``). These rows and its result are written, so that the texts are read
+    once and every pass sees one order.
+    """
+    spark = df.sparkSession
+    rows = _with_units(df, text, row_id, text_hash_shard(text, old_shards), buckets, cuts)
+    path = scratch_path(spark, "ordered")
+    rows.select(row_id, *keep, "_rs_size", "_rs_crc", *UNIT).write.parquet(f"{path}/rows")
+    arrange(spark.read.parquet(f"{path}/rows")).write.parquet(f"{path}/arranged")
+    rows = _located(spark.read.parquet(f"{path}/arranged"), new_shards, old_shards, cost)
+    return _narrow(_slots_in_order(rows, order, row_id).withColumnsRenamed({"_rs_size": "_rs_bytes"}), row_id)
+
+
 def assignments(df: DataFrame, text: str = "text", row_id: str = "doc_id", **kw) -> DataFrame:
     """One narrow row per input row: ``(row_id, size, text_crc32, old_shard, shard, slot)``."""
     spare = df.select(F.col(row_id), F.col(text))
@@ -154,6 +192,10 @@ def assignments(df: DataFrame, text: str = "text", row_id: str = "doc_id", **kw)
         spare = df.select(F.col(row_id), F.col(text), old.alias("_rs_given"))
         old = F.col("_rs_given")
     out = place(spare, text, row_id, old_shard=old, **kw)
+    return _narrow(out, row_id)
+
+
+def _narrow(out: DataFrame, row_id: str) -> DataFrame:
     return out.select(F.col(row_id), F.col("_rs_bytes").alias("size"), F.col("_rs_crc").cast("long").alias("text_crc32"),
                       F.col("_rs_old").alias("old_shard"), F.col("_rs_shard").cast("int").alias("shard"),
                       F.col("_rs_slot").cast("long").alias("slot"))

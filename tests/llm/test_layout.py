@@ -223,6 +223,29 @@ def test_pipeline_stages_take_awkward_rows(spark):
         assert d.count() <= len(data) and "shard" in d.columns
 
 
+def test_pipeline_slots_follow_the_mixture(spark):
+    P = importlib.import_module("corpus_pipeline")
+    rows = [(k, f"text {k} of its own", "src0" if k % 3 == 0 else f"src{k % 3}") for k in range(12_000)]
+    rows += [(None, f"no id {k}", "src1") for k in range(5)] + [(7, "other text", "src0"), (8, None, None)]
+    df = frame(spark, rows)
+    out = P.sharding(spark, df, SF).collect()
+    assert len(out) == len(rows)
+    order = {(r["doc_id"], zlib.crc32((r["text"] or "").encode())): k for k, r in enumerate(P.source_mixing(spark, df, SF).collect())}
+    source = {(i, zlib.crc32((t or "").encode())): s for i, t, s in rows}
+    shards = collections.defaultdict(list)
+    for r in out:
+        shards[r["shard"]].append((r["slot"], (r["doc_id"], r["text_crc32"])))
+    early = []
+    for s in shards.values():
+        s.sort()
+        assert [x for x, _ in s] == list(range(len(s)))
+        at = [order[k] for _, k in s]
+        assert at == sorted(at)
+        early += [source[k] for _, k in s[:200]]
+    # shares 4, 1, 1 and 1 for the null source, which has one row; a third each without the mixture
+    assert len(shards) == 16 and abs(early.count("src0") / len(early) - 4 / 6) < 0.08
+
+
 def test_every_operator_is_registered():
     E = importlib.import_module("__spark_entry__")
     names = set(E.queries())
