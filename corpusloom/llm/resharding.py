@@ -7,9 +7,11 @@ are fewest. It has one node per shard, so it is solved on the driver from one
 size per shard; rows never leave Spark.
 
 Rows are grouped into *units* by a hash of their text, so equal texts share a
-unit. A unit whose bytes exceed half of a shard is cut by a hash of the row id,
-which also spreads a text that holds a large part of all rows. The unit table
-has at most ``old_shards * buckets * cuts`` rows whatever the input size.
+unit. A unit whose bytes exceed half of a shard is cut by a hash of the row id
+into pieces of about ``1 / pieces`` of a shard, which also spreads a text that
+holds a large part of all rows (rows that share both text and id stay together).
+The unit table has at most ``old_shards * buckets + (pieces + 2) * new_shards``
+rows whatever the input size.
 
 Defined cases: a null text has no bytes (size 1) and CRC 0; rows with a null id
 are kept and placed like others; repeated rows are placed each; an empty table
@@ -77,13 +79,12 @@ def min_cost_flow(sizes: list[int], capacities: list[int], cost=None) -> dict[tu
     return {k: v for k, v in flow.items() if v}
 
 
-def _with_units(df: DataFrame, text: str, row_id: str, old_shard: Column, buckets: int, cuts: int) -> DataFrame:
+def _with_units(df: DataFrame, text: str, old_shard: Column, buckets: int) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     return (df.withColumn("_rs_size", (F.octet_length(body) + 1).cast("long"))
               .withColumn("_rs_crc", F.crc32(body.cast("binary")))
               .withColumn("_rs_old", old_shard.cast("int"))
-              .withColumn("_rs_bucket", F.pmod(F.shiftright(F.xxhash64(body), 20), F.lit(buckets)).cast("int"))
-              .withColumn("_rs_cut", F.pmod(F.xxhash64(F.col(row_id)), F.lit(cuts)).cast("int")))
+              .withColumn("_rs_bucket", F.pmod(F.shiftright(F.xxhash64(body), 20), F.lit(buckets)).cast("int")))
 
 
 def text_hash_shard(text: str, shards: int) -> Column:
@@ -110,25 +111,18 @@ def plan_units(units: DataFrame, old_shards: int, new_shards: int, cost=None) ->
             spans.append((i, j, at, at + flow[i, j]))
             at += flow[i, j]
     spans = spark.createDataFrame(spans or [(0, 0, 0, 0)], "_rs_old int, shard int, lo long, hi long")
-    half = max(1, total // new_shards // 2)
-    atoms = (units.groupBy("_rs_old", "_rs_bucket").agg(F.sum("bytes").alias("whole"))
-             .join(units, ["_rs_old", "_rs_bucket"])
-             .withColumn("_rs_atom", F.when(F.col("whole") <= half, F.lit(-1)).otherwise(F.col("_rs_cut"))))
-    key = ["_rs_old", "_rs_bucket", "_rs_atom"]
-    before = Window.partitionBy("_rs_old").orderBy(F.col("b").desc(), "_rs_bucket", "_rs_atom")
-    middles = (atoms.groupBy(*key).agg(F.sum("bytes").alias("b"))
-               .withColumn("mid", F.sum("b").over(before) - F.col("b") / 2))
+    before = Window.partitionBy("_rs_old").orderBy(F.col("bytes").desc(), "_rs_bucket", "_rs_cut")
+    middles = units.withColumn("mid", F.sum("bytes").over(before) - F.col("bytes") / 2)
     placed = (middles.join(F.broadcast(spans), "_rs_old")      # at most old_shards * new_shards spans
               .where((F.col("mid") >= F.col("lo")) & (F.col("mid") < F.col("hi")))
-              .select(*key, "shard"))
+              .select(*UNIT, "rows", "shard"))
     first = Window.partitionBy("shard").orderBy(*UNIT)
-    return (atoms.join(placed, key)
-            .withColumn("_rs_first", F.sum("rows").over(first) - F.col("rows"))
+    return (placed.withColumn("_rs_first", F.sum("rows").over(first) - F.col("rows"))
             .select(*UNIT, "shard", "_rs_first"))
 
 
 def place(df: DataFrame, text: str = "text", row_id: str = "doc_id", new_shards: int = 16, old_shards: int = 12,
-          old_shard: Column | None = None, buckets: int = 1024, cuts: int = 16, cost=None) -> DataFrame:
+          old_shard: Column | None = None, buckets: int = 1024, pieces: int = 64, cost=None) -> DataFrame:
     """``df`` with ``_rs_bytes, _rs_crc, _rs_old, _rs_shard, _rs_slot``.
 
     The slot numbers the rows of a new shard from 0 without gaps. Two narrow
@@ -136,7 +130,7 @@ def place(df: DataFrame, text: str = "text", row_id: str = "doc_id", new_shards:
     caller keeps it in ``df``.
     """
     old = old_shard if old_shard is not None else text_hash_shard(text, old_shards)
-    rows = _located(_with_units(df, text, row_id, old, buckets, cuts), new_shards, old_shards, cost)
+    rows = _located(_with_units(df, text, old, buckets), row_id, new_shards, old_shards, pieces, cost)
     within = Window.partitionBy(*UNIT).orderBy(F.col(row_id), F.col("_rs_size"), F.col("_rs_crc"))
     own = df.columns
     return (rows.withColumn("_rs_slot", F.col("_rs_first") + F.row_number().over(within) - 1)
@@ -144,8 +138,20 @@ def place(df: DataFrame, text: str = "text", row_id: str = "doc_id", new_shards:
                     "_rs_shard", "_rs_slot"))
 
 
-def _located(rows: DataFrame, new_shards: int, old_shards: int, cost) -> DataFrame:
+def _cut(rows: DataFrame, row_id: str, new_shards: int, pieces: int) -> DataFrame:
+    """Adds ``_rs_cut``: the piece of a row's unit, 0 in units up to half a shard."""
+    whole = rows.groupBy("_rs_old", "_rs_bucket").agg(F.sum("_rs_size").alias("bytes")).checkpoint()
+    shard = max(1, (whole.agg(F.sum("bytes")).first()[0] or 0) // new_shards)
+    large = (whole.where(F.col("bytes") > max(1, shard // 2))     # fewer than 2 * new_shards + 1 units, except in tiny tables
+             .select("_rs_old", "_rs_bucket", F.ceil(F.col("bytes") * pieces / shard).alias("_rs_pieces")))
+    return (rows.join(F.broadcast(large), ["_rs_old", "_rs_bucket"], "left")
+            .withColumn("_rs_cut", F.pmod(F.xxhash64(F.col(row_id)), F.coalesce("_rs_pieces", F.lit(1))).cast("int"))
+            .drop("_rs_pieces"))
+
+
+def _located(rows: DataFrame, row_id: str, new_shards: int, old_shards: int, pieces: int, cost) -> DataFrame:
     """Rows of ``_with_units`` with ``_rs_shard`` and the first slot of their unit."""
+    rows = _cut(rows, row_id, new_shards, pieces)
     units = (rows.groupBy(*UNIT).agg(F.sum("_rs_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
              .checkpoint())                                      # bounded table, read several times
     plan = plan_units(units, old_shards, new_shards, cost)
@@ -168,7 +174,7 @@ def _slots_in_order(rows: DataFrame, order: list[str], row_id: str) -> DataFrame
 
 
 def ordered_assignments(df: DataFrame, arrange, order: list[str], keep: list[str], text: str = "text", row_id: str = "doc_id",
-                        new_shards: int = 16, old_shards: int = 12, buckets: int = 1024, cuts: int = 16, cost=None) -> DataFrame:
+                        new_shards: int = 16, old_shards: int = 12, buckets: int = 1024, pieces: int = 64, cost=None) -> DataFrame:
     """``assignments`` whose slots follow, inside every shard, the columns ``order``.
 
     ``arrange`` adds them to narrow rows (``row_id``, the columns ``keep``, ``_rs_size``
@@ -176,11 +182,11 @@ def ordered_assignments(df: DataFrame, arrange, order: list[str], keep: list[str
     once and every pass sees one order.
     """
     spark = df.sparkSession
-    rows = _with_units(df, text, row_id, text_hash_shard(text, old_shards), buckets, cuts)
+    rows = _with_units(df, text, text_hash_shard(text, old_shards), buckets)
     path = scratch_path(spark, "ordered")
-    rows.select(row_id, *keep, "_rs_size", "_rs_crc", *UNIT).write.parquet(f"{path}/rows")
+    rows.select(row_id, *keep, "_rs_size", "_rs_crc", "_rs_old", "_rs_bucket").write.parquet(f"{path}/rows")
     arrange(spark.read.parquet(f"{path}/rows")).write.parquet(f"{path}/arranged")
-    rows = _located(spark.read.parquet(f"{path}/arranged"), new_shards, old_shards, cost)
+    rows = _located(spark.read.parquet(f"{path}/arranged"), row_id, new_shards, old_shards, pieces, cost)
     return _narrow(_slots_in_order(rows, order, row_id).withColumnsRenamed({"_rs_size": "_rs_bytes"}), row_id)
 
 

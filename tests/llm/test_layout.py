@@ -95,6 +95,17 @@ def test_shards_are_near_equal_and_slots_gapless(spark):
     assert sum(olds.values()) - kept <= fewest + 5 * largest
 
 
+@pytest.mark.parametrize("hot,new", [(0.33, 16), (0.4, 16), (0.33, 48)])
+def test_shards_stay_equal_under_a_hot_text(spark, hot, new):
+    hot_rows = int(60_000 * hot)
+    rows = [(k, "the very same text", "h") for k in range(hot_rows)] + [(k, f"text with {k:08d}", "a") for k in range(hot_rows, 60_000)]
+    size = collections.Counter()
+    for r in resharding.assignments(frame(spark, rows), new_shards=new, old_shards=12).groupBy("shard").agg(F.sum("size").alias("b")).collect():
+        size[r["shard"]] = r["b"]
+    mean = sum(size.values()) / new
+    assert set(size) == set(range(new)) and all(abs(b / mean - 1) < 0.03 for b in size.values())
+
+
 def test_equal_texts_stay_together_below_half_a_shard(spark):
     rows = [(k, f"group {k % 40} " * (1 + k % 7), "a") for k in range(800)]
     where = collections.defaultdict(set)
