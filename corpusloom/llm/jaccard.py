@@ -23,8 +23,12 @@ proposes every remaining possible pair between *different* components. So a grou
 thousands of near copies costs bit operations within blocks of ``BLOCK`` sets, not
 rows. Lists longer than ``BLOCK`` are cut and the blocks compared two by two.
 
+The nodes of the graph are classes, ordered by their smallest id, which is the label
+of a component; rows that share an id or have none are told apart by their text.
+
 Defined cases: null, blank and word-free texts have size 0 and are alone; a null id
-never names a component unless alone (then null); repeated rows are equal sets;
+names a component only when no row of it has an id (then null); one id with several
+texts may label several components; repeated rows are equal sets;
 an empty table gives no rows; extra columns are not read.
 """
 
@@ -39,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import ascii_lower
+from corpusloom.llm.common import WORD_CLASS, ascii_lower
 from corpusloom.llm.components import components
 from corpusloom.llm.substrings import WordHashes, _pack, _text_batches, hash_words, run_hashes
 from corpusloom.session import scratch_path
@@ -106,8 +110,8 @@ def _class_of(s: np.ndarray) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def _sets(batches, size):
-    known = WordHashes()
+def _sets(batches, size, known=None):
+    known = WordHashes() if known is None else known
     for ids, texts in _text_batches(batches):
         yield ids, shingle_sets([hash_words(t.split(), known) for t in texts], size)
 
@@ -118,10 +122,26 @@ def _sketch(s: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def _placed_sets(batch, size, known):
+    """``(first row, (ids, sets))`` of the slices of a batch."""
+    at = 0
+    for ids, sets in _sets([batch], size, known):
+        yield at, (ids, sets)
+        at += len(ids)
+
+
+def _text_hash(text: str) -> list:
+    """Two 64-bit hashes of the text, ``h1`` and ``h2``."""
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return [F.xxhash64(t).alias("h1"), F.xxhash64(F.lit(1), t).alias("h2")]
+
+
 def _names(size: int):
     def run(batches):
-        for ids, sets in _sets(batches, size):
-            yield pa.record_batch({"d": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
+        known = WordHashes()
+        for batch, at, ids, sets in ((b, at, *x) for b in batches for at, x in _placed_sets(b, size, known)):
+            yield pa.record_batch({"d": pa.array(ids, pa.int64()), "h1": batch.column(2).slice(at, len(ids)),
+                                   "h2": batch.column(3).slice(at, len(ids)), "n": pa.array([len(s) for s in sets], pa.int64()),
                                    "cls": pa.array([_class_of(s) for s in sets], pa.int64()),
                                    "sketch": pa.array([_sketch(s) for s in sets], pa.binary())})
     return run
@@ -323,15 +343,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(_verify(percent), "x long, y long"))
 
 
-def membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text",
+def _membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text",
                boundary: int | None = None) -> DataFrame:
-    """``(d, n_shingles, component)`` per row of ``docs``; ``d`` and ``component`` are ids,
-    with ``NO_ID`` for a null id. The component is the smallest id reachable by links."""
+    """``(d, h1, h2, n_shingles, root)`` per row of ``docs``: the id (``NO_ID`` for a null
+    one), the hashes of the text, and the least class ``(d, cls)`` reachable by links,
+    where ``d`` is the smallest id of the class (null for a row without words)."""
     spark = docs.sparkSession
     path = scratch_path(spark, "jaccard")
     src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("d"),
                       ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("t"))
-    src.mapInArrow(_names(shingle), "d long, n long, cls long, sketch binary").write.parquet(f"{path}/names")
+    hashed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("d"),
+                         ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("t"), *_text_hash(text))
+    hashed.mapInArrow(_names(shingle), "d long, h1 long, h2 long, n long, cls long, sketch binary").write.parquet(f"{path}/names")
     names = spark.read.parquet(f"{path}/names")
     classes = names.where("n > 0").groupBy("cls", "n").agg(F.min("d").alias("rep"))
     if boundary is None:
@@ -392,42 +415,50 @@ def membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: str
      .mapInArrow(_keep_sets(shingle), "cls long, s binary").dropDuplicates(["cls"]).write.parquet(f"{path}/sets"))
     sets = spark.read.parquet(f"{path}/sets")
 
+    node = rep.select("cls", F.struct(F.col("rep").alias("d"), "cls").alias("node"))
+
     def by_rep(links):
-        return (links.join(rep.withColumnsRenamed({"cls": "x", "rep": "u"}), "x")
-                .join(rep.withColumnsRenamed({"cls": "y", "rep": "v"}), "y").select("u", "v"))
+        return (links.join(node.withColumnsRenamed({"cls": "x", "node": "u"}), "x")
+                .join(node.withColumnsRenamed({"cls": "y", "node": "v"}), "y").select("u", "v"))
+
+    def rooted(tree):
+        tree = tree.select(F.col("node.cls").alias("cls"), "root")
+        return node.join(tree, "cls", "left").select("cls", F.coalesce("root", "node").alias("root"))
 
     light.unionByName(_verified(pairs, sets, percent)).write.parquet(f"{path}/links")
     roots = components(by_rep(spark.read.parquet(f"{path}/links")))
-    comp = rep.join(roots, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("comp"))
+    comp = rooted(roots).select("cls", F.col("root.cls").alias("comp"))
     # second scan: only list blocks that still hold several components
     placed = spots.join(comp, "cls")
     open_ = (placed.groupBy("e", "i", "j").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("e", "i", "j"))
     rest = _candidates(placed.join(open_, ["e", "i", "j"], "left_semi"), sketches, percent, every=True)
     by_rep(_verified(rest, sets, percent)).write.parquet(f"{path}/rest")
     final = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(spark.read.parquet(f"{path}/rest")))
-    root_of = rep.join(final, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("component"))
-    return (names.join(root_of, "cls", "left")
-            .select("d", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("d")).alias("component")))
+    return (names.join(rooted(final), "cls", "left")
+            .select("d", "h1", "h2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).alias("root")))
 
 
 def component_report(docs: DataFrame, **kw) -> DataFrame:
     """Per document ``(doc_id, n_shingles, component_id)``."""
     idn = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return membership(docs, **kw).select(idn("d").alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
+    found = _membership(docs, **kw).withColumn("component", F.coalesce("root.d", "d"))
+    return found.select(idn("d").alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
                                          idn("component").alias("component_id"))
 
 
 def representatives(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """One row of each group of linked documents: the one with the smallest id
-    (of rows that repeat this id, the least text). Rows without words all stay."""
-    m = membership(docs, shingle, percent, doc_id, text)
-    alone = m.where("n_shingles = 0").select("d").distinct().withColumn("_jc_blank", F.lit(True))
-    keep = m.where("d = component").select("d").distinct().join(alone, "d", "left").withColumnRenamed("d", "_jc_d")
-    d = docs.withColumn("_jc_key", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)))
-    one = Window.partitionBy("_jc_key").orderBy(F.length(F.trim(F.coalesce(F.col(text), F.lit("")))).desc(), F.col(text))
-    return (d.join(keep, F.col("_jc_key") == F.col("_jc_d"))
-            .withColumn("_jc_n", F.row_number().over(one))
-            .where((F.col("_jc_n") == 1) | F.col("_jc_blank").isNotNull())
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """One row of each group of linked documents: the one with the smallest id (a null
+    id is the largest), of rows that share it the one with the smallest text hash.
+    Rows without words all stay."""
+    m = _membership(docs, shingle, percent, doc_id, text).where("n_shingles > 0")
+    least = m.groupBy("root").agg(F.min(F.struct("d", "h1", "h2")).alias("f"))
+    key = ["_jc_d", "_jc_h1", "_jc_h2"]
+    least = least.select(*[F.col(f"f.{c[4:]}").alias(c) for c in key])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    h1, h2 = _text_hash(text)
+    worded = F.coalesce(F.col(text), F.lit("")).rlike(WORD_CLASS)
+    rows = docs.where(worded).withColumns({"_jc_d": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)), "_jc_h1": h1, "_jc_h2": h2})
+    one = Window.partitionBy(*key).orderBy(F.col(text))                # rows that repeat id and text
+    return (rows.join(least, key, "left_semi").withColumn("_jc_n", F.row_number().over(one)).where("_jc_n = 1").select(*own)
+            .unionByName(docs.where(~worded).select(*own)))

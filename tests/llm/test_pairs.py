@@ -99,6 +99,24 @@ def test_representatives_keep_one_of_each_group(spark):
     assert kept == sorted(want + [0]) and out[0].__fields__[-1] == "component"
 
 
+def test_representatives_without_ids_or_with_one_id(spark):
+    rng = random.Random(12)
+    draw = lambda: [f"v{rng.randrange(5000)}" for _ in range(60)]
+    five, lone, pair, six, other = draw(), draw(), draw(), draw(), draw()
+    near = lambda w: " ".join(w[:-1] + ["last"])
+    rows = [(5, " ".join(five), "a"), (None, near(five), "a"), (None, " ".join(lone), "a"), (None, " ".join(lone), "a"),
+            (None, " ".join(pair), "a"), (None, near(pair), "a"), (6, " ".join(six), "a"), (6, " ".join(other), "a"), (6, near(six), "a"),
+            (7, near(other), "a"), (None, None, "a"), (None, " \t", "a")]
+    out = [(r["doc_id"], r["text"]) for r in jaccard.representatives(frame(spark, rows)).collect()]
+    assert len(out) == len(set(out)) == 7
+    assert {(5, " ".join(five)), (None, " ".join(lone)), (None, None), (None, " \t"), (6, " ".join(other))} <= set(out)
+    left = {t for _, t in out}
+    assert len(left & {" ".join(pair), near(pair)}) == len(left & {" ".join(six), near(six)}) == 1
+    got = sorted(((r[0], r[2]) for r in jaccard.component_report(frame(spark, rows), shingle=5, percent=80).collect()), key=str)
+    want = [(5, 5), (None, 5), *[(None, None)] * 6, *[(6, 6)] * 3, (7, 6)]
+    assert got == sorted(want, key=str)
+
+
 def test_boundary_follows_cost():
     assert jaccard.choose_boundary({}, 90) == 0
     x = jaccard.choose_boundary({n: 100 for n in range(1, 60)}, 90)
