@@ -21,6 +21,9 @@ may split, so a passage in a third of all documents is neither gathered in one t
 nor paired with itself. The text crosses the network once, compressed, plus once
 more for the documents that hold ends of repeats.
 
+A document is an id and a text: where one id, or null, has several texts, its rows
+are told apart and ordered by the MD5 of the text (column ``r``, empty elsewhere).
+
 Defined cases: null, empty and shorter texts have no window and lose nothing; a
 null id sorts first; a repeated row (same id and text) is the same document and
 gets the same result; an empty table gives no rows; extra columns are not read.
@@ -100,6 +103,13 @@ def reaches(h: np.ndarray, doc: np.ndarray, length: int = LENGTH, seed: int = SE
     return starts, counts, seeds[at[starts]], reach ^ (reach >> _S2)
 
 
+def _with_hashes(batches, known_hashes: list):
+    """The batches, with their third column noted row by row."""
+    for batch in batches:
+        known_hashes[:] = [0, batch.column(2)]
+        yield batch
+
+
 def _text_batches(batches, limit=BATCH_BYTES):
     """(ids, utf-8 texts) in slices of about ``limit`` bytes."""
     for batch in batches:
@@ -118,8 +128,10 @@ def _text_batches(batches, limit=BATCH_BYTES):
 
 def _find_reaches(length: int, seed: int):
     def run(batches):
-        known = WordHashes()
-        for ids, texts in _text_batches(batches):
+        known, noted = WordHashes(), []
+        for ids, texts in _text_batches(_with_hashes(batches, noted)):
+            r = noted[1].slice(noted[0], len(ids))
+            noted[0] += len(ids)
             hashes = [hash_words(t.split(), known) for t in texts]
             sizes = np.array([len(x) for x in hashes])
             h = np.concatenate(hashes)
@@ -135,7 +147,7 @@ def _find_reaches(length: int, seed: int):
             sizes_ = np.diff(np.append(lead, len(order)))
             keep = order[lead]
             more = [p[order[k + 1:k + n]].tobytes() if n > 1 else None for k, n in zip(lead.tolist(), sizes_.tolist())]
-            yield pa.record_batch({"d": np.array(ids, np.int64)[owner[keep]], "a": anchor[keep].view(np.int64), "s": reach[keep].view(np.int64),
+            yield pa.record_batch({"d": np.array(ids, np.int64)[owner[keep]], "r": r.take(pa.array(owner[keep])), "a": anchor[keep].view(np.int64), "s": reach[keep].view(np.int64),
                                    "p": p[keep], "c": counts[keep].astype(np.int32), "more": pa.array(more, pa.binary())})
     return run
 
@@ -147,6 +159,12 @@ def _pack(batches):
         yield pa.record_batch([batch.column(0), pa.array(z, pa.binary())], names=["d", "z"])
 
 
+def _pack_identified(batches):
+    for batch in batches:
+        for packed in _pack([batch]):
+            yield pa.record_batch([packed.column(0), packed.column(1), batch.column(2)], names=["d", "z", "r"])
+
+
 def _digest(words: list[bytes], starts, ends) -> tuple[int, str]:
     """(removed, hash of the kept words) when [start, end) word ranges go."""
     n = len(words)
@@ -158,20 +176,20 @@ def _digest(words: list[bytes], starts, ends) -> tuple[int, str]:
     return n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
-OUT = "d long, n_words long, n_removed long, kept_sha256 string"
+OUT = "d long, r binary, n_words long, n_removed long, kept_sha256 string"
 FIRST_PASS = OUT + ", z binary, starts array<int>, ends array<int>, fine array<struct<a:bigint,w:bigint,p:int>>"
 
 
 def _first_pass(length: int):
     def run(batches):
         open_, known = zstandard.ZstdDecompressor(), WordHashes()
-        schema = pa.schema([("d", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+        schema = pa.schema([("d", pa.int64()), ("r", pa.binary()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
                             ("z", pa.binary()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())),
                             ("fine", pa.list_(pa.struct([("a", pa.int64()), ("w", pa.int64()), ("p", pa.int32())])))])
         for batch in batches:
             rows = []
-            for d, z, found in zip(*(batch.column(k) for k in ("d", "z", "found"))):
-                raw, d = z.as_py(), d.as_py()
+            for d, r, z, found in zip(*(batch.column(k) for k in ("d", "r", "z", "found"))):
+                raw, d, r = z.as_py(), d.as_py(), r.as_py()
                 words = open_.decompress(raw).split() if raw else []
                 found = found.as_py() or []
                 gone = [(p, p + f["c"] + length - 1) for f in found
@@ -184,9 +202,9 @@ def _first_pass(length: int):
                     fine = [{"a": f["a"], "w": int(w[p]), "p": p} for f in ends
                             for p in range(f["p"], min(f["p"] + f["c"], len(w)))]
                 if fine:
-                    rows.append((d, len(words), None, None, raw, starts, stops, fine))
+                    rows.append((d, r, len(words), None, None, raw, starts, stops, fine))
                 else:
-                    rows.append((d, len(words), *_digest(words, starts, stops), None, [], [], []))
+                    rows.append((d, r, len(words), *_digest(words, starts, stops), None, [], [], []))
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)] if rows
                                              else [pa.array([], t.type) for t in schema], schema=schema)
     return run
@@ -197,14 +215,14 @@ def _second_pass(length: int):
         open_ = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for d, z, starts, stops, more in zip(*(batch.column(k).to_pylist() for k in ("d", "z", "starts", "ends", "more"))):
+            for d, r, z, starts, stops, more in zip(*(batch.column(k).to_pylist() for k in ("d", "r", "z", "starts", "ends", "more"))):
                 words = open_.decompress(z).split()
                 more = more or []
-                rows.append((d, len(words), *_digest(words, starts + more, stops + [p + length for p in more])))
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                   pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())],
-                                  names=["d", "n_words", "n_removed", "kept_sha256"])
+                rows.append((d, r, len(words), *_digest(words, starts + more, stops + [p + length for p in more])))
+            cols = list(zip(*rows)) or [[]] * 5
+            yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64()),
+                                   pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.string())],
+                                  names=["d", "r", "n_words", "n_removed", "kept_sha256"])
     return run
 
 
@@ -212,7 +230,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    seed: int = SEED) -> DataFrame:
     """Per document ``(doc_id, n_words, n_removed, kept_sha256)``."""
     spark = docs.sparkSession
-    src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("d"), F.col(text).cast("string").alias("t"))
     path = scratch_path(spark, "repeats")
 
     def kept(df: DataFrame, name: str) -> DataFrame:
@@ -221,27 +238,35 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         df.write.parquet(f"{path}/{name}")
         return spark.read.parquet(f"{path}/{name}")
 
-    seeds = src.mapInArrow(_find_reaches(length, seed), "d long, a long, s long, p int, c int, more binary")
+    src = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("d"), F.col(text).cast("string").alias("t"))
+    body = F.coalesce(F.col("t"), F.lit(""))
+    low, high = F.xxhash64(body), F.xxhash64(F.lit(1), body)
+    shared = (src.groupBy("d").agg(F.min(low).alias("a"), F.max(low).alias("b"), F.min(high).alias("e"), F.max(high).alias("g"))
+              .where("a <> b or e <> g").select("d", F.lit(True).alias("shared")))
+    src = (src.join(kept(shared, "shared"), "d", "left")                 # ids of several texts: none in a table with a key
+           .select("d", "t", F.when(F.col("shared"), F.unhex(F.md5(body.cast("binary")))).otherwise(F.lit(b"")).alias("r")))
+
+    seeds = src.mapInArrow(_find_reaches(length, seed), "d long, r binary, a long, s long, p int, c int, more binary")
     met_times = F.sum(1 + F.coalesce(F.octet_length("more"), F.lit(0)) / 4)
     twice = kept(seeds.groupBy("a").agg(met_times.alias("n")).where("n > 1").select("a"), "twice")
     met = kept(seeds.join(twice, "a", "left_semi"), "seeds")
-    firsts = met.groupBy("a", "s").agg(F.min(F.struct("d", "p")).alias("f"), F.count(F.lit(1)).alias("n"))
+    firsts = met.groupBy("a", "s").agg(F.min(F.struct("d", "r", "p")).alias("f"), F.count(F.lit(1)).alias("n"))
     firsts = kept(firsts, "firsts")
     ends = kept(firsts.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "ends")
     firsts = firsts.join(ends, "a", "left").select("a", "s", "f", "n", F.col("m").isNotNull().alias("end"))
     firsts = kept(firsts, "marked")
-    here = (F.col("d") == F.col("f.d")) & (F.col("p") == F.col("f.p"))
+    here = (F.col("d") == F.col("f.d")) & (F.col("r") == F.col("f.r")) & (F.col("p") == F.col("f.p"))
     found = (met.join(firsts, ["a", "s"]).where(~here | F.col("end") | F.col("more").isNotNull())
-             .select("d", F.struct("p", "c", "a", here.alias("first"), "end", "more").alias("x"))
-             .groupBy("d").agg(F.collect_list("x").alias("found")))      # bounded by the document's length
-    packed = src.mapInArrow(_pack, "d long, z binary")
-    (packed.join(found, "d", "left").mapInArrow(_first_pass(length), FIRST_PASS).write.parquet(f"{path}/first"))
+             .select("d", "r", F.struct("p", "c", "a", here.alias("first"), "end", "more").alias("x"))
+             .groupBy("d", "r").agg(F.collect_set("x").alias("found")))      # bounded by the document's length
+    packed = src.mapInArrow(_pack_identified, "d long, z binary, r binary")
+    (packed.join(found, ["d", "r"], "left").mapInArrow(_first_pass(length), FIRST_PASS).write.parquet(f"{path}/first"))
     state = spark.read.parquet(f"{path}/first")
-    fine = state.where(F.col("kept_sha256").isNull()).select("d", F.explode("fine").alias("x")).select("d", "x.*")
-    lead = kept(fine.groupBy("a", "w").agg(F.min(F.struct("d", "p")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1"), "lead")
-    more = (fine.join(lead, ["a", "w"]).where((F.col("d") != F.col("f.d")) | (F.col("p") != F.col("f.p")))
-            .groupBy("d").agg(F.collect_list("p").alias("more")))
-    rest = (state.where(F.col("kept_sha256").isNull()).select("d", "z", "starts", "ends").join(more, "d", "left")
+    fine = state.where(F.col("kept_sha256").isNull()).select("d", "r", F.explode("fine").alias("x")).select("d", "r", "x.*")
+    lead = kept(fine.groupBy("a", "w").agg(F.min(F.struct("d", "r", "p")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1"), "lead")
+    more = (fine.join(lead, ["a", "w"]).where((F.col("d") != F.col("f.d")) | (F.col("r") != F.col("f.r")) | (F.col("p") != F.col("f.p")))
+            .groupBy("d", "r").agg(F.collect_set("p").alias("more")))
+    rest = (state.where(F.col("kept_sha256").isNull()).select("d", "r", "z", "starts", "ends").join(more, ["d", "r"], "left")
             .mapInArrow(_second_pass(length), OUT))
-    done = state.where(F.col("kept_sha256").isNotNull()).select("d", "n_words", "n_removed", "kept_sha256").unionByName(rest)
+    done = state.where(F.col("kept_sha256").isNotNull()).select("d", "r", "n_words", "n_removed", "kept_sha256").unionByName(rest)
     return done.select(F.when(F.col("d") != NULL_ID, F.col("d")).alias(doc_id), "n_words", "n_removed", "kept_sha256")

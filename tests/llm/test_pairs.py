@@ -44,6 +44,22 @@ def test_substrings_nulls_repeats_and_empty(spark):
     assert substrings.remove_repeats(frame(spark, [])).collect() == []
 
 
+def test_substrings_tell_rows_of_one_id_apart(spark):
+    rng = random.Random(6)
+    draw = lambda n: [f"u{rng.randrange(3000)}" for _ in range(n)]
+    passage, ends = draw(30), draw(45)
+    texts = [draw(40) + passage + draw(20), draw(40) + passage + draw(3), draw(70), passage + draw(12), passage + draw(9),
+             draw(11) + ends + draw(30), draw(5) + ends[4:31] + draw(8), ends[9:] + ends[:40] + draw(4), draw(90)]
+    rows = [(i, " ".join(t), "a") for k, t in enumerate(texts) for i in ([None, 4] if k % 3 else [None, 4, 9])]
+    rows = [(i, t, s) for k, (i, t, s) in enumerate(rows) if k % 4 != 3] + [(None, None, "a"), (None, " ".join(texts[0]), "a")]
+    order = lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest())
+    numbered = {k: r for k, r in enumerate(sorted(set(rows), key=order))}
+    want = brute_repeats([(k, t, s) for k, (_, t, s) in numbered.items()])
+    of = {numbered[k][:2]: v for k, v in want.items()}
+    got = sorted((tuple(r) for r in substrings.remove_repeats(frame(spark, rows)).collect()), key=str)
+    assert got == sorted(((i, *of[i, t]) for i, t, _ in rows), key=str)
+
+
 def brute_sets(rows, size):
     out = {}
     for i, text, *_ in rows:
