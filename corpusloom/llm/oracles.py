@@ -80,3 +80,54 @@ x AS (SELECT e.*, CASE WHEN kind = 'call' THEN r ELSE c END AS partner_turn,
 SELECT conv_id, turn, 0 AS sub, kind, call_id, status, partner_turn, turn AS order_turn, 0 AS order_phase,
        CASE WHEN kind = 'call' THEN text <> '' END AS valid, CASE WHEN kind = 'call' AND text = '' THEN '$.text: minLength' END AS errors,
        CASE WHEN kind = 'call' THEN {call} ELSE {other} END AS json FROM x"""
+
+
+def archives(least_bytes: int = 0) -> str:
+    code = ("array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+            "1 + ((CAST('0x' || substr(h, CAST(5 * (k // 4) + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS BIGINT)) & 31), 1)), '')")
+    return f"""WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, CASE WHEN n >= {least_bytes} THEN row_number() OVER (PARTITION BY h, n ORDER BY page_id) ELSE 1 END AS k,
+        first(page_id) OVER (PARTITION BY h, n ORDER BY page_id) AS f FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {code} AS payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN f END AS refers_to FROM r"""
+
+
+def divergence(min_docs: int = 10, top: int = 10) -> str:
+    p = "(1 + CAST(1000000000 AS HUGEINT) * ({c} + 2) // ({n} + 2 * v))"
+    return rf"""WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  unnest(regexp_extract_all({LOWER.format(t="coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+kept AS (SELECT lang, term, count(*) AS ln FROM d GROUP BY lang, term HAVING count(DISTINCT i) >= {min_docs}),
+c AS (SELECT lang, source, term, count(*) AS c FROM d SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+lv AS (SELECT lang, count(*) AS v, sum(ln) AS ln FROM kept GROUP BY lang),
+g AS (SELECT g.*, coalesce(n, 0) AS n, coalesce(v, 0) AS v, l.ln FROM (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents) g
+      LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL) USING (lang, source) LEFT JOIN lv l USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, {p.format(c='coalesce(c.c, 0)', n='g.n')} AS p, {p.format(c='k.ln', n='g.ln')} AS q
+      FROM g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS f
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM k WHERE part = 'pair' OR rank <= {top}"""
+
+
+def vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    near = ("SELECT * FROM (SELECT p.vec_id, p.part, p.x, c.entry, list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - e[j]) * (x[j] - e[j]))) AS d "
+            "FROM p JOIN c{r} c USING (part)) QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1")
+    steps = []
+    for r in range(rounds):
+        steps.append(f"a{r} AS MATERIALIZED ({near.format(r=r)})")
+        steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN (
+  SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY j) AS e FROM (
+    SELECT part, entry, j, sum(v) AS s, count(*) AS n FROM (SELECT part, entry, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS j FROM a{r}) GROUP BY ALL)
+  GROUP BY part, entry) m USING (part, entry))""")
+    return f"""WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda y: CAST(floor({scale} * CAST(y AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+p AS MATERIALIZED (SELECT vec_id, part, x[part * (len(x) // {parts}) + 1:(part + 1) * (len(x) // {parts})] AS x FROM k, (SELECT unnest(range({parts})) AS part)),
+c0 AS MATERIALIZED (SELECT part, entry, x AS e FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k) USING (vec_id) WHERE entry < {entries}),
+{','.join(steps)},
+f AS MATERIALIZED ({near.format(r=rounds)}),
+v AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM f GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256 FROM v JOIN k USING (vec_id)"""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, html_blocks, jaccard, mixing, ngram_lm, oracles, quality, resharding, substrings, tokencount, toolcalls
+from corpusloom.llm import (decontam, divergence, html_blocks, jaccard, mixing, ngram_lm, oracles, quality, resharding, substrings, tokencount, toolcalls,
+                            vectorcodes, warc)
 from corpusloom.llm.common import read_table
 
 MIX_SHARES = {"src0": 4}
@@ -59,6 +60,18 @@ def op10_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(read_table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.encode(read_table(spark, sf_dir, "embeddings")).drop("label")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -70,6 +83,9 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_resharding": op9_resharding,
     "op10_tool_call_linking": op10_tool_call_linking,
+    "op11_warc": op11_warc,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_vector_codes": op13_vector_codes,
 }
 #: Operators 3, 5, 6, 7 and 9 use hashes, a trained model or a library that SQL does
 #: not have; tests/llm holds them against brute force, the library or their law.
@@ -79,4 +95,7 @@ ORACLES = {
     "op4_ngram_jaccard_join": oracles.jaccard(),
     "op8_source_mixing": oracles.mixing(MIX_SHARES),
     "op10_tool_call_linking": oracles.turn_links(),
+    "op11_warc": oracles.archives(),
+    "op12_source_divergence": oracles.divergence(),
+    "op13_vector_codes": oracles.vector_codes(),
 }
