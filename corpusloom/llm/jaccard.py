@@ -13,15 +13,19 @@ document; equal sets are one class first, so copies never meet each other.
   elements of a global order, as many as it could lack and still link, plus one
   (rare elements first, by a bounded sample; any order is exact). Within a list,
   sets of unlike size, or whose 2,048-bit parity sketches differ in more bits than
-  the threshold allows, cannot link and are passed over. What is left is verified
-  on the exact sets.
+  the threshold allows, cannot link and are passed over.
 * The boundary is chosen by cost from the histogram of set sizes.
+* Pairs of both kinds are verified on the exact sets, in the JVM.
 
 No pair is made that components do not need. A first scan proposes, for each set of
-a list, its closest earlier set; the verified links give components; a second scan
-proposes every remaining possible pair between *different* components. So a group of
-thousands of near copies costs bit operations within blocks of ``BLOCK`` sets, not
-rows. Lists longer than ``BLOCK`` are cut and the blocks compared two by two.
+a list block of about ``BLOCK`` sets, its closest earlier set; the verified links give
+components; a second scan proposes every remaining possible pair between *different*
+components. In a longer list the entries of its largest component meet only those
+outside it, block by block, so a group of near copies costs bit operations and rows in
+proportion to its size.
+
+Every stage holds one Python operator at most, and what an operator gives out is
+bounded in rows or bytes.
 
 The nodes of the graph are classes, ordered by their smallest id, which is the label
 of a component; rows that share an id or have none are told apart by their text.
@@ -39,13 +43,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import WORD_CLASS, ascii_lower
 from corpusloom.llm.components import components
-from corpusloom.llm.substrings import WordHashes, _pack, _text_batches, hash_words, run_hashes
+from corpusloom.llm.substrings import WordHashes, _text_batches, hash_words, run_hashes
 from corpusloom.session import scratch_path
 
 BLOCK = 2048
@@ -54,6 +57,9 @@ SAMPLE_ELEMENTS = 50_000      # their most frequent elements, moved to the end o
 MAX_LIGHT = 40                # sizes considered for the boundary
 SCAN_COST = 8                 # cost of a list entry relative to a subset
 SKETCH_BITS = 2048
+KEEP_WORDS = 30_000
+SLICE_BYTES = 512 << 10       # texts hashed together
+GIVEN = 50_000                # subsets given out together
 NO_ID = (1 << 63) - 1
 
 
@@ -110,9 +116,19 @@ def _class_of(s: np.ndarray) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+class _Words(WordHashes):
+    """A smaller cache: most words of a text are among the frequent ones."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEEP_WORDS:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 def _sets(batches, size, known=None):
-    known = WordHashes() if known is None else known
-    for ids, texts in _text_batches(batches):
+    known = _Words() if known is None else known
+    for ids, texts in _text_batches(batches, SLICE_BYTES):
         yield ids, shingle_sets([hash_words(t.split(), known) for t in texts], size)
 
 
@@ -138,7 +154,7 @@ def _text_hash(text: str) -> list:
 
 def _names(size: int):
     def run(batches):
-        known = WordHashes()
+        known = _Words()
         for batch, at, ids, sets in ((b, at, *x) for b in batches for at, x in _placed_sets(b, size, known)):
             yield pa.record_batch({"d": pa.array(ids, pa.int64()), "h1": batch.column(2).slice(at, len(ids)),
                                    "h2": batch.column(3).slice(at, len(ids)), "n": pa.array([len(s) for s in sets], pa.int64()),
@@ -175,10 +191,16 @@ LISTS = "lo int, hi int, e long, cls long, n int"
 def _lists(size: int, percent: int, boundary: int, frequent):
     """Rows ``(lo, hi, e, cls, n)``: the subsets of light sets (sizes lo <= hi of the
     pair they serve, e the subset's hash) and the list entries of heavy ones (lo 0)."""
+    def subsets(rows):
+        lo, hi, lens, e, cls, n = rows
+        wide = lambda x, t: np.repeat(np.array(x, t), lens)
+        return pa.record_batch({"lo": wide(lo, np.int32), "hi": wide(hi, np.int32), "e": np.array(e, np.int64),
+                                "cls": wide(cls, np.int64), "n": wide(n, np.int32)})
+
     def run(batches):
         common, weight = frequent.value
+        rows = [[], [], [], [], [], []]
         for _, sets in _sets(batches, size):
-            lo, hi, e, cls, n = [], [], [], [], []
             heavy, lens, names = [], [], []
             for s in sets:
                 m = len(s)
@@ -189,39 +211,36 @@ def _lists(size: int, percent: int, boundary: int, frequent):
                     own = s.tolist()
                     for other in partner_sizes(m, percent):
                         if other <= boundary:
-                            subsets = [hash(x) for x in combinations(own, overlap(m, other, percent))]
-                            e += subsets
-                            lo += [min(m, other)] * len(subsets)
-                            hi += [max(m, other)] * len(subsets)
-                            cls += [name] * len(subsets)
-                            n += [m] * len(subsets)
+                            at = len(rows[3])
+                            rows[3].extend(hash(x) for x in combinations(own, overlap(m, other, percent)))
+                            for column, v in zip((rows[0], rows[1], rows[2], rows[4], rows[5]), (min(m, other), max(m, other), len(rows[3]) - at, name, m)):
+                                column.append(v)
+                    if len(rows[3]) >= GIVEN:
+                        yield subsets(rows)
+                        rows = [[], [], [], [], [], []]
                 if 100 * m // percent > boundary:
                     own = _first_elements(s, listed(m, percent), common, weight)
                     heavy.append(own)
                     lens.append(len(own))
                     names.append((name, m))
-            if e:
-                yield pa.record_batch({"lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32()), "e": pa.array(e, pa.int64()),
-                                       "cls": pa.array(cls, pa.int64()), "n": pa.array(n, pa.int32())})
             if heavy:
                 flat = np.concatenate(heavy).view(np.int64)
                 zero = np.zeros(len(flat), np.int32)
                 yield pa.record_batch({"lo": zero, "hi": zero, "e": flat, "cls": np.repeat(np.array([x for x, _ in names], np.int64), lens),
                                        "n": np.repeat(np.array([x for _, x in names], np.int32), lens)})
+        if rows[3]:
+            yield subsets(rows)
     return run
 
 
 def _keep_sets(size: int):
-    """``(cls, s)`` from compressed texts."""
+    """``(cls, s)``: name and elements of the set of each text."""
     def run(batches):
-        open_, known = zstandard.ZstdDecompressor(), WordHashes()
-        for batch in batches:
-            packed = batch.column("z")
-            for at in range(0, len(packed), 256):
-                texts = [open_.decompress(z.as_buffer()) if len(z.as_buffer()) else b"" for z in packed[at:at + 256]]
-                sets = shingle_sets([hash_words(t.split(), known) for t in texts], size)
-                yield pa.record_batch({"cls": pa.array([_class_of(s) for s in sets], pa.int64()),
-                                       "s": pa.array([s.tobytes() for s in sets], pa.binary())})
+        for _, sets in _sets(batches, size):
+            ends = np.cumsum([0] + [len(s) for s in sets])
+            flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+            yield pa.record_batch({"cls": pa.array([_class_of(s) for s in sets], pa.int64()),
+                                   "s": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))})
     return run
 
 
@@ -317,19 +336,6 @@ def _new_block(t: pa.Table) -> np.ndarray:
     return out
 
 
-def _verify(percent: int):
-    def run(batches):
-        for b in batches:
-            keep = []
-            for p, q in zip(b.column("sx"), b.column("sy")):
-                a, c = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(c, a), len(c) - 1)
-                both = int((c[at] == a).sum())
-                keep.append(100 * both >= percent * (len(a) + len(c) - both))
-            yield pa.RecordBatch.from_arrays([b.column("x"), b.column("y")], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
-    return run
-
-
 def _candidates(blocks: DataFrame, sketches: DataFrame, percent: int, every: bool) -> DataFrame:
     return (blocks.join(sketches, "cls").select("e", "i", "j", "cls", "n", "comp", "side", "sketch")
             .repartition("e", "i", "j").sortWithinPartitions("e", "i", "j")
@@ -337,10 +343,44 @@ def _candidates(blocks: DataFrame, sketches: DataFrame, percent: int, every: boo
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose exact sets link."""
     own = sets.select(F.col("cls").alias("x"), F.col("s").alias("sx"))
     other = sets.select(F.col("cls").alias("y"), F.col("s").alias("sy"))
-    return (pairs.where("x <> y").join(own, "x").join(other, "y").select("x", "y", "sx", "sy")
-            .mapInArrow(_verify(percent), "x long, y long"))
+    both = F.size(F.array_intersect("sx", "sy"))
+    return (pairs.where("x <> y").join(own, "x").join(other, "y")
+            .where((100 + percent) * both >= percent * (F.size("sx") + F.size("sy"))).select("x", "y"))
+
+
+def _size_neighbours(entries: DataFrame, percent: int) -> DataFrame:
+    """The distinct entries ``(e, cls, n)`` whose list holds another set of like size. A
+    list is counted by size first: no task sees the entries of one list together."""
+    sizes = entries.groupBy("e", "n").agg(F.min("cls").alias("a"), F.max("cls").alias("b"))
+    near = Window.partitionBy("e").orderBy("n")
+    like = (sizes.withColumns({"before": F.lag("n").over(near), "after": F.lead("n").over(near)})
+            .where((F.col("a") != F.col("b")) | (100 * F.col("before") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("after")))
+            .select("e", "n"))
+    return entries.distinct().join(like, ["e", "n"], "left_semi").select("e", "cls", "n")
+
+
+def _between_components(placed: DataFrame) -> DataFrame:
+    """List blocks ``(e, cls, n, comp, side, i, j)`` that bring together all entries of
+    different components. The largest component of a list is cut into blocks that meet
+    the blocks of the others; its entries never meet each other."""
+    per = placed.groupBy("e", "comp").agg(F.count(F.lit(1)).alias("k"))
+    per = per.groupBy("e").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("g"), F.count(F.lit(1)).alias("comps"))
+    blocks = lambda k: F.ceil(k / BLOCK).cast("int")
+    whole = F.col("g") <= BLOCK
+    cuts = per.where("comps > 1").select(
+        "e", F.col("top.comp").alias("top"), whole.alias("whole"), F.when(whole, 1).otherwise(blocks(F.col("g") - F.col("top.k"))).alias("others"),
+        F.when(whole, 0).otherwise(blocks(F.col("top.k"))).alias("tops"))
+    rows = placed.join(cuts, "e")
+    h = F.xxhash64("cls")
+    in_top = ~F.col("whole") & (F.col("comp") == F.col("top"))
+    rows = rows.withColumn("side", F.when(in_top, F.col("others") + F.pmod(h, F.greatest("tops", F.lit(1)))).otherwise(F.pmod(h, F.col("others"))).cast("int"))
+    # an entry of the largest component meets the blocks of the others; any other entry meets all blocks
+    last = F.when(in_top, F.col("others")).otherwise(F.col("others") + F.col("tops")) - 1
+    return (rows.withColumn("to", F.explode(F.sequence(F.lit(0), last)))
+            .select("e", "cls", "n", "comp", "side", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j")))
 
 
 def _membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text",
@@ -391,28 +431,25 @@ def _membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: st
     entries = lists.where("lo = 0").select("e", "cls", "n")
     met = entries.groupBy("e").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("e")
     met.write.parquet(f"{path}/shared")
-    met = entries.join(spark.read.parquet(f"{path}/shared"), "e", "left_semi").distinct()
-    near = Window.partitionBy("e").orderBy("n", "cls")
-    met = (met.withColumns({"before": F.lag("n").over(near), "after": F.lead("n").over(near)})
-           .where((100 * F.col("before") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("after")))
-           .select("e", "cls", "n"))
-    met.write.parquet(f"{path}/met")
+    entries.join(spark.read.parquet(f"{path}/shared"), "e", "left_semi").write.parquet(f"{path}/shared_entries")
+    _size_neighbours(spark.read.parquet(f"{path}/shared_entries"), percent).write.parquet(f"{path}/met")
     met = spark.read.parquet(f"{path}/met")
     cuts = (met.groupBy("e").agg(F.count(F.lit(1)).alias("g"))
             .select("e", F.ceil(F.col("g") / BLOCK).cast("int").alias("nb")))
-    part = F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int")
-    spots = (met.join(cuts, "e").withColumn("side", part)
-             .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-             .select("e", "cls", "n", "side", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j")))
+    own_block = F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int")
+    spots = (met.join(cuts, "e").withColumns({"comp": F.col("cls"), "side": F.lit(0), "i": own_block, "j": own_block})
+             .select("e", "cls", "n", "comp", "side", "i", "j"))
     rep = classes.select("cls", "rep")
     sketches = (names.join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("sketch").alias("sketch")))
-    _candidates(spots.withColumn("comp", F.col("cls")), sketches, percent, every=False).write.parquet(f"{path}/pairs")
+    near = _candidates(spots, sketches, percent, every=False)
+    light.unionByName(near).write.parquet(f"{path}/pairs")
     pairs = spark.read.parquet(f"{path}/pairs")
-    # exact sets of the classes that have any possible partner
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct().join(rep, "cls").select(F.col("rep").alias("d")).distinct()
+    # exact sets of the classes that have any possible partner, or may have one in another block
+    wanted = (pairs.select(F.explode(F.array("x", "y")).alias("cls")).unionByName(met.join(cuts.where("nb > 1"), "e").select("cls"))
+              .distinct().join(rep, "cls").select(F.col("rep").alias("d")).distinct())
     wanted.write.parquet(f"{path}/wanted")
-    (src.mapInArrow(_pack, "d long, z binary").join(spark.read.parquet(f"{path}/wanted"), "d", "left_semi")
-     .mapInArrow(_keep_sets(shingle), "cls long, s binary").dropDuplicates(["cls"]).write.parquet(f"{path}/sets"))
+    (src.join(spark.read.parquet(f"{path}/wanted"), "d", "left_semi").select("d", "t")
+     .mapInArrow(_keep_sets(shingle), "cls long, s array<long>").dropDuplicates(["cls"]).write.parquet(f"{path}/sets"))
     sets = spark.read.parquet(f"{path}/sets")
 
     node = rep.select("cls", F.struct(F.col("rep").alias("d"), "cls").alias("node"))
@@ -425,13 +462,12 @@ def _membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: st
         tree = tree.select(F.col("node.cls").alias("cls"), "root")
         return node.join(tree, "cls", "left").select("cls", F.coalesce("root", "node").alias("root"))
 
-    light.unionByName(_verified(pairs, sets, percent)).write.parquet(f"{path}/links")
+    _verified(pairs.select("x", "y").distinct(), sets, percent).write.parquet(f"{path}/links")
     roots = components(by_rep(spark.read.parquet(f"{path}/links")))
     comp = rooted(roots).select("cls", F.col("root.cls").alias("comp"))
-    # second scan: only list blocks that still hold several components
-    placed = spots.join(comp, "cls")
-    open_ = (placed.groupBy("e", "i", "j").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("e", "i", "j"))
-    rest = _candidates(placed.join(open_, ["e", "i", "j"], "left_semi"), sketches, percent, every=True)
+    # second scan: only lists that still hold several components
+    met.join(comp, "cls").select("e", "cls", "n", "comp").write.parquet(f"{path}/placed")
+    rest = _candidates(_between_components(spark.read.parquet(f"{path}/placed")), sketches, percent, every=True)
     by_rep(_verified(rest, sets, percent)).write.parquet(f"{path}/rest")
     final = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(spark.read.parquet(f"{path}/rest")))
     return (names.join(rooted(final), "cls", "left")
