@@ -9,10 +9,12 @@ that holds the threshold lacks at most k - 1 shingles, so it holds at least one
 the k minima: the search has no false negatives. Candidates are then verified by
 exact comparison of the shingle strings.
 
-The minima of all items are a few numbers per item. Up to ``max_inline`` of them
-they are a constant array in the plan, tested per document without a shuffle;
-beyond that the document shingles are joined to them. Items with fewer than five
-words have one shingle, the whole item, and are matched at their own length.
+Items with fewer than five words have one shingle, the whole item, and are matched at
+their own length; a document's shingles of all item lengths are made in one pass and
+met with the minima in one join. Only (text hash, shingle hash) takes part in it; the
+texts of candidates are fetched by their hash afterwards and verified. The minima and
+the candidates are written tables, so Spark broadcasts them only if their measured
+size is below its threshold and shuffles otherwise.
 
 Words are lower-cased runs of letters and digits, so case and punctuation do not
 hide a passage. Defined cases: null or empty texts and items match nothing; a
@@ -27,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import hashed_shingles, let
+from corpusloom.session import scratch_path
 
 SHINGLE = 5
 THRESHOLD = 0.8
-MAX_INLINE = 200_000
 
 
 def match_words(text: Column) -> Column:
@@ -66,42 +68,42 @@ def item_shingles(items: DataFrame, item_id: str = "item_id", text: str = "text"
     return w.withColumn("_dc_minima", F.slice(hashes, 1, n - F.col("_dc_need") + 1)).drop("w")
 
 
+def _text_key(text: str) -> list[Column]:
+    t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    return [F.xxhash64(t).alias("_dc_k1"), F.xxhash64(F.lit(1), t).alias("_dc_k2")]
+
+
+def candidates(docs: DataFrame, minima: DataFrame, lengths: list[int], text: str = "text") -> DataFrame:
+    """Distinct ``(_dc_k1, _dc_k2, _dc_spec)``: texts, by hash, that hold a minimum of an
+    item (``minima (_dc_h, _dc_spec)``); ``lengths`` are the shingle lengths of the items."""
+    def hashes(w):
+        return F.array_distinct(F.concat(*[hashed_shingles(w, n) for n in lengths]))
+    # explode_outer: a plain explode would add a filter that evaluates the hashes again
+    shingles = docs.select(*_text_key(text), F.explode_outer(let(match_words(F.col(f"`{text}`")), hashes)).alias("_dc_h"))
+    return shingles.where(F.col("_dc_h").isNotNull()).join(minima, "_dc_h").select("_dc_k1", "_dc_k2", "_dc_spec").distinct()
+
+
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
-                 item_text: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD,
-                 max_inline: int = MAX_INLINE) -> DataFrame:
+                 item_text: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row per (document row, item) at or over the threshold: the columns of
     ``docs`` but the text, plus ``item_id, n_shingles, n_found, containment`` (input
     columns of these names are replaced)."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "decontamination")
     keep = [c for c in docs.columns if c not in (text, "item_id", "n_shingles", "n_found", "containment")]
-    spec = item_shingles(items, item_id, item_text, size, threshold)
-    head = spec.agg(F.sum(F.size("_dc_minima")).alias("n"), F.collect_set("_dc_len").alias("lens")).first()
-    lens = sorted(head["lens"])                               # at most ``size`` different lengths
-    out = None
-    for length in lens or [size]:
-        own = spec.where(F.col("_dc_len") == length)
-        minima = own.select(F.explode("_dc_minima").alias("_dc_h"), "_dc_item", "_dc_shingles", "_dc_need")
-        inline = (head["n"] or 0) <= max_inline
-        if inline:
-            values = [r[0] for r in minima.select("_dc_h").distinct().orderBy("_dc_h").collect()]   # <= max_inline
-            probe = F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
-            minima = F.broadcast(minima)                      # as many rows as the inline values
-        # explode_outer: a plain explode would add a filter that evaluates the hashes again
-        hashes = hashed_shingles(match_words(F.col(text)), length)
-        pair = (docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_dc_text"), F.explode_outer(
-                    F.array_intersect(hashes, probe) if inline else F.array_distinct(hashes)).alias("_dc_hit"))
-                .where(F.col("_dc_hit").isNotNull())
-                .join(minima, F.col("_dc_hit") == F.col("_dc_h"))
-                .withColumn("_dc_words", match_words(F.col("_dc_text"))))
-        # an item hit through several minima is verified once: at its smallest common minimum
-        common = F.array_intersect(hashed_shingles(F.col("_dc_words"), length), _shingle_hashes(F.col("_dc_shingles")))
-        pair = pair.where(F.col("_dc_h") == F.array_min(common))
-        found = F.size(F.array_intersect(_runs(F.col("_dc_words"), F.lit(length)), F.col("_dc_shingles")))
-        pair = (pair.withColumn("n_found", found).where(F.col("n_found") >= F.col("_dc_need"))
-                .select(*[F.col(f"`{c}`") for c in keep], F.col("_dc_item").alias("item_id"),
-                        F.size("_dc_shingles").alias("n_shingles"), "n_found")
-                .withColumn("containment", F.col("n_found") / F.col("n_shingles")))
-        out = pair if out is None else out.unionByName(pair)
-    return out
+    item_shingles(items, item_id, item_text, size, threshold).withColumn("_dc_spec", F.monotonically_increasing_id()).write.parquet(f"{path}/items")
+    spec = spark.read.parquet(f"{path}/items")
+    lengths = sorted(r[0] for r in spec.select("_dc_len").distinct().collect())     # at most ``size`` different lengths
+    spec.select(F.explode("_dc_minima").alias("_dc_h"), "_dc_spec").write.parquet(f"{path}/minima")
+    candidates(docs, spark.read.parquet(f"{path}/minima"), lengths or [size], text).write.parquet(f"{path}/candidates")
+    found = spark.read.parquet(f"{path}/candidates")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_dc_text"), *_text_key(text))
+    pair = (rows.join(found, ["_dc_k1", "_dc_k2"])
+            .join(spec.select("_dc_spec", "_dc_item", "_dc_len", "_dc_shingles", "_dc_need"), "_dc_spec"))
+    count = F.size(F.array_intersect(_runs(match_words(F.col("_dc_text")), F.col("_dc_len")), F.col("_dc_shingles")))
+    return (pair.withColumn("n_found", count).where(F.col("n_found") >= F.col("_dc_need"))
+            .select(*[F.col(f"`{c}`") for c in keep], F.col("_dc_item").alias("item_id"), F.size("_dc_shingles").alias("n_shingles"), "n_found")
+            .withColumn("containment", F.col("n_found") / F.col("n_shingles")))
 
 
 def flagged_documents(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:

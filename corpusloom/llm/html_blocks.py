@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 BLOCK_TAGS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search
 section summary table tbody td tfoot th thead title tr ul""".split())
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas audio video select textarea button".split())
+RAW_TAGS = frozenset("script style textarea iframe noembed noframes xmp".split())     # their content is no markup
+DROPPED = frozenset("button select template svg".split())                              # form controls, inert markup, drawings
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK_TAGS - {"html", "head", "body", "title"}
 SAME_CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -57,6 +58,20 @@ _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
+def _end_of_dropped(text: str, at: int, tag: str) -> int:
+    """Where an element that is left out ends: after its end tag, but for a control that
+    is never closed, or closed only behind the next block, at that block."""
+    end = re.compile(rf"</{tag}\s*>", re.I).search(text, at)
+    if tag in ("template", "svg"):
+        return end.end() if end else at
+    stop = end.start() if end else len(text)
+    for m in _TOKEN.finditer(text, at, stop):
+        name = _NAME.match(m.group())
+        if name is not None and name[1].lower() in BLOCK_TAGS:
+            return m.start()
+    return end.end() if end else stop
+
+
 def leaf_blocks(html: str | None) -> list[tuple[tuple[str, ...], str]]:
     """``(path, text)`` of each leaf block in page order; blank blocks left out."""
     out: list[tuple[tuple[str, ...], str]] = []
@@ -92,11 +107,15 @@ def leaf_blocks(html: str | None) -> list[tuple[tuple[str, ...], str]]:
                 parts.append(htmllib.escape(token[9:-3]))
             continue
         tag, closing = name[1].lower(), token[1] == "/"
-        if tag in SKIPPED:
-            if not closing and not token.endswith("/>"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, at)
+        if tag in RAW_TAGS:
+            if not closing and not (token.endswith("/>") and tag == "iframe"):
+                end = re.compile(rf"</{tag}\s*>", re.I).search(text, at)
                 at = end.end() if end else len(text)
             continue
+        if tag in DROPPED:
+            if not closing and not token.endswith("/>"):
+                at = _end_of_dropped(text, at, tag)
+            continue
         if tag == "br":
             parts.append(" ")
             continue

@@ -185,6 +185,51 @@ def test_references_order_calls_and_cycles_are_marked(spark):
     assert {r["call_id"]: r["status"] for r in out if r["conv_id"] == "2"} == {"p": "cycle", "q": "cycle", "r": "unanswered"}
 
 
+def test_hostile_json_never_stops_the_job(spark):
+    deep = lambda n: "[" * n + "]" * n
+    bad = ["1e400", "NaN", "-Infinity", '"\\ud800"', '"\\uDC00x"', deep(100_000), deep(toolcalls.MAX_NESTING + 1), "9" * 6000, "{", ""]
+    good = {'"\\ud83d\\ude00"': '"😀"', deep(toolcalls.MAX_NESTING): deep(toolcalls.MAX_NESTING), " 1.50": "1.5", "12345678901234567890123": "12345678901234567890123"}
+    rows = [(k, 0, "a", call((f"c{k}", "add", a))) for k, a in enumerate([*bad, *good])]
+    rows += [(100, 0, "a", " \t\r\n" + call(("w", "add", {"a": 1}))), (100, 1, "t", "\n" + result("w", "ok")),
+             (101, 0, "a", '{"tool_calls": [{"id": "\\ud800"}]}'), (102, 0, "a", '{"tool_call_id": 1, "content": ' + deep(100_000) + "}"),
+             (103, 0, "a", '{"tool_calls": [1, null, {"function": 3}]}'), (104, 0, "a", call(("big", "add", {"a": 10 ** 400})))]
+    out = {(r["conv_id"], r["turn"], r["sub"]): r for r in linked(spark, rows)}
+    for k, a in enumerate(bad):
+        r = out[str(k), 0, 1]
+        assert r["errors"] == "$: not JSON" and json.loads(r["json"])["arguments"] == a
+    for k, want in enumerate(good.values(), len(bad)):
+        assert "not JSON" not in (out[str(k), 0, 1]["errors"] or "") and f'"arguments":{want},' in out[str(k), 0, 1]["json"]
+    assert out["100", 0, 1]["status"] == out["100", 1, 0]["status"] == "linked"
+    assert out["101", 0, 0]["kind"] == out["102", 0, 0]["kind"] == "message"
+    assert [out["103", 0, k]["errors"] for k in (1, 2, 3)] == ["$: unknown tool; $: no id"] * 3 and out["104", 0, 1]["valid"]
+
+
+def test_repeated_rows_are_linked_once(spark, monkeypatch):
+    monkeypatch.setattr(toolcalls, "RUN", 3)
+    rows = [(1, 0, "a", call(("c", "add", {"a": 1})))] * 8 + [(1, 0, "a", call(("c", "add", {"a": 2})))] + [(1, 1, "t", result("c", "r"))] * 2 + [(1, 2, "u", "plain")] * 2
+    out = linked(spark, rows)
+    assert len(out) == len(rows)
+    count = collections.Counter((r["kind"], r["status"]) for r in out)
+    assert count == {("call", "linked"): 1, ("call", "duplicate"): 8, ("result", "linked"): 1, ("result", "duplicate"): 1, ("message", "message"): 2}
+
+
+def test_long_chains_settle_and_what_depends_on_a_cycle_is_no_cycle(spark):
+    n = 70
+    refs = {f"k{i}": [f"k{i + 1}"] for i in range(n - 1)} | {f"k{n - 1}": []}
+    refs |= {"a": ["b"], "b": ["c"], "c": ["a"], "self": ["self"], "on": ["a"], "far": ["on", "k3"], "unknown": ["nobody"], "between": ["self"], "c2": ["between", "d2"], "d2": ["c2"]}
+    rows = [(1, t, "a", call((i, "add", {"a": 1, "l": [{"$result": x} for x in r]}))) for t, (i, r) in enumerate(refs.items())]
+    rows += [(1, 200 + t, "t", result(i, "r")) for t, i in enumerate(refs)]
+    out = linked(spark, rows)
+    cycles = {r["call_id"] for r in out if r["status"] == "cycle"}
+    assert cycles == {"a", "b", "c", "self", "between", "c2", "d2"}
+    place = {(r["kind"], r["call_id"]): (r["order_turn"], r["order_phase"], r["turn"], r["sub"]) for r in out}
+    assert len(place) == len(rows)
+    for i, named in refs.items():
+        if i not in cycles:
+            assert place["call", i] < place["result", i]
+            assert all(place["result", x] < place["call", i] for x in named if x in refs and x not in cycles), i
+
+
 def test_plain_turns_as_calls_and_empty(spark):
     out = linked(spark, [(3, 0, "system", "s"), (3, 1, "user", "q\n\"é\""), (3, 2, "assistant", "r"), (3, 4, "assistant", "lost"), (3, 5, "user", "")],
                  turn_tool="add")
@@ -260,7 +305,7 @@ def test_pipeline_slots_follow_the_mixture(spark):
 def test_every_operator_is_registered():
     E = importlib.import_module("__spark_entry__")
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
     assert set(E.oracle_sql()) <= names
 
 

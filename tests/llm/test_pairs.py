@@ -186,16 +186,25 @@ def items_and_docs():
     return items, docs
 
 
-@pytest.mark.parametrize("inline", [0, 100_000])
-def test_containment_equals_brute_force(spark, inline):
-    items, docs = items_and_docs()
-    df = spark.createDataFrame(items, "item_id long, text string")
-    hits = decontam.contaminated(frame(spark, docs).withColumn("item_id", F.lit("clash")), df, max_inline=inline).collect()
-    got = [(r["doc_id"], r["item_id"], r["n_shingles"], r["n_found"]) for r in hits]
-    assert len(got) == len(set(got)) and set(got) == brute_hits(docs, items)
-    flagged = {i for i, *_ in got}
-    clean = decontam.clean_documents(frame(spark, docs), df, max_inline=inline).collect()
-    assert sorted(r["doc_id"] for r in clean) == sorted(i for i, *_ in docs if i not in flagged)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_containment_equals_brute_force(spark, threshold):
+    """With small tables broadcast, and with every join shuffled."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        items, docs = items_and_docs()
+        df = spark.createDataFrame(items, "item_id long, text string")
+        hits = decontam.contaminated(frame(spark, docs).withColumn("item_id", F.lit("clash")), df)
+        plan = hits._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LogicalRDD") <= 1                                  # one scan of the documents, whatever the item lengths
+        got = [(r["doc_id"], r["item_id"], r["n_shingles"], r["n_found"]) for r in hits.collect()]
+        assert len(got) == len(set(got)) and set(got) == brute_hits(docs, items)
+        assert len({min(5, len(t.split())) for _, t in items if t and t.split()}) > 1
+        flagged = {i for i, *_ in got}
+        clean = decontam.clean_documents(frame(spark, docs), df).collect()
+        assert sorted(r["doc_id"] for r in clean) == sorted(i for i, *_ in docs if i not in flagged)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_containment_empty_tables(spark):

@@ -190,6 +190,17 @@ def test_blocks_of_broken_and_odd_html():
     assert texts("<script>never closed <p>x") == [] and texts("a < b and c > d") == ["a < b and c > d"]
     path = html_blocks.leaf_blocks("<article><p>a</article><div class='Side-Bar x' id=nav>b")[1][0]
     assert path == ("div", "side", "bar", "x", "nav")
+    # an element without its end tag does not take the rest of the page along
+    for tag in ("button", "select"):
+        assert texts(f"<article><p>First<{tag}>Go<p>Second<p>Third</article>") == ["First", "Second", "Third"]
+        assert texts(f"<p>a <{tag}>Go</{tag}>b<p>c") == ["a b", "c"] and texts(f"<p>a<{tag}>Go") == ["a"]
+        assert texts(f"<p>a<{tag}>Go<p>b</{tag}>c") == ["a", "bc"]
+    for tag in ("template", "svg", "object", "math", "noscript"):
+        assert texts(f"<p>a <{tag}>x<p>b") == ["a x", "b"]
+    for tag in ("object", "math", "noscript", "audio", "video", "canvas"):
+        assert texts(f"<p>Let <{tag}><i>x</i></{tag}> be big<p>b") == ["Let x be big", "b"]
+    assert texts("<p>a<svg><path/><title>t</title></svg>b<template><p>no</template>c") == ["abc"]
+    assert texts("<p>a<textarea>b<p>c</textarea>d") == ["ad"] and texts("<p>a<iframe src='x'/>b") == ["ab"]
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert texts(deep) == ["x"]
 
