@@ -3,10 +3,17 @@ mixing and sharding, applied to ``documents`` one after another.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next stage's ``docs``.
+
+Defined cases of all stages: null, empty and blank texts fail the quality rules (the
+later stages alone would keep them); a null id is the largest id, a null source is a
+source; rows that share an id are told apart by their text, and rows that repeat id and
+text are near duplicates of each other, so one stays; an empty table gives no rows; extra
+columns pass through the first four stages.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +21,7 @@ from corpusloom.llm import decontam, jaccard, mixing, quality, resharding
 from corpusloom.llm.common import read_table
 from corpusloom.llm.queries import MIX_SHARES
 from corpusloom.session import scratch_path
+from corpusloom.sources.positions import row_positions
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,23 +40,29 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontam.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def _mixed(rows: DataFrame, *ties) -> DataFrame:
+    return mixing.mix(rows, shares=MIX_SHARES, prefix="_mixed_", ties=ties)
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, range-partitioned and sorted into the mixture's order: read in
     file order, every prefix holds the sources at their target weights."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    ties = (F.octet_length(body), F.crc32(body.cast("binary")))
-    mixed = mixing.mix(docs, shares=MIX_SHARES, prefix="_mixed_", ties=ties)
+    mixed = _mixed(docs, F.octet_length(body), F.crc32(body.cast("binary")))
     return mixed.orderBy("_mixed_slot", "_mixed_pos").select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, with its text's size and CRC. The slots of a
-    shard follow the mixture's order: every run of slots from 0 holds the sources at
-    their target weights. The stages pass on the columns of ``documents`` alone and a
-    read table has no order, so the position is derived again, from the same rows."""
-    def mixed(rows: DataFrame) -> DataFrame:
-        return mixing.mix(rows, shares=MIX_SHARES, prefix="_mixed_", ties=("_rs_size", "_rs_crc"))
-    return resharding.ordered_assignments(docs, mixed, ["_mixed_slot", "_mixed_pos"], keep=["source"], new_shards=16, old_shards=12)
+    shard follow the order in which ``docs`` was written, so after mixing every run of
+    slots from 0 holds the sources at their target weights. Rows that come from no file
+    have no order; they are mixed here."""
+    try:
+        rows, arrange, order = row_positions(docs, "_mixed_at"), (lambda r: r), ["_mixed_at"]
+    except AnalysisException:                                  # no file metadata
+        rows, arrange, order = docs, (lambda r: _mixed(r, "_rs_size", "_rs_crc")), ["_mixed_slot", "_mixed_pos"]
+    keep = ["_mixed_at"] if "_mixed_at" in rows.columns else ["source"]
+    return resharding.ordered_assignments(rows, arrange, order, keep=keep, new_shards=16, old_shards=12)
 
 
 STAGES = [("quality_rules", quality_rules), ("ngram_jaccard_join", near_duplicates),
