@@ -302,6 +302,25 @@ def test_pipeline_slots_follow_the_mixture(spark):
     assert len(shards) == 16 and abs(early.count("src0") / len(early) - 4 / 6) < 0.08
 
 
+def test_pipeline_slots_follow_the_written_order(spark, tmp_path):
+    """What the mixing stage writes decides the slots: another order gives other slots."""
+    P = importlib.import_module("corpus_pipeline")
+    df = frame(spark, [(k, f"text {k} of its own", f"src{k % 3}") for k in range(3000)])
+    slots = {}
+    for name, written in (("mixed", P.source_mixing(spark, df, SF)), ("by id", df.orderBy("doc_id")), ("back", df.orderBy(F.desc("doc_id")))):
+        written.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        slots[name] = {r["doc_id"]: (r["shard"], r["slot"]) for r in P.sharding(spark, docs, SF).collect()}
+    shards = collections.defaultdict(list)
+    for i, (s, k) in slots["by id"].items():
+        shards[s].append((k, i))
+        assert slots["back"][i][0] == slots["mixed"][i][0] == s                     # the shard is decided by the flow alone
+    assert all([i for _, i in sorted(x)] == sorted(i for _, i in x) for x in shards.values())
+    assert len({str(sorted(x.items())) for x in slots.values()}) == 3
+    early = [i % 3 for i, (_, k) in slots["mixed"].items() if k < 60]
+    assert abs(early.count(0) / len(early) - 4 / 6) < 0.08
+
+
 def test_every_operator_is_registered():
     E = importlib.import_module("__spark_entry__")
     names = set(E.queries())
