@@ -18,8 +18,8 @@ document; equal sets are one class first, so copies never meet each other.
 * Pairs of both kinds are verified on the exact sets, in the JVM.
 
 No pair is made that components do not need. A first scan proposes, for each set of
-a list block of about ``BLOCK`` sets, its closest earlier set; the verified links give
-components; a second scan proposes every remaining possible pair between *different*
+a list block of about ``BLOCK`` sets, its closest earlier set; of these the closest of
+all lists is verified, and the links give components; a second scan proposes every remaining possible pair between *different*
 components. In a longer list the entries of its largest component meet only those
 outside it, block by block, so a group of near copies costs bit operations and rows in
 proportion to its size.
@@ -57,9 +57,11 @@ SAMPLE_ELEMENTS = 50_000      # their most frequent elements, moved to the end o
 MAX_LIGHT = 40                # sizes considered for the boundary
 SCAN_COST = 8                 # cost of a list entry relative to a subset
 SKETCH_BITS = 2048
+LARGE = 512                   # sets with cell counts besides their parities
 KEEP_WORDS = 30_000
 SLICE_BYTES = 512 << 10       # texts hashed together
 GIVEN = 50_000                # subsets given out together
+MAX_SENT = 1_000_000          # keys of texts that are broadcast; more are joined by a shuffle
 NO_ID = (1 << 63) - 1
 
 
@@ -233,30 +235,55 @@ def _lists(size: int, percent: int, boundary: int, frequent):
     return run
 
 
+def _cell_counts(s: np.ndarray) -> bytes | None:
+    """Elements in each of ``SKETCH_BITS`` hash cells, up to 255, of a large set. Parity
+    says little about many elements; the counts of two sets differ by no more in sum
+    than the sets differ in elements."""
+    if len(s) < LARGE:
+        return None
+    return np.minimum(np.bincount((s >> np.uint64(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS), 255).astype(np.uint8).tobytes()
+
+
 def _keep_sets(size: int):
-    """``(cls, s)``: name and elements of the set of each text."""
+    """``(cls, n, counts, s)``: name, size, cell counts and elements of the set of each text."""
     def run(batches):
         for _, sets in _sets(batches, size):
             ends = np.cumsum([0] + [len(s) for s in sets])
             flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
-            yield pa.record_batch({"cls": pa.array([_class_of(s) for s in sets], pa.int64()),
+            yield pa.record_batch({"cls": pa.array([_class_of(s) for s in sets], pa.int64()), "n": pa.array([len(s) for s in sets], pa.int32()),
+                                   "counts": pa.array([_cell_counts(s) for s in sets], pa.binary()),
                                    "s": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))})
     return run
 
 
+def _near_in_counts(percent: int):
+    """The pairs ``(x, y, n, counts, m, others)`` whose cell counts allow a link."""
+    def run(batches):
+        for b in batches:
+            n, m = (b.column(c).to_numpy().astype(np.int64) for c in (2, 4))
+            ok = np.ones(b.num_rows, bool)
+            for k, (p, q) in enumerate(zip(b.column(3), b.column(5))):
+                if p.is_valid and q.is_valid:
+                    own, other = (np.frombuffer(v.as_buffer(), np.uint8).astype(np.int16) for v in (p, q))
+                    ok[k] = _room(n[k], m[k], int(np.abs(own - other).sum()), percent) >= 0
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["x", "y"]).filter(pa.array(ok))
+    return run
+
+
 def _room(n, m, apart, percent):
     """Differing elements that sets of sizes n, m may still have beyond the sketch bits seen."""
     return n + m - 2 * -(-percent * (n + m) // (100 + percent)) - apart
 
 
 def _block_pairs(n, cls, comp, side, sketch, percent, every):
-    """Pairs of one list block: all between components, or the closest earlier set of
-    each and, as pairs (x, x), the sets that have any possible partner."""
+    """Pairs (later, earlier, differing sketch bits) of one list block: all between
+    components, or the closest earlier set of each and, as pairs (x, x), the sets that
+    have any possible partner. The order is that of sizes, then of names."""
     order = np.lexsort((cls, n))
     n, cls, comp, side, sketch = n[order], cls[order], comp[order], side[order], sketch[order]
     two = bool((side != side[0]).any())                          # two blocks: only pairs across them
     lowest = np.searchsorted(n, -(-percent * n // 100))
-    xs, ys, touched = [], [], np.zeros(len(n), bool)
+    xs, ys, ds, touched = [], [], [], np.zeros(len(n), bool)
     for i in range(1, len(n)):
         lo = lowest[i]
         if lo == i:
@@ -274,13 +301,17 @@ def _block_pairs(n, cls, comp, side, sketch, percent, every):
         at, apart = at[fits], apart[fits]
         if len(at):
             touched[at] = touched[i] = True
-            at = at if every else at[[np.argmin(apart)]]
+            if not every:
+                least = [np.argmin(apart)]
+                at, apart = at[least], apart[least]
             xs.append(np.full(len(at), cls[i]))
             ys.append(cls[at])
+            ds.append(apart)
     if not every:
         xs.append(cls[touched])
         ys.append(cls[touched])
-    return xs, ys
+        ds.append(np.zeros(touched.sum(), np.int64))
+    return xs, ys, ds
 
 
 def _propose(percent: int, every: bool):
@@ -301,16 +332,22 @@ def _propose(percent: int, every: bool):
         ok = (cls[a] != cls[b]) & (np.minimum(n[a], n[b]) >= -(-percent * np.maximum(n[a], n[b]) // 100)) & (_room(n[a], n[b], apart, percent) >= 0)
         if every:
             ok &= comp[a] != comp[b]
-        xs, ys = [cls[a[ok]]], [cls[b[ok]]]                        # the closest is the only one, and both are in the pair
+        a, b, apart = a[ok], b[ok], apart[ok]
+        swap = (n[a] > n[b]) | ((n[a] == n[b]) & (cls[a] > cls[b]))
+        xs, ys, ds = [np.where(swap, cls[a], cls[b])], [np.where(swap, cls[b], cls[a])], [apart]      # the closest is the only one
+        if not every:
+            for met in (a, b):
+                xs.append(cls[met])
+                ys.append(cls[met])
+                ds.append(np.zeros(len(met), np.int64))
         for lo, size in zip(first[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
             own = slice(lo, lo + size)
             if every and (comp[own] == comp[lo]).all():
                 continue
             more = _block_pairs(n[own], cls[own], comp[own], side[own], sketch[own], percent, every)
-            xs += more[0]
-            ys += more[1]
-        x, y = np.concatenate(xs), np.concatenate(ys)
-        return pa.record_batch({"x": np.maximum(x, y), "y": np.minimum(x, y)})
+            for held, new in zip((xs, ys, ds), more):
+                held += new
+        return pa.record_batch({"x": np.concatenate(xs), "y": np.concatenate(ys), "apart": np.concatenate(ds).astype(np.int32)})
 
     def run(batches):
         rest = None
@@ -339,15 +376,20 @@ def _new_block(t: pa.Table) -> np.ndarray:
 def _candidates(blocks: DataFrame, sketches: DataFrame, percent: int, every: bool) -> DataFrame:
     return (blocks.join(sketches, "cls").select("e", "i", "j", "cls", "n", "comp", "side", "sketch")
             .repartition("e", "i", "j").sortWithinPartitions("e", "i", "j")
-            .mapInArrow(_propose(percent, every), "x long, y long").distinct())
+            .mapInArrow(_propose(percent, every), "x long, y long, apart int").distinct())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose exact sets link."""
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, path: str) -> DataFrame:
+    """The pairs whose exact sets link. Pairs that the cell counts rule out are dropped
+    before any set is moved."""
+    small = sets.select("cls", "n", "counts")
+    (pairs.where("x <> y").select("x", "y").join(small.toDF("x", "n", "counts"), "x").join(small.toDF("y", "m", "others"), "y")
+     .select("x", "y", "n", "counts", "m", "others").mapInArrow(_near_in_counts(percent), "x long, y long").write.parquet(path))
+    pairs = pairs.sparkSession.read.parquet(path)
     own = sets.select(F.col("cls").alias("x"), F.col("s").alias("sx"))
     other = sets.select(F.col("cls").alias("y"), F.col("s").alias("sy"))
     both = F.size(F.array_intersect("sx", "sy"))
-    return (pairs.where("x <> y").join(own, "x").join(other, "y")
+    return (pairs.join(own, "x").join(other, "y")
             .where((100 + percent) * both >= percent * (F.size("sx") + F.size("sy"))).select("x", "y"))
 
 
@@ -396,7 +438,8 @@ def _membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: st
                          ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("t"), *_text_hash(text))
     hashed.mapInArrow(_names(shingle), "d long, h1 long, h2 long, n long, cls long, sketch binary").write.parquet(f"{path}/names")
     names = spark.read.parquet(f"{path}/names")
-    classes = names.where("n > 0").groupBy("cls", "n").agg(F.min("d").alias("rep"))
+    classes = (names.where("n > 0").groupBy("cls", "n").agg(F.min(F.struct("d", "h1", "h2")).alias("r"))
+               .select("cls", "n", F.col("r.d").alias("rep"), F.col("r.h1").alias("h1"), F.col("r.h2").alias("h2")))
     if boundary is None:
         sizes = classes.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()     # at most 2 * MAX_LIGHT rows
         boundary = choose_boundary({r["n"]: r["count"] for r in sizes}, percent)
@@ -441,15 +484,20 @@ def _membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: st
              .select("e", "cls", "n", "comp", "side", "i", "j"))
     rep = classes.select("cls", "rep")
     sketches = (names.join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("sketch").alias("sketch")))
-    near = _candidates(spots, sketches, percent, every=False)
-    light.unionByName(near).write.parquet(f"{path}/pairs")
+    _candidates(spots, sketches, percent, every=False).write.parquet(f"{path}/near")
+    near = spark.read.parquet(f"{path}/near")
+    # one pair per set is verified first, its closest earlier set of all lists; what it misses is left to the second scan
+    closest = (near.where("x <> y").groupBy("x").agg(F.min(F.struct("apart", "y")).alias("c")).select("x", F.col("c.y").alias("y")))
+    light.unionByName(closest).distinct().write.parquet(f"{path}/pairs")
     pairs = spark.read.parquet(f"{path}/pairs")
-    # exact sets of the classes that have any possible partner, or may have one in another block
-    wanted = (pairs.select(F.explode(F.array("x", "y")).alias("cls")).unionByName(met.join(cuts.where("nb > 1"), "e").select("cls"))
-              .distinct().join(rep, "cls").select(F.col("rep").alias("d")).distinct())
+    # exact sets of the classes that have any possible partner, or may have one in another block: from one text of each
+    wanted = (pairs.select(F.explode(F.array("x", "y")).alias("cls")).unionByName(near.where("x = y").select(F.col("x").alias("cls")))
+              .unionByName(met.join(cuts.where("nb > 1"), "e").select("cls")).distinct().join(classes, "cls").select("h1", "h2"))
     wanted.write.parquet(f"{path}/wanted")
-    (src.join(spark.read.parquet(f"{path}/wanted"), "d", "left_semi").select("d", "t")
-     .mapInArrow(_keep_sets(shingle), "cls long, s array<long>").dropDuplicates(["cls"]).write.parquet(f"{path}/sets"))
+    wanted = spark.read.parquet(f"{path}/wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= MAX_SENT else wanted
+    (hashed.select("h1", "h2", "d", "t").join(wanted, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select("d", "t")
+     .mapInArrow(_keep_sets(shingle), "cls long, n int, counts binary, s array<long>").write.parquet(f"{path}/sets"))
     sets = spark.read.parquet(f"{path}/sets")
 
     node = rep.select("cls", F.struct(F.col("rep").alias("d"), "cls").alias("node"))
@@ -462,13 +510,13 @@ def _membership(docs: DataFrame, shingle: int = 3, percent: int = 90, doc_id: st
         tree = tree.select(F.col("node.cls").alias("cls"), "root")
         return node.join(tree, "cls", "left").select("cls", F.coalesce("root", "node").alias("root"))
 
-    _verified(pairs.select("x", "y").distinct(), sets, percent).write.parquet(f"{path}/links")
+    _verified(pairs, sets, percent, f"{path}/near_pairs").write.parquet(f"{path}/links")
     roots = components(by_rep(spark.read.parquet(f"{path}/links")))
     comp = rooted(roots).select("cls", F.col("root.cls").alias("comp"))
     # second scan: only lists that still hold several components
     met.join(comp, "cls").select("e", "cls", "n", "comp").write.parquet(f"{path}/placed")
     rest = _candidates(_between_components(spark.read.parquet(f"{path}/placed")), sketches, percent, every=True)
-    by_rep(_verified(rest, sets, percent)).write.parquet(f"{path}/rest")
+    by_rep(_verified(rest, sets, percent, f"{path}/near_rest")).write.parquet(f"{path}/rest")
     final = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(spark.read.parquet(f"{path}/rest")))
     return (names.join(rooted(final), "cls", "left")
             .select("d", "h1", "h2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).alias("root")))

@@ -88,6 +88,7 @@ def brute_components(rows, size, percent):
 @pytest.mark.parametrize("size,percent,boundary", [(3, 90, None), (5, 80, None), (3, 60, 0), (3, 70, 12), (2, 50, 6), (3, 90, 40)])
 def test_jaccard_equals_brute_force(spark, size, percent, boundary, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 5)          # cut lists into blocks
+    monkeypatch.setattr(jaccard, "LARGE", 30)         # and use the cell counts
     rows = awkward(size + percent)
     got = {r[0]: (r[1], r[2]) for r in jaccard.component_report(frame(spark, rows), shingle=size, percent=percent, boundary=boundary).collect()}
     assert got == brute_components(rows, size, percent)
