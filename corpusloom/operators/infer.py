@@ -8,10 +8,12 @@ Nothing is collected to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import heapq
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
+from corpusloom.config import EvalConfig
 from corpusloom.session import ship_package
 
 _CACHE: dict = {}
@@ -24,39 +26,72 @@ def _model(key: str, make: Callable):
     return m
 
 
-def generate(df: DataFrame, make: Callable, model_key: str, prompt_col: str = "prompt_text",
-             id_col: str = "id", batch_size: int = 64) -> DataFrame:
-    """``(id, text)`` per prompt; ``text`` null when the model returns nothing."""
+def micro_batches(batches, columns: list[str], batch_size: int, window: int = 16, by: str | None = None):
+    """Rows of Arrow batches, as lists of ``columns``, in batches of exactly ``batch_size``
+    (the last of a partition may be smaller), whatever the Arrow batches hold. Rows of
+    ``window`` batches are sorted by the length of ``by`` first, so that texts of like
+    length meet and little is padded; at most that many rows are held."""
+    held: list[tuple] = []
+
+    def given(rows):
+        if by is not None:
+            at = columns.index(by)
+            rows = sorted(rows, key=lambda r: len(r[at] or ""))
+        for s in range(0, len(rows), batch_size):
+            yield [list(c) for c in zip(*rows[s:s + batch_size])]
+
+    size = batch_size * window
+    for pdf in batches:
+        held += list(zip(*(pdf[c].tolist() for c in columns)))
+        while len(held) >= size:
+            yield from given(held[:size])
+            held = held[size:]
+    yield from given(held)
+
+
+def generate(df: DataFrame, make: Callable, model_key: str, prompt_col: str = "prompt_text", id_col: str = "id", batch_size: int = 64,
+             stop: Sequence[str] = (), max_new_tokens: int | None = None) -> DataFrame:
+    """``(id, text)`` per prompt; ``text`` null when the model returns nothing.
+
+    The model's output for a prompt is a text or an iterable of chunks. It is cut before
+    the first of the ``stop`` strings and where the pre-token after ``max_new_tokens``
+    begins, whichever comes first; no chunk is drawn beyond that."""
     import pandas as pd
 
     ship_package(df.sparkSession)
 
     def run(batches):
-        fn = _model(model_key, make)
-        for pdf in batches:
-            for s in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[s:s + batch_size]
-                outs = list(fn(chunk[prompt_col].tolist()))
-                yield pd.DataFrame({"id": chunk[id_col].astype(str).values, "text": outs})
+        from corpusloom.functions.stops import TextEnd
+        fn, end = _model(model_key, make), TextEnd(stop, max_new_tokens)
+        for ids, prompts in micro_batches(batches, [id_col, prompt_col], batch_size, by=prompt_col):
+            texts = [end.cut(x) for x in fn(prompts)]
+            if len(texts) != len(ids):
+                raise ValueError(f"the model gave {len(texts)} outputs for {len(ids)} prompts")
+            yield pd.DataFrame({"id": [str(i) for i in ids], "text": texts})
 
     return df.select(id_col, prompt_col).mapInPandas(run, "id string, text string")
 
 
+def top_logprobs(logprobs: dict[int, float] | None, k: int) -> dict[int, float] | None:
+    """The ``k`` highest, ties to the lower token id; NaN never counts."""
+    if logprobs is None:
+        return None
+    real = ((t, v) for t, v in logprobs.items() if v is not None and v == v)
+    return dict(heapq.nsmallest(k, real, key=lambda x: (-x[1], x[0])))
+
+
 def score(df: DataFrame, make: Callable, model_key: str, prompt_col: str = "prompt_text",
-          id_col: str = "id", batch_size: int = 64) -> DataFrame:
-    """``(id, text, logprobs map<int,double>)``: one next token and its top logprobs."""
+          id_col: str = "id", batch_size: int = 64, top: int = EvalConfig().top_logprobs) -> DataFrame:
+    """``(id, text, logprobs map<int,double>)``: one next token and its ``top`` logprobs."""
     import pandas as pd
 
     ship_package(df.sparkSession)
 
     def run(batches):
         fn = _model(model_key, make)
-        for pdf in batches:
-            for s in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[s:s + batch_size]
-                outs = list(fn(chunk[prompt_col].tolist()))
-                yield pd.DataFrame({"id": chunk[id_col].astype(str).values,
-                                    "text": [None if o is None else o[0] for o in outs],
-                                    "logprobs": [None if o is None else o[1] for o in outs]})
+        for ids, prompts in micro_batches(batches, [id_col, prompt_col], batch_size, by=prompt_col):
+            outs = list(fn(prompts))
+            yield pd.DataFrame({"id": [str(i) for i in ids], "text": [None if o is None else o[0] for o in outs],
+                                "logprobs": [None if o is None else top_logprobs(o[1], top) for o in outs]})
 
     return df.select(id_col, prompt_col).mapInPandas(run, "id string, text string, logprobs map<int,double>")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import V2, DistillConfig
 from corpusloom.functions import chat as C
 from corpusloom.functions.text import words
+from corpusloom.functions.tokens import PRETOKEN
 from corpusloom.operators import distill as D
 from corpusloom.operators import sft_sets as S
 from corpusloom.plans import sqlkit as Q
@@ -87,6 +88,36 @@ def teacher_quality(spark, sf_dir):
     return judged(spark, sf_dir).select("id", "reason", count_tokens("teacher_target").alias("n_tokens"))
 
 
+def echo_model():
+    """A deterministic stand-in: gives each prompt back, in chunks that cut stop strings apart."""
+    def chunks(prompt):
+        return (prompt[k:k + 7] for k in range(0, len(prompt), 7))
+    return lambda prompts: [None if p is None else chunks(p) for p in prompts]
+
+
+STOPS = "[" + ", ".join(Q.lit(s) for s in KD_TEST.stop) + "]"
+SPACES = Q.WS_RUN[1:-2] + "*"
+PIECES = f"regexp_extract_all(raw, '(?:{PRETOKEN}){SPACES}')"
+
+
+@query("kd_generated", sql=f"""WITH {SQL_KD},
+b AS (SELECT id, CASE WHEN len(p) <= {KD_TEST.max_new_tokens} THEN raw
+             ELSE regexp_extract(raw, '^{SPACES}') || array_to_string(p[1:{KD_TEST.max_new_tokens}], '') END AS t
+      FROM (SELECT id, raw, {PIECES} AS p FROM kj0)),
+s AS (SELECT id, t, list_min(list_filter(list_transform({STOPS}, lambda x: strpos(t, x)), lambda k: k > 0)) AS k FROM b),
+g AS (SELECT id, CASE WHEN k IS NULL THEN t ELSE substr(t, 1, k - 1) END AS text FROM s)
+SELECT id, sha1(text) AS text_sha, {Q.ntok('text')} AS n_tokens FROM g""")
+def kd_generated(spark, sf_dir):
+    """Generation over every prompt, cut at stop strings and at the token limit."""
+    from corpusloom.functions.tokens import count_tokens
+    from corpusloom.operators.infer import generate
+    p = D.kd_source(v2_records(spark, sf_dir), KD_TEST)
+    raw = teacher_from_documents(p, table(spark, sf_dir, "documents")).groupBy("id").agg(F.min("text").alias("prompt_text"))
+    prompts = p.select("id").join(raw, "id", "left")
+    out = generate(prompts, echo_model, "echo", stop=KD_TEST.stop, max_new_tokens=KD_TEST.max_new_tokens)
+    return out.select("id", F.sha1("text").alias("text_sha"), count_tokens("text").alias("n_tokens"))
+
+
 @query("kd_records", sql=f"""WITH {SQL_KD}
 SELECT id, CAST(len(pm) + 1 AS INTEGER) AS num_messages, prompt_tokens, {Q.ntok('tt')} AS teacher_target_tokens,
        sha1(gold) AS gold_sha, sha1(tt) AS teacher_sha,
