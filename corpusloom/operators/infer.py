@@ -9,13 +9,17 @@ Nothing is collected to the driver.
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.config import EvalConfig
 from corpusloom.session import ship_package
 
+SCORED = "model string, id string, text string, logprobs map<int,double>"
 _CACHE: dict = {}
 
 
@@ -95,3 +99,35 @@ def score(df: DataFrame, make: Callable, model_key: str, prompt_col: str = "prom
                                 "logprobs": [None if o is None else top_logprobs(o[1], top) for o in outs]})
 
     return df.select(id_col, prompt_col).mapInPandas(run, "id string, text string, logprobs map<int,double>")
+
+
+def scored_so_far(spark: SparkSession, ledger: str) -> DataFrame:
+    """``(model, id, text, logprobs)`` of the ledger, without rows if it is not there yet."""
+    try:
+        return spark.read.schema(SCORED).parquet(ledger)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SCORED)
+
+
+def score_resumable(questions: DataFrame, make: Callable, model: str, ledger: str, prompt_col: str = "prompt_text", id_col: str = "id",
+                    waves: int = 4, **kw) -> DataFrame:
+    """``questions`` joined with the text and log-probabilities that ``model`` gives.
+
+    Outputs go to the Parquet folder ``ledger`` in ``waves``, each committed as a whole by
+    Spark's writer: ids that are there are never scored again, so a job that was stopped
+    goes on behind its last complete wave, and several models share one folder. An id is
+    scored once, however many questions have it. A question without an id is not scored
+    and keeps nulls."""
+    spark, key = questions.sparkSession, uuid.uuid4().hex          # the model is built once per worker and call
+    own = lambda: scored_so_far(spark, ledger).where(F.col("model") == model)
+    ids = questions.select(F.col(id_col).cast("string").alias("id"), F.col(prompt_col).alias("prompt_text")).where("id is not null")
+    for wave in range(waves):
+        todo = ids.where(F.pmod(F.xxhash64("id"), F.lit(waves)) == wave).join(own().select("id"), "id", "left_anti")
+        todo = todo.groupBy("id").agg(F.min("prompt_text").alias("prompt_text"))
+        scored = score(todo, make, key, **kw).withColumn("model", F.lit(model))
+        scored.select("model", "id", "text", "logprobs").write.mode("append").parquet(ledger)
+    out = own().select(F.col("id").alias("_scored_id"), "text", "logprobs")
+    rows = questions.drop("text", "logprobs")
+    return rows.join(out, F.col(id_col).cast("string") == F.col("_scored_id"), "left").drop("_scored_id")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import score as SC
 from corpusloom.plans import sqlkit as Q
+from corpusloom.plans.mc_queries import SQL_MC, corpus
 from corpusloom.plans.registry import query
+from corpusloom.session import scratch_path
 from corpusloom.sources.fixtures import LETTER_IDS, PRED_LEADS, PRED_MODELS, PRED_TASKS, predictions_from_embeddings, table
 
 
@@ -105,3 +107,30 @@ SELECT a.model, a.dataset, a.acc AS pre_acc, b.acc AS post_acc, b.acc - a.acc AS
 FROM mm a JOIN mmq b ON a.model = b.model AND a.dataset = b.dataset""")
 def quant_delta(spark, sf_dir):
     return SC.quant_delta(SC.metrics(preds(spark, sf_dir)), SC.metrics(preds(spark, sf_dir, quantize=True)))
+
+
+def length_model():
+    """A deterministic stand-in: a letter and 30 log-probabilities from the prompt's length."""
+    return lambda prompts: [(chr(65 + len(p) % 5), {t: -float((7 * t + len(p)) % 31) for t in range(30)}) for p in prompts]
+
+
+LIDS = "[" + ", ".join("[" + ", ".join(map(str, ids)) + "]::INTEGER[]" for ids in LETTER_IDS) + "]"
+
+
+@query("mc_scored", sql=f"""WITH {SQL_MC},
+q AS (SELECT task, id, answer_idx, num_choices, length(prompt_text) AS n FROM mc),
+t AS (SELECT *, chr(CAST(65 + n % 5 AS INTEGER)) AS text, list_sort(list_transform(range(30), lambda t: {{'v': -((7 * t + n) % 31), 't': t}}), 'DESC')[1:20] AS top FROM q),
+p AS (SELECT *, list_sort(flatten(list_transform(range(num_choices), lambda i: list_transform(
+        list_filter(top, lambda x: list_contains({LIDS}[i + 1], x.t)), lambda x: {{'v': x.v, 'i': -i}}))), 'DESC')[1].i AS best FROM t WHERE num_choices <= {len(LETTER_IDS)})
+SELECT task, id, answer_idx, text, CAST(coalesce(-best, CASE WHEN ascii(text) < 65 + num_choices THEN ascii(text) - 65 END) AS INTEGER) AS pred_idx FROM p
+UNION ALL SELECT task, id, answer_idx, text, NULL FROM t WHERE num_choices > {len(LETTER_IDS)}""")
+def mc_scored(spark, sf_dir):
+    """Every question of the evaluation corpus with its scored output; questions with more
+    choices than the letter table has letters stay unknown."""
+    from corpusloom.operators.infer import score_resumable
+    questions = corpus(spark, sf_dir, "completion").select("task", "id", "answer_idx", "num_choices", "prompt_text")
+    path = scratch_path(spark, "questions")
+    questions.write.parquet(path)
+    out = score_resumable(spark.read.parquet(path), length_model, "length", scratch_path(spark, "scored"))
+    known = F.when(F.col("num_choices") <= len(LETTER_IDS), SC.predict(out, LETTER_IDS, k="num_choices"))
+    return out.select("task", "id", "answer_idx", "text", known.cast("int").alias("pred_idx"))

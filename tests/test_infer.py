@@ -78,3 +78,36 @@ def test_score_keeps_the_highest(spark):
     for r in infer.score(df, make, "s", top=3, batch_size=4).collect():
         assert r["logprobs"] == {0: 0.0, 5: 0.0, 10: 0.0}
     assert infer.top_logprobs(None, 3) is None and infer.top_logprobs({1: None, 2: -1.0}, 3) == {2: -1.0}
+
+
+def test_scoring_goes_on_where_it_stopped(spark, tmp_path):
+    """A job that fails after some waves leaves them; the next one scores only the rest."""
+    ledger, calls = f"{tmp_path}/ledger", tmp_path / "calls"
+    calls.mkdir()
+
+    def model(fail):
+        def make():
+            def run(prompts):
+                import uuid
+                if fail and any(p == "boom" for p in prompts):
+                    raise RuntimeError("lost")
+                (calls / uuid.uuid4().hex).write_text("\n".join(prompts))
+                return [(p[-1:], {len(p): -1.0}) for p in prompts]
+            return run
+        return make
+    rows = [(f"q{k}", f"prompt {k}", k) for k in range(60)] + [("q7", "prompt 7", 7), (None, "no id", -1)]
+    last = max(rows[:60], key=lambda r: spark.sql(f"select pmod(xxhash64('{r[0]}'), 4)").first()[0])      # in the last wave that has rows
+    rows = [(i, "boom" if i == last[0] else p, n) for i, p, n in rows]
+    df = spark.createDataFrame(rows, "id string, prompt_text string, n int").repartition(3)
+    with pytest.raises(Exception, match="lost"):
+        infer.score_resumable(df, model(True), "m", ledger)
+    done = {r["id"] for r in infer.scored_so_far(spark, ledger).collect()}
+    assert 0 < len(done) < 60
+    before = {f.name for f in calls.iterdir()}
+    out = infer.score_resumable(df, model(False), "m", ledger).collect()
+    again = [p for f in calls.iterdir() if f.name not in before for p in f.read_text().split("\n")]
+    prompts = {i: p for i, p, _ in rows}
+    assert sorted(again) == sorted(prompts[i] for i in prompts if i is not None and i not in done)
+    assert len(out) == len(rows) and all((r["text"] is None) == (r["id"] is None) for r in out)
+    assert infer.score_resumable(df, model(True), "m", ledger).count() == len(rows)               # nothing is left to score
+    assert infer.scored_so_far(spark, ledger).where("model = 'other'").count() == 0
