@@ -72,8 +72,11 @@ def assistant_turns(m) -> Column:
     )
 
 
-def render(m, add_generation_prompt: bool, template: ChatTemplate = DEFAULT_TEMPLATE) -> Column:
-    """Render a chat array to one string with the template."""
+def render(m, add_generation_prompt: bool, template=DEFAULT_TEMPLATE) -> Column:
+    """Render a chat array to one string with the template (a ``ChatTemplate``, or a
+    ``templates.TextTemplate`` for any other shape)."""
+    if not isinstance(template, ChatTemplate):
+        return template.render(m, add_generation_prompt)
     t = template
     body = F.array_join(
         F.transform(col_(m), lambda x: F.concat(

@@ -51,11 +51,12 @@ def _additive_template(t: C.ChatTemplate) -> bool:
             and t.header_close[-1:].isspace())
 
 
-def chat_records(chats: DataFrame, cfg: SetConfig = V2, template: C.ChatTemplate = C.DEFAULT_TEMPLATE,
+def chat_records(chats: DataFrame, cfg: SetConfig = V2, template=C.DEFAULT_TEMPLATE,
                  count=count_tokens) -> DataFrame:
     """Examples plus token lengths, uid, dedup key and the seeded scan order."""
     t = template
-    additive = count is count_tokens and _additive_template(t)
+    marked = isinstance(t, C.ChatTemplate)
+    additive = marked and count is count_tokens and _additive_template(t)
     carry = None
     if additive:
         # per-message pre-token counts, once per conversation: header + content + end-of-turn
@@ -73,7 +74,7 @@ def chat_records(chats: DataFrame, cfg: SetConfig = V2, template: C.ChatTemplate
         ex = ex.withColumn("prompt_tokens", (fixed + pieces - (F.col("_i") + 1)).cast("int"))
     else:
         ex = ex.withColumn("prompt_tokens", count(C.render("prompt_messages", True, template)))
-    if count is count_tokens and template.header_close[-1:].isspace() and template.generation_role == "assistant":
+    if marked and count is count_tokens and template.header_close[-1:].isspace() and template.generation_role == "assistant":
         # render(messages) = render(prompt, with generation header) + target + eot, and
         # the header ends in whitespace, which no pre-token spans: only the tail is recounted
         total = F.col("prompt_tokens") + count(F.concat("target_text", F.lit(template.eot)))
