@@ -34,9 +34,11 @@ def read_jsonl_first(df: DataFrame, n_max: int | None, key: str) -> DataFrame:
 
 def write_task_files(spark: SparkSession, corpus: DataFrame, out_dir: str) -> DataFrame:
     """One JSONL folder per task (``task=<name>``) plus ``manifest.json``; returns
-    the manifest rows ``(name, path, rows)``."""
+    the manifest rows ``(name, path, rows)``. Rows are counted in the written files
+    (a record is a line): the corpus is computed once."""
     write_jsonl(corpus, f"{out_dir}/tasks", partition_by="task")
-    counts = corpus.groupBy("task").agg(F.count("*").alias("rows"))
+    written = spark.read.schema("value string, task string").text(f"{out_dir}/tasks")
+    counts = written.groupBy("task").agg(F.count("*").alias("rows"))
     manifest = counts.select(F.col("task").alias("name"),
                              F.concat(F.lit(f"{out_dir}/tasks/task="), F.col("task")).alias("path"), "rows")
     manifest.coalesce(1).write.mode("overwrite").json(f"{out_dir}/manifest")
