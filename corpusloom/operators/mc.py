@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.chat import message
 from corpusloom.functions.ids import order_key, sha1_join
 from corpusloom.functions.text import normalize, prefix, strip
-from corpusloom.operators.sample import take_first_n_per_group
+from corpusloom.operators.sample import group_cuts, take_first_n_per_group
 
 # The chat-style prompt lines.
 CHAT_LEAD = "Answer the following multiple-choice question."
@@ -144,3 +144,19 @@ def subsample(corpus: DataFrame, n: int | None, seed: int = 0) -> DataFrame:
     """Per task, a seeded random ``n`` rows; all rows when ``n`` is None or too large."""
     c = corpus.withColumn("ord", order_key(seed, "subsample", "task", "source_index"))
     return take_first_n_per_group(c, "task", n, "ord")
+
+
+def sampled_corpus(raws: dict[str, DataFrame], n: int | None, style: str = "chat", seed: int = 0) -> DataFrame:
+    """``subsample`` of ``eval_corpus``, from the raw tables: once the last order value of
+    every task is known, raw rows behind it are left out before any record is built."""
+    corpus = eval_corpus(raws, style)
+    if n is None or n <= 0:
+        return subsample(corpus, n, seed)
+    ordered = corpus.withColumn("ord", order_key(seed, "subsample", "task", "source_index"))
+    cuts = group_cuts(ordered, "task", n)
+
+    def first(task: str, raw: DataFrame) -> DataFrame:
+        place = order_key(seed, "subsample", F.lit(task), F.col("source_index").cast("long"))
+        return raw.where(place <= cuts[task]) if task in cuts else raw
+    kept_rows = eval_corpus({task: first(task, raw) for task, raw in raws.items()}, style)
+    return kept_rows.withColumn("ord", order_key(seed, "subsample", "task", "source_index"))

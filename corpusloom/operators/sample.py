@@ -13,6 +13,16 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import scratch_path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back. Selections
+    look at their order values several times; the source is read for them once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
 def first_per_key(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
     """First row of each ``key`` by ``order`` (a scan with a ``seen`` set).
@@ -87,11 +97,11 @@ def take_first_n(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
     """First ``n`` rows by ``order`` (unique). Keeps all rows when there are fewer.
 
     The threshold comes from :func:`kth_order_value` over the order column
-    only; the wide rows are then filtered by it.
+    only, written once; the wide rows are then filtered by it.
     """
     if n <= 0:
         return df.limit(0)
-    t = kth_order_value(df.select(order), n, order)
+    t = kth_order_value(kept(df.select(order), "order"), n, order)
     return df if t is None else df.where(F.col(order) <= F.lit(t))
 
 
@@ -108,24 +118,31 @@ def first_n_per_key(df: DataFrame, n: int, key: str, order: str = "ord") -> Data
     if n <= 0:
         return df.limit(0)
     firsts = first_per_key(df.select(order, key), key, order).select(order)
-    return _semi(df, take_first_n(firsts, n, order), order)
+    last = kth_order_value(firsts, n, order)
+    return _semi(df, firsts if last is None else firsts.where(F.col(order) <= F.lit(last)), order)
 
 
 def take_first_n_per_group(df: DataFrame, group: str, n: int | None, order: str = "ord") -> DataFrame:
     """First ``n`` rows of every group by ``order``; all rows when ``n`` is None.
 
-    ``group`` has few values (tasks). Their thresholds come from narrow counts; the
-    wide rows are filtered, never shuffled.
+    ``group`` has few values (tasks). Their thresholds come from a narrow table that is
+    written once; the wide rows are filtered, never shuffled. The source is read twice.
     """
     if n is None:
         return df
-    narrow = df.select(group, order)
-    names = [r[0] for r in narrow.select(group).distinct().collect()]
-    last = kth_per_group(narrow, dict.fromkeys(names, n), group, order)
+    if n <= 0:
+        return df.limit(0)
     keep = F.lit(True)
-    for v, cut in last.items():
+    for v, cut in group_cuts(df, group, n, order).items():
         keep = keep & (~F.col(group).eqNullSafe(F.lit(v)) | (F.col(order) <= F.lit(cut)))
-    return df.where(keep) if n > 0 else df.limit(0)
+    return df.where(keep)
+
+
+def group_cuts(df: DataFrame, group: str, n: int, order: str = "ord") -> dict:
+    """The ``n``-th order value of every group with at least ``n`` rows; one pass over ``df``."""
+    narrow = kept(df.select(group, order), "group-order")
+    names = [r[0] for r in narrow.select(group).distinct().collect()]
+    return kth_per_group(narrow, dict.fromkeys(names, n), group, order)
 
 
 def _closing_rounds(live: DataFrame, key: str, bucket: str, quotas: dict[str, int], order: str):
@@ -168,11 +185,11 @@ def split_train_eval(df: DataFrame, ratio: float, order: str = "ord") -> DataFra
     """Adds ``split`` = 'eval' for the first ``ceil(ratio * n)`` rows by order, else 'train'."""
     if ratio <= 0:
         return df.withColumn("split", F.lit("train"))
-    n = df.count()
-    k = math.ceil(ratio * n)
+    values = kept(df.select(order), "order")
+    k = math.ceil(ratio * values.count())
     if k <= 0:
         return df.withColumn("split", F.lit("train"))
-    cut = kth_order_value(df.select(order), k, order)
+    cut = kth_order_value(values, k, order)
     if cut is None:
         return df.withColumn("split", F.lit("eval"))
     return df.withColumn("split", F.when(F.col(order) <= F.lit(cut), F.lit("eval")).otherwise(F.lit("train")))

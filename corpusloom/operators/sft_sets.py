@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import LengthGate, SetConfig
-from corpusloom.session import scratch_path
 from corpusloom.functions.ids import order_key
-from corpusloom.operators.sample import first_n_per_key, quota_sample
+from corpusloom.operators.sample import first_n_per_key, kept, quota_sample
 
 
 def gate(g: LengthGate, total: str = "total_tokens", target: str = "target_tokens") -> Column:
@@ -47,14 +46,6 @@ def narrow(records: DataFrame) -> DataFrame:
     return kept(records.select(*[c for c in NARROW if c in records.columns]), "narrow")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once below the shared checkpoint folder and read back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def attach(selected: DataFrame, records: DataFrame) -> DataFrame:
     """Wide rows of the selected ``ord`` values."""
     return records.join(selected.select("ord").distinct(), "ord", "left_semi").dropDuplicates(["ord"])

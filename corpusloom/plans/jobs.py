@@ -59,7 +59,7 @@ def build_instruction_sets(rows: DataFrame, out_dir: str, cfg: SetConfig = V1, n
 def build_eval_corpus(spark: SparkSession, raws: dict[str, DataFrame], out_dir: str, style: str = "chat",
                       n_per_task: int | None = None, seed: int = 0) -> DataFrame:
     """Four builders -> per-task JSONL + manifest; returns the manifest rows."""
-    corpus = M.subsample(M.eval_corpus(raws, style), n_per_task, seed).drop("ord", "source_index")
+    corpus = M.sampled_corpus(raws, n_per_task, style, seed).drop("ord", "source_index")
     return J.write_task_files(spark, corpus, out_dir)
 
 

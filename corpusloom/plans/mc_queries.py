@@ -145,4 +145,4 @@ def eval_corpus_q(spark, sf_dir):
 o AS (SELECT task, id, {Q.okey(0, 'subsample', 'task', 'source_index')} AS ord FROM mc)
 SELECT task, id, ord FROM o QUALIFY row_number() OVER (PARTITION BY task ORDER BY ord) <= {N_SUBSAMPLE}""")
 def mc_subsample(spark, sf_dir):
-    return M.subsample(corpus(spark, sf_dir), N_SUBSAMPLE).select("task", "id", "ord")
+    return M.sampled_corpus(raw_tables(spark, sf_dir), N_SUBSAMPLE).select("task", "id", "ord")

@@ -54,3 +54,14 @@ def test_subsample_filters_by_threshold(spark, n):
     got = take_first_n_per_group(spark.createDataFrame(rows, "task string, ord string"), "task", n).collect()
     want = [(t, o) for t in ("a", "b", None) for o in sorted(o for x, o in rows if x == t)[:n]]
     assert sorted(map(str, ((r[0], r[1]) for r in got))) == sorted(map(str, want))
+
+
+def test_sampled_corpus_equals_the_subsample_of_the_corpus(spark):
+    from corpusloom.operators.mc import eval_corpus, sampled_corpus, subsample
+    from corpusloom.plans.mc_queries import raw_tables
+
+    raws = raw_tables(spark, "/root/testdata/sf0.001")
+    for n in (None, 0, 1, 7, 10_000):
+        want = subsample(eval_corpus(raws), n, 4).drop("messages", "choices", "meta")
+        got = sampled_corpus(raws, n, seed=4).drop("messages", "choices", "meta")
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str), n
