@@ -9,17 +9,19 @@ counts. A text is its lower-cased (A-Z) words and one end; contexts begin with a
 start mark, which is never predicted.
 
 Counts never travel one row per n-gram occurrence. Documents are dealt into blocks of
-about ``BLOCK_BYTES`` of text by a hash of the id; a block sends the sorted distinct
+about ``BLOCK_BYTES`` of text by a hash of the row; a block sends the sorted distinct
 n-gram hashes it holds with its counts, cut by hash range, as compressed arrays
 (a map-side aggregation). One task per range adds them up and answers every block
 with the totals in the block's own order; blocks then score their documents. What is
 gathered grows with the corpus; nothing but two totals, V and N, and a histogram on
 a fixed grid (context bucket and quarter-octave steps of each estimate) reaches the
-driver, where the weights are fitted.
+driver, where the weights are fitted. A block sends one row per range that it has a
+gram for: blocks x ranges of them, never more than it has distinct grams.
 
 N-grams are named by 64-bit hashes. Defined cases: a null or empty text is its end
-token alone; a null id counts as the text '' in the split; repeated rows are documents
-of their own; an empty table gives no rows; without training documents the score is
+token alone; a null id counts as the text '' in the split; the deleted part and the
+block follow from id and text together, so null ids and one repeated id spread;
+repeated rows are documents of their own and share a block; an empty table gives no rows; without training documents the score is
 the uniform model's; extra columns are not read.
 """
 
@@ -46,6 +48,11 @@ def held_out_by_id(doc_id: str) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
+def deleted_part(doc_id: str, text: str, percent: int) -> Column:
+    """Whether a training row fits the weights; null ids and repeated ids part by their text."""
+    return F.pmod(F.xxhash64(F.col(doc_id).cast("long"), F.col(text), F.lit("deleted")), F.lit(100)) < percent
+
+
 # ---- arrays on the wire ---------------------------------------------------
 
 def _pack(a: np.ndarray) -> bytes:
@@ -108,6 +115,8 @@ class Grams:
         context = np.full(len(own), float(n))
         for k in range(2, self.order + 1):
             context = seen[k - 1][own - 1]
+            # a run of k - 1 start marks stands order - k + 1 times before a text, once before its first token
+            context = np.where(self.pos[own] == self.order - 1, context / (self.order - k + 1), context)
             p.append(np.divide(seen[k][own], context, out=np.zeros(len(own)), where=context > 0))
         bucket = np.minimum(np.log2(1 + context).astype(int), MAX_BUCKET)
         return own, seen[1][own], bucket, p
@@ -243,7 +252,7 @@ def score_documents(docs: DataFrame, order: int = 2, doc_id: str = "doc_id", tex
     """Per row ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``.
 
     Training rows are those where ``held_out`` is false; ``deleted_percent`` of
-    them, by id hash, are the deleted part that fits the weights.
+    them, by a hash of id and lower-cased text, are the deleted part that fits the weights.
     """
     spark = docs.sparkSession
     out = held_out if held_out is not None else held_out_by_id(doc_id)
@@ -252,8 +261,8 @@ def score_documents(docs: DataFrame, order: int = 2, doc_id: str = "doc_id", tex
     size, trained = src.agg(F.sum(F.octet_length("t") + 1), F.count_if(~F.col("held_out"))).first()
     blocks = max(1, -(-(size or 0) // block_bytes))
     apart = max(1, -(-blocks * deleted_percent // 100))             # the deleted part has blocks of its own
-    gone = ~F.col("held_out") & (F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(100)) < deleted_percent)
-    h = F.xxhash64("doc_id", F.lit("block"))
+    gone = ~F.col("held_out") & deleted_part("doc_id", "t", deleted_percent)
+    h = F.xxhash64("doc_id", "t", F.lit("block"))
     src = src.withColumn("gone", gone).withColumn("kept", ~F.col("held_out") & ~F.col("gone")).withColumn(
         "block", F.when(F.col("gone"), blocks + F.pmod(h, F.lit(apart))).otherwise(F.pmod(h, F.lit(blocks))).cast("int"))
     packed = src.mapInArrow(_squeeze, "block int, doc_id long, held_out boolean, kept boolean, gone boolean, z binary")

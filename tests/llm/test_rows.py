@@ -92,6 +92,82 @@ def test_scores_follow_the_contract(spark, order, block):
         assert sum(r["score"] for r in held) > 1.1 * sum(r["base_score"] for r in held)     # less negative by a tenth or more
 
 
+def plain_em(events, order, v):
+    """Weights by EM over ``(estimates, times)``, one event after the other."""
+    w = [1 / (order + 1)] * (order + 1)
+    for _ in range(60):
+        share, seen = [0.0] * (order + 1), 0
+        for p, times in events:
+            parts = [x * y for x, y in zip(w, (1 / (v + 1), *p))]
+            seen += times
+            for k, x in enumerate(parts):
+                share[k] += times * x / sum(parts)
+        w = [max(x / seen, 1e-6) for x in share]
+        w = [x / sum(w) for x in w]
+    return w
+
+
+def plain_scores(docs, out, gone, order, grid):
+    """Log10 probabilities of all documents from dictionaries: n-grams of the training
+    texts, contexts counted where they predict a token; EM on estimates rounded to the
+    quarter octaves of the operator, or unrounded. ``gone`` holds places in ``docs``."""
+    def tables(places):
+        grams, contexts = collections.Counter(), collections.Counter()
+        for at in places:
+            w = docs[at][1]
+            for j in range(order - 1, len(w)):
+                for k in range(1, order + 1):
+                    grams[tuple(w[j - k + 1:j + 1])] += 1
+                    contexts[tuple(w[j - k + 1:j])] += 1
+        return grams, contexts
+
+    def estimates(w, j, grams, contexts):
+        seen = [(grams[tuple(w[j - k + 1:j + 1])], contexts[tuple(w[j - k + 1:j])]) for k in range(1, order + 1)]
+        return min(int(math.log2(1 + seen[-1][1])), 20), [a / b if b else 0.0 for a, b in seen]
+
+    train = [at for at, (i, _) in enumerate(docs) if i not in out]
+    kept, every = tables([at for at in train if at not in gone]), tables(train)
+    v = len([g for g in every[0] if len(g) == 1])
+    events = collections.Counter()
+    for at in train:
+        if at in gone:
+            w = docs[at][1]
+            for j in range(order - 1, len(w)):
+                bucket, p = estimates(w, j, *kept)
+                if grid:
+                    p = [2.0 ** (round(math.log2(x) * 4) / 4) if x else 0.0 for x in p]
+                events[bucket, tuple(p)] += 1
+    weights = {b: plain_em([(p, n) for (o, p), n in events.items() if o == b], order, v) for b in {b for b, _ in events}}
+    overall = plain_em([(p, n) for (_, p), n in events.items()], order, v)
+    scores = []
+    for _, w in docs:
+        total = 0.0
+        for j in range(order - 1, len(w)):
+            bucket, p = estimates(w, j, *every)
+            total += math.log10(sum(x * y for x, y in zip(weights.get(bucket, overall), (1 / (v + 1), *p))))
+        scores.append(total)
+    return scores
+
+
+@pytest.mark.parametrize("order,block", [(1, 1 << 30), (2, 3000), (3, 20_000)])
+def test_scores_equal_a_dictionary_model(spark, order, block):
+    rows = awkward(8) + [(2000 + i, t, s) for i, t, s in text_rows(60)] + [(None, f"w1 w2 only{k} {'w3 ' * k}", None) for k in range(12)]
+    rows += [(77, "one id w2 w5", "a"), (77, "one id w5 w2 w9 other text", "a")]
+    docs, out, *_ = brute_lm(rows, order)
+    numbered = spark.createDataFrame([(k, i, (t or "").translate(LOWER)) for k, (i, t, _) in enumerate(rows)], "k int, doc_id long, t string")
+    gone = {r["k"] for r in numbered.where(ngram_lm.deleted_part("doc_id", "t", 30)).collect()}
+    assert 0 < len(gone & {k for k, r in enumerate(rows) if r[0] is None}) < 12
+    got = ngram_lm.score_documents(frame(spark, rows), order=order, block_bytes=block, deleted_percent=30).collect()
+    names = lambda ids, scores: sorted((-1 if i is None else i, s) for i, s in zip(ids, scores))
+    ids = [i for i, _ in docs]
+    same = names([r["doc_id"] for r in got], [r["score"] for r in got])
+    for (i, a), (j, b) in zip(same, names(ids, plain_scores(docs, out, gone, order, grid=True)), strict=True):
+        assert i == j and a == pytest.approx(b, rel=1e-6)
+    exact = names(ids, plain_scores(docs, out, gone, order, grid=False))        # what rounding the estimates for EM costs
+    assert sum(s for _, s in same) == pytest.approx(sum(s for _, s in exact), rel=0.005)
+    assert max(abs(a / b - 1) for (_, a), (_, b) in zip(same, exact)) < 0.05
+
+
 def test_scores_do_not_depend_on_blocks(spark):
     rows = awkward(7) + [(2000 + i, t, s) for i, t, s in text_rows(80)]
     runs = [{r["doc_id"]: r["n_known"] for r in ngram_lm.score_documents(frame(spark, rows), block_bytes=b).collect()} for b in (2000, 1 << 30)]
