@@ -25,7 +25,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.score_documents(read_table(spark, sf_dir, "documents"), order=2)
+    return ngram_lm.score_documents(read_table(spark, sf_dir, "documents"), order=3)
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
