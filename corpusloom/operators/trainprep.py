@@ -11,6 +11,7 @@ from corpusloom.functions import chat as C
 from corpusloom.functions.ids import order_key
 from corpusloom.functions.text import strip
 from corpusloom.functions.tokens import count_tokens, token_ids
+from corpusloom.operators.dictionary import encode_texts, tokens_before
 from corpusloom.operators.sample import global_index, split_train_eval, take_first_n
 
 TRAIN = TrainConfig()
@@ -71,6 +72,16 @@ def tokenize_train(tr: DataFrame, cfg: TrainConfig = TRAIN, ids_fn=token_ids) ->
     return x.withColumn("labels", assistant_labels("input_ids", "prompt_len_raw", "full_len_raw", cfg.max_seq_len))
 
 
+def tokenize_train_ids(tr: DataFrame, pattern: str, make_encoder, cfg: TrainConfig = TRAIN) -> DataFrame:
+    """``tokenize_train`` with a vocabulary's ids. The mask comes from byte offsets: a token is
+    prompt if it starts before the end of the prompt's text, so the prompt is not encoded again
+    and a piece that would be cut otherwise at the prompt's end moves nothing."""
+    x = encode_texts(tr, "full_text", pattern, make_encoder)
+    x = (x.withColumn("prompt_ids", tokens_before("sizes", F.octet_length("prompt_text"))).withColumn("full_ids", F.size("ids"))
+         .withColumn("input_ids", truncate_left("ids", cfg.max_seq_len)))
+    return x.withColumn("labels", assistant_labels("input_ids", "prompt_ids", "full_ids", cfg.max_seq_len)).drop("ids", "sizes")
+
+
 def pad_batches(tok: DataFrame, batch_size: int, cfg: TrainConfig = TRAIN, order: str = "ord") -> DataFrame:
     """Consecutive batches in ``order``; each row padded to its batch's longest row.
     Padded labels are -100 by attention mask (a real pad-equal token keeps its label)."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import CalibConfig, TrainConfig
 from corpusloom.functions.tokens import PRETOKEN
 from corpusloom.operators import trainprep as TP
+from corpusloom.operators.dictionary import rank_file_encoder
 from corpusloom.plans import sqlkit as Q
 from corpusloom.plans.chat_queries import sql_chat_records, v2_records
 from corpusloom.plans.registry import query
@@ -85,6 +86,49 @@ def train_labels(spark, sf_dir):
                     F.sha1(F.array_join(F.col("labels").cast("array<string>"), ",")).alias("labels_sha"))
 
 
+# A public vocabulary (base64 token and rank per line) and the pattern that splits text before its merges.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+# White space as a class; without look-ahead, the last white space before a word is cut off its run by a mark first.
+SQL_WS = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SQL_PIECES = rf"''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SQL_WS}\p{{L}}\p{{N}}]+|[{SQL_WS}]+"
+SQL_CUT = rf"regexp_replace(full_text, '([{SQL_WS}])([{SQL_WS}][^{SQL_WS}])', '\1' || chr(57344) || '\2', 'g')"
+
+SQL_IDS = f"""WITH RECURSIVE {SQL_TRAIN},
+vocabulary AS (SELECT hex(from_base64(token)) AS token, id FROM read_csv('{VOCABULARY}', delim=' ', header=false, quote='', escape='',
+  columns={{'token': 'VARCHAR', 'id': 'INTEGER'}})),
+numbered AS (SELECT row_number() OVER () AS row, id, prompt_text, full_text FROM kp),
+pieced AS (SELECT row, flatten(list_transform(string_split({SQL_CUT}, chr(57344)), lambda x: regexp_extract_all(x, '{SQL_PIECES}'))) AS pieces FROM numbered),
+placed AS (SELECT row, unnest(pieces) AS piece, unnest(range(len(pieces))) AS spot FROM pieced),
+merged AS (
+  SELECT piece, [hex(encode(piece))[2 * k + 1 : 2 * k + 2] FOR k IN range(strlen(piece))] AS tokens FROM (SELECT DISTINCT piece FROM placed)
+  UNION ALL
+  SELECT piece, tokens[: best - 1] || [tokens[best] || tokens[best + 1]] || tokens[best + 2 :] FROM (
+    SELECT p.piece, any_value(p.tokens) AS tokens, arg_min(p.k, v.id::BIGINT * 1000000 + p.k) AS best
+    FROM (SELECT piece, tokens, unnest(range(1, len(tokens))) AS k FROM merged) p
+    JOIN vocabulary v ON v.token = p.tokens[p.k] || p.tokens[p.k + 1] GROUP BY p.piece)),
+codes AS (SELECT piece, arg_min(tokens, len(tokens)) AS tokens FROM merged GROUP BY piece),
+loose AS (SELECT row, spot, unnest(tokens) AS token, unnest(range(len(tokens))) AS k FROM placed JOIN codes USING (piece)),
+tokens AS (SELECT row, v.id, spot * 1000000 + k AS spot, sum(len(token) // 2) OVER (PARTITION BY row ORDER BY spot, k) - len(token) // 2 AS start
+  FROM loose JOIN vocabulary v USING (token)),
+whole AS (SELECT row, list(id ORDER BY spot) AS ids0, list(start ORDER BY spot) AS starts FROM tokens GROUP BY row),
+masked AS (SELECT n.id, list_transform(ids0, lambda x, j: CASE WHEN starts[j] < strlen(prompt_text) THEN -100 ELSE x END) AS labels0, ids0
+  FROM numbered n JOIN whole USING (row)),
+cut AS (SELECT id, list_slice(ids0, greatest(len(ids0) - {L}, 0) + 1, len(ids0)) AS ids, list_slice(labels0, greatest(len(ids0) - {L}, 0) + 1, len(ids0)) AS labels
+  FROM masked)"""
+
+
+@query("train_labels_ids", sql=f"""{SQL_IDS}
+SELECT id, CAST(len(ids) AS INTEGER) AS n_ids, CAST(len(list_filter(labels, lambda x: x = -100)) AS INTEGER) AS n_masked,
+       sha1(array_to_string(ids, ',')) AS ids_sha, sha1(array_to_string(labels, ',')) AS labels_sha FROM cut""")
+def train_labels_ids(spark, sf_dir):
+    t = TP.tokenize_train_ids(kept(spark, sf_dir).select("id", "prompt_text", "full_text"), PIECES, rank_file_encoder(VOCABULARY), TRAIN)
+    digest = lambda c: F.sha1(F.array_join(F.col(c).cast("array<string>"), ",")).alias(f"{c.removeprefix('input_')}_sha")
+    return t.select("id", F.size("input_ids").alias("n_ids"), F.size(F.filter("labels", lambda x: x == TP.IGNORE)).alias("n_masked"),
+                    digest("input_ids"), digest("labels"))
+
+
 @query("train_batches", sql=f"""WITH {SQL_TRAIN},
 tb AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // {BATCH_TEST} AS batch_id FROM tk WHERE split = 'train'),
 tbm AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS mx FROM tb)
