@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import chat as C
+from corpusloom.operators import permute as PM
 from corpusloom.plans import sqlkit as Q
 from corpusloom.plans.registry import query
 from corpusloom.session import scratch_path
@@ -64,6 +65,27 @@ def positional_zip(spark, sf_dir):
     return pairs.select("position", "doc_id", F.sha1("text").alias("text_sha"), "output_id", "output")
 
 
+PREFIX_SEED = 42
+SQL_KEYS = "[" + ", ".join(map(str, PM.round_keys(PREFIX_SEED))) + "]"
+
+
+@query("permuted_prefix", sql=f"""WITH RECURSIVE p AS (SELECT doc_id, sha1(text) AS text_sha, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents),
+size AS (SELECT count(*) AS n, greatest(2, length(bin(count(*) - 1))) AS bits FROM p),
+walk AS (
+  SELECT doc_id, position AS x, 0 AS r, bits - bits // 2 AS a, bits // 2 AS c, n FROM p, size
+  UNION ALL
+  SELECT doc_id, (x & ((1::BIGINT << c) - 1)) * (1::BIGINT << a)
+    + (xor(x >> c, (xor(x & ((1::BIGINT << c) - 1), ({SQL_KEYS})[r % {PM.ROUNDS} + 1]::BIGINT) * {PM.MULTIPLIER}) % {PM.MODULUS}) & ((1::BIGINT << a) - 1)),
+    r + 1, c, a, n FROM walk WHERE r = 0 OR r % {PM.ROUNDS} <> 0 OR x >= n)
+SELECT x AS place, doc_id, text_sha FROM walk JOIN p USING (doc_id)
+WHERE r > 0 AND r % {PM.ROUNDS} = 0 AND x < n AND x < {FIRST_N}""")
+def permuted_prefix(spark, sf_dir):
+    """The first rows of a shuffled order of all documents, whose file order is that of their ids."""
+    path = scratch_path(spark, "ordered-documents")
+    table(spark, sf_dir, "documents").select("doc_id", "text").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    return PM.permuted_prefix(spark.read.parquet(path), FIRST_N, PREFIX_SEED).select("place", "doc_id", F.sha1("text").alias("text_sha"))
+
+
 @query("jsonl_inferred", sql="""SELECT CASE WHEN doc_id % 5 = 0 THEN 'd' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS id,
   CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 2 = 0 THEN CAST(n_chars AS DOUBLE) ELSE n_chars + 0.5 END AS size,
   lang AS meta_lang, CASE WHEN doc_id % 4 = 1 THEN source END AS meta_source,

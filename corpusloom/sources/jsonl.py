@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,38 +34,84 @@ def read_jsonl_first(df: DataFrame, n_max: int | None, key: str) -> DataFrame:
     return df.orderBy(key).limit(max(n_max, 1))
 
 
+MANIFEST_SCHEMA = "run string, name string, path string, rows long, checksum string"
+
+
+def _run_name() -> str:
+    return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+
+
+def _task_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """``(task, rows, checksum)`` of the written files; the checksum does not depend on the order of lines."""
+    if "task" not in spark.read.text(folder).columns:                                    # no rows, no task folders
+        return spark.createDataFrame([], "task string, rows long, checksum string")
+    written = spark.read.schema("value string, task string").text(folder)
+    return written.groupBy("task").agg(F.count("*").alias("rows"), F.sum(F.xxhash64("value").cast("decimal(20,0)")).cast("string").alias("checksum"))
+
+
 def write_task_files(spark: SparkSession, corpus: DataFrame, out_dir: str) -> DataFrame:
-    """One JSONL folder per task (``task=<name>``) plus ``manifest.json``; returns
-    the manifest rows ``(name, path, rows)``. Rows are counted in the written files
-    (a record is a line): the corpus is computed once."""
-    write_jsonl(corpus, f"{out_dir}/tasks", partition_by="task")
-    written = spark.read.schema("value string, task string").text(f"{out_dir}/tasks")
-    counts = written.groupBy("task").agg(F.count("*").alias("rows"))
-    manifest = counts.select(F.col("task").alias("name"),
-                             F.concat(F.lit(f"{out_dir}/tasks/task="), F.col("task")).alias("path"), "rows")
-    manifest.coalesce(1).write.mode("overwrite").json(f"{out_dir}/manifest")
-    return spark.read.schema("name string, path string, rows long").json(f"{out_dir}/manifest")
+    """One JSONL folder per task (``tasks/run=<run>/task=<name>``) and a manifest; returns
+    the manifest rows ``(run, name, path, rows, checksum)``.
+
+    A run writes into a folder of its own, and its manifest is one file added at the very
+    end: whatever fails before leaves the run published last as it was, files included,
+    and readers see the old run or the new one. Rows and checksums are taken from the
+    written files (a record is a line), so the corpus is computed once. Folders of earlier
+    runs stay until somebody deletes them.
+    """
+    run = _run_name()
+    folder = f"{out_dir}/tasks/run={run}"
+    write_jsonl(corpus, folder, partition_by="task")
+    rows = [(run, r["task"], f"{folder}/task={r['task']}", r["rows"], r["checksum"])     # one row per task
+            for r in _task_totals(spark, folder).orderBy("task").collect()]
+    published = rows or [(run, None, None, 0, None)]                                     # an empty run replaces the last one too
+    spark.createDataFrame(published, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{out_dir}/manifest")
+    return read_manifest(spark, out_dir)
+
+
+def read_manifest(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The manifest of the run published last."""
+    every = spark.read.schema(MANIFEST_SCHEMA).json(f"{out_dir}/manifest")
+    last = every.agg(F.max("run")).first()[0]
+    return every.where((F.col("run") == F.lit(last)) & F.col("name").isNotNull())
+
+
+def damaged_task_files(spark: SparkSession, manifest: DataFrame) -> list[str]:
+    """Tasks of one run whose files no longer hold the rows of the manifest."""
+    want = {r["name"]: r for r in manifest.collect()}                                    # one row per task
+    if not want:
+        return []
+    folder = next(iter(want.values()))["path"].rsplit("/task=", 1)[0]
+    got = {r["task"]: (r["rows"], r["checksum"]) for r in _task_totals(spark, folder).collect()}
+    return sorted(name for name, r in want.items() if got.get(name) != (r["rows"], r["checksum"]))
 
 
 def read_task_files(spark: SparkSession, manifest: DataFrame, schema: str) -> DataFrame:
-    """Read every manifest entry; the task comes from the folder name. Only the
-    manifest (one row per task) is brought to the driver."""
+    """Read every manifest entry; the task comes from the folder name. Entries of one run
+    are one scan. Only the manifest (one row per task) is brought to the driver."""
     entries = [(r["name"], r["path"]) for r in manifest.select("name", "path").collect()]
     if not entries:
         return spark.createDataFrame([], schema).withColumn("task", F.lit("").cast("string"))
-    out = None
+    roots: dict[str, list[str]] = {}
+    parts = []
     for name, path in entries:
-        part = read_jsonl(spark, path, schema).withColumn("task", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+        root, _, folder = path.rpartition("/")
+        if folder == f"task={name}":
+            roots.setdefault(root, []).append(path)
+        else:
+            parts.append(read_jsonl(spark, path, schema).withColumn("task", F.lit(name)))
+    for root, paths in roots.items():
+        reader = spark.read.schema(f"{schema}, task string").option("mode", "FAILFAST").option("basePath", root)
+        parts.append(reader.json(paths))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def record_run(spark: SparkSession, runs_path: str, stage: str, params: dict, counts: dict) -> DataFrame:
-    """Append one run row (stage, params JSON, counts JSON, ISO timestamp) to a runs table."""
+    """Append one run row (stage, params JSON, counts JSON, ISO timestamp) to a runs table, as one file."""
     stamp = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
     row = [(stage, json.dumps(params, sort_keys=True), json.dumps(counts, sort_keys=True), stamp)]
     df = spark.createDataFrame(row, "stage string, params string, counts string, ts string")
-    df.write.mode("append").parquet(runs_path)
+    df.coalesce(1).write.mode("append").parquet(runs_path)
     return spark.read.parquet(runs_path)
 
 

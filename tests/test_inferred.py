@@ -61,3 +61,38 @@ def test_manifest_counts_what_was_written(spark, tmp_path):
     assert sorted((r["name"], r["rows"]) for r in manifest.collect()) == [("x", 20), ("y", 10)]
     assert runs.value == 30                                                       # the corpus was computed once
     assert sorted(r[0] for r in read_task_files(spark, manifest, "id string").select("id").collect()) == sorted(r[0] for r in df.collect())
+
+
+def test_failed_run_leaves_the_published_one(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from corpusloom.sources.jsonl import damaged_task_files, read_manifest
+    out, schema = str(tmp_path / "out"), "id string, task string"
+    first = spark.createDataFrame([(f"a{i}", "x" if i % 3 else "y") for i in range(30)], schema).repartition(4)
+    write_task_files(spark, first, out)
+    published = sorted(map(tuple, read_manifest(spark, out).collect()))
+    broken = first.withColumn("id", F.when(F.col("id") == "a17", F.raise_error("lost").cast("string")).otherwise(F.concat("id", F.lit("!"))))
+    with pytest.raises(Exception, match="lost"):
+        write_task_files(spark, broken, out)
+    manifest = read_manifest(spark, out)
+    assert sorted(map(tuple, manifest.collect())) == published and damaged_task_files(spark, manifest) == []
+    back = read_task_files(spark, manifest, "id string")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, first.collect()))
+    assert back._jdf.queryExecution().toString().count("FileScan json") == 1      # all tasks in one scan
+    second = write_task_files(spark, first.where("task = 'y'"), out)
+    assert [(r["name"], r["rows"]) for r in second.collect()] == [("y", 10)] and second.first()["run"] > published[0][0]
+    assert sorted(map(tuple, read_task_files(spark, manifest, "id string").collect())) == sorted(map(tuple, first.collect()))    # readers of the old run
+    assert write_task_files(spark, first.where("false"), out).collect() == []
+
+
+def test_changed_files_are_found(spark, tmp_path):
+    from corpusloom.sources.jsonl import damaged_task_files
+    df = spark.createDataFrame([(str(i), t) for i in range(9) for t in "xyz"], "id string, task string").coalesce(1)
+    manifest = write_task_files(spark, df, str(tmp_path / "out"))
+    folder = tmp_path / "out" / "tasks" / f"run={manifest.first()['run']}"
+    part = next((folder / "task=y").glob("part-*"))
+    part.with_name("part-changed.json").write_text(part.read_text().replace('"3"', '"4"'))
+    part.write_text("")
+    for crc in (folder / "task=y").glob(".*.crc"):
+        crc.unlink()
+    assert damaged_task_files(spark, manifest) == ["y"]
