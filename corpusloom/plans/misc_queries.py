@@ -15,8 +15,8 @@ from corpusloom.plans.mc_queries import SQL_MC, corpus
 from corpusloom.plans.registry import query
 from corpusloom.session import scratch_path
 from corpusloom.sources import jsonl as J
-from corpusloom.sources.fixtures import WEIGHT_NAMES, table, weights_from_embeddings
-from corpusloom.streaming.records import run_to_completion
+from corpusloom.sources.fixtures import WEIGHT_NAMES, table, table_path, weights_from_embeddings
+from corpusloom.streaming.records import DISTINCT_SCHEMA, read_sink, run_to_completion, stream_distinct_records
 
 SP = SparsityConfig()
 NAMES = "[" + ", ".join(f"'{n}'" for n in WEIGHT_NAMES) + "]"
@@ -89,7 +89,7 @@ SELECT id, source_index, prompt_tokens, target_tokens, total_tokens, has_input F
 def stream_alpaca_records(spark, sf_dir):
     sink = scratch_path(spark, "stream-sink")
     ckpt = scratch_path(spark, "stream-checkpoint")
-    out = run_to_completion(spark, sf_dir, sink, ckpt, file_glob="documents.parquet")
+    out = run_to_completion(spark, table_path(sf_dir, "documents"), sink, ckpt, file_glob="*")
     return out.select("id", "source_index", "prompt_tokens", "target_tokens", "total_tokens", "has_input")
 
 
@@ -112,8 +112,7 @@ def token_lengths(spark, sf_dir):
 @query("stream_distinct_keys", sql=f"""WITH {sql_alpaca_records()}
 SELECT DISTINCT dup_key FROM arec""")
 def stream_distinct_keys(spark, sf_dir):
-    from corpusloom.streaming.records import stream_distinct_records
     sink = scratch_path(spark, "stream-distinct-sink")
     ckpt = scratch_path(spark, "stream-distinct-checkpoint")
-    stream_distinct_records(spark, sf_dir, sink, ckpt, file_glob="documents.parquet").awaitTermination()
-    return spark.read.parquet(sink).select("dup_key")
+    stream_distinct_records(spark, table_path(sf_dir, "documents"), sink, ckpt, file_glob="*").awaitTermination()
+    return read_sink(spark, sink, DISTINCT_SCHEMA).select("dup_key")

@@ -8,6 +8,30 @@ from corpusloom.operators.instruct import instruct_records
 from corpusloom.sources.fixtures import alpaca_from_documents
 
 DOCUMENTS_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+RECORDS_SCHEMA = ("id string, source_index bigint, prompt_text string, target_text string, prompt_tokens int, target_tokens int, "
+                  "total_tokens int, has_input boolean, dup_key string, ord string")
+DISTINCT_SCHEMA = "id string, source_index bigint, dup_key string, total_tokens int, target_tokens int"
+
+
+def _only(path: str) -> str:
+    """``path`` as a pattern that matches it alone. Of a plain path Spark's file stream
+    makes the base of partition folders, which a single file can't be."""
+    path = path.rstrip("/")
+    at = path.rfind("/") + 1
+    return f"{path[:at]}[{path[at]}]{path[at + 1:]}" if path[at:at + 1].isalnum() else path
+
+
+def document_stream(spark: SparkSession, src: str, file_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Documents of ``src``, a folder that may grow or a single file."""
+    r = spark.readStream.schema(DOCUMENTS_SCHEMA).option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(_only(src))
+
+
+def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
+    """The rows a stream has appended to ``sink``, none when it met no rows."""
+    return spark.read.schema(schema).parquet(sink)
 
 
 def stream_instruct_records(spark: SparkSession, src_dir: str, sink: str, checkpoint: str,
@@ -16,10 +40,7 @@ def stream_instruct_records(spark: SparkSession, src_dir: str, sink: str, checkp
     """Read new document files as a stream, build instruction records (row-local),
     append them to a parquet sink. The checkpoint folder (shared storage) makes the
     query restartable after a failure without duplicates."""
-    r = spark.readStream.schema(DOCUMENTS_SCHEMA).option("pathGlobFilter", file_glob)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = r.parquet(src_dir)
+    docs = document_stream(spark, src_dir, file_glob, max_files_per_trigger)
     recs = instruct_records(alpaca_from_documents(docs)).drop("messages")
     w = (recs.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -29,7 +50,7 @@ def stream_instruct_records(spark: SparkSession, src_dir: str, sink: str, checkp
 def run_to_completion(spark: SparkSession, src_dir: str, sink: str, checkpoint: str, **kw) -> DataFrame:
     q = stream_instruct_records(spark, src_dir, sink, checkpoint, available_now=True, **kw)
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink, RECORDS_SCHEMA)
 
 
 def stream_distinct_records(spark: SparkSession, src_dir: str, sink: str, checkpoint: str,
@@ -38,7 +59,7 @@ def stream_distinct_records(spark: SparkSession, src_dir: str, sink: str, checkp
     dedup key has not been seen in any earlier micro-batch. The seen keys are
     operator state (40-byte hashes), kept in the checkpoint folder so a restart
     neither re-emits nor loses keys."""
-    docs = spark.readStream.schema(DOCUMENTS_SCHEMA).option("pathGlobFilter", file_glob).parquet(src_dir)
+    docs = document_stream(spark, src_dir, file_glob)
     recs = (instruct_records(alpaca_from_documents(docs))
             .select("id", "source_index", "dup_key", "total_tokens", "target_tokens")
             .dropDuplicates(["dup_key"]))
