@@ -25,8 +25,9 @@ def chat_examples(chats: DataFrame, max_messages: int = 12, carry: dict | None =
     evaluated once per conversation (before the explode) and carried along
     with ``_i``, the message index of the example.
     """
-    m = C.truncate_messages(C.normalize_messages("messages"), max_messages)
-    base = chats.select("source_index", m.alias("_m"))
+    # a projection of its own: the truncation reads the array several times
+    base = chats.select("source_index", C.normalize_messages("messages").alias("_m"))
+    base = base.select("source_index", C.truncate_messages("_m", max_messages).alias("_m"))
     extra = [fn(F.col("_m")).alias(name) for name, fn in (carry or {}).items()]
     base = base.select("source_index", "_m", *extra)
     ex = base.select("source_index", "_m", *(carry or {}),

@@ -10,6 +10,7 @@ from corpusloom.functions.chat import message
 from corpusloom.functions.ids import order_key, sha1_join
 from corpusloom.functions.text import normalize, prefix
 from corpusloom.functions.tokens import count_tokens
+from corpusloom.sources.tables import computed_once
 
 # The instruction prompt template (with and without an input).
 PROMPT_WITH_INPUT = (
@@ -49,7 +50,7 @@ def instruct_records(rows: DataFrame, cfg: SetConfig = V1, count=count_tokens) -
     empty instruction or output are dropped)."""
     n = rows.select("source_index", normalize("instruction").alias("instruction"),
                     normalize("input").alias("input_text"), normalize("output").alias("target_text"))
-    n = n.where((F.col("instruction") != "") & (F.col("target_text") != ""))
+    n = computed_once(n, "instruction", "input_text", "target_text").where((F.col("instruction") != "") & (F.col("target_text") != ""))
     p = prompt_text(F.col("instruction"), F.col("input_text"))
     user = F.when(F.col("input_text") != "",
                   F.concat("instruction", F.lit("\n\nInput:\n"), "input_text")).otherwise(F.col("instruction"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import LengthGate, SetConfig
 from corpusloom.functions.ids import order_key
 from corpusloom.operators.sample import first_n_per_key, kept, quota_sample
+from corpusloom.sources.tables import computed_once
 
 
 def gate(g: LengthGate, total: str = "total_tokens", target: str = "target_tokens") -> Column:
@@ -51,13 +52,18 @@ def attach(selected: DataFrame, records: DataFrame) -> DataFrame:
     return records.join(selected.select("ord").distinct(), "ord", "left_semi").dropDuplicates(["ord"])
 
 
+def measured(records: DataFrame) -> DataFrame:
+    """``records`` whose lengths, which gates and buckets compare many times, are counted once."""
+    return computed_once(records, "total_tokens", "target_tokens")
+
+
 def sft_candidates(records: DataFrame, cfg: SetConfig) -> DataFrame:
-    return records.where(gate(cfg.sft_gate))
+    return measured(records).where(gate(cfg.sft_gate))
 
 
 def calib_candidates(records: DataFrame, cfg: SetConfig) -> DataFrame:
     """Rows that pass the calibration gate, with their bucket (no bucket -> dropped)."""
-    return (records.where(gate(cfg.calib_gate)).withColumn("bucket", bucket_of(cfg))
+    return (measured(records).where(gate(cfg.calib_gate)).withColumn("bucket", bucket_of(cfg))
             .where(F.col("bucket").isNotNull()))
 
 

@@ -27,6 +27,14 @@ def with_key(df: DataFrame, name: str, column: str | None) -> DataFrame:
     return df.withColumn(name, key.cast("long"))
 
 
+def computed_once(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` whose columns ``names`` are computed once a row. A filter on a computed column
+    moves below its computation, which is then repeated for every comparison; no filter
+    moves below a generator."""
+    once = F.inline(F.array(F.struct(*[F.col(f"`{n}`") for n in names])))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], once).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def with_progress(df: DataFrame, name: str, **conds) -> tuple[DataFrame, Observation]:
     """Attach row counters (total and one per named boolean condition) that are
     filled as a side effect of the next action; no per-row logging, no extra job."""

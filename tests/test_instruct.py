@@ -89,3 +89,21 @@ def test_keys_hold_the_whole_text_unless_lengths_are_given(spark):
     kd = kd_source(one_id)
     assert kd.select("dup_key").distinct().count() == kd.select("ord").distinct().count() == 5
     assert kd_source(one_id, replace(DistillConfig(), **PREFIX_KD_KEYS)).select("dup_key").distinct().count() == 1
+
+
+def test_gates_and_buckets_count_each_text_once(spark):
+    """Filters read counted lengths; they don't repeat the count for every comparison."""
+    from corpusloom.config import V1
+    from corpusloom.operators import sft_sets as S
+    from corpusloom.operators.instruct import instruct_records
+    rows = [(1, "say", "", "a b c d e " * 40), (1, "say", "", "a b c d e " * 40), (2, None, None, None), (3, " ", "", "x"), (None, "say", "it", "w " * 300),
+            (4, "say", None, "a b")]
+    records = instruct_records(spark.createDataFrame(rows, "source_index long, instruction string, input string, output string"))
+    calib = S.calib_candidates(records, V1)
+    assert calib.columns == [*records.columns, "bucket"] and S.sft_candidates(records, V1).columns == records.columns
+    assert sorted((r["source_index"] or 0, r["bucket"]) for r in calib.collect()) == [(0, "mid"), (1, "mid"), (1, "mid")]
+    for df in (calib, S.sft_candidates(records, V1)):
+        plan = df.select("source_index", "total_tokens")._jdf.queryExecution().optimizedPlan().toString()
+        filters = [x for x in plan.split("+- ") if x.startswith("Filter")]
+        assert filters and not any("regexp_extract_all" in x or "trim" in x for x in filters)
+        assert plan.count("regexp_extract_all") <= 2                 # prompt and target
