@@ -19,11 +19,17 @@ from corpusloom.sources.tables import read_split
 FIRST_N = 300          # a cap that cuts at every test scale
 
 
+def in_order(rows: DataFrame, order: str, least: int) -> DataFrame:
+    """``rows`` in ascending order, in ``least`` ranges or as many as the scan has splits: no
+    task takes a larger share as the table grows."""
+    return rows.repartitionByRange(max(least, rows.rdd.getNumPartitions()), order).sortWithinPartitions(order)
+
+
 def write_ordered_lines(rows: DataFrame, order: str, num_files: int, name: str) -> str:
-    """``rows (order, lines array)`` as text files in ascending order; returns the path."""
+    """``rows (order, lines array)`` as text files in ascending order, at least ``num_files`` of them
+    where the rows allow; returns the path."""
     path = scratch_path(rows.sparkSession, name)
-    (rows.repartitionByRange(num_files, order).sortWithinPartitions(order)
-     .select(F.explode("lines").alias("value")).write.text(path))
+    in_order(rows, order, num_files).select(F.explode("lines").alias("value")).write.text(path)
     return path
 
 
@@ -60,7 +66,7 @@ def positional_zip(spark, sf_dir):
     prompts = P.read_jsonl_positions(spark, document_lines(spark, sf_dir, doc_id=F.col("doc_id"), text=F.col("text")), "doc_id long, text string")
     path = scratch_path(spark, "outputs")
     outputs = table(spark, sf_dir, "documents").where("source <> 'src3'").select(F.col("doc_id").alias("output_id"), F.upper("lang").alias("output"))
-    outputs.repartitionByRange(4, "output_id").sortWithinPartitions("output_id").write.parquet(path)
+    in_order(outputs, "output_id", 4).write.parquet(path)
     pairs = P.positional_zip(prompts, P.row_positions(spark.read.parquet(path)))
     return pairs.select("position", "doc_id", F.sha1("text").alias("text_sha"), "output_id", "output")
 
@@ -82,7 +88,7 @@ WHERE r > 0 AND r % {PM.ROUNDS} = 0 AND x < n AND x < {FIRST_N}""")
 def permuted_prefix(spark, sf_dir):
     """The first rows of a shuffled order of all documents, whose file order is that of their ids."""
     path = scratch_path(spark, "ordered-documents")
-    table(spark, sf_dir, "documents").select("doc_id", "text").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    in_order(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", 4).write.parquet(path)
     return PM.permuted_prefix(spark.read.parquet(path), FIRST_N, PREFIX_SEED).select("place", "doc_id", F.sha1("text").alias("text_sha"))
 
 

@@ -47,3 +47,20 @@ def test_prefix_of_files(spark, tmp_path):
     assert P.permuted_prefix(spark.read.parquet(str(tmp_path / "none")), 5, 3).collect() == []
     plan = P.permuted(t, 3)._jdf.queryExecution().toString()
     assert "ArrowEvalPython" not in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_ordered_files_grow_with_the_table(spark, tmp_path):
+    """Written in order by as many tasks as the table has splits, not by a fixed few; repeated and null keys stay."""
+    from corpusloom.plans import file_queries as Q
+    rows = [(k % 900 if k % 300 else None, f"text {k}") for k in range(1000)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(12).write.parquet(str(tmp_path / "t"))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        ordered = Q.in_order(spark.read.parquet(str(tmp_path / "t")), "doc_id", 4)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    parts = [[r["doc_id"] for r in p] for p in ordered.rdd.glom().collect()]
+    assert len(parts) >= 12 and max(map(len, parts)) < 250
+    assert [k for p in parts for k in p] == sorted((k for k, _ in rows), key=lambda k: -1 if k is None else k)
+    assert Q.in_order(spark.createDataFrame([(1, "a")], "doc_id long, text string").coalesce(1), "doc_id", 4).count() == 1
