@@ -22,12 +22,14 @@ from corpusloom.llm.common import read_table
 from corpusloom.llm.queries import MIX_SHARES
 from corpusloom.session import scratch_path
 from corpusloom.sources.positions import row_positions
+from corpusloom.sources.tables import computed_once
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood-ratio threshold."""
-    ratio = quality.fit_ratio(docs, read_table(spark, sf_dir, "labels"))
-    return quality.judge(docs, ratio).where("_q_kept").select(*docs.columns)
+    ratio = quality.fit_ratio(docs, read_table(spark, sf_dir, "labels"), ngram=quality.NGRAM)
+    judged = quality.judge(docs, ratio, ngram=quality.NGRAM)
+    return computed_once(judged, "_q_kept").where("_q_kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

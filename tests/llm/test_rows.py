@@ -56,6 +56,54 @@ def test_quality_equals_brute_force(spark):
         assert r["_q_score"] == pytest.approx(score, abs=1e-5) and r["_q_kept"] == (not base[-1] and r["_q_score"] >= -0.05)
 
 
+@pytest.mark.parametrize("ngram", [1, 2, 3])
+def test_quality_scores_runs_of_words(spark, ngram):
+    """Texts of the same words in another order differ: runs are counted and scored, each once."""
+    rows = [(k, "red fox runs far over green hills and " * 4, "a") for k in range(8)] + [
+        (20 + k, "and hills green over far runs fox red " * 4, "a") for k in range(8)] + [(40, "one", "a"), (41, None, "a"), (42, "red fox", "a")]
+    df, lab = frame(spark, rows), spark.createDataFrame([(k, 1, 0) for k in range(8)], "doc_id long, quality int, toxic int")
+
+    def h(*values):
+        x = 42
+        for v in values:
+            x = xxhash.xxh64_intdigest(v if isinstance(v, bytes) else v.to_bytes(8, "little"), seed=x)
+        return x
+
+    def cells(text):
+        ones = [h(w) for w in words(text)]
+        runs, out = ones, list(ones)
+        for n in range(2, ngram + 1):
+            runs = [h(a, b) for a, b in zip(runs, ones[n - 1:])]
+            out += runs
+        return [(x + (1 << 63)) % (1 << 64) - (1 << 63) for x in out]
+
+    raw, good = [0] * 4096, [0] * 4096
+    for i, t, _ in rows:
+        for x in cells(t):
+            raw[x % 4096] += 1
+            good[x % 4096] += i < 8
+    want = [math.log((g + .5) / (sum(good) + 2048)) - math.log((r + .5) / (sum(raw) + 2048)) for g, r in zip(good, raw)]
+    ratio = quality.fit_ratio(df, lab, buckets=4096, ngram=ngram)
+    assert ratio == pytest.approx(want)
+    got = {r["doc_id"]: r["_q_score"] for r in quality.judge(df, ratio, ngram=ngram).collect()}
+    for i, t, _ in rows:
+        x = cells(t)
+        assert got[i] == pytest.approx(sum(want[c % 4096] for c in x) / len(x) if x else 0.0, abs=1e-5)
+    assert (got[0] > got[20] + 0.1) == (ngram > 1)
+    if ngram == quality.NGRAM:                                   # what the query and the pipeline take
+        assert quality.fit_ratio(df, lab, buckets=4096) == ratio
+        assert {r["doc_id"]: r["_q_score"] for r in quality.judge(df, ratio).collect()} == got
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 8])
+def test_windows_of_any_length(spark, window):
+    texts = ["a b c d e f g h i j a b c d e f g h x", "a b a b a b", "a", None, "q r s t u v w q r s t u v w"]
+    for r in quality.base_columns(spark.createDataFrame([(t,) for t in texts], "text string"), window=window).collect():
+        w = words(r["text"])
+        assert len(r["_q_hashes"]) == max(0, len(w) - window + 1)
+        assert len(set(r["_q_hashes"])) == len({tuple(w[s:s + window]) for s in range(len(w) - window + 1)})
+
+
 def test_quality_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     ratio = quality.fit_ratio(frame(spark, awkward()), none, buckets=64)
