@@ -32,7 +32,7 @@ BUCKETS = 16384
 NGRAM = 2
 PAIR_BUCKETS = 4096
 MAX_TRUSTED = 20_000
-THRESHOLD = -0.1            # of the mean over words and pairs; -0.35 was that of words alone
+THRESHOLD = -0.35
 # Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 
